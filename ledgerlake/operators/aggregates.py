@@ -131,3 +131,55 @@ def kpi_summary(daily: DataFrame) -> DataFrame:
                      round2(F.min("total_revenue")).alias("min_daily_revenue"),
                      round2(F.max("total_revenue")).alias("max_daily_revenue"),
                      F.count(F.lit(1)).alias("days"))
+
+
+def suspicious_merchants(enr: DataFrame, min_txns: int, max_avg) -> DataFrame:
+    """``HAVING count >= min_txns AND avg(amount) < max_avg``."""
+    return (enr.groupBy("merchant_id")
+               .agg(F.count(F.lit(1)).alias("txn_count"), F.avg("amount").alias("_avg"))
+               .where((F.col("txn_count") >= min_txns) & (F.col("_avg") < max_avg))
+               .select("merchant_id", "txn_count", round2("_avg").alias("avg_amount")))
+
+
+def rfm(enr: DataFrame, anchor, churn_days: int) -> DataFrame:
+    """Recency / frequency / monetary per customer with an at-risk flag."""
+    rec = F.date_diff(F.lit(anchor), F.max("transaction_date"))
+    return (enr.groupBy("customer_id")
+               .agg(rec.alias("recency_days"), F.count(F.lit(1)).alias("frequency"),
+                    completed_revenue().alias("monetary"))
+               .withColumn("at_risk", F.col("recency_days") > churn_days))
+
+
+def merchant_risk(enr: DataFrame, risk_rate) -> DataFrame:
+    """Daily failure rate per merchant, suspicious flag, confidence by sample size."""
+    n = F.col("txn_count")
+    return (enr.groupBy("merchant_id", "transaction_date")
+               .agg(F.count(F.lit(1)).alias("txn_count"),
+                    count_when(is_failed()).alias("failed_count"),
+                    failure_pct().alias("failure_rate_pct"))
+               .withColumn("suspicious", F.col("failure_rate_pct") > risk_rate)
+               .withColumn("confidence_level", F.when(n <= 1, "LOW").when(n <= 2, "MEDIUM")
+                           .otherwise("HIGH")))
+
+
+def customer_segments(enr: DataFrame, anchor, days: int, vip, high, mid) -> DataFrame:
+    """Spend over the last ``days`` days before the anchor, tiered."""
+    recent = enr.where((F.col("transaction_date") > F.date_sub(F.lit(anchor), days))
+                       & (F.col("transaction_date") <= F.lit(anchor)))
+    s = F.col("spend_30d")
+    return (recent.groupBy("customer_id").agg(completed_revenue().alias("spend_30d"))
+                  .withColumn("segment", F.when(s > vip, "VIP").when(s > high, "High")
+                              .when(s >= mid, "Mid").otherwise("Low")))
+
+
+def mart_merchant_kpis(enr: DataFrame) -> DataFrame:
+    """Merchant KPIs over all statuses with first/last transaction date."""
+    return (enr.groupBy("merchant_id", "merchant_name", "category", "city")
+               .agg(completed_revenue().alias("total_revenue"),
+                    F.count(F.lit(1)).alias("total_transactions"),
+                    count_when(is_failed()).alias("failed_transactions"),
+                    failure_pct().alias("failure_rate_pct"),
+                    round2(F.avg("amount")).alias("avg_transaction_value"),
+                    F.count_distinct("customer_id").alias("unique_customers"),
+                    F.min("transaction_date").alias("first_transaction_date"),
+                    F.max("transaction_date").alias("last_transaction_date")))

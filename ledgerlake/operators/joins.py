@@ -25,3 +25,58 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) ->
     or split skewed partitions.
     """
     return F.broadcast(df) if is_bounded(df, max_rows) else df
+
+
+# Fee rate per payment method (the o_orderpriority names).
+FEE_RATES = {
+    "1-URGENT": 0.030,
+    "2-HIGH": 0.025,
+    "3-MEDIUM": 0.020,
+    "4-NOT SPECIFIED": 0.015,
+    "5-LOW": 0.010,
+}
+
+
+def left_join_on_predicate(customers: DataFrame, orders: DataFrame, status: str = "COMPLETED") -> DataFrame:
+    """Keep every customer; the status test is part of the join condition,
+    so customers without such orders survive with nulls."""
+    cond = (customers.c_custkey == orders.customer_id) & (orders.status == status)
+    return customers.join(orders, cond, "left")
+
+
+def left_join_where_predicate(customers: DataFrame, orders: DataFrame, status: str = "COMPLETED") -> DataFrame:
+    """The buggy form — the WHERE on the right side turns it into an inner join."""
+    j = customers.join(orders, customers.c_custkey == orders.customer_id, "left")
+    return j.where(F.col("status") == status)
+
+
+def fee_lookup_join(df: DataFrame, rates: dict | None = None) -> DataFrame:
+    """Join a literal fee table (a handful of rows: always broadcast) and
+    compute ``effective_amount = amount * (1 - fee_rate)``."""
+    spark = df.sparkSession
+    rates = rates or FEE_RATES
+    fees = spark.createDataFrame([(k, float(v)) for k, v in rates.items()],
+                                 "fee_method string, fee_rate double")
+    fees = fees.withColumn("fee_rate", F.col("fee_rate").cast("decimal(6,4)"))
+    j = df.join(F.broadcast(fees), df.payment_method == fees.fee_method, "inner").drop("fee_method")
+    return j.withColumn("effective_amount", F.col("amount") * (F.lit(1) - F.col("fee_rate")))
+
+
+def promotions(customer: DataFrame) -> DataFrame:
+    """The promotion fixture, derived from ``customer``: every third customer
+    has a promotion; channel by key (Email / SMS / Push); discount 5-20 %."""
+    k = F.col("c_custkey")
+    chan = F.when((k % 9) / 3 < 1, "Email").when((k % 9) / 3 < 2, "SMS").otherwise("Push")
+    return customer.where(k % 3 == 0).select(
+        k.alias("promo_customer_id"), k.alias("promo_id"), chan.alias("channel"),
+        (F.lit(5) * (F.lit(1) + k % 4)).cast("decimal(5,2)").alias("discount_pct"))
+
+
+def promo_attribution_join(df: DataFrame, promos: DataFrame) -> DataFrame:
+    """Transactions of promoted customers with their discount cost.
+
+    ``promos`` grows with the customer table, so it is broadcast only when bounded.
+    """
+    p = broadcast_if_bounded(promos)
+    j = df.join(p, df.customer_id == p.promo_customer_id, "inner").drop("promo_customer_id")
+    return j.withColumn("discount_cost", F.col("amount") * F.col("discount_pct") / 100)
