@@ -2,4 +2,5 @@
 
 from ledgerlake.plans.queries import (  # noqa: F401
     aggregates,
+    filters,
 )

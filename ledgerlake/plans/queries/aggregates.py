@@ -20,7 +20,8 @@ from ledgerlake.plans.oracle import pct_sql, round_sql
 ANCHOR = FR.ANCHOR_DATE                 # "today" of every report
 LTV_MIN_REVENUE = 1000                  # A8 HAVING bound
 SUSPICIOUS_MIN_TXNS = 2                 # A26: count >= 2 ...
-SUSPICIOUS_MAX_AVG = 25000              # ... and avg below this (reference 1500 on ~1000-sized amounts)
+SUSPICIOUS_MAX_AVG = 50000              # ... and avg below this (reference 1500 on ~1000-sized amounts;
+                                        # here the lower tail of per-merchant means, ~52k median)
 REVIEW_THRESHOLD = 50000                # P11 / A27 compliance threshold
 CHURN_DAYS = 14                         # A30 at-risk window
 RISK_RATE = 30                          # A31 suspicious failure %
