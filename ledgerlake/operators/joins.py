@@ -80,3 +80,39 @@ def promo_attribution_join(df: DataFrame, promos: DataFrame) -> DataFrame:
     p = broadcast_if_bounded(promos)
     j = df.join(p, df.customer_id == p.promo_customer_id, "inner").drop("promo_customer_id")
     return j.withColumn("discount_cost", F.col("amount") * F.col("discount_pct") / 100)
+
+
+def fk_orphans(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
+    """J10 / DQ6: fact rows whose key is absent from the dimension."""
+    d = dim.select(F.col(dim_key or key).alias("_dk"))
+    return fact.join(d, fact[key] == d["_dk"], "left_anti")
+
+
+def settlement(orders: DataFrame) -> DataFrame:
+    """The gateway settlement fixture derived from ``orders``: every 97th order
+    is missing, every 89th is settled 5 higher, every 101st also appears under
+    an unknown key; gateway by key."""
+    k = F.col("o_orderkey")
+    amt = F.col("o_totalprice").cast("decimal(18,2)")
+    gw = F.concat(F.lit("GW"), (k % 3).cast("string"))
+    base = orders.where(k % 97 != 0).select(
+        k.alias("settle_key"), (amt + F.when(k % 89 == 0, F.lit(5)).otherwise(F.lit(0))).alias("settled_amount"),
+        gw.alias("gateway"))
+    extra = orders.where(k % 101 == 0).select((-k - 1).alias("settle_key"), amt.alias("settled_amount"),
+                                               gw.alias("gateway"))
+    return base.unionByName(extra)
+
+
+def reconcile(ledger: DataFrame, settled: DataFrame, tolerance=1) -> DataFrame:
+    """Full outer join on the key, class per pair, counts and net variance
+    per gateway and class (a partial aggregate right after the join)."""
+    j = ledger.join(settled, ledger.transaction_id == settled.settle_key, "full_outer")
+    gw = F.coalesce(F.col("gateway"), F.concat(F.lit("GW"), (F.col("transaction_id") % 3).cast("string")))
+    cls = (F.when(F.col("settle_key").isNull(), "missing")
+            .when(F.col("transaction_id").isNull(), "unexpected")
+            .when(F.abs(F.col("settled_amount") - F.col("amount")) > tolerance, "disputed")
+            .otherwise("matched"))
+    var = F.coalesce(F.col("settled_amount"), F.lit(0)) - F.coalesce(F.col("amount"), F.lit(0))
+    return (j.select(gw.alias("gateway"), cls.alias("recon_class"), var.alias("variance"))
+             .groupBy("gateway", "recon_class")
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("variance").cast("double").alias("net_variance")))
