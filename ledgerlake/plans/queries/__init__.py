@@ -4,4 +4,5 @@ from ledgerlake.plans.queries import (  # noqa: F401
     aggregates,
     filters,
     joins,
+    windows,
 )
