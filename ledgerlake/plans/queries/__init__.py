@@ -5,4 +5,5 @@ from ledgerlake.plans.queries import (  # noqa: F401
     filters,
     joins,
     windows,
+    quality,
 )
