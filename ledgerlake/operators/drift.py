@@ -55,7 +55,8 @@ def raw_feed(orders: DataFrame) -> DataFrame:
         d.cast("string").alias("transaction_date"),
         F.when(~removed, F.col("o_orderpriority")).alias("payment_method"),
         F.when(new_cols, F.concat(F.lit("GW"), (k % 3).cast("string"))).alias("payment_gateway"),
-        F.when(new_cols, (F.col("o_totalprice") * 0.05).cast("decimal(18,2)").cast("string")).alias("discount_amount"),
+        F.when(new_cols, (F.col("o_totalprice").cast("decimal(18,2)") * F.lit(0.05).cast("decimal(3,2)"))
+                          .cast("decimal(18,2)").cast("string")).alias("discount_amount"),
         F.when(new_cols, F.when(k % 7 == 0, "true").otherwise("false")).alias("refund_flag"),
     )
 
@@ -201,3 +202,47 @@ def migrate_version(df: DataFrame, add=(), rename=None, drop=()) -> DataFrame:
     for old, new in (rename or {}).items():
         df = df.withColumnRenamed(old, new)
     return df.drop(*drop) if drop else df
+
+
+def handle_drift_report(feed: DataFrame, expected: dict) -> DataFrame:
+    """SD5: detect -> decide per batch; batches with a HALT decision are held
+    back, the rest applied. One row per batch: rows, outcome, flagged columns."""
+    log = infer_schema_log(feed)
+    dec = drift_decisions(schema_diff(log, expected))
+    sev = dec.groupBy("batch_id").agg(F.max(F.when(F.col("action") == "HALT", 1).otherwise(0)).alias("halt"),
+                                      F.count_if(F.col("action") == "FLAG_ANOMALY").cast("bigint").alias("flagged"))
+    rows = feed.groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows"))
+    j = rows.join(F.broadcast(sev), "batch_id", "left")
+    return j.select("batch_id", "rows",
+                    F.when(F.coalesce("halt", F.lit(0)) == 1, "HALTED").otherwise("APPLIED").alias("outcome"),
+                    F.coalesce("flagged", F.lit(0).cast("bigint")).alias("flagged_columns"))
+
+
+def version_diff(versions: dict[str, DataFrame], rename_jaccard: float) -> DataFrame:
+    """SD6: added / removed columns between consecutive versions, and renames
+    proposed where a removed and an added column share most distinct values
+    (Jaccard over distinct values, computed with one grouped pass)."""
+    names = list(versions)
+    spark = next(iter(versions.values())).sparkSession
+    rows = []
+    proposals = []
+    for i in range(1, len(names)):
+        prev, cur = versions[names[i - 1]], versions[names[i]]
+        added = [c for c in cur.columns if c not in prev.columns]
+        removed = [c for c in prev.columns if c not in cur.columns]
+        rows += [(names[i], c, "added") for c in added] + [(names[i], c, "removed") for c in removed]
+        for r in removed:
+            for a in added:
+                if dict(prev.dtypes)[r] == dict(cur.dtypes)[a]:
+                    proposals.append((names[i], r, a, prev, cur))
+    changes = spark.createDataFrame(rows, "version string, column_name string, change string")
+    out = changes.withColumn("proposed_rename", F.lit(None).cast("string"))
+    for ver, r, a, prev, cur in proposals:
+        va = prev.select(F.col(r).cast("string").alias("v"), F.lit(1).alias("s"))
+        vb = cur.select(F.col(a).cast("string").alias("v"), F.lit(2).alias("s"))
+        per = va.unionByName(vb).where("v IS NOT NULL").groupBy("v").agg(F.bit_or("s").alias("sides"))
+        jac = per.agg((F.count_if(F.col("sides") == 3) / F.count(F.lit(1))).alias("j")).scalar()
+        hit = (F.col("version") == ver) & F.col("column_name").isin(r, a) & (jac >= rename_jaccard)
+        out = out.withColumn("proposed_rename",
+                             F.when(hit, F.lit(f"{r} -> {a}")).otherwise(F.col("proposed_rename")))
+    return out

@@ -6,4 +6,5 @@ from ledgerlake.plans.queries import (  # noqa: F401
     joins,
     windows,
     quality,
+    drift,
 )
