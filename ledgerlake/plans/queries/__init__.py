@@ -7,4 +7,5 @@ from ledgerlake.plans.queries import (  # noqa: F401
     windows,
     quality,
     drift,
+    observability,
 )
