@@ -53,11 +53,13 @@ def pct_sql(num: str, den: str) -> str:
     The quotient goes through DECIMAL so rounding is half-up on the decimal
     value, as Spark's ``round`` is.
     """
-    return (f"CAST(ROUND(CAST(100.0 * ({num}) / NULLIF({den}, 0) AS DECIMAL(38,10)), 2) AS DOUBLE)")
+    return (f"CAST(ROUND(CAST(100.0 * ({num}) / NULLIF({den}, 0) AS DECIMAL(38,8)), 2) AS DOUBLE)")
 
 
 def round_sql(expr: str, digits: int = 2) -> str:
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
+    """Half-up rounding of a (possibly double) value: the value is first
+    snapped to 8 decimals, which removes binary noise up to magnitude ~1e7."""
+    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,8)), {digits}) AS DOUBLE)"
 
 
 def money_sql(expr: str) -> str:

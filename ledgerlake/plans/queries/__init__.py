@@ -8,4 +8,5 @@ from ledgerlake.plans.queries import (  # noqa: F401
     quality,
     drift,
     observability,
+    scalars,
 )

@@ -109,8 +109,9 @@ def main(argv=None):
             continue
         if sr != dr:
             bad += 1
-            diff_s = [r for r in sr if r not in set(dr)][:3]
-            diff_d = [r for r in dr if r not in set(sr)][:3]
+            ds, ss = set(dr), set(sr)
+            diff_s = [r for r in sr if r not in ds][:3]
+            diff_d = [r for r in dr if r not in ss][:3]
             print(f"MISMATCH {k}: rows spark={len(sr)} duck={len(dr)}\n   spark-only {diff_s}\n   duck-only  {diff_d}")
             continue
         print(f"OK       {k}: rows={len(sr)} ({ts:.2f}s)")
