@@ -9,4 +9,5 @@ from ledgerlake.plans.queries import (  # noqa: F401
     drift,
     observability,
     scalars,
+    sources,
 )
