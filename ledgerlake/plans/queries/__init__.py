@@ -10,4 +10,5 @@ from ledgerlake.plans.queries import (  # noqa: F401
     observability,
     scalars,
     sources,
+    streaming,
 )
