@@ -424,3 +424,80 @@ def severity(results: DataFrame, error_checks: list[str], error_above: float) ->
             .when(F.col("check").isin(*error_checks), "ERROR")
             .when(F.col("observed") > error_above, "ERROR").otherwise("WARN"))
     return results.select("check", "column", "observed", "status", sev.alias("severity"))
+
+
+# PII value patterns (email, payment card, phone) and the
+# column-name hints of a PII column.
+PII_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
+    "card": r"(^|[^0-9])([0-9]{13,16}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{1,4})([^0-9]|$)",
+    "phone": r"\+[0-9]{1,3} ?\(?[0-9]{3}\)?[ -]?[0-9]{3}-[0-9]{4}",
+}
+PII_NAME_HINTS = r"(?i)(email|phone|card|ssn|name)"
+
+
+def pii_columns(df: DataFrame, table: str) -> DataFrame:
+    """DQ35: per string column, rows whose value matches each PII pattern and
+    their share — one aggregate over the table (whole texts), then unpivoted."""
+    cols = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    names = []
+    for c in cols:
+        for p, rx in PII_PATTERNS.items():
+            n = f"{c}__{p}"
+            aggs.append(F.count_if(F.col(c).rlike(rx)).cast("bigint").alias(n))
+            names.append(n)
+    long = df.agg(*aggs).unpivot(["_rows"], names, "key", "matching_rows")
+    parts = F.split("key", "__")
+    return long.select(F.lit(table).alias("table_name"), parts[0].alias("column_name"), parts[1].alias("pii_type"),
+                       "matching_rows", round2(F.col("matching_rows") * 100.0 / F.col("_rows"), 4).alias("share_pct"),
+                       parts[0].rlike(PII_NAME_HINTS).alias("name_hint"))
+
+
+def table_catalog(tables: dict[str, DataFrame]) -> DataFrame:
+    """DQ36: table, column, type, nullable and row count of every table —
+    the schema from the catalog, the count from one aggregate per table,
+    all tables in one union (one job)."""
+    out = None
+    for name, df in tables.items():
+        cols = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("type"),
+                                  F.lit(f.nullable).alias("nullable")) for f in df.schema.fields])
+        part = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"),
+                                                                    F.inline(cols), "row_count")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def layer_lineage(bronze: DataFrame, enr: DataFrame) -> DataFrame:
+    """DQ37: rows in / out / dropped for each layer edge, from one aggregate
+    per layer (no count() job per edge)."""
+    valid = F.col("transaction_id").isNotNull() & (F.col("amount") >= 0)
+    b = bronze.agg(F.count(F.lit(1)).alias("b_rows"), F.count_distinct(F.when(valid, F.col("transaction_id")))
+                   .alias("s_rows"))
+    e = enr.agg(F.count(F.lit(1)).alias("e_rows"),
+                F.count_distinct("merchant_id", "merchant_name", "category", "city", "transaction_date").alias("g_merch"),
+                F.count_distinct("transaction_date").alias("g_daily"),
+                F.count_distinct(F.when(F.col("status") == "COMPLETED", F.col("customer_id"))).alias("g_ltv"))
+    row = b.select("b_rows", "s_rows", e.select("e_rows").scalar().alias("e_rows"),
+                   e.select("g_merch").scalar().alias("g_merch"), e.select("g_daily").scalar().alias("g_daily"),
+                   e.select("g_ltv").scalar().alias("g_ltv"))
+
+    def edge(name, i, o):
+        return F.struct(F.lit(name).alias("edge"), F.col(i).alias("rows_in"), F.col(o).alias("rows_out"),
+                        (F.col(i) - F.col(o)).alias("dropped"))
+    return row.select(F.inline(F.array(edge("bronze->silver", "b_rows", "s_rows"),
+                                       edge("silver->enriched", "s_rows", "e_rows"),
+                                       edge("enriched->gold.merchant_performance", "e_rows", "g_merch"),
+                                       edge("enriched->gold.daily_summary", "e_rows", "g_daily"),
+                                       edge("enriched->gold.customer_ltv", "e_rows", "g_ltv"))))
+
+
+def run_anomaly(runs: DataFrame, metric: str, date_col: str, tolerance: float) -> DataFrame:
+    """DQ38: each run's metric vs the mean of all previous runs; anomalous
+    when it deviates by more than ``tolerance`` (a share). The window runs on
+    the per-run frame (one row per run), never on raw rows."""
+    from pyspark.sql.window import Window as W
+    prev = W.orderBy(date_col).rowsBetween(W.unboundedPreceding, -1)
+    m = F.avg(metric).over(prev)
+    return runs.select(date_col, metric, round2(m, 2).alias("prev_mean"),
+                       F.coalesce(F.abs(F.col(metric) - m) > F.lit(tolerance) * m, F.lit(False)).alias("anomaly"))

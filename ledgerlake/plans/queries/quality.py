@@ -542,3 +542,96 @@ def dq_severity(t):
     rows) or WARN; passing ones OK."""
     res = Q.run_suite(FR.enr_frame(t), GE_SUITE)
     return Q.severity(res, ["expect_column_values_to_be_unique", "expect_column_values_to_not_be_null"], 100)
+
+
+# ---- DQ32, DQ35-DQ38 ----
+
+FLAGGED_AT = dt.datetime(2001, 8, 1, 9, 0, 0)
+
+
+@query("flag_merchants", f"""
+SELECT merchant_id, 'count >= 2 and mean amount below 50000' AS reason, TIMESTAMP '{FLAGGED_AT}' AS flagged_at
+FROM enr GROUP BY merchant_id HAVING COUNT(*) >= 2 AND AVG(amount) < 50000""")
+def flag_merchants(t):
+    """DQ32: merchants flagged by the suspicious-average rule (A26) written with
+    a reason and time as JSON to the shared folder, read back."""
+    from ledgerlake.plans.queries.aggregates import SUSPICIOUS_MAX_AVG, SUSPICIOUS_MIN_TXNS
+    from ledgerlake.session import scratch_path
+    sus = A.suspicious_merchants(FR.enr_frame(t), SUSPICIOUS_MIN_TXNS, SUSPICIOUS_MAX_AVG)
+    out = sus.select("merchant_id", F.lit(f"count >= {SUSPICIOUS_MIN_TXNS} and mean amount below {SUSPICIOUS_MAX_AVG}")
+                     .alias("reason"), F.lit(FLAGGED_AT).cast("timestamp_ntz").alias("flagged_at"))
+    path = scratch_path(t.spark, "flagged_merchants")
+    out.coalesce(1).write.mode("overwrite").json(path)
+    return t.spark.read.schema("merchant_id bigint, reason string, flagged_at timestamp_ntz").json(path)
+
+
+def _pii_sql(table, cols):
+    parts = []
+    for c in cols:
+        for p, rx in Q.PII_PATTERNS.items():
+            parts.append(f"SELECT '{table}' AS table_name, '{c}' AS column_name, '{p}' AS pii_type, "
+                         f"COUNT(*) FILTER (WHERE regexp_matches({c}, '{rx}')) AS matching_rows, "
+                         f"{round_sql(f'COUNT(*) FILTER (WHERE regexp_matches({c}, {chr(39)}{rx}{chr(39)})) * 100.0 / COUNT(*)', 4)} AS share_pct, "
+                         f"regexp_matches('{c}', '{Q.PII_NAME_HINTS}') AS name_hint FROM {table}")
+    return " UNION ALL ".join(parts)
+
+
+@query("pii_columns", _pii_sql("documents", ["text", "lang", "source"]) + " UNION ALL "
+       + _pii_sql("customer", ["c_name", "c_mktsegment"]), frames=False)
+def pii_columns(t):
+    """DQ35: per string column of documents and customer, rows matching each
+    PII pattern (email, card, phone) over whole texts, their share, and a
+    column-name hint."""
+    return Q.pii_columns(t.documents, "documents").unionByName(Q.pii_columns(t.customer, "customer"))
+
+
+CATALOG_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
+                  "benchmark labels conversations").split()
+_TYPE_SQL = """CASE c.data_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+  WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>'
+  ELSE lower(c.data_type) END"""
+
+
+@query("table_catalog", f"""
+WITH n AS ({' UNION ALL '.join(f"SELECT '{x}' AS table_name, COUNT(*) AS row_count FROM {x}" for x in CATALOG_TABLES)})
+SELECT c.table_name, c.column_name, {_TYPE_SQL} AS type, c.is_nullable = 'YES' AS nullable, n.row_count
+FROM information_schema.columns c JOIN n ON c.table_name = n.table_name""", frames=False)
+def table_catalog(t):
+    """DQ36: table, column, type, nullable, row count for every driver table."""
+    return Q.table_catalog({n: t.read(n) for n in CATALOG_TABLES})
+
+
+@query("layer_lineage", """
+WITH b AS (SELECT COUNT(*) AS b_rows, COUNT(DISTINCT transaction_id) FILTER (WHERE amount >= 0) AS s_rows FROM bronze),
+e AS (SELECT COUNT(*) AS e_rows,
+             (SELECT COUNT(*) FROM (SELECT DISTINCT merchant_id, merchant_name, category, city, transaction_date FROM enr
+                                    WHERE merchant_id IS NOT NULL AND merchant_name IS NOT NULL AND category IS NOT NULL
+                                      AND city IS NOT NULL AND transaction_date IS NOT NULL) x) AS g_merch,
+             COUNT(DISTINCT transaction_date) AS g_daily,
+             COUNT(DISTINCT customer_id) FILTER (WHERE status = 'COMPLETED') AS g_ltv FROM enr)
+SELECT 'bronze->silver' AS edge, b_rows AS rows_in, s_rows AS rows_out, b_rows - s_rows AS dropped FROM b
+UNION ALL SELECT 'silver->enriched', s_rows, e_rows, s_rows - e_rows FROM b, e
+UNION ALL SELECT 'enriched->gold.merchant_performance', e_rows, g_merch, e_rows - g_merch FROM e
+UNION ALL SELECT 'enriched->gold.daily_summary', e_rows, g_daily, e_rows - g_daily FROM e
+UNION ALL SELECT 'enriched->gold.customer_ltv', e_rows, g_ltv, e_rows - g_ltv FROM e""")
+def layer_lineage(t):
+    """DQ37: rows in / out / dropped for each layer edge."""
+    return Q.layer_lineage(FR.bronze_frame(t), FR.enr_frame(t))
+
+
+ANOMALY_TOLERANCE = 0.5
+
+
+@query("run_anomaly", f"""
+WITH r AS (SELECT transaction_date AS run_date, COUNT(*) AS input_rows FROM bronze GROUP BY 1)
+SELECT run_date, input_rows,
+       {round_sql('AVG(input_rows) OVER (ORDER BY run_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)', 2)} AS prev_mean,
+       COALESCE(ABS(input_rows - AVG(input_rows) OVER (ORDER BY run_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+                > {ANOMALY_TOLERANCE} * AVG(input_rows) OVER (ORDER BY run_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                FALSE) AS anomaly
+FROM r""")
+def run_anomaly(t):
+    """DQ38: each daily run's input rows vs the mean of the previous runs."""
+    runs = FR.bronze_frame(t).groupBy(F.col("transaction_date").alias("run_date")).agg(
+        F.count(F.lit(1)).alias("input_rows"))
+    return Q.run_anomaly(runs, "input_rows", "run_date", ANOMALY_TOLERANCE)
