@@ -183,3 +183,10 @@ def mart_merchant_kpis(enr: DataFrame) -> DataFrame:
                     F.count_distinct("customer_id").alias("unique_customers"),
                     F.min("transaction_date").alias("first_transaction_date"),
                     F.max("transaction_date").alias("last_transaction_date")))
+
+
+def avg_amount_by_merchant(df: DataFrame, positive_only: bool = True) -> DataFrame:
+    """Count and mean amount per merchant (positive amounts only by default)."""
+    if positive_only:
+        df = df.where(F.col("amount") > 0)
+    return df.groupBy("merchant_id").agg(F.count(F.lit(1)).alias("n"), round2(F.avg("amount")).alias("avg_amount"))

@@ -213,17 +213,26 @@ def layer_profile(df: DataFrame, statuses: list[str]) -> DataFrame:
 
 
 def categorical_drift(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
-    """DQ16: per column, do the value sets differ (U2), plus the drifted share
-    (drifted / compared) and a dataset flag when more than half drifted."""
+    """DQ16: per shared column, do the distinct value sets of A and B differ.
+
+    Only string columns are tested (compared by Spark ``StringType``, X18);
+    numeric and date columns count as compared but never drift. The share is
+    drifted / compared (2 dp) and the dataset drifts when any column does."""
     from pyspark.sql.window import Window as W
 
     from ledgerlake.operators.sets import distinct_value_diff
-    d = distinct_value_diff(a, b, columns).select("column_name", "drifted")
+    types = dict(a.dtypes)
+    strings = [c for c in columns if types.get(c) == "string"]
+    others = [c for c in columns if c not in strings]
+    d = distinct_value_diff(a, b, strings).select("column_name", "drifted") if strings else None
+    if others:
+        rest = a.sparkSession.createDataFrame([(c, False) for c in others], "column_name string, drifted boolean")
+        d = rest if d is None else d.unionByName(rest)
     allw = W.partitionBy()  # over the handful of per-column rows only
     nd = F.count_if(F.col("drifted")).over(allw)
     n = F.count(F.lit(1)).over(allw)
     return d.select("column_name", "drifted", nd.cast("bigint").alias("drifted_columns"), n.alias("compared_columns"),
-                    round2(nd / n, 4).alias("drift_share"), (nd * 2 > n).alias("dataset_drift"))
+                    round2(nd / n, 2).alias("drift_share"), (nd > 0).alias("dataset_drift"))
 
 
 def scorecard(df: DataFrame, columns: list[str], key: str, run_date) -> DataFrame:

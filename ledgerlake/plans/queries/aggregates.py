@@ -291,8 +291,7 @@ SELECT merchant_id, COUNT(*) AS n, {round_sql('AVG(amount)')} AS avg_amount
 FROM bronze WHERE amount > 0 GROUP BY merchant_id""")
 def avg_amount_by_merchant(t):
     """Mean of positive amounts per merchant on raw Bronze."""
-    return (FR.bronze_frame(t).where(F.col("amount") > 0).groupBy("merchant_id")
-            .agg(F.count(F.lit(1)).alias("n"), round2(F.avg("amount")).alias("avg_amount")))
+    return A.avg_amount_by_merchant(FR.bronze_frame(t))
 
 
 @query("merchant_summary_full", f"""
