@@ -67,7 +67,8 @@ def query_log(orders: DataFrame, conversations: DataFrame) -> DataFrame:
             .when(form == 1, F.concat(F.lit("Here you go: ```\nselect * from DIM_MERCHANT where merchant_id = "),
                                       cs, F.lit("\n``` done")))
             .when(form == 2, F.concat(F.lit("SELECT "), ks, F.lit("; DROP TABLE FACT_TRANSACTIONS")))
-            .when(form == 3, F.concat(F.lit("DELETE FROM FACT_TRANSACTIONS WHERE TRANSACTION_ID = "), ks))
+            .when(form == 3, F.concat(F.lit("```sql\nDELETE FROM FACT_TRANSACTIONS WHERE TRANSACTION_ID = "), ks,
+                                      F.lit("\n```")))
             .when(form == 4, F.concat(F.lit("SELECT * FROM ORDERS_"), F.col("o_orderpriority"),
                                       F.lit(" WHERE ID = "), ks))
             .otherwise(F.concat(F.lit("  select amount from fact_transactions where status = 'DROPPED' and id = "),

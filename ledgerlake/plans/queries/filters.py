@@ -66,13 +66,13 @@ def silver_row_filter(t):
 @query("status_filter", "SELECT * FROM ord WHERE status = 'FAILED'")
 def status_filter(t):
     """Equality filter."""
-    return FR.ord_frame(t).where(F.col("status") == "FAILED")
+    return FR.ord_frame(t, statuses=["FAILED"])
 
 
 @query("status_in_filter", "SELECT * FROM ord WHERE status IN ('COMPLETED', 'FAILED')")
 def status_in_filter(t):
     """P5: ``status IN (...)``."""
-    return FR.ord_frame(t).where(F.col("status").isin("COMPLETED", "FAILED"))
+    return FR.ord_frame(t, statuses=["COMPLETED", "FAILED"])
 
 
 @query("exclude_test_prefix", f"""
@@ -85,7 +85,7 @@ def exclude_test_prefix(t):
 @query("cutoff_after", f"SELECT * FROM ord WHERE transaction_date > DATE '{CUTOFF}'")
 def cutoff_after(t):
     """Strictly after the cutoff date (the boundary day is excluded)."""
-    return P.after_cutoff(FR.ord_frame(t), "transaction_date", CUTOFF)
+    return P.after_cutoff(FR.ord_frame(t, after=CUTOFF), "transaction_date", CUTOFF)
 
 
 @query("date_range_filter", f"""
@@ -93,7 +93,9 @@ SELECT *, CAST(DATE_TRUNC('month', transaction_date) AS DATE) AS month
 FROM ord WHERE transaction_date BETWEEN DATE_TRUNC('year', DATE '{ANCHOR}') AND DATE '{ANCHOR}'""")
 def date_range_filter(t):
     """Year-to-date rows (year start .. anchor), each tagged with its half-open month window."""
-    return P.year_to_date(FR.ord_frame(t), "transaction_date", ANCHOR)
+    year_start = dt.date(ANCHOR.year, 1, 1)
+    return P.year_to_date(FR.ord_frame(t, after=year_start - dt.timedelta(days=1), until=ANCHOR),
+                          "transaction_date", ANCHOR)
 
 
 @query("param_category_lookup", f"SELECT merchant_id, merchant_name FROM merch WHERE category = '{CATEGORY}'")
@@ -134,7 +136,7 @@ LOG_SQL = """(SELECT 'orders' AS source, o_orderkey AS entry_id, CAST(0 AS BIGIN
         WHEN o_orderkey % 6 = 0 THEN '```sql' || chr(10) || 'SELECT COUNT(*) FROM FACT_TRANSACTIONS WHERE CUSTOMER_ID = ' || CAST(o_custkey AS VARCHAR) || chr(10) || '```'
         WHEN o_orderkey % 6 = 1 THEN 'Here you go: ```' || chr(10) || 'select * from DIM_MERCHANT where merchant_id = ' || CAST(o_custkey AS VARCHAR) || chr(10) || '``` done'
         WHEN o_orderkey % 6 = 2 THEN 'SELECT ' || CAST(o_orderkey AS VARCHAR) || '; DROP TABLE FACT_TRANSACTIONS'
-        WHEN o_orderkey % 6 = 3 THEN 'DELETE FROM FACT_TRANSACTIONS WHERE TRANSACTION_ID = ' || CAST(o_orderkey AS VARCHAR)
+        WHEN o_orderkey % 6 = 3 THEN '```sql' || chr(10) || 'DELETE FROM FACT_TRANSACTIONS WHERE TRANSACTION_ID = ' || CAST(o_orderkey AS VARCHAR) || chr(10) || '```'
         WHEN o_orderkey % 6 = 4 THEN 'SELECT * FROM ORDERS_' || o_orderpriority || ' WHERE ID = ' || CAST(o_orderkey AS VARCHAR)
         ELSE '  select amount from fact_transactions where status = ''DROPPED'' and id = ' || CAST(o_orderkey AS VARCHAR) || chr(10) END AS text
  FROM orders
