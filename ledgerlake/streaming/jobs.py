@@ -14,18 +14,12 @@ from pyspark.sql import functions as F
 from ledgerlake.session import scratch_path
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-# Arrival slices of the event stream (day-of-month ranges), each landing as one file.
-SLICES = [(1, 7), (8, 15), (16, 23), (24, 31)]
-
-
-def land_event_files(events: DataFrame, path: str, replay: bool = False) -> str:
-    """Write the events as one file per arrival slice (and, with ``replay``,
-    each slice a second time right after it — an at-least-once producer)."""
-    for lo, hi in SLICES:
-        s = events.where(F.dayofmonth("ts").between(lo, hi))
-        copies = 2 if replay else 1
-        for _ in range(copies):
-            s.coalesce(1).write.mode("append").parquet(path)
+
+
+def land_event_files(events: DataFrame, path: str) -> str:
+    """Land the event table in the arrival folder (the producer side), with
+    the table's own parallelism — appended, as a producer adds files."""
+    events.write.mode("append").parquet(path)
     return path
 
 
@@ -53,8 +47,9 @@ def stream_bronze_ingest(spark: SparkSession, src: str, sink: str, checkpoint: s
 
 def stream_dedup(spark: SparkSession, src: str, sink: str, checkpoint: str, lateness: str = "1 hour") -> DataFrame:
     """R2: drop repeated event ids that arrive within the lateness bound;
-    dedup state per id is released once the watermark passes it."""
-    s = (_stream(spark, src, files_per_trigger=2)
+    dedup state per id is released once the watermark passes it, and copies
+    arriving later than the bound are dropped as late data."""
+    s = (_stream(spark, src)
          .withColumn("event_time", F.col("ts").cast("timestamp"))
          .withWatermark("event_time", lateness)
          .dropDuplicatesWithinWatermark(["event_id"]))
@@ -68,7 +63,7 @@ def stream_failure_rate(spark: SparkSession, src: str, sink: str, checkpoint: st
                         window: str = "1 hour", lateness: str = "1 hour") -> DataFrame:
     """Tumbling-window error rate, append mode: a window is emitted once
     the watermark passes its end, and its state is dropped."""
-    s = (_stream(spark, src, files_per_trigger=1)
+    s = (_stream(spark, src)
          .withColumn("event_time", F.col("ts").cast("timestamp"))
          .withWatermark("event_time", lateness)
          .groupBy(F.window("event_time", window).alias("w"))
@@ -92,7 +87,7 @@ def stream_silver_upsert(spark: SparkSession, src: str, target: str, checkpoint:
         insert_if_absent(batch, target, "event_id", [F.col("ts"), F.col("event_type"), F.col("value")],
                          first_load=first)
 
-    q = (_stream(spark, src, files_per_trigger=1).writeStream.foreachBatch(upsert)
+    q = (_stream(spark, src).writeStream.foreachBatch(upsert)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _run(q)
     return spark.read.parquet(target)
