@@ -8,13 +8,23 @@ from pyspark.sql import functions as F
 from ledgerlake.session import BROADCAST_ROW_LIMIT
 
 
+_BOUND_CACHE: dict[tuple, bool] = {}
+
+
 def is_bounded(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     ``limit(n + 1).count()`` stops reading as soon as the bound is passed, so
-    the probe of a huge side costs at most ``max_rows + 1`` rows.
+    the probe of a huge side costs at most ``max_rows + 1`` rows. The answer
+    is remembered per (plan, input files) for the life of the process, so a
+    dimension probed by many queries is counted once.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    hit = _BOUND_CACHE.get(key)
+    if hit is None:
+        hit = df.limit(max_rows + 1).count() <= max_rows
+        _BOUND_CACHE[key] = hit
+    return hit
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
