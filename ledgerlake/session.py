@@ -8,6 +8,7 @@ partition overwrite so a re-run replaces only the partitions it writes.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -80,3 +81,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/ledgerlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextlib.contextmanager
+def sql_conf(spark: SparkSession, **conf):
+    """Temporarily set SQL confs (dots written as ``__``) around an action."""
+    keys = {k.replace("__", "."): str(v) for k, v in conf.items()}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -49,9 +49,13 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str =
     rows is not written by a single task. Overwrite is *dynamic*: only the
     partitions present in ``df`` are replaced (X2).
     """
-    (df.hint("rebalance", partition_col)
-       .write.mode(mode).option("partitionOverwriteMode", "dynamic")
-       .partitionBy(partition_col).parquet(path))
+    from ledgerlake.session import sql_conf
+    # Small shuffles keep several writers (AQE would otherwise coalesce a
+    # tiny table into one task writing every date's file in turn).
+    with sql_conf(df.sparkSession, spark__sql__adaptive__coalescePartitions__minPartitionSize="64KB"):
+        (df.hint("rebalance", partition_col)
+           .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+           .partitionBy(partition_col).parquet(path))
     return path
 
 
