@@ -58,7 +58,7 @@ def daily_rows(df: DataFrame, date_col: str = "transaction_date") -> DataFrame:
 
 def row_count_slo(daily: DataFrame, lo: int, hi: int, buffer_pct: float) -> DataFrame:
     """O3: per day, rows within [lo, hi] widened by the buffer %."""
-    blo, bhi = lo * (1 - buffer_pct / 100), hi * (1 + buffer_pct / 100)
+    blo, bhi = round(lo * (1 - buffer_pct / 100), 6), round(hi * (1 + buffer_pct / 100), 6)
     r = F.col("rows")
     return daily.select("day", "rows", F.lit(blo).alias("min_allowed"), F.lit(bhi).alias("max_allowed"),
                         ((r >= blo) & (r <= bhi)).alias("within"))

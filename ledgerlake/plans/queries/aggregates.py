@@ -228,7 +228,7 @@ def perf(t):
 
 
 @query("category_revenue", f"""
-SELECT category, {round_sql('SUM(total_revenue)')} AS total_rev, SUM(txn_count) AS total_txns,
+SELECT category, {round_sql('SUM(total_revenue)')} AS total_rev, CAST(SUM(txn_count) AS BIGINT) AS total_txns,
        {round_sql('AVG(total_revenue)')} AS avg_rev_per_merchant
 FROM {PERF_SQL} p GROUP BY category""")
 def category_revenue(t):
@@ -245,7 +245,7 @@ DAILY_SQL = f"""(SELECT transaction_date AS report_date, {REV_SQL} AS total_reve
 
 
 @query("gold_kpi_summary", f"""
-SELECT {round_sql('SUM(total_revenue)')} AS total_rev, SUM(total_txns) AS total_txns,
+SELECT {round_sql('SUM(total_revenue)')} AS total_rev, CAST(SUM(total_txns) AS BIGINT) AS total_txns,
        {round_sql('AVG(failure_rate_pct)')} AS avg_fail_pct,
        MIN(total_revenue) AS min_day_rev, MAX(total_revenue) AS max_day_rev
 FROM {DAILY_SQL} d""")
@@ -445,7 +445,7 @@ def marketing_attribution(t):
 
 
 @query("rfm_churn", f"""
-SELECT customer_id, DATE_DIFF('day', MAX(transaction_date), DATE '{ANCHOR}') AS recency_days,
+SELECT customer_id, CAST(DATE_DIFF('day', MAX(transaction_date), DATE '{ANCHOR}') AS INTEGER) AS recency_days,
        COUNT(*) AS frequency, {REV_SQL} AS monetary,
        DATE_DIFF('day', MAX(transaction_date), DATE '{ANCHOR}') > {CHURN_DAYS} AS at_risk
 FROM enr GROUP BY customer_id""")

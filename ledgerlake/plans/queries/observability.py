@@ -45,7 +45,7 @@ QUALITY_SQL = f"""(SELECT COUNT(*) AS rows,
 
 
 @query("slo_quality_pct", f"""
-SELECT rows, good_rows, {pct_sql('good_rows', 'rows')} AS quality_pct, {S['quality_pct']} AS threshold_pct,
+SELECT rows, good_rows, {pct_sql('good_rows', 'rows')} AS quality_pct, CAST({S['quality_pct']} AS DOUBLE) AS threshold_pct,
        {pct_sql('good_rows', 'rows')} >= {S['quality_pct']} AS met
 FROM {QUALITY_SQL} q""")
 def slo_quality_pct(t):
@@ -53,13 +53,13 @@ def slo_quality_pct(t):
     return O.quality_pct(FR.bronze_frame(t), FR.merch_frame(t), S["quality_pct"])
 
 
-BLO = S["row_min"] * (1 - S["row_buffer_pct"] / 100)
-BHI = S["row_max"] * (1 + S["row_buffer_pct"] / 100)
+BLO = round(S["row_min"] * (1 - S["row_buffer_pct"] / 100), 6)
+BHI = round(S["row_max"] * (1 + S["row_buffer_pct"] / 100), 6)
 DAILY_ROWS_SQL = "(SELECT transaction_date AS day, COUNT(*) AS rows FROM silver GROUP BY 1)"
 
 
 @query("slo_row_count", f"""
-SELECT day, rows, {BLO} AS min_allowed, {BHI} AS max_allowed, rows >= {BLO} AND rows <= {BHI} AS within
+SELECT day, rows, CAST({BLO} AS DOUBLE) AS min_allowed, CAST({BHI} AS DOUBLE) AS max_allowed, rows >= {BLO} AND rows <= {BHI} AS within
 FROM {DAILY_ROWS_SQL} d""")
 def slo_row_count(t):
     """O3: per day, Silver rows within [17, 25] widened by the 20 % buffer."""
@@ -302,8 +302,8 @@ def issue_counts_by_severity(t):
 
 
 @query("span_counts", """
-SELECT role AS kind, COUNT(*) AS spans, SUM(length(text)) AS total_chars,
-       SUM(CASE WHEN length(trim(text)) > 0 THEN len(regexp_split_to_array(trim(text), '\\s+')) ELSE 0 END) AS total_words
+SELECT role AS kind, COUNT(*) AS spans, CAST(SUM(length(text)) AS BIGINT) AS total_chars,
+       CAST(SUM(CASE WHEN length(trim(text)) > 0 THEN len(regexp_split_to_array(trim(text), '\\s+')) ELSE 0 END) AS BIGINT) AS total_words
 FROM conversations GROUP BY role""", frames=False)
 def span_counts(t):
     """Spans per kind (conversation role = span kind) with size totals."""

@@ -353,7 +353,7 @@ def dirty_classification(t):
 @query("failure_gate", f"""
 SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE transaction_id IS NULL OR amount < 0) AS failed_rows,
        {pct_sql('COUNT(*) FILTER (WHERE transaction_id IS NULL OR amount < 0)', 'COUNT(*)')} AS failed_pct,
-       {FAILURE_GATE} AS threshold_pct,
+       CAST({FAILURE_GATE} AS DOUBLE) AS threshold_pct,
        CASE WHEN {pct_sql('COUNT(*) FILTER (WHERE transaction_id IS NULL OR amount < 0)', 'COUNT(*)')} > {FAILURE_GATE}
             THEN 'HALT' ELSE 'PROCEED' END AS decision
 FROM bronze""")

@@ -102,7 +102,7 @@ def scalar_f7(t):
 
 
 @query("scalar_f8", f"""
-SELECT transaction_id, DATE_DIFF('day', transaction_date, DATE '{ANCHOR}') AS days_to_anchor FROM ord""")
+SELECT transaction_id, CAST(DATE_DIFF('day', transaction_date, DATE '{ANCHOR}') AS INTEGER) AS days_to_anchor FROM ord""")
 def scalar_f8(t):
     """F8: day difference to the anchor."""
     return FR.ord_frame(t).select("transaction_id", F.date_diff(F.lit(ANCHOR), "transaction_date").alias("days_to_anchor"))
@@ -157,7 +157,7 @@ def scalar_f13(t):
 @query("scalar_f14", """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k_path,
        CAST(json_extract(props, '$.k') AS INTEGER) AS k_parsed,
-       to_json({'event_id': event_id, 'event_type': event_type}) AS record
+       CAST(to_json({'event_id': event_id, 'event_type': event_type}) AS VARCHAR) AS record
 FROM events""", frames=False)
 def scalar_f14(t):
     """JSON decode (path and schema) and encode of a record."""

@@ -71,7 +71,7 @@ def surge_vs_other_days(t):
 
 
 @query("rank_merchants", f"""
-SELECT merchant_id, merchant_name, total_revenue, RANK() OVER (ORDER BY total_revenue DESC) AS revenue_rank
+SELECT merchant_id, merchant_name, total_revenue, CAST(RANK() OVER (ORDER BY total_revenue DESC) AS INTEGER) AS revenue_rank
 FROM {PERF_SQL} p""")
 def rank_merchants(t):
     """Merchants ranked by revenue."""

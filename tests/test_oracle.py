@@ -13,7 +13,7 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
-from oracle_check import canon, duck  # noqa: E402
+from oracle_check import canon, duck, duck_type  # noqa: E402
 
 from ledgerlake.plans.catalog import load_all  # noqa: E402
 
@@ -40,5 +40,7 @@ def test_matches_oracle(spark, con, key):
     cur = con.execute(q.sql)
     dc, dr = canon([d[0] for d in cur.description], cur.fetchall())
     assert sc == dc
+    rel = con.sql(q.sql)
+    assert dict(df.dtypes) == dict(zip(rel.columns, [duck_type(x) for x in rel.types]))
     assert len(sr) == len(dr)
     assert sr == dr

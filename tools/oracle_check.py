@@ -60,6 +60,18 @@ def canon(cols, rows):
     return [cols[i] for i in order], out
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date",
+                 "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean", "FLOAT": "float", "SMALLINT": "smallint",
+                 "TINYINT": "tinyint", "FLOAT[]": "array<float>", "VARCHAR[]": "array<string>"}
+
+
+def duck_type(t: str) -> str:
+    t = str(t)
+    if t.startswith("DECIMAL"):
+        return t.lower().replace(" ", "")
+    return DUCK_TO_SPARK.get(t, t)
+
+
 def duck(sf_dir: str):
     con = duckdb.connect()
     for n in TABLE_NAMES:
@@ -97,6 +109,12 @@ def main(argv=None):
             cur = con.execute(q.sql)
             dcols = [d[0] for d in cur.description]
             drows = cur.fetchall()
+            rel = con.sql(q.sql)
+            dtypes = dict(zip(rel.columns, [duck_type(x) for x in rel.types]))
+            stypes = dict(df.dtypes)
+            tdiff = {c: (stypes.get(c), dtypes.get(c)) for c in dtypes if stypes.get(c) != dtypes.get(c)}
+            if tdiff:
+                print(f"TYPES    {k}: {tdiff}")
         except Exception as e:  # noqa: BLE001
             bad += 1
             print(f"ERROR    {k}: duckdb {type(e).__name__}: {str(e)[:300]}")
