@@ -117,8 +117,10 @@ FROM {DAILY_SQL} gs JOIN enr e ON gs.report_date = e.transaction_date
 JOIN {PERF_SQL} gm ON e.merchant_id = gm.merchant_id""")
 def three_way_join(t):
     """Daily Gold ⋈ Silver ⋈ merchant Gold — every Silver row with its
-    day's totals and its merchant's total."""
-    enr = FR.enr_frame(t)
+    day's totals and its merchant's total. Enriched Silver feeds three
+    branches, so it is materialised once in the shared folder."""
+    from ledgerlake.session import materialize
+    enr = materialize(FR.enr_frame(t), "enr")
     gs = A.daily_summary(enr)
     gm = A.merchant_performance_total(enr).select(
         F.col("merchant_id").alias("gm_id"), "merchant_name", F.col("total_revenue").alias("merchant_total"))

@@ -475,8 +475,10 @@ def fraud_flags(t):
     """DQ29: severity by rule — future date (HIGH), amount > 1.5 × the
     merchant's mean (MEDIUM), failure of a customer with > 3 failures (LOW) —
     with a one-line reason. Means and failure counts are aggregates joined
-    back, not per-key windows."""
-    return Q.fraud_flags(FR.enr_frame(t), ANCHOR, FRAUD_K, REPEATED_FAILURES)
+    back, not per-key windows; enriched Silver (three branches) is
+    materialised once."""
+    from ledgerlake.session import materialize
+    return Q.fraud_flags(materialize(FR.enr_frame(t), "enr"), ANCHOR, FRAUD_K, REPEATED_FAILURES)
 
 
 @query("false_positive_count", f"""
@@ -489,7 +491,8 @@ WHERE e.amount > {FRAUD_K} * mm.m_avg""")
 def false_positive_count(t):
     """DQ30: distinct customers blocked by the amount rule at k = 1.5, and how
     many of them are legitimate (never had a FAILED transaction)."""
-    return Q.false_positives(FR.enr_frame(t), FRAUD_K)
+    from ledgerlake.session import materialize
+    return Q.false_positives(materialize(FR.enr_frame(t), "enr"), FRAUD_K)
 
 
 @query("unusual_merchants", f"""

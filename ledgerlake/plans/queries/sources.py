@@ -289,14 +289,22 @@ UNION ALL SELECT 'category_revenue', COUNT(DISTINCT category) FROM p
 UNION ALL SELECT 'sample_size_check', COUNT(*) FROM d
 UNION ALL SELECT 'day_merchant_anomaly', COUNT(*) FROM enr e JOIN p ON e.merchant_id = p.merchant_id""")
 def fact_check_pack(t):
-    """The six evidence queries run together; rows each returns."""
-    from ledgerlake.plans.queries import aggregates as QA, joins as QJ, quality as QQ, windows as QW  # noqa: F401
-    parts = {"revenue_trend": A.daily_summary(FR.enr_frame(t)).select("report_date", "total_revenue", "total_txns"),
-             "top_merchants": QA.perf(t),
-             "failure_rate": QA.failed_txn_backcalc(t),
-             "category_revenue": QA.category_revenue(t),
-             "sample_size_check": QQ.sample_reliability(t),
-             "day_merchant_anomaly": QJ.three_way_join(t)}
+    """The six evidence queries run together over one materialised
+    enriched Silver (as the reference runs them over the Silver/Gold tables);
+    rows each returns."""
+    from ledgerlake.session import materialize
+    enr = materialize(FR.enr_frame(t), "enr")
+    daily = A.daily_summary(enr)
+    perf = A.merchant_performance_total(enr)
+    gm = perf.select(F.col("merchant_id").alias("gm_id"), F.col("total_revenue").alias("merchant_total"))
+    e = enr.select("transaction_id", "transaction_date", F.col("merchant_id").alias("e_mid"))
+    parts = {"revenue_trend": daily.select("report_date", "total_revenue", "total_txns"),
+             "top_merchants": perf,
+             "failure_rate": perf.where(F.col("failure_rate_pct") > 0),
+             "category_revenue": perf.select("category").distinct(),
+             "sample_size_check": daily,
+             "day_merchant_anomaly": daily.join(e, daily.report_date == e.transaction_date)
+                                          .join(gm, F.col("e_mid") == gm.gm_id)}
     out = None
     for name, df in parts.items():
         c = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("query_name"), "rows")

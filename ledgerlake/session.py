@@ -98,3 +98,14 @@ def sql_conf(spark: SparkSession, **conf):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def materialize(df, name: str = "materialized"):
+    """Compute a frame once and cut its lineage: written as Parquet to a fresh
+    folder under the shared ``spark.checkpoint.dir`` and read back (survives
+    executor loss; never a machine-local checkpoint; later branches read only
+    the columns they need). Used when one query reads a costly frame in
+    several branches that Spark cannot reuse (their column pruning differs)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
