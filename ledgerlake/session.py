@@ -57,6 +57,11 @@ def apply_conf(spark: SparkSession) -> None:
     for k, v in SESSION_CONF.items():
         if k.startswith("spark.sql."):
             spark.conf.set(k, v)
+    # Listing a table with thousands of date partitions: one listing task per
+    # directory (the default) costs more than the listing; bound the tasks to
+    # the cluster's parallelism.
+    par = max(64, spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(min(par, 10000)))
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -50,9 +50,11 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str =
     partitions present in ``df`` are replaced (X2).
     """
     from ledgerlake.session import sql_conf
-    # Small shuffles keep several writers (AQE would otherwise coalesce a
-    # tiny table into one task writing every date's file in turn).
-    with sql_conf(df.sparkSession, spark__sql__adaptive__coalescePartitions__minPartitionSize="64KB"):
+    # Writers = shuffle partitions: AQE must not coalesce a small table with
+    # thousands of dates into one task writing every date's file in turn.
+    # (Splitting skewed partitions of the rebalance is a separate AQE rule
+    # and stays on.)
+    with sql_conf(df.sparkSession, spark__sql__adaptive__coalescePartitions__enabled="false"):
         (df.hint("rebalance", partition_col)
            .write.mode(mode).option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(path))
