@@ -113,19 +113,27 @@ def near_bounds(t):
 
 def measures(t):
     """One row of measures for the alert rules; every value is a scalar
-    subquery over the data (no join of one-row frames)."""
+    subquery over the data (no join of one-row frames). Enriched Silver feeds
+    three measures, so it is materialised once; both daily-count measures
+    come from one aggregate over the per-day counts."""
+    from ledgerlake.session import materialize
+    enr = materialize(FR.enr_frame(t), "enr")
     fresh = O.freshness(t.events, "ts", EVENTS_NOW, S["freshness_hours"])
     q = O.quality_pct(FR.bronze_frame(t), FR.merch_frame(t), S["quality_pct"]).select("quality_pct")
-    daily = O.daily_rows(FR.silver_frame(t))
-    oob = O.row_count_slo(daily, LO, HI, S["row_buffer_pct"]).agg(F.count_if(~F.col("within")))
+    daily = O.daily_rows(enr)
+    r = F.col("rows")
+    blo, bhi = BLO, BHI
+    near = (r >= LO) & (r <= HI) & ((r <= LO * (1 + NEAR / 100)) | (r >= HI * (1 - NEAR / 100)))
+    day_stats = daily.agg(F.count_if(~((r >= blo) & (r <= bhi))).alias("oob"), F.count_if(near).alias("near"))
     rt = O.runtime_slo(O.run_runtimes(t.events), S["runtime_minutes"]).agg(F.max("runtime_minutes"))
-    spikes = failure_rate_spike(t).agg(F.count(F.lit(1)))
+    perf = A.merchant_performance_total(enr)
+    spikes = perf.where(F.col("failure_rate_pct") > S["failure_rate_spike_pct"]).agg(F.count(F.lit(1)))
     newm = O.new_values(FR.ord_frame(t), "transaction_date", ["payment_method"], NEW_VALUE_CUTOFF).agg(F.count(F.lit(1)))
-    near = O.near_bounds(daily, LO, HI, NEAR).agg(F.count(F.lit(1)))
     return fresh.select(F.col("hours_since").alias("freshness_hours"), q.scalar().alias("quality_pct"),
-                        oob.scalar().alias("days_out_of_bounds"), rt.scalar().alias("max_runtime_minutes"),
+                        day_stats.select("oob").scalar().alias("days_out_of_bounds"),
+                        rt.scalar().alias("max_runtime_minutes"),
                         spikes.scalar().alias("spiking_merchants"), newm.scalar().alias("new_methods"),
-                        near.scalar().alias("days_near_bounds"))
+                        day_stats.select("near").scalar().alias("days_near_bounds"))
 
 
 MEASURES_SQL = f"""m AS (SELECT
