@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ledgerlake.functions.scalars import round2
-from ledgerlake.operators.joins import broadcast_if_bounded
 
 EPS = 0.0001          # probability floor inside PSI (empty bins)
 PSI_DRIFT = 0.2       # conventional "significant shift" threshold
@@ -58,7 +57,7 @@ def ks_exact(df: DataFrame, ref: str, col: str, bucket_width: float) -> DataFram
     offs = bt.select("bk", F.coalesce(F.sum("ba").over(ordered), F.lit(0)).alias("off_a"),
                      F.coalesce(F.sum("bb").over(ordered), F.lit(0)).alias("off_b"),
                      F.sum("ba").over(allw).alias("tot_a"), F.sum("bb").over(allw).alias("tot_b"))
-    j = v.join(broadcast_if_bounded(offs), "bk")
+    j = v.join(offs, "bk")          # one row per bucket; AQE broadcasts it from its runtime size
     run = W.partitionBy("bk").orderBy("x").rowsBetween(W.unboundedPreceding, W.currentRow)
     fa = (F.col("off_a") + F.sum("a").over(run)) / F.col("tot_a")
     fb = (F.col("off_b") + F.sum("b").over(run)) / F.col("tot_b")

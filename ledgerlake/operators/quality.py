@@ -256,9 +256,9 @@ def dirty_labels(bronze: DataFrame, merch: DataFrame, anchor) -> DataFrame:
     """DQ19: per-row array of labels. Duplicate ids come from a grouped count
     joined back (AQE splits a hot id); null ids never enter that group."""
     from ledgerlake.operators.joins import broadcast_if_bounded
-    dup = broadcast_if_bounded(
-        bronze.where(F.col("transaction_id").isNotNull()).groupBy(F.col("transaction_id").alias("_dk"))
-              .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_dk"))
+    # derived side: AQE broadcasts it from its real (runtime) size — no extra pass to probe it
+    dup = (bronze.where(F.col("transaction_id").isNotNull()).groupBy(F.col("transaction_id").alias("_dk"))
+                 .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_dk"))
     m = broadcast_if_bounded(merch.select(F.col("merchant_id").alias("_mk")))
     j = bronze.join(dup, bronze.transaction_id == dup._dk, "left").join(m, F.col("merchant_id") == m._mk, "left")
     labels = F.array_compact(F.array(
@@ -363,17 +363,15 @@ def realism(orders: DataFrame, split_date) -> DataFrame:
 
 
 def _merchant_means(enr: DataFrame) -> DataFrame:
-    from ledgerlake.operators.joins import broadcast_if_bounded
-    return broadcast_if_bounded(enr.groupBy(F.col("merchant_id").alias("_mm")).agg(F.avg("amount").alias("m_avg")))
+    """Per-merchant mean; a derived side, so AQE sizes the join at runtime."""
+    return enr.groupBy(F.col("merchant_id").alias("_mm")).agg(F.avg("amount").alias("m_avg"))
 
 
 def fraud_flags(enr: DataFrame, anchor, k: float, repeated: int) -> DataFrame:
     """DQ29: rule severities with a reason per flagged row."""
     mm = _merchant_means(enr)
-    from ledgerlake.operators.joins import broadcast_if_bounded
-    cf = broadcast_if_bounded(
-        enr.where(F.col("status") == "FAILED").groupBy(F.col("customer_id").alias("_cf"))
-           .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > repeated).select("_cf"))
+    cf = (enr.where(F.col("status") == "FAILED").groupBy(F.col("customer_id").alias("_cf"))
+             .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > repeated).select("_cf"))
     j = enr.join(mm, enr.merchant_id == mm._mm).join(cf, F.col("customer_id") == cf._cf, "left")
     fut = F.col("transaction_date") > F.lit(anchor)
     big = F.col("amount") > F.lit(k) * F.col("m_avg")
@@ -417,18 +415,18 @@ def incident_duplicates(bronze: DataFrame, key: str = "transaction_id") -> DataF
     (partial min), the global minimum of second positions, then two counts
     as uncorrelated scalar subqueries — no global row_number, nothing
     collected to the driver."""
-    from ledgerlake.operators.joins import broadcast_if_bounded
-    b = bronze.where(F.col(key).isNotNull()).select(key, F.struct(*SOURCE_ORDER).alias("pos"))
+    from ledgerlake.session import materialize
+    # the narrow (key, position) projection is read four times: computed once
+    b = materialize(bronze.where(F.col(key).isNotNull()).select(key, F.struct(*SOURCE_ORDER).alias("pos")), "positions")
     # only duplicated keys can crash the load: the join side is the duplicated keys alone
     first = (b.groupBy(F.col(key).alias("_k")).agg(F.min("pos").alias("p1"), F.count(F.lit(1)).alias("_n"))
               .where(F.col("_n") > 1).drop("_n"))
-    first = broadcast_if_bounded(first)
     second = (b.join(first, (b[key] == first._k) & (b.pos > first.p1))
                .groupBy(key).agg(F.min("pos").alias("p2")))
-    crash = second.orderBy("p2").limit(1)
+    crash = materialize(second.orderBy("p2").limit(1), "crash")
     crash_key = crash.select(key).scalar()
     crash_pos = crash.select("p2").scalar()
-    occurrences = bronze.where(F.col(key) == crash_key).agg(F.count(F.lit(1))).scalar()
+    occurrences = b.where(F.col(key) == crash_key).agg(F.count(F.lit(1))).scalar()
     before = b.where(F.col("pos") < crash_pos).agg(F.count(F.lit(1))).scalar()
     return crash.select(F.col(key).alias("crash_key"), occurrences.alias("occurrences"),
                         before.alias("rows_loaded_before"))

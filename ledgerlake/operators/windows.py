@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ledgerlake.functions.scalars import MONEY, round2
-from ledgerlake.operators.joins import broadcast_if_bounded
 
 
 def first_per_key(df: DataFrame, key, order) -> DataFrame:
@@ -28,14 +27,15 @@ def partition_total(df: DataFrame, key: str, value: str, cond=None, out: str = "
     """``SUM(value) OVER (PARTITION BY key)`` on every row.
 
     Written as aggregate + join back: the aggregate is combined map-side, and
-    the join broadcasts the per-key totals when bounded, else shuffles with
-    AQE splitting a hot key's partition.
+    AQE broadcasts the per-key totals when their runtime size is small, else
+    keeps a shuffle join and splits a hot key's partition.
     """
     v = F.col(value).cast(MONEY)
     if cond is not None:
         v = F.when(cond, v)
+    # derived side: AQE broadcasts it when its runtime size is small, else
+    # keeps the shuffle join and splits a hot key's partition
     totals = df.groupBy(F.col(key).alias("_k")).agg(F.sum(v).alias(out))
-    totals = broadcast_if_bounded(totals)
     return df.join(totals, df[key].eqNullSafe(totals["_k"]), "left").drop("_k")
 
 
