@@ -99,17 +99,21 @@ def revenue_by(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(completed_revenue().alias("total_revenue"))
 
 
-def mart_merchant_performance(enr: DataFrame) -> DataFrame:
-    """The merchant mart over COMPLETED and FAILED rows only."""
-    f = enr.where(F.col("status").isin("COMPLETED", "FAILED"))
-    return (f.groupBy("merchant_id", "merchant_name", "category")
-             .agg(F.count(F.lit(1)).alias("total_transactions"),
-                  count_when(is_completed()).alias("completed_transactions"),
-                  count_when(is_failed()).alias("failed_transactions"),
-                  completed_revenue().alias("total_revenue"),
-                  round2(F.avg(F.when(is_completed(), F.col("amount").cast(MONEY)))).alias("avg_completed_value"),
-                  F.count_distinct("customer_id").alias("unique_customers"),
-                  failure_pct().alias("failure_rate_pct")))
+def mart_merchant_performance(silver: DataFrame, merch: DataFrame) -> DataFrame:
+    """The merchant mart — COMPLETED and FAILED rows aggregated per
+    merchant first, then inner-joined to the merchant dimension, so the join
+    sees one row per merchant instead of one per transaction."""
+    f = silver.where(F.col("status").isin("COMPLETED", "FAILED"))
+    agg = (f.groupBy("merchant_id")
+            .agg(F.count("transaction_id").alias("total_transactions"),
+                 count_when(is_completed()).alias("completed_transactions"),
+                 count_when(is_failed()).alias("failed_transactions"),
+                 completed_revenue().alias("total_revenue"),
+                 round2(F.avg(F.when(is_completed(), F.col("amount").cast(MONEY)))).alias("avg_completed_value"),
+                 F.count_distinct("customer_id").alias("unique_customers"),
+                 failure_pct().alias("failure_rate_pct")))
+    m = merch.select(F.col("merchant_id").alias("_mk"), "merchant_name", "category", "city")
+    return agg.join(m, agg.merchant_id == m._mk, "inner").drop("_mk")
 
 
 def category_revenue(perf: DataFrame) -> DataFrame:

@@ -189,18 +189,20 @@ def daily_summary(t):
 
 
 MART_SQL = f"""
-SELECT merchant_id, merchant_name, category, COUNT(*) AS total_transactions,
-       COUNT(*) FILTER (WHERE status = 'COMPLETED') AS completed_transactions,
-       {FAILED_SQL} AS failed_transactions, {REV_SQL} AS total_revenue,
-       {round_sql("AVG(CASE WHEN status = 'COMPLETED' THEN amount END)")} AS avg_completed_value,
-       COUNT(DISTINCT customer_id) AS unique_customers, {FAIL_SQL} AS failure_rate_pct
-FROM enr WHERE status IN ('COMPLETED', 'FAILED') GROUP BY 1, 2, 3"""
+WITH am AS (
+  SELECT merchant_id, COUNT(transaction_id) AS total_transactions,
+         COUNT(*) FILTER (WHERE status = 'COMPLETED') AS completed_transactions,
+         {FAILED_SQL} AS failed_transactions, {REV_SQL} AS total_revenue,
+         {round_sql("AVG(CASE WHEN status = 'COMPLETED' THEN amount END)")} AS avg_completed_value,
+         COUNT(DISTINCT customer_id) AS unique_customers, {FAIL_SQL} AS failure_rate_pct
+  FROM silver WHERE status IN ('COMPLETED', 'FAILED') GROUP BY merchant_id)
+SELECT am.*, md.merchant_name, md.category, md.city FROM am JOIN merch md ON am.merchant_id = md.merchant_id"""
 
 
 @query("mart_merchant_performance", MART_SQL)
 def mart_merchant_performance(t):
-    """The merchant mart (COMPLETED and FAILED rows)."""
-    return A.mart_merchant_performance(FR.enr_frame(t))
+    """The merchant mart (COMPLETED and FAILED rows), aggregated then joined to merchants."""
+    return A.mart_merchant_performance(FR.silver_frame(t).drop("rn"), FR.merch_frame(t))
 
 
 @query("merchant_daily_metrics", f"""
