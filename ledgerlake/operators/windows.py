@@ -41,15 +41,39 @@ def partition_total(df: DataFrame, key: str, value: str, cond=None, out: str = "
 
 def surge_vs_other_days(daily: DataFrame, date_col: str = "report_date", value: str = "total_revenue") -> DataFrame:
     """Each day's value against the mean of all *other* days:
-    ``(sum − self) / (n − 1)``, with the surge in % and the number of days."""
-    allw = W.partitionBy()
-    n = F.count(F.lit(1)).over(allw)
-    others = F.try_divide(F.sum(value).over(allw) - F.col(value), n - 1)
+    ``(sum − self) / (n − 1)``, with the surge in % and the number of days.
+    The total and the day count are global aggregates (scalar subqueries)."""
+    tot = daily.agg(F.sum(value).alias("s"), F.count(F.lit(1)).alias("n"))
+    s_all, n = tot.select("s").scalar(), tot.select("n").scalar()
+    others = F.try_divide(s_all - F.col(value), n - 1)
     return daily.select(date_col, value, n.alias("n_days"),
                         round2(others).alias("mean_other_days"),
                         round2(F.try_divide((F.col(value) - others) * 100, others)).alias("surge_pct"))
 
 
-def rank_by(df: DataFrame, value: str, out: str = "revenue_rank") -> DataFrame:
-    """``rank()`` over the whole (aggregated) frame, descending."""
-    return df.withColumn(out, F.rank().over(W.orderBy(F.col(value).desc())))
+def rank_by(df: DataFrame, value: str, out: str = "revenue_rank", buckets: int = 256) -> DataFrame:
+    """Exact ``rank() OVER (ORDER BY value DESC)`` without a key-less window.
+
+    rank = 1 + number of rows with a greater value. Distinct values (with
+    their multiplicity) are cut into at most ``buckets`` quantile buckets
+    (approximate boundaries only decide grouping — the rank stays exact);
+    per-bucket totals give each bucket's offset (a window over <= buckets
+    rows), and the rows above a value inside its bucket come from a window
+    *partitioned by bucket*. Ranks join back to the rows on the value.
+    """
+    from ledgerlake.session import materialize
+    v = df.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = v.agg(F.percentile_approx("_v", probs, 10000).alias("b")).select("b").scalar()
+    # bucket 0 holds the largest values: the number of boundaries above the value
+    v = (v.withColumn("_b", bounds)
+          .withColumn("_bk", F.size(F.filter(F.col("_b"), lambda b: b > F.col("_v")))).drop("_b"))
+    v = materialize(v, "rank_values")
+    per_bucket = v.groupBy("_bk").agg(F.sum("_c").alias("_bc"))
+    above = W.orderBy("_bk").rowsBetween(W.unboundedPreceding, -1)     # <= buckets rows
+    offs = F.broadcast(per_bucket.select("_bk", F.coalesce(F.sum("_bc").over(above), F.lit(0)).alias("_off")))
+    inside = W.partitionBy("_bk").orderBy(F.col("_v").desc()).rowsBetween(W.unboundedPreceding, -1)
+    ranks = (v.join(offs, "_bk")
+              .select("_v", (F.lit(1) + F.col("_off") + F.coalesce(F.sum("_c").over(inside), F.lit(0)))
+                      .cast("int").alias(out)))
+    return df.join(ranks, df[value].eqNullSafe(ranks["_v"]), "left").drop("_v")
