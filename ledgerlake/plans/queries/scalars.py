@@ -167,26 +167,28 @@ def scalar_f14(t):
                     F.to_json(F.struct("event_id", "event_type")).alias("record"))
 
 
-TABLE_TYPES_SQL = """CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
-  WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>'
-  ELSE lower(data_type) END"""
-DRIVER_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
-                 "labels conversations").split()
+SPARK_SIMPLE_TYPES = ["boolean", "int", "bigint", "float", "double", "date", "timestamp", "string"]
 
 
-@query("scalar_f15", f"""
-SELECT table_name, column_name, {TABLE_TYPES_SQL} AS type FROM information_schema.columns
-WHERE table_name IN ({', '.join(f"'{n}'" for n in DRIVER_TABLES)})""", frames=False)
+def _f15_sql():
+    from ledgerlake.plans.queries.drift import _log_sql
+    known = ", ".join(f"'{x}'" for x in SPARK_SIMPLE_TYPES)
+    return f"""WITH {_log_sql()}
+SELECT batch_id, column_name, type, '`' || column_name || '` ' || type AS field_ddl, type IN ({known}) AS known_type
+FROM log"""
+
+
+@query("scalar_f15", _f15_sql(), frames=False)
 def scalar_f15(t):
-    """type names of every driver table's columns, from the schema, as a
-    frame that ``StructType.fromDDL`` can read back."""
-    from pyspark.sql.types import StructType
-    rows = []
-    for name in DRIVER_TABLES:
-        schema = t.read(name).schema
-        assert StructType.fromDDL(", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields))
-        rows += [(name, f.name, f.dataType.simpleString()) for f in schema.fields]
-    return t.spark.createDataFrame(rows, "table_name string, column_name string, type string")
+    """type name -> schema field. Every (batch, column, type name) of the
+    schema log inferred from the feed's values becomes a DDL field string
+    (``StructType.fromDDL`` reads it back) with a check that the name is a
+    known Spark type."""
+    from ledgerlake.operators import drift as SD
+    log = SD.infer_schema_log(SD.raw_feed(t.orders))
+    return log.select("batch_id", "column_name", "type",
+                      F.concat(F.lit("`"), F.col("column_name"), F.lit("` "), F.col("type")).alias("field_ddl"),
+                      F.col("type").isin(*SPARK_SIMPLE_TYPES).alias("known_type"))
 
 
 @query("scalar_f16", """

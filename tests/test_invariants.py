@@ -93,3 +93,11 @@ def test_sql_guard_classes(spark, t):
     g = P.sql_text_guard(P.sql_text_extract(P.query_log(t.orders, t.conversations)))
     reasons = {r.reason for r in g.select("reason").distinct().collect()}
     assert {"ok", "empty", "not_select", "forbidden:DROP", "no_known_table"} <= reasons
+
+
+def test_type_names_parse_as_schema_fields(spark, t):
+    from pyspark.sql.types import StructType
+
+    from ledgerlake.plans.queries.scalars import scalar_f15
+    fields = [r.field_ddl for r in scalar_f15(t).select("field_ddl").distinct().collect()]   # bounded by columns x types
+    assert fields and all(StructType.fromDDL(f).fields for f in fields)
