@@ -27,22 +27,27 @@ def strip_ws(c):
 def sql_text_extract(df: DataFrame, text_col: str = "text", out: str = "sql") -> DataFrame:
     """SQL out of model output — a ```sql fence, else a bare fence
     holding a SELECT, else the whole text if it starts with SELECT, else null.
-    Runs on the whole text with built-in regex functions."""
+    Runs on the whole text with built-in regex functions; the stripped text
+    is computed once."""
     t = F.col(text_col)
     fenced = F.nullif(F.regexp_extract(t, r"(?s)```sql\s*(.*?)\s*```", 1), F.lit(""))
     bare = F.nullif(F.regexp_extract(t, r"(?is)```\s*(SELECT.*?)\s*```", 1), F.lit(""))
-    plain = F.when(F.upper(strip_ws(t)).startswith("SELECT"), strip_ws(t))
-    return df.withColumn(out, F.coalesce(strip_ws(fenced), strip_ws(bare), plain))
+    st = F.col("_stripped")
+    plain = F.when(F.upper(st).startswith("SELECT"), st)
+    return (df.withColumn("_stripped", strip_ws(t))
+              .withColumn(out, F.coalesce(strip_ws(fenced), strip_ws(bare), plain))
+              .drop("_stripped"))
 
 
 def sql_text_guard(df: DataFrame, sql_col: str = "sql") -> DataFrame:
     """Classify query texts: empty / not a SELECT / forbidden keyword
     (word-bounded, first in list order) / no known table / valid.
 
-    One ordered ``CASE`` of built-in regex tests — a projection, no shuffle.
+    One ordered ``CASE`` of built-in regex tests over the upper-cased text
+    (computed once) — a projection, no shuffle.
     """
     s = F.col(sql_col)
-    up = F.upper(strip_ws(s))
+    up = F.col("_up")
     reason = F.when(s.isNull() | (F.length(s) == 0), F.lit("empty"))
     reason = reason.when(~up.startswith("SELECT"), F.lit("not_select"))
     for kw in FORBIDDEN_KEYWORDS:
@@ -52,7 +57,8 @@ def sql_text_guard(df: DataFrame, sql_col: str = "sql") -> DataFrame:
         hit = F.contains(up, F.lit(tname))
         known = hit if known is None else (known | hit)
     reason = reason.when(~known, F.lit("no_known_table")).otherwise(F.lit("ok"))
-    return df.withColumn("reason", reason).withColumn("is_valid", F.col("reason") == "ok")
+    return (df.withColumn("_up", F.upper(strip_ws(s))).withColumn("reason", reason).drop("_up")
+              .withColumn("is_valid", F.col("reason") == "ok"))
 
 
 def query_log(orders: DataFrame, conversations: DataFrame) -> DataFrame:
