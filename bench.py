@@ -1,6 +1,7 @@
 """Benchmark: run the headline queries and print one JSON line.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
+    BENCH_EVENT_LOG=1 ...   # also write Spark's event log to a fresh /tmp/run-eventlog-* folder
 
 q1..q5 are the five questions the reference timed end to end (count,
 failed count, top merchant, failure rate by method, total revenue); the rest
@@ -15,6 +16,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -49,7 +51,13 @@ HEADLINE = {
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(f"local[{cpus}]", max(8, 2 * cpus), app_name="ledgerlake-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # Stage/task times without the UI: Spark's event log in a fresh scratch folder.
+        log_dir = tempfile.mkdtemp(prefix="run-eventlog-", dir=os.environ.get("BENCH_EVENT_LOG_ROOT", "/tmp"))
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
+        print(f"event log: {log_dir}", file=sys.stderr)
+    spark = build_session(f"local[{cpus}]", max(8, 2 * cpus), app_name="ledgerlake-bench", extra_conf=extra)
     reg = load_all()
 
     def run(key: str) -> float:

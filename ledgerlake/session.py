@@ -33,7 +33,7 @@ SESSION_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "ledgerlake") -> SparkSession:
+                  app_name: str = "ledgerlake", extra_conf: dict | None = None) -> SparkSession:
     """Return a session with the engine's settings.
 
     On a cluster ``master`` is left to spark-submit; locally pass ``local[N]``.
@@ -46,6 +46,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("LEDGERLAKE_DRIVER_MEM", "16g"))
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     apply_conf(spark)
     spark.sparkContext.setLogLevel("ERROR")
