@@ -55,7 +55,8 @@ def main() -> None:
     if os.environ.get("BENCH_EVENT_LOG"):
         # Stage/task times without the UI: Spark's event log in a fresh scratch folder.
         log_dir = tempfile.mkdtemp(prefix="run-eventlog-", dir=os.environ.get("BENCH_EVENT_LOG_ROOT", "/tmp"))
-        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+                 "spark.eventLog.compress": "false"}
         print(f"event log: {log_dir}", file=sys.stderr)
     spark = build_session(f"local[{cpus}]", max(8, 2 * cpus), app_name="ledgerlake-bench", extra_conf=extra)
     reg = load_all()

@@ -14,11 +14,28 @@ import os
 import sys
 
 
+def _num(v) -> int:
+    try:
+        return int(v)
+    except (TypeError, ValueError):
+        return 0
+
+
+def _open(f: str):
+    if f.endswith(".zstd") or f.endswith(".zst"):
+        import io
+
+        import zstandard
+        return io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(open(f, "rb")), encoding="utf-8")
+    return open(f, encoding="utf-8")
+
+
 def main(path: str, top: int = 20) -> None:
-    files = [path] if os.path.isfile(path) else sorted(glob.glob(os.path.join(path, "*")))
+    files = [path] if os.path.isfile(path) else sorted(
+        f for f in glob.glob(os.path.join(path, "**", "*"), recursive=True) if os.path.isfile(f))
     stages = []
     for f in files:
-        with open(f) as fh:
+        with _open(f) as fh:
             for line in fh:
                 ev = json.loads(line)
                 if ev.get("Event") != "SparkListenerStageCompleted":
@@ -27,7 +44,7 @@ def main(path: str, top: int = 20) -> None:
                 start, end = info.get("Submission Time"), info.get("Completion Time")
                 if start is None or end is None:
                     continue
-                acc = {a.get("Name"): a.get("Value") for a in info.get("Accumulables", [])}
+                acc = {a.get("Name"): _num(a.get("Value")) for a in info.get("Accumulables", [])}
                 stages.append((end - start, info["Stage ID"], info.get("Number of Tasks"),
                                acc.get("internal.metrics.shuffle.read.remoteBytesRead", 0)
                                + acc.get("internal.metrics.shuffle.read.localBytesRead", 0),
