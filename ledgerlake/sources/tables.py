@@ -16,6 +16,28 @@ TABLE_NAMES = (
 ).split()
 
 
+# Tables whose scans feed CPU-heavy work (the fact join and sorts; regex over long texts).
+SPREAD_TABLES = {"lineitem", "documents"}
+SMALL_TABLE_ROWS = 2_000_000
+
+
+def spread_if_small(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> DataFrame:
+    """Spread a *small* table over all cores.
+
+    A Parquet row group is the smallest unit a scan can split, so a small
+    table written as one row group is scanned — and joined and sorted on the
+    map side — by a single task. When the table is proven small (at most
+    ``max_rows`` rows, by the memoised bounded probe) it is round-robin
+    repartitioned to the cluster's parallelism; a large table keeps its
+    natural scan parallelism and never pays this extra shuffle.
+    """
+    from ledgerlake.operators.joins import is_bounded
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if par > 1 and is_bounded(df, max_rows):
+        return df.repartition(par)
+    return df
+
+
 class Tables:
     """Lazy handles on ``{sf_dir}/{name}.parquet``."""
 
@@ -24,7 +46,8 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return spread_if_small(df) if name in SPREAD_TABLES else df
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:
