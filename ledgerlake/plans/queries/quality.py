@@ -569,7 +569,7 @@ def flag_merchants(t):
     out = sus.select("merchant_id", F.lit(f"count >= {SUSPICIOUS_MIN_TXNS} and mean amount below {SUSPICIOUS_MAX_AVG}")
                      .alias("reason"), F.lit(FLAGGED_AT).cast("timestamp_ntz").alias("flagged_at"))
     path = scratch_path(t.spark, "flagged_merchants")
-    out.coalesce(1).write.mode("overwrite").json(path)
+    out.write.mode("overwrite").json(path)
     return t.spark.read.schema("merchant_id bigint, reason string, flagged_at timestamp_ntz").json(path)
 
 
