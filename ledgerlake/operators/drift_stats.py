@@ -61,7 +61,8 @@ def ks_exact(df: DataFrame, ref: str, col: str, buckets: int = 256) -> DataFrame
     probs = [i / buckets for i in range(1, buckets)]
     bounds = v.agg(F.percentile_approx("x", probs, 10000).alias("q")).select("q").scalar()
     v = (v.withColumn("_q", bounds)
-          .withColumn("bk", F.size(F.filter(F.col("_q"), lambda q: q < F.col("x")))).drop("_q"))
+          .withColumn("bk", F.coalesce(F.size(F.filter(F.col("_q"), lambda q: q < F.col("x"))), F.lit(0)))
+          .drop("_q"))
     v = materialize(v, "ks_values")            # bucket ids fixed once for both uses below
     bt = v.groupBy("bk").agg(F.sum("a").alias("ba"), F.sum("b").alias("bb"))
     ordered = W.orderBy("bk").rowsBetween(W.unboundedPreceding, -1)   # over <= buckets rows

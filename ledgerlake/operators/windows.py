@@ -63,11 +63,17 @@ def rank_by(df: DataFrame, value: str, out: str = "revenue_rank", buckets: int =
     """
     from ledgerlake.session import materialize
     v = df.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = v.agg(F.percentile_approx("_v", probs, 10000).alias("b")).select("b").scalar()
-    # bucket 0 holds the largest values: the number of boundaries above the value
-    v = (v.withColumn("_b", bounds)
-          .withColumn("_bk", F.size(F.filter(F.col("_b"), lambda b: b > F.col("_v")))).drop("_b"))
+    if buckets > 1:
+        probs = [i / buckets for i in range(1, buckets)]
+        bounds = v.agg(F.percentile_approx("_v", probs, 10000).alias("b")).select("b").scalar()
+        # bucket 0 holds the largest values: the number of boundaries above the value
+        v = (v.withColumn("_b", bounds)
+              .withColumn("_bk", F.coalesce(F.size(F.filter(F.col("_b"), lambda b: b > F.col("_v"))), F.lit(0)))
+              .drop("_b"))
+    else:
+        v = v.withColumn("_bk", F.lit(0))
+    # nulls rank after every value (ORDER BY ... DESC NULLS LAST): their own, last bucket
+    v = v.withColumn("_bk", F.when(F.col("_v").isNull(), F.lit(buckets)).otherwise(F.col("_bk")))
     v = materialize(v, "rank_values")
     per_bucket = v.groupBy("_bk").agg(F.sum("_c").alias("_bc"))
     above = W.orderBy("_bk").rowsBetween(W.unboundedPreceding, -1)     # <= buckets rows
