@@ -201,13 +201,19 @@ def alert_summary(t):
     return O.alert_summary(O.evaluate_alerts(measures(t)), NEXT_REVIEW)
 
 
+WARN_HOURS, ERROR_HOURS = 12, 24    # O11 freshness classes
+
+
 @query("source_freshness", f"""
+WITH f AS (
 SELECT 'events' AS source, CAST(MAX(ts) AS TIMESTAMP) AS newest, {round_sql(_hours_sql('MAX(ts)', EVENTS_NOW))} AS hours_since FROM events
 UNION ALL SELECT 'orders', CAST(MAX(transaction_date) AS TIMESTAMP), {round_sql(_hours_sql('MAX(transaction_date)', ORDERS_NOW))} FROM ord
-UNION ALL SELECT 'bronze', CAST(MAX(ingestion_ts) AS TIMESTAMP), {round_sql(_hours_sql('MAX(ingestion_ts)', ORDERS_NOW))} FROM bronze""")
+UNION ALL SELECT 'bronze', CAST(MAX(ingestion_ts) AS TIMESTAMP), {round_sql(_hours_sql('MAX(ingestion_ts)', ORDERS_NOW))} FROM bronze)
+SELECT *, CASE WHEN hours_since > {ERROR_HOURS} THEN 'ERROR' WHEN hours_since > {WARN_HOURS} THEN 'WARN' ELSE 'OK' END AS status
+FROM f""")
 def source_freshness(t):
-    """Per source, hours since its newest row (warn/error classes come from
-    ``freshness_status``: WARN after 12 h, ERROR after 24 h)."""
+    """Per source, hours since its newest row and its class: WARN after
+    12 h, ERROR after 24 h, else OK."""
     parts = [("events", t.events, "ts", EVENTS_NOW), ("orders", FR.ord_frame(t), "transaction_date", ORDERS_NOW),
              ("bronze", FR.bronze_frame(t), "ingestion_ts", ORDERS_NOW)]
     out = None
@@ -216,7 +222,8 @@ def source_freshness(t):
             F.lit(name).alias("source"), "newest",
             O.round2(O.hours_between(F.col("newest").cast("timestamp"), F.lit(now).cast("timestamp"))).alias("hours_since"))
         out = f if out is None else out.unionByName(f)
-    return out
+    h = F.col("hours_since")
+    return out.withColumn("status", F.when(h > ERROR_HOURS, "ERROR").when(h > WARN_HOURS, "WARN").otherwise("OK"))
 
 
 # ---- §2.12 logs, traces, completeness ----
