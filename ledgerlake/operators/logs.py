@@ -44,11 +44,14 @@ def expected_item_status(turns: DataFrame, entity: str = "conv_id", item_col: st
 
 
 def status_totals(status: DataFrame, groups: list[str]) -> DataFrame:
-    """Entities per status per group (unpivot + pivot on a fixed status list)."""
+    """Entities per status per group (unpivot + pivot on a fixed status
+    list), with the total and the submitted (not missing) entities."""
     long = status.unpivot(["entity"], [f"{g}_status" for g in groups], "group", "status")
-    return (long.groupBy(F.regexp_replace("group", "_status$", "").alias("group"))
-                .pivot("status", list(STATUS_RANK)).agg(F.count(F.lit(1)))
-                .na.fill(0, list(STATUS_RANK)))
+    out = (long.groupBy(F.regexp_replace("group", "_status$", "").alias("group"))
+               .pivot("status", list(STATUS_RANK)).agg(F.count(F.lit(1)))
+               .na.fill(0, list(STATUS_RANK)))
+    total = sum(F.col(s) for s in STATUS_RANK)
+    return out.withColumn("total", total).withColumn("submitted", total - F.col("missing"))
 
 
 def status_rank_sort(status: DataFrame, groups: list[str]) -> DataFrame:

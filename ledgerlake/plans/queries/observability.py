@@ -251,11 +251,12 @@ def expected_file_status(t):
 
 @query("status_totals", N1_SQL + """
 SELECT g AS "group", COUNT(*) FILTER (WHERE st = 'master') AS master, COUNT(*) FILTER (WHERE st = 'complete') AS complete,
-       COUNT(*) FILTER (WHERE st = 'partial') AS partial, COUNT(*) FILTER (WHERE st = 'missing') AS missing
+       COUNT(*) FILTER (WHERE st = 'partial') AS partial, COUNT(*) FILTER (WHERE st = 'missing') AS missing,
+       COUNT(*) AS total, COUNT(*) FILTER (WHERE st <> 'missing') AS submitted
 FROM (SELECT 'opening' AS g, opening_status AS st FROM s UNION ALL SELECT 'dialogue', dialogue_status FROM s) x
 GROUP BY g""", frames=False)
 def status_totals(t):
-    """Entities per status per group (pivot)."""
+    """Entities per status per group (pivot), total and submitted."""
     return N.status_totals(N.expected_item_status(t.conversations), GROUPS)
 
 
