@@ -312,7 +312,12 @@ def fact_check_pack(t):
     return out
 
 
-@query("morning_report_data", """
+def _morning_sql():
+    from ledgerlake.plans.queries.observability import ALERTS_SQL
+    from ledgerlake.plans.catalog import REGISTRY
+    drift_sql = REGISTRY["categorical_drift"].sql
+    alerts_sql = "WITH " + ALERTS_SQL[len("WITH "):]
+    base = """
 WITH p AS (SELECT merchant_id, COUNT(*) AS n,
                   CAST(ROUND(CAST(100.0 * COUNT(*) FILTER (WHERE status = 'FAILED') / COUNT(*) AS DECIMAL(38,8)), 2) AS DOUBLE) AS rate,
                   CAST(COALESCE(SUM(CASE WHEN status = 'COMPLETED' THEN amount END), 0) AS DOUBLE) AS rev
@@ -324,11 +329,22 @@ SELECT (SELECT COUNT(*) FROM enr) AS rows,
        (SELECT COUNT(*) FROM p) AS merchants,
        (SELECT CAST(ROUND(CAST(SUM(rev) AS DECIMAL(38,8)), 2) AS DOUBLE) FROM p) AS total_revenue,
        (SELECT merchant_id FROM p ORDER BY rate DESC, merchant_id LIMIT 1) AS worst_merchant_id,
-       (SELECT MAX(rate) FROM p) AS worst_failure_rate_pct""")
+       (SELECT MAX(rate) FROM p) AS worst_failure_rate_pct,
+       (SELECT MAX(drifted_columns) FROM (__DRIFT__) d) AS drifted_columns,
+       (SELECT COUNT(*) FROM (__ALERTS__) a) AS alerts_fired"""
+    return base.replace("__DRIFT__", drift_sql).replace("__ALERTS__", alerts_sql)
+
+
+@query("morning_report_data", _morning_sql())
 def morning_report_data(t):
-    """The numbers of the daily health report: layer profile (DQ15) and
-    merchant health (A19), each one aggregate, combined as scalar subqueries."""
+    """The numbers of the daily health report: layer profile (DQ15),
+    categorical drift (DQ16), merchant health (A19) and fired alerts (O5),
+    each one aggregate, combined as scalar subqueries."""
     from ledgerlake.functions.scalars import round2
+    from ledgerlake.operators import quality as Q
+    from ledgerlake.operators import slo as O
+    from ledgerlake.plans.queries.observability import measures
+    from ledgerlake.plans.queries.quality import DRIFT_COLS
     e = FR.enr_frame(t)
     prof = e.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("status") == "COMPLETED").cast("bigint").alias("completed"),
                  F.count_if(F.col("status") == "FAILED").cast("bigint").alias("failed"),
@@ -337,8 +353,11 @@ def morning_report_data(t):
     health = p.agg(F.count(F.lit(1)).alias("merchants"), round2(F.sum("total_revenue")).alias("total_revenue"),
                    F.min_by("merchant_id", F.struct(-F.col("failure_rate_pct"), F.col("merchant_id"))).alias("w"),
                    F.max("failure_rate_pct").alias("m"))
+    drift = Q.categorical_drift(FR.bronze_frame(t), e, DRIFT_COLS).agg(F.max("drifted_columns"))
+    alerts = O.evaluate_alerts(measures(t)).agg(F.count(F.lit(1)))
     return prof.select("rows", "completed", "failed", "amount_mean",
                        health.select("merchants").scalar().alias("merchants"),
                        health.select("total_revenue").scalar().alias("total_revenue"),
                        health.select("w").scalar().alias("worst_merchant_id"),
-                       health.select("m").scalar().alias("worst_failure_rate_pct"))
+                       health.select("m").scalar().alias("worst_failure_rate_pct"),
+                       drift.scalar().alias("drifted_columns"), alerts.scalar().alias("alerts_fired"))
