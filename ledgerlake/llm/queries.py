@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from .pii import op10_pii
 from .secret_scan import op7_secret_scan
+from .sentencepiece_codec import op3_sentencepiece_codec
 
-QUERIES = {f.__name__: f for f in (op7_secret_scan, op10_pii)}
+QUERIES = {f.__name__: f for f in (op3_sentencepiece_codec, op7_secret_scan, op10_pii)}
 ORACLES: dict[str, str] = {}
