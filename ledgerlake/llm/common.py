@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.session import materialize
 
-__all__ = ["fold_out", "join_key", "key_columns", "kinds_text", "load", "materialize", "pick", "to_blocks"]
+__all__ = ["fold_out", "join_key", "key_columns", "kinds_text", "load", "map_arrow", "materialize", "pick", "to_blocks"]
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -53,3 +58,22 @@ def kinds_text(spans: Column, kinds: list[str]) -> Column:
 def to_blocks(total_bytes: int, bound: int) -> int:
     """Number of blocks of at most about ``bound`` bytes each."""
     return max(1, -(-int(total_bytes) // bound))
+
+
+_SHIPPED: set[str] = set()
+
+
+def map_arrow(df: DataFrame, task: Callable, schema) -> DataFrame:
+    """``df.mapInArrow(task, schema)`` with this package's code sent to the executors, once per application."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        path = os.path.join(tempfile.mkdtemp(prefix="ledgerlake-code-"), "ledgerlake_code.zip")
+        with zipfile.ZipFile(path, "w") as out:
+            for folder, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        out.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(package)))
+        context.addPyFile(path)
+        _SHIPPED.add(context.applicationId)
+    return df.mapInArrow(task, schema)

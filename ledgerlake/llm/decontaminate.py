@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, pick, to_blocks
+from .common import load, map_arrow, pick, to_blocks
 
 Q, ERRORS = 10, 0.08
 #: Code points of a probe and the step between the probes of a long item.
@@ -219,7 +219,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, errors: float = ERRORS, bloc
                          pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(edits, pa.int32())],
                         names=["doc_id", "rid", "item_id", "start", "end", "edits"])
 
-        out.append(slim.mapInArrow(run, schema))
+        out.append(map_arrow(slim, run, schema))
     found = out[0]
     for more in out[1:]:
         found = found.unionByName(more)

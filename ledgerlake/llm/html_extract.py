@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, materialize, pick
+from .common import load, map_arrow, materialize, pick
 
 #: A subtree is template if at least MIN_PAGES different pages of its host and SHARE of them have it.
 MIN_PAGES, SHARE = 10, 0.5
@@ -214,7 +214,7 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE
                                              names=["host", "mark", "page"])
 
     # Mark 0 stands for the page itself.
-    counts = (pages.mapInArrow(marks, "host string, mark long, page long").distinct()
+    counts = (map_arrow(pages, marks, "host string, mark long, page long").distinct()
               .groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages))
     counts = materialize(counts, "op6-counts")
     total = counts.filter("mark = 0").select("host", F.col("n").alias("total"))
@@ -244,8 +244,8 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     kind = dict(slim.dtypes)["page_id"]
-    return (slim.join(site, F.col("host") == F.col("_host"), "left").select("page_id", "url", "html", "marks")
-            .mapInArrow(keep, f"page_id {kind}, url string, text string"))
+    paired = slim.join(site, F.col("host") == F.col("_host"), "left").select("page_id", "url", "html", "marks")
+    return map_arrow(paired, keep, f"page_id {kind}, url string, text string")
 
 
 def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

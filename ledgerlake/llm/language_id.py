@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold_out, load, pick
+from .common import fold_out, load, map_arrow, pick
 
 #: Bounds of the sample the automata are built from: code points per language, taken from
 #: texts in order of a hash of their id, at most SAMPLE_CHUNK from one text; languages.
@@ -181,7 +181,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                                                  names=["doc_id", "lang_pred", "score", "rate"])
 
     slim = pick(docs, "doc_id", "text")
-    return slim.mapInArrow(run, f"doc_id {dict(slim.dtypes)['doc_id']}, lang_pred string, score double, rate double")
+    return map_arrow(slim, run, f"doc_id {dict(slim.dtypes)['doc_id']}, lang_pred string, score double, rate double")
 
 
 def _answers(model: Model, texts: list[str | None]) -> list[pa.Array]:

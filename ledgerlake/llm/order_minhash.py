@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import load, materialize, pick
+from .common import load, map_arrow, materialize, pick
 
 K, TUPLE, SIGNATURES = 8, 2, 32
 #: Items hashed by all functions at once; longer texts are taken in pieces.
@@ -160,7 +160,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         if last is not None:
             yield rows([(part, "last", last.doc_id, last_text) + (None,) * 6])
 
-    walked = materialize(slim.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(walk, schema), "op5")
+    walked = materialize(map_arrow(slim.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"), walk, schema), "op5")
     ends = walked.filter("role != 'done'").select("part", "role", "doc_id", "text")
     done = walked.filter("role = 'done'").drop("part", "role", "text")
     # Partition numbers, in order: two small rows each, without their texts.
@@ -185,7 +185,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), arrow)], schema=arrow)
 
     closing = T.StructType([f for f in schema if f.name not in ("part", "role", "text")])
-    return done.unionByName(borders.mapInArrow(close, closing))
+    return done.unionByName(map_arrow(borders, close, closing))
 
 
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

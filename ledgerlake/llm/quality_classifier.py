@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold_out, load, pick
+from .common import fold_out, load, map_arrow, pick
 
 #: Bounds of what is learned from: labelled rows per class (those with the smallest hash of their id),
 #: half for the dictionaries, half for the calibration; code points of each that are looked at.
@@ -121,7 +121,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     slim = pick(docs, "doc_id", "text")
-    return slim.mapInArrow(run, f"doc_id {dict(slim.dtypes)['doc_id']}, score double")
+    return map_arrow(slim, run, f"doc_id {dict(slim.dtypes)['doc_id']}, score double")
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, pick
+from .common import load, map_arrow, pick
 
 SPACE = "▁"
 #: Words and neighbours remembered by one Python worker; a full table is emptied.
@@ -243,7 +243,7 @@ def encode_decode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     slim = pick(docs, "doc_id", "text").select("doc_id", F.col("text").cast("string"))
     kind = dict(slim.dtypes)["doc_id"]
-    return slim.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
+    return map_arrow(slim, run, f"doc_id {kind}, ids array<int>, decoded string")
 
 
 def op3_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
