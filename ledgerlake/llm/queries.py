@@ -12,6 +12,7 @@ from .pii import op10_pii
 from .quality_classifier import op4_quality_classifier
 from .secret_scan import op7_secret_scan
 from .sentencepiece_codec import op3_sentencepiece_codec
+from .suffix_dedup import op1_suffix_dedup
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_sentencepiece_codec, op4_quality_classifier, op5_order_minhash, op6_html_extract, op7_secret_scan, op8_language_id, op9_ngram_join, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_decontaminate, op3_sentencepiece_codec, op4_quality_classifier, op5_order_minhash, op6_html_extract, op7_secret_scan, op8_language_id, op9_ngram_join, op10_pii)}
 ORACLES: dict[str, str] = {}
