@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.session import materialize
 
-__all__ = ["fold_out", "join_key", "key_columns", "kinds_text", "load", "map_arrow", "materialize", "pick", "to_blocks"]
+__all__ = ["fold_out", "join_key", "key_columns", "kinds_text", "load", "map_arrow", "materialize", "pick", "ship", "to_blocks"]
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -63,17 +63,23 @@ def to_blocks(total_bytes: int, bound: int) -> int:
 _SHIPPED: set[str] = set()
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="ledgerlake-code-"), "ledgerlake_code.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    out.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(package)))
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
+
 def map_arrow(df: DataFrame, task: Callable, schema) -> DataFrame:
-    """``df.mapInArrow(task, schema)`` with this package's code sent to the executors, once per application."""
-    context = df.sparkSession.sparkContext
-    if context.applicationId not in _SHIPPED:
-        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        path = os.path.join(tempfile.mkdtemp(prefix="ledgerlake-code-"), "ledgerlake_code.zip")
-        with zipfile.ZipFile(path, "w") as out:
-            for folder, _, names in os.walk(package):
-                for name in names:
-                    if name.endswith(".py"):
-                        out.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(package)))
-        context.addPyFile(path)
-        _SHIPPED.add(context.applicationId)
+    """``df.mapInArrow(task, schema)`` with this package's code on the executors."""
+    ship(df.sparkSession)
     return df.mapInArrow(task, schema)

@@ -9,14 +9,16 @@ so that a copied part of an item is found too.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, map_arrow, pick, to_blocks
+from .common import load, map_arrow, pick, ship, to_blocks
 
 Q, ERRORS = 10, 0.08
 #: Code points of a probe and the step between the probes of a long item.
@@ -191,6 +193,14 @@ def _items(bench: DataFrame, block: int, blocks: int) -> list[tuple[int, str]]:
     return [(r["item_id"], r["text"]) for r in part.distinct().orderBy("item_id", "text").collect()]
 
 
+def _indexes(spark: SparkSession, bench: DataFrame, errors: float, block_bytes: int) -> Iterator[Broadcast]:
+    """The broadcast index of each block of the benchmark."""
+    bench = pick(bench, "item_id", "text").filter("text IS NOT NULL")
+    blocks = to_blocks(bench.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0, block_bytes)
+    for block in range(blocks):
+        yield spark.sparkContext.broadcast(Index(_items(bench, block, blocks), errors))
+
+
 def contaminated(docs: DataFrame, bench: DataFrame, errors: float = ERRORS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, rid, item_id, start, end, edits): the benchmark items that each text contains, places in code points.
 
@@ -200,14 +210,9 @@ def contaminated(docs: DataFrame, bench: DataFrame, errors: float = ERRORS, bloc
     """
     spark = docs.sparkSession
     slim = pick(docs, "doc_id", "text").filter("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("rid"), "text")
-    bench = pick(bench, "item_id", "text").filter("text IS NOT NULL")
-    total = bench.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    blocks = to_blocks(total, block_bytes)
-    kinds = dict(slim.dtypes) | dict(bench.dtypes)
-    schema = f"doc_id {kinds['doc_id']}, rid long, item_id {kinds['item_id']}, start long, end long, edits int"
+    schema = f"doc_id {dict(slim.dtypes)['doc_id']}, rid long, item_id {dict(bench.dtypes)['item_id']}, start long, end long, edits int"
     out = []
-    for block in range(blocks):
-        shared = spark.sparkContext.broadcast(Index(_items(bench, block, blocks), errors))
+    for shared in _indexes(spark, bench, errors, block_bytes):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -226,5 +231,22 @@ def contaminated(docs: DataFrame, bench: DataFrame, errors: float = ERRORS, bloc
     return found
 
 
+def _held_by(shared: Broadcast) -> Callable:
+    @F.pandas_udf("boolean")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([bool(t and shared.value.find(t)) for t in texts.tolist()], dtype=bool)
+
+    return run
+
+
+def holds(text: Column, spark: SparkSession, bench: DataFrame, errors: float = ERRORS, block_bytes: int = BLOCK_BYTES) -> Column:
+    """Whether a text contains an item, by contaminated()'s rules: for stages that keep the other columns, without a join."""
+    ship(spark)
+    out = F.lit(False)
+    for shared in _indexes(spark, bench, errors, block_bytes):
+        out = out | _held_by(shared)(text)
+    return out
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")).drop("rid")

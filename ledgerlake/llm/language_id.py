@@ -9,15 +9,16 @@ each text segment and language is a lane of the same array operations.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold_out, load, map_arrow, pick
+from .common import fold_out, load, map_arrow, pick, ship
 
 #: Bounds of the sample the automata are built from: code points per language, taken from
 #: texts in order of a hash of their id, at most SAMPLE_CHUNK from one text; languages.
@@ -204,6 +205,20 @@ def identify(docs: DataFrame, chars: int = SAMPLE_CHARS) -> DataFrame:
     return predict(docs, build(sample(pick(docs, "doc_id", "text", "lang"), chars)))
 
 
+def judged(spark: SparkSession, model: Model) -> Callable:
+    """predict() as a function of a text column, a struct of lang_pred, score and rate: for stages
+    that keep the other columns, without a join."""
+    ship(spark)
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("lang_pred string, score double, rate double")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        parts = [_answers(shared.value, texts.iloc[i:i + 1024].tolist()) for i in range(0, len(texts), 1024)]
+        return pd.DataFrame({name: [x for p in parts for x in p[k].to_pylist()] for k, name in enumerate(("lang_pred", "score", "rate"))})
+
+    return run
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     return identify(docs).select("doc_id", fold_out().alias("held_out"), "lang_pred", "score", "rate")

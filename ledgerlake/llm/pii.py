@@ -101,6 +101,20 @@ def _bootstrap(graph: DataFrame, rounds: int, min_seeds: int, min_conf: float, a
     return known
 
 
+def masked(text: Column, spans: Column) -> Column:
+    """``text`` with each run of overlapping spans, struct(s, k, e), replaced by the kind of its first in brackets."""
+    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+
+    def step(done, x):
+        apart = F.concat(done["out"], F.array(F.substring(text, done["at"] + 1, x["s"] - done["at"]), F.element_at(names, x["k"] + 1)))
+        return F.struct(F.greatest(done["at"], x["e"]).alias("at"), F.when(x["s"] >= done["at"], apart).otherwise(done["out"]).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    whole = F.aggregate(F.array_sort(spans), start, step, lambda done: F.concat(
+        F.array_join(done["out"], ""), F.substring(text, done["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, whole).otherwise(text)
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = scan(load(spark, sf_dir, "documents"))
     base = F.concat(*KINDS[:BASE])

@@ -20,7 +20,7 @@ from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import load, map_arrow, pick
@@ -246,9 +246,12 @@ def encode_decode(docs: DataFrame, path: str | None = None) -> DataFrame:
     return map_arrow(slim, run, f"doc_id {kind}, ids array<int>, decoded string")
 
 
+def digests() -> list[Column]:
+    """Digests of the columns of encode_decode()."""
+    return [F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+            F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")]
+
+
 def op3_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_decode(load(spark, sf_dir, "documents"))
-    return coded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), *digests())
