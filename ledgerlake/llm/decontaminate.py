@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import load, map_arrow, pick, ship, to_blocks
 
@@ -141,7 +142,8 @@ class Index:
             if hit:
                 old = best.get(self.probes[probe], hit)
                 best[self.probes[probe]] = (min(old[0], hit[0]), max(old[1], hit[1]), min(old[2], hit[2]))
-        return sorted((item_id, *span) for k, span in best.items() for item_id in self.items[k])
+        hits = [(item_id, *span) for k, span in best.items() for item_id in self.items[k]]
+        return sorted(hits, key=lambda h: (h[0] is None, 0 if h[0] is None else h[0], h[1:]))
 
 
 def _ends(probe: np.ndarray, text: np.ndarray, diagonal: int, width: int, free: bool) -> np.ndarray:
@@ -210,7 +212,9 @@ def contaminated(docs: DataFrame, bench: DataFrame, errors: float = ERRORS, bloc
     """
     spark = docs.sparkSession
     slim = pick(docs, "doc_id", "text").filter("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("rid"), "text")
+    bench = pick(bench, "item_id", "text")
     schema = f"doc_id {dict(slim.dtypes)['doc_id']}, rid long, item_id {dict(bench.dtypes)['item_id']}, start long, end long, edits int"
+    item_kind = to_arrow_type(bench.schema["item_id"].dataType)
     out = []
     for shared in _indexes(spark, bench, errors, block_bytes):
 
@@ -220,7 +224,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, errors: float = ERRORS, bloc
                 if hits:
                     at, item, start, end, edits = zip(*hits)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(item),
+                        [batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(item, item_kind),
                          pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(edits, pa.int32())],
                         names=["doc_id", "rid", "item_id", "start", "end", "edits"])
 
