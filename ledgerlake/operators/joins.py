@@ -1,42 +1,14 @@
-"""Join operators (J1-J16) and the bounded-broadcast helper."""
+"""Join operators.
+
+Which side is broadcast is left to Spark: by file statistics when the plan is made, by real
+shuffle sizes at run time (AQE), and both by a byte threshold.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.session import BROADCAST_ROW_LIMIT
-
-
-_BOUND_CACHE: dict[tuple, bool] = {}
-
-
-def is_bounded(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``limit(n + 1).count()`` stops reading as soon as the bound is passed, so
-    the probe of a huge side costs at most ``max_rows + 1`` rows. The answer
-    is remembered per (plan, input files) for the life of the process, so a
-    dimension probed by many queries is counted once.
-    """
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    hit = _BOUND_CACHE.get(key)
-    if hit is None:
-        hit = df.limit(max_rows + 1).count() <= max_rows
-        _BOUND_CACHE[key] = hit
-    return hit
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast a join side only after proving its row count is bounded.
-
-    Beyond the bound the side is returned unchanged: the join becomes a
-    shuffle join, and AQE may still switch to broadcast from runtime sizes
-    or split skewed partitions.
-    """
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
-
-
 # Fee rate per payment method (the o_orderpriority names).
 FEE_RATES = {
     "1-URGENT": 0.030,
@@ -85,10 +57,9 @@ def promotions(customer: DataFrame) -> DataFrame:
 def promo_attribution_join(df: DataFrame, promos: DataFrame) -> DataFrame:
     """Transactions of promoted customers with their discount cost.
 
-    ``promos`` grows with the customer table, so it is broadcast only when bounded.
+    ``promos`` grows with the customer table; Spark broadcasts it only below its byte threshold.
     """
-    p = broadcast_if_bounded(promos)
-    j = df.join(p, df.customer_id == p.promo_customer_id, "inner").drop("promo_customer_id")
+    j = df.join(promos, df.customer_id == promos.promo_customer_id, "inner").drop("promo_customer_id")
     return j.withColumn("discount_cost", F.col("amount") * F.col("discount_pct") / 100)
 
 

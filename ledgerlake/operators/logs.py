@@ -65,8 +65,7 @@ def status_rank_sort(status: DataFrame, groups: list[str]) -> DataFrame:
 
 def case_insensitive_lookup(names: DataFrame, known: DataFrame, name_col: str, known_col: str) -> DataFrame:
     """Canonical name via a join on the lower-cased key; unknown names fall back to themselves."""
-    from ledgerlake.operators.joins import broadcast_if_bounded
-    k = broadcast_if_bounded(known.select(F.lower(F.col(known_col)).alias("_lk"), F.col(known_col).alias("_canon")))
+    k = known.select(F.lower(F.col(known_col)).alias("_lk"), F.col(known_col).alias("_canon"))
     j = names.join(k, F.lower(F.col(name_col)) == k._lk, "left")
     return j.select(F.col(name_col).alias("input_name"), F.coalesce("_canon", F.col(name_col)).alias("canonical_name"),
                     F.col("_canon").isNotNull().alias("known"))

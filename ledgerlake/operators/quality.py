@@ -155,10 +155,9 @@ def duplicate_count_check(df: DataFrame, chk: dict) -> DataFrame:
 def relationship_check(df: DataFrame, chk: dict) -> DataFrame:
     """dbt ``relationships`` (DQ6): fact rows whose key is missing in the
     dimension, counted with a ``left_anti`` join."""
-    from ledgerlake.operators.joins import broadcast_if_bounded
 
     col, to, to_col = chk["column"], chk["to"], chk.get("to_column", chk["column"])
-    keys = broadcast_if_bounded(to.select(F.col(to_col).alias("_rk")).distinct())
+    keys = to.select(F.col(to_col).alias("_rk")).distinct()
     src = df.where(_q(col).isNotNull())
     orphans = src.join(keys, src[col] == keys["_rk"], "left_anti")
     agg = orphans.agg(F.count(F.lit(1)).alias("_obs"))
@@ -255,11 +254,10 @@ def scorecard(df: DataFrame, columns: list[str], key: str, run_date) -> DataFram
 def dirty_labels(bronze: DataFrame, merch: DataFrame, anchor) -> DataFrame:
     """DQ19: per-row array of labels. Duplicate ids come from a grouped count
     joined back (AQE splits a hot id); null ids never enter that group."""
-    from ledgerlake.operators.joins import broadcast_if_bounded
     # derived side: AQE broadcasts it from its real (runtime) size — no extra pass to probe it
     dup = (bronze.where(F.col("transaction_id").isNotNull()).groupBy(F.col("transaction_id").alias("_dk"))
                  .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_dk"))
-    m = broadcast_if_bounded(merch.select(F.col("merchant_id").alias("_mk")))
+    m = merch.select(F.col("merchant_id").alias("_mk"))
     j = bronze.join(dup, bronze.transaction_id == dup._dk, "left").join(m, F.col("merchant_id") == m._mk, "left")
     labels = F.array_compact(F.array(
         F.when(F.col("transaction_id").isNull(), F.lit("null_id")),
@@ -329,8 +327,7 @@ def treatment_before_after(bronze: DataFrame, anchor, k: float) -> DataFrame:
 
 def domain_violations(bronze: DataFrame, merch: DataFrame, anchor, method_limit) -> DataFrame:
     """DQ27: one row per (transaction, violated rule) with its severity."""
-    from ledgerlake.operators.joins import broadcast_if_bounded
-    m = broadcast_if_bounded(merch.select(F.col("merchant_id").alias("_mk")))
+    m = merch.select(F.col("merchant_id").alias("_mk"))
     j = bronze.join(m, bronze.merchant_id == m._mk, "left")
 
     def rule(cond, name, sev):

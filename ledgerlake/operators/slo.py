@@ -42,8 +42,7 @@ def freshness(df: DataFrame, ts_col: str, now, threshold_hours: float) -> DataFr
 
 def quality_pct(bronze: DataFrame, merch: DataFrame, threshold: float) -> DataFrame:
     """O2: % rows with id, positive amount and a known merchant."""
-    from ledgerlake.operators.joins import broadcast_if_bounded
-    m = broadcast_if_bounded(merch.select(F.col("merchant_id").alias("_mk")))
+    m = merch.select(F.col("merchant_id").alias("_mk"))
     j = bronze.join(m, bronze.merchant_id == m._mk, "left")
     ok = F.col("transaction_id").isNotNull() & (F.col("amount") > 0) & F.col("_mk").isNotNull()
     a = j.agg(F.count(F.lit(1)).alias("rows"), F.count_if(ok).cast("bigint").alias("good_rows"))

@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from ledgerlake.operators.joins import broadcast_if_bounded
 from ledgerlake.sources.tables import Tables
 
 # Fixed values of the domain: status codes and the reporting anchor date.
@@ -75,31 +74,21 @@ def ord_frame(t: Tables, statuses=None, after=None, until=None) -> DataFrame:
     )
 
 
-def bronze_frame(t: Tables) -> DataFrame:
-    """BRONZE: every line item as a raw transaction, dirt included.
-
-    The one big join of the model (lineitem ⋈ orders on the order key); at
-    scale both tables should be bucketed or partitioned on the order key so
-    the join is co-located.
-    """
-    li = t.lineitem
-    o = ord_frame(t).select(
-        F.col("transaction_id").alias("o_key"), "status", "customer_id", "payment_method")
+def item_frame(t: Tables) -> DataFrame:
+    """The columns of BRONZE that line items alone decide, dirt included, with the order key and line."""
     pk = F.col("l_partkey")
     price = F.col("l_extendedprice").cast(MONEY)
-    return li.join(o, li.l_orderkey == o.o_key, "inner").select(
+    return t.lineitem.select(
+        F.col("l_orderkey").alias("item_order"), F.col("l_linenumber").alias("item_line"),
         F.when(pk % 50 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
                              F.col("l_linenumber").cast("string"))).alias("transaction_id"),
         F.when(pk % 53 == 1, -price)
          .when(pk % 59 == 2, F.lit(0).cast(MONEY))
          .otherwise(price).alias("amount"),
-        F.when(pk % 67 == 4, F.lit("APPROVED")).otherwise(F.col("status")).alias("status"),
         F.col("l_suppkey").alias("merchant_id"),
-        F.col("customer_id"),
         F.when(pk % 61 == 3, F.lit(FUTURE_DATE))
          .otherwise(F.col("l_shipdate").cast("date")).alias("transaction_date"),
-        F.col("payment_method"),
         F.col("l_shipdate").alias("ingestion_ts"),
         pk.alias("tie1"),
         F.col("l_quantity").alias("tie2"),
@@ -109,6 +98,28 @@ def bronze_frame(t: Tables) -> DataFrame:
     )
 
 
+BRONZE_COLUMNS = ["transaction_id", "amount", "status", "merchant_id", "customer_id", "transaction_date", "payment_method",
+                  "ingestion_ts", "tie1", "tie2", "tie3", "tie4", "return_flag"]
+
+
+def with_order(items: DataFrame, t: Tables) -> DataFrame:
+    """Items with their order's status, customer and payment method, in BRONZE's columns.
+
+    The one big join of the model (lineitem ⋈ orders on the order key); at
+    scale both tables should be bucketed or partitioned on the order key so
+    the join is co-located.
+    """
+    o = ord_frame(t).select(
+        F.col("transaction_id").alias("o_key"), "status", "customer_id", "payment_method")
+    status = F.when(F.col("tie1") % 67 == 4, F.lit("APPROVED")).otherwise(F.col("status"))
+    return items.join(o, F.col("item_order") == F.col("o_key"), "inner").withColumn("status", status).select(*BRONZE_COLUMNS)
+
+
+def bronze_frame(t: Tables) -> DataFrame:
+    """BRONZE: every line item as a raw transaction, dirt included."""
+    return with_order(item_frame(t), t)
+
+
 def merch_frame(t: Tables) -> DataFrame:
     """MERCH: suppliers with non-negative balance, named by nation and region."""
     s = t.supplier.where(F.col("s_acctbal") >= 0)
@@ -127,7 +138,7 @@ def silver_rules(bronze: DataFrame) -> DataFrame:
     return bronze.where(F.col("transaction_id").isNotNull() & (F.col("amount") >= 0))
 
 
-def dedup_latest(df: DataFrame, key: str = "transaction_id", order=None) -> DataFrame:
+def dedup_latest(df: DataFrame, key: str | list[str] = "transaction_id", order=None) -> DataFrame:
     """One row per key, the first by a total order.
 
     ``row_number() == 1`` is planned as a WindowGroupLimit that also runs
@@ -139,7 +150,15 @@ def dedup_latest(df: DataFrame, key: str = "transaction_id", order=None) -> Data
 
 
 def silver_frame(t: Tables) -> DataFrame:
-    return dedup_latest(silver_rules(bronze_frame(t)))
+    """Silver straight from the tables: rules and dedup on the line items, then the order join.
+
+    All repeats of a transaction share its order, and the dedup order is made of item columns, so the
+    rows are those of ``dedup_latest(silver_rules(bronze_frame(t)))``; but the join meets only the
+    rows that stay, without the tie-breaks. Dealt by order key, one shuffle of the items serves both.
+    """
+    items = silver_rules(item_frame(t)).repartition("item_order")
+    one = dedup_latest(items, ["item_order", "item_line"])
+    return with_order(one, t).withColumn("rn", F.lit(1))
 
 
 def enrich(silver: DataFrame, merch: DataFrame) -> DataFrame:
@@ -148,7 +167,7 @@ def enrich(silver: DataFrame, merch: DataFrame) -> DataFrame:
     The flag tests the right side's own key (``m_key``), never the USING key,
     which would take the left value and never be null.
     """
-    m = broadcast_if_bounded(merch.withColumnRenamed("merchant_id", "m_key"))
+    m = merch.withColumnRenamed("merchant_id", "m_key")
     return (silver.join(m, silver.merchant_id == m.m_key, "left")
                   .withColumn("quality_flag",
                               F.when(F.col("m_key").isNull(), F.lit("UNMATCHED"))

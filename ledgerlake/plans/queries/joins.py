@@ -45,7 +45,7 @@ FROM silver s JOIN merch m ON s.merchant_id = m.merchant_id""")
 def inner_equi_join(t):
     """Fact ⋈ merchant for names."""
     s = FR.silver_frame(t)
-    m = J.broadcast_if_bounded(FR.merch_frame(t).withColumnRenamed("merchant_id", "m_key"))
+    m = FR.merch_frame(t).withColumnRenamed("merchant_id", "m_key")
     return s.join(m, s.merchant_id == m.m_key, "inner").select(
         "transaction_id", "merchant_id", "merchant_name", "category", "amount")
 
@@ -222,4 +222,4 @@ def semi_join_keys(t):
     """Rows whose merchant belongs to the partner (``left_semi``)."""
     m = FR.merch_frame(t).where(F.col("merchant_id") % 3 == PARTNER).select(F.col("merchant_id").alias("k"))
     e = FR.enr_frame(t)
-    return e.join(J.broadcast_if_bounded(m), e.merchant_id == m.k, "left_semi").select("transaction_id", "merchant_id")
+    return e.join(m, e.merchant_id == m.k, "left_semi").select("transaction_id", "merchant_id")

@@ -15,10 +15,6 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Rows of a dimension that may be broadcast; above it the join is a
-# shuffle join and AQE decides at runtime from real shuffle statistics.
-BROADCAST_ROW_LIMIT = 2_000_000
-
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
