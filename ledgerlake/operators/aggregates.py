@@ -94,11 +94,6 @@ def failure_rate_by(df: DataFrame, *keys: str) -> DataFrame:
                    failure_pct().alias("failure_rate_pct")))
 
 
-def revenue_by(df: DataFrame, *keys: str) -> DataFrame:
-    """COMPLETED revenue per key set."""
-    return df.groupBy(*keys).agg(completed_revenue().alias("total_revenue"))
-
-
 def mart_merchant_performance(silver: DataFrame, merch: DataFrame) -> DataFrame:
     """The merchant mart — COMPLETED and FAILED rows aggregated per
     merchant first, then inner-joined to the merchant dimension, so the join
@@ -116,27 +111,6 @@ def mart_merchant_performance(silver: DataFrame, merch: DataFrame) -> DataFrame:
     return agg.join(m, agg.merchant_id == m._mk, "inner").drop("_mk")
 
 
-def category_revenue(perf: DataFrame) -> DataFrame:
-    """Aggregate of an aggregate — per category over A12."""
-    return (perf.groupBy("category")
-                .agg(F.count(F.lit(1)).alias("merchants"),
-                     F.sum("total_revenue").alias("total_revenue"),
-                     F.sum("txn_count").alias("total_txns"))
-                .withColumn("avg_revenue_per_merchant",
-                            round2(F.col("total_revenue") / F.col("merchants")))
-                .withColumn("total_revenue", round2("total_revenue")))
-
-
-def kpi_summary(daily: DataFrame) -> DataFrame:
-    """Global KPIs over the daily Gold table (unweighted mean rate)."""
-    return daily.agg(round2(F.sum("total_revenue")).alias("total_revenue"),
-                     F.sum("total_txns").alias("total_txns"),
-                     round2(F.avg("failure_rate_pct")).alias("avg_failure_rate_pct"),
-                     round2(F.min("total_revenue")).alias("min_daily_revenue"),
-                     round2(F.max("total_revenue")).alias("max_daily_revenue"),
-                     F.count(F.lit(1)).alias("days"))
-
-
 def suspicious_merchants(enr: DataFrame, min_txns: int, max_avg) -> DataFrame:
     """``HAVING count >= min_txns AND avg(amount) < max_avg``."""
     return (enr.groupBy("merchant_id")

@@ -101,29 +101,25 @@ def expected_frame(spark, expected: dict, required=None) -> DataFrame:
     return spark.createDataFrame(rows, "column_name string, expected_type string, required boolean")
 
 
-def schema_diff(log: DataFrame, expected: dict) -> DataFrame:
-    """SD1: per batch, new / removed / type-changed columns.
+def schema_changes(log: DataFrame, expected: dict) -> DataFrame:
+    """Per batch and column, seen or expected: new / removed / type_changed, or null where both agree.
 
-    New and type-changed come from a join of the log with the (broadcast,
-    literal) expected schema. Removed columns come from the per-batch set of
-    present names — bounded by the schema width, never by the data — and
-    ``array_except`` against the expected list: no cross join of batches.
+    One row per batch holds its columns' types, a map as wide as the schema, so present and removed columns
+    come from one pass over the log, without a join.
     """
-    spark = log.sparkSession
-    exp = F.broadcast(expected_frame(spark, expected))
-    j = log.join(exp, "column_name", "left")
-    present = j.select(
-        "batch_id", "column_name",
-        F.when(F.col("expected_type").isNull(), "new")
-         .when(F.col("expected_type") != F.col("type"), "type_changed").alias("change"),
-        "expected_type", F.col("type").alias("actual_type")).where(F.col("change").isNotNull())
-    exp_names = F.array(*[F.lit(c) for c in expected])
-    removed = (log.groupBy("batch_id").agg(F.collect_set("column_name").alias("cols"))
-                  .select("batch_id", F.explode(F.array_except(exp_names, F.col("cols"))).alias("column_name"))
-                  .join(exp, "column_name")
-                  .select("batch_id", "column_name", F.lit("removed").alias("change"), "expected_type",
-                          F.lit(None).cast("string").alias("actual_type")))
-    return present.unionByName(removed)
+    want = F.create_map(*[F.lit(x) for kv in expected.items() for x in kv])
+    seen = log.groupBy("batch_id").agg(F.map_from_entries(F.collect_list(F.struct("column_name", "type"))).alias("seen"))
+    names = F.array_union(F.map_keys("seen"), F.array(*[F.lit(c) for c in expected]))
+    each = seen.select("batch_id", "seen", F.explode(names).alias("column_name"))
+    e, a = F.try_element_at(want, F.col("column_name")), F.try_element_at(F.col("seen"), F.col("column_name"))
+    return each.select("batch_id", "column_name",
+                       F.when(e.isNull(), "new").when(a.isNull(), "removed").when(e != a, "type_changed").alias("change"),
+                       e.alias("expected_type"), a.alias("actual_type"))
+
+
+def schema_diff(log: DataFrame, expected: dict) -> DataFrame:
+    """SD1: per batch, new / removed / type-changed columns."""
+    return schema_changes(log, expected).where(F.col("change").isNotNull())
 
 
 def _rank(t):
@@ -162,37 +158,29 @@ def drift_decisions(diff: DataFrame) -> DataFrame:
                        risk.alias("risk_level"))
 
 
-def drift_severity(log: DataFrame, diff: DataFrame) -> DataFrame:
-    """SD2: per batch the maximum severity: NONE < LOW (only new nullable
-    columns) < HIGH (type widening) < BREAKING (removed column or narrowing).
-    New columns inferred from data are nullable, hence LOW."""
-    sev = (F.when(F.col("change") == "new", 1)
+def drift_severity(changes: DataFrame) -> DataFrame:
+    """SD2: per batch the maximum severity: NONE < LOW (only new nullable columns) < HIGH (type widening)
+    < BREAKING (removed column or narrowing). New columns inferred from data are nullable, hence LOW.
+    ``changes``: schema_changes(), which has every batch."""
+    sev = (F.when(F.col("change").isNull(), 0)
+            .when(F.col("change") == "new", 1)
             .when(F.col("change") == "removed", 3)
             .when(is_widening(F.col("expected_type"), F.col("actual_type")), 2)
             .otherwise(3))
-    per = diff.groupBy("batch_id").agg(F.max(sev).alias("rank"),
-                                       F.count_if(F.col("change") == "new").cast("bigint").alias("new_columns"),
-                                       F.count_if(F.col("change") == "removed").cast("bigint").alias("removed_columns"),
-                                       F.count_if(F.col("change") == "type_changed").cast("bigint")
-                                        .alias("type_changes"))
-    batches = log.select("batch_id").distinct()
+    per = changes.groupBy("batch_id").agg(F.max(sev).alias("rank"), *[
+        F.count_if(F.col("change") == kind).cast("bigint").alias(name)
+        for kind, name in (("new", "new_columns"), ("removed", "removed_columns"), ("type_changed", "type_changes"))])
     names = F.array(*[F.lit(k) for k, _ in sorted(SEVERITY_RANK.items(), key=lambda kv: kv[1])])
-    out = batches.join(per, "batch_id", "left").na.fill(0, ["rank", "new_columns", "removed_columns", "type_changes"])
-    return out.select("batch_id", F.element_at(names, F.col("rank") + 1).alias("drift_severity"),
-                      "new_columns", "removed_columns", "type_changes",
-                      (F.col("rank") > 0).alias("has_drift"))
+    return per.select("batch_id", F.element_at(names, F.col("rank") + 1).alias("drift_severity"),
+                      "new_columns", "removed_columns", "type_changes", (F.col("rank") > 0).alias("has_drift"))
 
 
 def apply_evolution(df: DataFrame, decisions: dict[str, str]) -> DataFrame:
-    """SD4: apply per-column decisions to data: DROP_SILENTLY drops,
-    FLAG_ANOMALY adds ``<col>_anomaly`` = value is null, others keep."""
-    out = df
-    for c, action in decisions.items():
-        if action == "DROP_SILENTLY" and c in out.columns:
-            out = out.drop(c)
-        elif action == "FLAG_ANOMALY" and c in out.columns:
-            out = out.withColumn(f"{c}_anomaly", F.col(c).isNull())
-    return out
+    """SD4: the decisions as one projection: DROP_SILENTLY columns are left out, each FLAG_ANOMALY column
+    gets ``<col>_anomaly`` = value is null, the others stay."""
+    kept = [F.col(c) for c in df.columns if decisions.get(c) != "DROP_SILENTLY"]
+    flags = [F.isnull(c).alias(f"{c}_anomaly") for c in df.columns if decisions.get(c) == "FLAG_ANOMALY"]
+    return df.select(*kept, *flags)
 
 
 def migrate_version(df: DataFrame, add=(), rename=None, drop=()) -> DataFrame:
@@ -204,18 +192,30 @@ def migrate_version(df: DataFrame, add=(), rename=None, drop=()) -> DataFrame:
     return df.drop(*drop) if drop else df
 
 
-def handle_drift_report(feed: DataFrame, expected: dict) -> DataFrame:
-    """SD5: detect -> decide per batch; batches with a HALT decision are held
-    back, the rest applied. One row per batch: rows, outcome, flagged columns."""
-    log = infer_schema_log(feed)
-    dec = drift_decisions(schema_diff(log, expected))
+def column_actions(decisions: DataFrame) -> dict[str, str]:
+    """The decision per column over all batches, as wide as the schema: FLAG_ANOMALY beats ADD_TO_SCHEMA; HALT
+    is a matter of the batch. The evolved schema depends on the data, so it is known before the plan is."""
+    rows = (decisions.where(F.col("action") != "HALT").groupBy("column_name")
+            .agg(F.max(F.col("action") == "FLAG_ANOMALY").alias("flag")).collect())
+    return {r.column_name: "FLAG_ANOMALY" if r.flag else "ADD_TO_SCHEMA" for r in rows}
+
+
+def handle_drift(feed: DataFrame, expected: dict) -> tuple[DataFrame, DataFrame]:
+    """SD5: detect -> decide -> apply. Batches with a HALT decision are held back, the rest evolved.
+
+    Returns the report (per batch: rows, outcome, flagged columns) and the evolved rows of the applied
+    batches. The decisions are written once; both come from them.
+    """
+    from ledgerlake.session import materialize
+    dec = materialize(drift_decisions(schema_diff(infer_schema_log(feed), expected)), "drift-decisions")
     sev = dec.groupBy("batch_id").agg(F.max(F.when(F.col("action") == "HALT", 1).otherwise(0)).alias("halt"),
                                       F.count_if(F.col("action") == "FLAG_ANOMALY").cast("bigint").alias("flagged"))
     rows = feed.groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows"))
-    j = rows.join(F.broadcast(sev), "batch_id", "left")
-    return j.select("batch_id", "rows",
-                    F.when(F.coalesce("halt", F.lit(0)) == 1, "HALTED").otherwise("APPLIED").alias("outcome"),
-                    F.coalesce("flagged", F.lit(0).cast("bigint")).alias("flagged_columns"))
+    report = rows.join(sev, "batch_id", "left").select(
+        "batch_id", "rows", F.when(F.coalesce("halt", F.lit(0)) == 1, "HALTED").otherwise("APPLIED").alias("outcome"),
+        F.coalesce("flagged", F.lit(0).cast("bigint")).alias("flagged_columns"))
+    halted = dec.where(F.col("action") == "HALT").select("batch_id").distinct()
+    return report, apply_evolution(feed.join(halted, "batch_id", "left_anti"), column_actions(dec))
 
 
 def version_diff(versions: dict[str, DataFrame], rename_jaccard: float) -> DataFrame:

@@ -30,6 +30,7 @@ def sql_text_extract(df: DataFrame, text_col: str = "text", out: str = "sql") ->
     Runs on the whole text with built-in regex functions; the stripped text
     is computed once."""
     t = F.col(text_col)
+    # The two fence patterns.
     fenced = F.nullif(F.regexp_extract(t, r"(?s)```sql\s*(.*?)\s*```", 1), F.lit(""))
     bare = F.nullif(F.regexp_extract(t, r"(?is)```\s*(SELECT.*?)\s*```", 1), F.lit(""))
     st = F.col("_stripped")

@@ -178,20 +178,11 @@ def required_columns(log: DataFrame, required: list[str]) -> DataFrame:
                .select("batch_id", F.explode(F.array_except(req, F.col("_cols"))).alias("column_name")))
 
 
-def assert_required(log: DataFrame, required: list[str]) -> None:
-    """Raise when any batch misses a required column (driver sees a few rows at most)."""
-    missing = required_columns(log, required).limit(20).collect()
+def require_columns(columns: list[str], required: list[str]) -> None:
+    """Raise, naming every column that a source lacks."""
+    missing = [c for c in required if c not in columns]
     if missing:
-        raise ValueError("missing required columns: " + ", ".join(f"{r.batch_id}:{r.column_name}" for r in missing))
-
-
-def stage_counts(bronze: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """DQ13: stage row counts from one aggregate (no ``count()`` job per stage)."""
-    valid = F.col(key).isNotNull() & (F.col("amount") >= 0)
-    dedup = F.count_distinct(F.when(valid, F.col(key)))
-    c = bronze.agg(F.count(F.lit(1)).alias("input"), F.count_if(valid).cast("bigint").alias("after_filter"),
-                   dedup.alias("after_dedup"), dedup.alias("after_enrich"), dedup.alias("output"))
-    return c.unpivot([], ["input", "after_filter", "after_dedup", "after_enrich", "output"], "stage", "rows")
+        raise ValueError("missing required columns: " + ", ".join(missing))
 
 
 def null_rates(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -253,12 +244,14 @@ def scorecard(df: DataFrame, columns: list[str], key: str, run_date) -> DataFram
 
 def dirty_labels(bronze: DataFrame, merch: DataFrame, anchor) -> DataFrame:
     """DQ19: per-row array of labels. Duplicate ids come from a grouped count
-    joined back (AQE splits a hot id); null ids never enter that group."""
+    joined back (AQE splits a hot id); rows with a null id can match none and stay out of that join."""
     # derived side: AQE broadcasts it from its real (runtime) size — no extra pass to probe it
     dup = (bronze.where(F.col("transaction_id").isNotNull()).groupBy(F.col("transaction_id").alias("_dk"))
                  .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_dk"))
     m = merch.select(F.col("merchant_id").alias("_mk"))
-    j = bronze.join(dup, bronze.transaction_id == dup._dk, "left").join(m, F.col("merchant_id") == m._mk, "left")
+    named = bronze.where(F.col("transaction_id").isNotNull())
+    unnamed = bronze.where(F.col("transaction_id").isNull()).withColumn("_dk", F.lit(None).cast("string"))
+    j = named.join(dup, named.transaction_id == dup._dk, "left").unionByName(unnamed).join(m, F.col("merchant_id") == m._mk, "left")
     labels = F.array_compact(F.array(
         F.when(F.col("transaction_id").isNull(), F.lit("null_id")),
         F.when(F.col("amount") < 0, F.lit("negative_amount")),
@@ -272,7 +265,9 @@ def dirty_labels(bronze: DataFrame, merch: DataFrame, anchor) -> DataFrame:
 def failure_gate(bronze: DataFrame, threshold_pct: float) -> DataFrame:
     """DQ20: failed share and the decision (HALT above the threshold)."""
     from ledgerlake.functions.scalars import pct
-    bad = F.col("transaction_id").isNull() | (F.col("amount") < 0)
+    # A value that did not cast is null, and a null amount or date is a failure.
+    bad = (F.col("transaction_id").isNull() | F.col("amount").isNull() | (F.col("amount") < 0)
+           | F.col("transaction_date").isNull())
     a = bronze.agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).cast("bigint").alias("failed_rows"))
     p = pct(F.col("failed_rows"), F.col("rows"))
     return a.select("rows", "failed_rows", p.alias("failed_pct"), F.lit(threshold_pct).alias("threshold_pct"),
@@ -305,24 +300,26 @@ def cap_outliers(df: DataFrame, k: float, col: str = "amount") -> DataFrame:
     return df.withColumn(col, F.least(F.col(col), F.lit(k) * mean))
 
 
+def treat(bronze: DataFrame, anchor, k: float) -> DataFrame:
+    """The approved fixes, one after the other: DQ22, DQ23, future dates to the anchor, DQ24 with the untreated mean."""
+    cap = F.lit(k) * bronze.agg(F.avg("amount")).scalar()
+    fixed = fix_nulls(fix_negative_to_zero(bronze), anchor)
+    return (fixed.withColumn("transaction_date", F.least("transaction_date", F.lit(anchor)))
+                 .withColumn("amount", F.least(F.col("amount"), cap)))
+
+
 def treatment_before_after(bronze: DataFrame, anchor, k: float) -> DataFrame:
-    """DQ21: counts per issue before and after the fixes, in one aggregate."""
-    mean = bronze.agg(F.avg("amount")).scalar()
-    fixed_amt = F.greatest(F.col("amount"), F.lit(0))
-    capped = F.least(F.col("amount"), F.lit(k) * mean)
-    a = bronze.agg(
-        F.count_if(F.col("amount") < 0).alias("neg_b"), F.count_if(fixed_amt < 0).alias("neg_a"),
-        F.count_if(F.col("transaction_id").isNull()).alias("null_b"),
-        F.count_if(F.coalesce("transaction_id", F.lit("UNKNOWN")).isNull()).alias("null_a"),
-        F.count_if(F.col("transaction_date") > F.lit(anchor)).alias("fut_b"),
-        F.count_if(F.least("transaction_date", F.lit(anchor)) > F.lit(anchor)).alias("fut_a"),
-        F.count_if(F.col("amount") > F.lit(k) * mean).alias("out_b"),
-        F.count_if(capped > F.lit(k) * mean).alias("out_a"))
-    rows = [F.struct(F.lit(n).alias("issue"), F.col(b).cast("bigint").alias("before_count"),
-                     F.col(x).cast("bigint").alias("after_count"))
-            for n, b, x in (("negative_amount", "neg_b", "neg_a"), ("null_id", "null_b", "null_a"),
-                            ("future_date", "fut_b", "fut_a"), ("outlier", "out_b", "out_a"))]
-    return a.select(F.inline(F.array(*rows)))
+    """DQ21: rows per issue in the untreated and in the treated rows, by the same tests."""
+    cap = F.lit(k) * bronze.agg(F.avg("amount")).scalar()
+    issues = {"negative_amount": F.col("amount") < 0,
+              "null_id": F.col("transaction_id").isNull(),
+              "future_date": F.col("transaction_date") > F.lit(anchor),
+              "outlier": F.col("amount") > cap}
+
+    def counts(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(*[F.count_if(test).cast("bigint").alias(i) for i, test in issues.items()]).unpivot([], list(issues), "issue", name)
+
+    return counts(bronze, "before_count").join(counts(treat(bronze, anchor, k), "after_count"), "issue")
 
 
 def domain_violations(bronze: DataFrame, merch: DataFrame, anchor, method_limit) -> DataFrame:
@@ -343,20 +340,27 @@ def domain_violations(bronze: DataFrame, merch: DataFrame, anchor, method_limit)
 
 
 def realism(orders: DataFrame, split_date) -> DataFrame:
-    """DQ28: compare two halves of a table column by column; one grouped pass."""
+    """DQ28: compare two halves of a table: mean, cardinality, null rate, and the distance of the value
+    distributions of a category (half the sum of the differences of its shares)."""
     h = orders.withColumn("is_real", F.col("o_orderdate").cast("date") < F.lit(split_date))
     m = h.groupBy("is_real").agg(F.avg("o_totalprice").alias("mean_price"),
                                  F.count_distinct("o_custkey").alias("card_customers"),
+                                 F.count(F.lit(1)).alias("rows"),
                                  (F.count_if(F.col("o_orderpriority").isNull()) / F.count(F.lit(1))).alias("null_rate"))
     w = m.agg(*[F.max(F.when(F.col("is_real") == flag, F.col(c))).alias(f"{p}_{c}")
-                for flag, p in ((True, "r"), (False, "s")) for c in ("mean_price", "card_customers", "null_rate")])
+                for flag, p in ((True, "r"), (False, "s")) for c in ("mean_price", "card_customers", "rows", "null_rate")])
+    by_value = h.groupBy("o_orderpriority").agg(F.count_if(F.col("is_real")).alias("_r"), F.count_if(~F.col("is_real")).alias("_s"))
+    total = by_value.agg(F.sum("_r").alias("r"), F.sum("_s").alias("s"))
+    distance = by_value.agg(F.sum(F.abs(F.col("_r") / total.select("r").scalar() - F.col("_s") / total.select("s").scalar())) / 2)
+    w = w.withColumn("dist", distance.scalar())
     dm = F.least(F.lit(1.0), F.abs(F.col("s_mean_price") - F.col("r_mean_price")) / F.col("r_mean_price"))
     dc = F.least(F.lit(1.0), F.abs(F.col("s_card_customers") - F.col("r_card_customers")) / F.col("r_card_customers"))
     return w.select(round2("r_mean_price").alias("real_mean"), round2("s_mean_price").alias("synthetic_mean"),
                     F.col("r_card_customers").alias("real_customers"),
                     F.col("s_card_customers").alias("synthetic_customers"),
                     round2("r_null_rate", 6).alias("real_null_rate"), round2("s_null_rate", 6).alias("synthetic_null_rate"),
-                    round2((F.lit(1) - dm) * 50 + (F.lit(1) - dc) * 50, 2).alias("realism_score"))
+                    round2("dist", 6).alias("priority_distance"),
+                    round2((F.lit(1) - dm) * 40 + (F.lit(1) - dc) * 30 + (F.lit(1) - F.col("dist")) * 30, 2).alias("realism_score"))
 
 
 def _merchant_means(enr: DataFrame) -> DataFrame:

@@ -111,7 +111,7 @@ def evaluate_alerts(measures: DataFrame) -> DataFrame:
     rules = [
         alert("data_freshness_exceeded", "CRITICAL", m["freshness_hours"] > s["freshness_hours"],
               m["freshness_hours"], "data older than the freshness limit"),
-        alert("data_quality_below_threshold", "CRITICAL", m["quality_pct"] < s["quality_warn_pct"],
+        alert("data_quality_below_threshold", "CRITICAL", m["quality_pct"] < s["quality_pct"],
               m["quality_pct"], "quality below the SLO"),
         alert("row_count_out_of_bounds", "CRITICAL", m["days_out_of_bounds"] > 0, m["days_out_of_bounds"],
               "daily row count outside the bounds"),

@@ -11,12 +11,3 @@ def preview(df: DataFrame, keys: list[str], descending: list[bool], n: int = 20)
     each task keeps its top n, the driver merges n × tasks rows)."""
     order = [F.col(k).desc() if d else F.col(k).asc() for k, d in zip(keys, descending)]
     return df.orderBy(*order).limit(n)
-
-
-def rank_sort(df: DataFrame, rank_col: str, ranks: dict[str, int], then: list) -> DataFrame:
-    """T5: sort by a custom rank of a status column, then further keys."""
-    kv = []
-    for k, v in ranks.items():
-        kv += [F.lit(k), F.lit(v)]
-    r = F.coalesce(F.try_element_at(F.create_map(*kv), F.col(rank_col)), F.lit(len(ranks)))
-    return df.withColumn("_rank", r).orderBy("_rank", *then).drop("_rank")

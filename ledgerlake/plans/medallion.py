@@ -72,6 +72,9 @@ def ingest_bronze(ctx: RunContext, source: str, bronze_path: str) -> DataFrame:
     """L1: CSV -> Bronze: all-string scan (S1), missing source skipped (S8),
     provenance (S2), Parquet partitioned by date (S3)."""
     raw = io.optional_source_scan(ctx.spark, source, io.all_string_schema(LANDING_COLUMNS), header=True)
+    header = io.csv_header(ctx.spark, source)
+    if header is not None:
+        Q.require_columns(header, LANDING_COLUMNS)
     if ctx.run_date is not None:
         raw = raw.where(F.col("transaction_date") == F.lit(str(ctx.run_date)))
     obs = Observation("bronze")
@@ -97,18 +100,23 @@ def typed(bronze: DataFrame) -> DataFrame:
 
 def transform_silver(ctx: RunContext, bronze_path: str, merch: DataFrame, silver_path: str) -> DataFrame:
     """L2: Bronze -> Silver: cast (P2), gate (DQ20), filter (P3), dedup (W1),
-    enrich + flag (J1, P10), dynamic overwrite of the dates written (S5)."""
+    enrich + flag (J1, P10), dynamic overwrite of the dates written (S5). Below the gate, rows that
+    fail a rule or a cast go to the quarantine with their reason (S13): input = filtered + rejected."""
     b = typed(read_bronze(ctx, bronze_path))
     gate = Q.enforce_gate(Q.failure_gate(b, GATE_PCT))          # one aggregate; raises on HALT
     ctx.counts["gate_failed_pct"] = gate["failed_pct"]
     obs = Observation("silver")
-    filtered = FR.silver_rules(b).observe(obs, F.count(F.lit(1)).alias("after_filter"))
+    kept, rejects = io.quarantine_split(b)
+    filtered = kept.observe(obs, F.count(F.lit(1)).alias("after_filter"))
     silver = FR.enrich(FR.dedup_latest(filtered).drop("rn"), merch)
     obs_out = Observation("silver_out")
     silver = silver.observe(obs_out, F.count(F.lit(1)).alias("output"))
     io.write_partitioned(silver, silver_path, "transaction_date")
     ctx.counts.update(obs.get)
     ctx.counts.update(obs_out.get)
+    obs_bad = Observation("quarantine")
+    rejects.observe(obs_bad, F.count(F.lit(1)).alias("rejected")).write.mode("overwrite").parquet(ctx.path("quarantine"))
+    ctx.counts.update(obs_bad.get)
     return read_silver(ctx, silver_path)
 
 
@@ -155,6 +163,22 @@ def run_medallion(ctx: RunContext, t) -> DataFrame:
     return out
 
 
+def stage_counts(bronze: DataFrame, merch: DataFrame) -> DataFrame:
+    """DQ13: rows of each stage, observed where the stage stands while one job runs through all of them. A join
+    that lost or multiplied rows would show."""
+    stages = ["input", "after_cast", "after_filter", "after_dedup", "after_enrich", "output"]
+    seen = {s: Observation(s) for s in stages}
+
+    def watch(df: DataFrame, stage: str) -> DataFrame:
+        return df.observe(seen[stage], F.count(F.lit(1)).alias("rows"))
+
+    cast = watch(watch(bronze, "input").where(F.col("amount").isNotNull() & F.col("transaction_date").isNotNull()), "after_cast")
+    one = watch(FR.dedup_latest(watch(FR.silver_rules(cast), "after_filter")), "after_dedup")
+    out = watch(watch(FR.enrich(one, merch), "after_enrich").drop("rn"), "output")
+    out.write.format("noop").mode("overwrite").save()
+    return bronze.sparkSession.createDataFrame([(s, int(seen[s].get["rows"])) for s in stages], "stage string, rows bigint")
+
+
 def stg_transactions(bronze: DataFrame, test_prefix: str = "TEST_") -> DataFrame:
     """The staging model — business names, explicit casts, lower-case
     status (staging only, X11), literal-prefix exclusion (X13), surrogate key."""

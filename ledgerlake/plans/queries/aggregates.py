@@ -555,6 +555,21 @@ def verified_query(t):
     return model.verified("merchant_performance_summary")
 
 
+@query("verified_revenue_by_merchant", f"""
+SELECT merchant_name, {REV_SQL} AS revenue_usd FROM enr WHERE quality_flag = 'CLEAN' GROUP BY merchant_name""")
+def verified_revenue_by_merchant(t):
+    """The stored query for revenue by merchant."""
+    return S.payments_model(t).verified("revenue_by_merchant")
+
+
+@query("verified_failure_rate_by_method", f"""
+SELECT payment_method, COUNT(*) AS total, {FAILED_SQL} AS failed, {FAIL_SQL} AS failure_rate_pct
+FROM silver GROUP BY payment_method""")
+def verified_failure_rate_by_method(t):
+    """The stored query for the failure rate of each payment method."""
+    return S.payments_model(t).verified("failure_rate_by_payment_method")
+
+
 @query("mart_merchant_kpis", f"""
 SELECT merchant_id, merchant_name, category, city, {REV_SQL} AS total_revenue, COUNT(*) AS total_transactions,
        {FAILED_SQL} AS failed_transactions, {FAIL_SQL} AS failure_rate_pct,

@@ -91,8 +91,7 @@ SELECT b.batch_id, (['NONE', 'LOW', 'HIGH', 'BREAKING'])[COALESCE(r.rank, 0) + 1
 FROM (SELECT DISTINCT batch_id FROM log) b LEFT JOIN r ON b.batch_id = r.batch_id""", frames=False)
 def drift_severity(t):
     """SD2: NONE / LOW / HIGH / BREAKING per batch; the maximum wins."""
-    log, diff = _diff(t)
-    return SD.drift_severity(log, diff)
+    return SD.drift_severity(SD.schema_changes(SD.infer_schema_log(SD.raw_feed(t.orders)), SD.EXPECTED_FEED_SCHEMA))
 
 
 NUMERIC = "(" + ", ".join(f"'{x}'" for x in SD.NUMERIC_TYPES) + ")"
@@ -117,27 +116,26 @@ def drift_decisions(t):
     return SD.drift_decisions(_diff(t)[1])
 
 
-def _column_actions(t) -> dict[str, str]:
-    """Decisions per column over all batches (bounded by the schema width):
-    FLAG_ANOMALY beats ADD_TO_SCHEMA; HALT is handled per batch by SD5."""
-    dec = SD.drift_decisions(_diff(t)[1]).where(F.col("action") != "HALT")
-    rows = (dec.groupBy("column_name").agg(F.max(F.when(F.col("action") == "FLAG_ANOMALY", 1).otherwise(0)).alias("f"))
-               .collect())
-    return {r.column_name: ("FLAG_ANOMALY" if r.f else "ADD_TO_SCHEMA") for r in rows}
+FEED_OUT = ["batch_id", *SD.FEED_COLUMNS]
 
 
 @query("apply_evolution", f"""
-SELECT batch_id, transaction_id, amount, discount_amount, discount_amount IS NULL AS discount_amount_anomaly,
-       payment_gateway, refund_flag
+SELECT {', '.join(FEED_OUT)}, discount_amount IS NULL AS discount_amount_anomaly
 FROM {FEED_SQL} f""", frames=False)
 def apply_evolution(t):
     """SD4: the feed with the decisions applied — new numeric columns get an
     ``<col>_anomaly`` flag, new string/boolean columns and widened types are
     kept; nothing is dropped silently."""
-    acts = _column_actions(t)
-    out = SD.apply_evolution(SD.raw_feed(t.orders), acts)
-    return out.select("batch_id", "transaction_id", "amount", "discount_amount", "discount_amount_anomaly",
-                      "payment_gateway", "refund_flag")
+    return SD.apply_evolution(SD.raw_feed(t.orders), SD.column_actions(SD.drift_decisions(_diff(t)[1]))).select(
+        *FEED_OUT, "discount_amount_anomaly")
+
+
+@query("handle_drift_rows", DECISION_SQL + f"""
+SELECT {', '.join('f.' + c for c in FEED_OUT)}, f.discount_amount IS NULL AS discount_amount_anomaly
+FROM {FEED_SQL} f WHERE f.batch_id NOT IN (SELECT batch_id FROM dec WHERE action = 'HALT')""", frames=False)
+def handle_drift_rows(t):
+    """SD5: the evolved rows of the batches that were not held back."""
+    return SD.handle_drift(SD.raw_feed(t.orders), SD.EXPECTED_FEED_SCHEMA)[1].select(*FEED_OUT, "discount_amount_anomaly")
 
 
 @query("handle_drift", DECISION_SQL + f"""
@@ -150,7 +148,7 @@ FROM rows r LEFT JOIN sev s ON r.batch_id = s.batch_id""", frames=False)
 def handle_drift(t):
     """SD5: detect -> decide -> apply per batch: a batch with a HALT decision
     (a removed column) is held back; others are applied. Report per batch."""
-    return SD.handle_drift_report(SD.raw_feed(t.orders), SD.EXPECTED_FEED_SCHEMA)
+    return SD.handle_drift(SD.raw_feed(t.orders), SD.EXPECTED_FEED_SCHEMA)[0]
 
 
 VERSION_SQL_LOG = """

@@ -122,9 +122,8 @@ def measures(t):
     q = O.quality_pct(FR.bronze_frame(t), FR.merch_frame(t), S["quality_pct"]).select("quality_pct")
     daily = O.daily_rows(enr)
     r = F.col("rows")
-    blo, bhi = BLO, BHI
     near = (r >= LO) & (r <= HI) & ((r <= LO * (1 + NEAR / 100)) | (r >= HI * (1 - NEAR / 100)))
-    day_stats = daily.agg(F.count_if(~((r >= blo) & (r <= bhi))).alias("oob"), F.count_if(near).alias("near"))
+    day_stats = daily.agg(F.count_if(~((r >= LO) & (r <= HI))).alias("oob"), F.count_if(near).alias("near"))
     rt = O.runtime_slo(O.run_runtimes(t.events), S["runtime_minutes"]).agg(F.max("runtime_minutes"))
     perf = A.merchant_performance_total(enr)
     spikes = perf.where(F.col("failure_rate_pct") > S["failure_rate_spike_pct"]).agg(F.count(F.lit(1)))
@@ -139,7 +138,7 @@ def measures(t):
 MEASURES_SQL = f"""m AS (SELECT
   (SELECT {round_sql(_hours_sql('MAX(ts)', EVENTS_NOW))} FROM events) AS freshness_hours,
   (SELECT {pct_sql('good_rows', 'rows')} FROM {QUALITY_SQL} q) AS quality_pct,
-  (SELECT COUNT(*) FILTER (WHERE NOT (rows >= {BLO} AND rows <= {BHI})) FROM {DAILY_ROWS_SQL} d) AS days_out_of_bounds,
+  (SELECT COUNT(*) FILTER (WHERE NOT (rows >= {LO} AND rows <= {HI})) FROM {DAILY_ROWS_SQL} d) AS days_out_of_bounds,
   (SELECT MAX({round_sql(RUNTIME_SQL)}) FROM {RUNS_SQL} r) AS max_runtime_minutes,
   (SELECT COUNT(*) FROM {PERF_SQL} p WHERE failure_rate_pct > {S['failure_rate_spike_pct']}) AS spiking_merchants,
   (SELECT COUNT(*) FROM (SELECT payment_method FROM ord WHERE payment_method IS NOT NULL GROUP BY 1
@@ -150,7 +149,7 @@ MEASURES_SQL = f"""m AS (SELECT
 RULES_SQL = [
     ("data_freshness_exceeded", "CRITICAL", f"freshness_hours > {S['freshness_hours']}", "freshness_hours",
      "data older than the freshness limit"),
-    ("data_quality_below_threshold", "CRITICAL", f"quality_pct < {S['quality_warn_pct']}", "quality_pct",
+    ("data_quality_below_threshold", "CRITICAL", "quality_pct < 99.9", "quality_pct",
      "quality below the SLO"),
     ("row_count_out_of_bounds", "CRITICAL", "days_out_of_bounds > 0", "days_out_of_bounds",
      "daily row count outside the bounds"),

@@ -14,6 +14,8 @@ from ledgerlake.operators import aggregates as A
 from ledgerlake.plans import frames as FR
 from ledgerlake.plans import medallion as M
 from ledgerlake.plans.catalog import query
+from ledgerlake.plans.oracle import round_sql
+from ledgerlake.plans.queries.aggregates import FAIL_SQL, REV_SQL
 from ledgerlake.session import scratch_path
 from ledgerlake.sources import io
 
@@ -176,14 +178,31 @@ def key_conflict_check(t):
     return io.key_conflicts(batch, target, "transaction_id")
 
 
-@query("quarantine_split", """
-SELECT transaction_id, CAST(amount AS DOUBLE) AS amount,
-       CASE WHEN transaction_id IS NULL THEN 'null_id' WHEN amount < 0 THEN 'negative_amount' END AS reject_reason
-FROM bronze WHERE transaction_id IS NULL OR amount < 0""")
+REASON_SQL = """CASE WHEN transaction_id IS NULL THEN 'null_id' WHEN amount IS NULL THEN 'bad_amount'
+            WHEN amount < 0 THEN 'negative_amount' WHEN transaction_date IS NULL THEN 'bad_date' END"""
+
+
+@query("quarantine_split", f"""
+SELECT transaction_id, CAST(amount AS DOUBLE) AS amount, tie1, {REASON_SQL} AS reject_reason FROM bronze""")
 def quarantine_split(t):
-    """Rows failing the rules go to a rejects frame with a reason."""
-    _, rejects = io.quarantine_split(FR.bronze_frame(t))
-    return rejects.select("transaction_id", F.col("amount").cast("double").alias("amount"), "reject_reason")
+    """Rows failing the rules go to a rejects frame with a reason; both halves, kept and rejected, are the input."""
+    kept, rejects = io.quarantine_split(FR.bronze_frame(t))
+    both = kept.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(rejects)
+    return both.select("transaction_id", F.col("amount").cast("double").alias("amount"), "tie1", "reject_reason")
+
+
+@query("quarantine_bad_casts", f"""
+WITH b AS (SELECT transaction_id, CASE WHEN tie1 % 41 <> 0 THEN amount END AS amount,
+                  CASE WHEN tie1 % 43 <> 0 THEN transaction_date END AS transaction_date FROM bronze)
+SELECT COALESCE({REASON_SQL}, 'kept') AS outcome, COUNT(*) AS rows FROM b GROUP BY 1""")
+def quarantine_bad_casts(t):
+    """S13 over a landing with amounts and dates that don't cast: they are rejected with a reason, none is lost."""
+    raw = FR.bronze_frame(t).select(*[F.col(c).cast("string").alias(c) for c in M.LANDING_COLUMNS])
+    dirty = raw.withColumns({"amount": F.when(F.col("tie1") % 41 == 0, "N/A").otherwise(F.col("amount")),
+                             "transaction_date": F.when(F.col("tie1") % 43 == 0, "soon").otherwise(F.col("transaction_date"))})
+    kept, rejects = io.quarantine_split(M.typed(dirty))
+    both = kept.select(F.lit("kept").alias("outcome")).unionAll(rejects.select("reject_reason"))
+    return both.groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"))
 
 
 # ---- pipelines (§2.15) ----
@@ -215,21 +234,29 @@ def transform_silver(t):
     return s.select(*[c.strip() for c in ENR_OUT.split(",")])
 
 
-@query("run_gold", """
-SELECT 'merchant_performance' AS table_name, COUNT(*) AS rows FROM (SELECT 1 FROM enr GROUP BY merchant_id, merchant_name, category, city, transaction_date) x
-UNION ALL SELECT 'customer_ltv', COUNT(DISTINCT customer_id) FROM enr WHERE status = 'COMPLETED'
-UNION ALL SELECT 'daily_summary', COUNT(DISTINCT transaction_date) FROM enr""")
+@query("run_gold", f"""
+SELECT 'merchant_performance' AS table_name, CAST(merchant_id AS VARCHAR) || ' ' || CAST(transaction_date AS VARCHAR) AS key,
+       {REV_SQL} AS revenue, COUNT(*) AS txns, {FAIL_SQL} AS rate_or_mean
+FROM enr GROUP BY merchant_id, merchant_name, category, city, transaction_date
+UNION ALL SELECT 'customer_ltv', CAST(customer_id AS VARCHAR), {REV_SQL}, COUNT(*), {round_sql('AVG(amount)', 2)}
+FROM enr WHERE status = 'COMPLETED' GROUP BY customer_id
+UNION ALL SELECT 'daily_summary', CAST(transaction_date AS VARCHAR), {REV_SQL}, COUNT(*), {FAIL_SQL} FROM enr GROUP BY transaction_date""")
 def run_gold(t):
-    """L3: Silver -> the three Gold tables; rows per table read back."""
+    """L3: Silver -> the three Gold tables; their rows as read back."""
     ctx = _ctx(t)
     src = M.land_feed(t, ctx.path("landing"))
     M.ingest_bronze(ctx, src, ctx.path("bronze"))
     M.transform_silver(ctx, ctx.path("bronze"), FR.merch_frame(t), ctx.path("silver"))
     paths = M.run_gold(ctx, ctx.path("silver"), ctx.path("gold"))
+    day = F.col("report_date").cast("date").cast("string")
+    columns = {"merchant_performance": (F.concat_ws(" ", F.col("merchant_id").cast("string"), day), "total_revenue", "txn_count", "failure_rate_pct"),
+               "customer_ltv": (F.col("customer_id").cast("string"), "total_spent", "total_txns", "avg_txn_value"),
+               "daily_summary": (day, "total_revenue", "total_txns", "failure_rate_pct")}
     out = None
-    for name, p in paths.items():
-        c = t.spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
-        out = c if out is None else out.unionByName(c)
+    for name, (key, revenue, txns, rate) in columns.items():
+        c = t.spark.read.parquet(paths[name]).select(F.lit(name).alias("table_name"), key.alias("key"), F.col(revenue).alias("revenue"),
+                                                     F.col(txns).alias("txns"), F.col(rate).alias("rate_or_mean"))
+        out = c if out is None else out.unionAll(c)
     return out
 
 
@@ -276,39 +303,52 @@ def incremental_load(t):
     return target.groupBy("load").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("fact_check_pack", """
+@query("fact_check_pack", f"""
 WITH p AS (SELECT merchant_id, COALESCE(merchant_name, '') AS merchant_name, COALESCE(category, '') AS category,
-                  COUNT(*) AS txn_count,
-                  CAST(ROUND(CAST(100.0 * COUNT(*) FILTER (WHERE status = 'FAILED') / COUNT(*) AS DECIMAL(38,8)), 2) AS DOUBLE) AS rate
-           FROM enr GROUP BY 1, 2, 3),
-d AS (SELECT transaction_date, COUNT(*) AS n FROM enr GROUP BY 1)
-SELECT 'revenue_trend' AS query_name, COUNT(*) AS rows FROM d
-UNION ALL SELECT 'top_merchants', COUNT(*) FROM p
-UNION ALL SELECT 'failure_rate', COUNT(*) FROM p WHERE rate > 0
-UNION ALL SELECT 'category_revenue', COUNT(DISTINCT category) FROM p
-UNION ALL SELECT 'sample_size_check', COUNT(*) FROM d
-UNION ALL SELECT 'day_merchant_anomaly', COUNT(*) FROM enr e JOIN p ON e.merchant_id = p.merchant_id""")
+                  {REV_SQL} AS rev, COUNT(*) AS n, {FAIL_SQL} AS rate FROM enr GROUP BY 1, 2, 3),
+d AS (SELECT transaction_date AS day, {REV_SQL} AS rev, COUNT(*) AS n FROM enr GROUP BY 1)
+SELECT 'revenue_trend' AS query_name, CAST(day AS VARCHAR) AS label, rev AS revenue, n AS txns, CAST(NULL AS DOUBLE) AS measure,
+       CAST(NULL AS VARCHAR) AS note FROM d
+UNION ALL SELECT 'top_merchants', merchant_name, rev, n, rate, NULL FROM p
+UNION ALL SELECT 'failure_rate', merchant_name, NULL, n, rate, CAST(CAST(ROUND(n * rate / 100) AS BIGINT) AS VARCHAR) || ' failed' FROM p WHERE rate > 0
+UNION ALL SELECT 'category_revenue', category, {round_sql('SUM(rev)', 2)}, CAST(SUM(n) AS BIGINT), {round_sql('AVG(rev)', 2)}, NULL FROM p GROUP BY category
+UNION ALL SELECT 'sample_size_check', CAST(day AS VARCHAR), rev, n, NULL,
+       CASE WHEN n <= 1 THEN 'SINGLE TRANSACTION' WHEN n <= 2 THEN 'TINY SAMPLE' ELSE 'ACCEPTABLE' END FROM d
+UNION ALL SELECT 'day_merchant_anomaly', merchant_name, d.rev, d.n, p.rev, CAST(d.day AS VARCHAR)
+FROM enr e JOIN d ON e.transaction_date = d.day JOIN (SELECT merchant_id, rev FROM p) p ON e.merchant_id = p.merchant_id
+WHERE d.day = DATE '{RUN_DATE}'""".replace("day_merchant_anomaly', merchant_name", "day_merchant_anomaly', COALESCE(merchant_name, '')"))
 def fact_check_pack(t):
-    """The six evidence queries run together over one materialised
-    enriched Silver (as the reference runs them over the Silver/Gold tables);
-    rows each returns."""
+    """The six evidence queries over one materialised enriched Silver; their rows, one under the other: label,
+    revenue, transactions, a measure (failure rate, mean revenue per merchant, the merchant's total) and a note."""
+    from ledgerlake.functions.scalars import round2
     from ledgerlake.session import materialize
     enr = materialize(FR.enr_frame(t), "enr")
-    daily = A.daily_summary(enr)
-    perf = A.merchant_performance_total(enr)
-    gm = perf.select(F.col("merchant_id").alias("gm_id"), F.col("total_revenue").alias("merchant_total"))
-    e = enr.select("transaction_id", "transaction_date", F.col("merchant_id").alias("e_mid"))
-    parts = {"revenue_trend": daily.select("report_date", "total_revenue", "total_txns"),
-             "top_merchants": perf,
-             "failure_rate": perf.where(F.col("failure_rate_pct") > 0),
-             "category_revenue": perf.select("category").distinct(),
-             "sample_size_check": daily,
-             "day_merchant_anomaly": daily.join(e, daily.report_date == e.transaction_date)
-                                          .join(gm, F.col("e_mid") == gm.gm_id)}
-    out = None
-    for name, df in parts.items():
-        c = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("query_name"), "rows")
-        out = c if out is None else out.unionByName(c)
+    daily = materialize(A.daily_summary(enr), "daily")
+    perf = materialize(A.merchant_performance_total(enr), "perf")
+    none, day = F.lit(None), F.col("report_date").cast("string")
+
+    def rows(name, df, label, revenue=none, txns=none, measure=none, note=none):
+        return df.select(F.lit(name).alias("query_name"), label.alias("label"), revenue.cast("double").alias("revenue"),
+                         txns.cast("bigint").alias("txns"), measure.cast("double").alias("measure"), note.cast("string").alias("note"))
+
+    c = F.col
+    failed = F.concat(F.round(c("txn_count") * c("failure_rate_pct") / 100).cast("bigint").cast("string"), F.lit(" failed"))
+    size = (F.when(c("total_txns") <= 1, "SINGLE TRANSACTION").when(c("total_txns") <= 2, "TINY SAMPLE").otherwise("ACCEPTABLE"))
+    category = perf.groupBy("category").agg(round2(F.sum("total_revenue")).alias("rev"), F.sum("txn_count").alias("n"),
+                                            round2(F.avg("total_revenue")).alias("mean"))
+    peak = (daily.where(c("report_date") == F.lit(RUN_DATE))
+            .join(enr.select("transaction_date", "merchant_id").where(c("transaction_date") == F.lit(RUN_DATE)),
+                  c("report_date") == c("transaction_date"))
+            .join(perf.select("merchant_id", "merchant_name", c("total_revenue").alias("merchant_total")), "merchant_id"))
+    parts = [rows("revenue_trend", daily, day, c("total_revenue"), c("total_txns")),
+             rows("top_merchants", perf, c("merchant_name"), c("total_revenue"), c("txn_count"), c("failure_rate_pct")),
+             rows("failure_rate", perf.where(c("failure_rate_pct") > 0), c("merchant_name"), none, c("txn_count"), c("failure_rate_pct"), failed),
+             rows("category_revenue", category, c("category"), c("rev"), c("n"), c("mean")),
+             rows("sample_size_check", daily, day, c("total_revenue"), c("total_txns"), none, size),
+             rows("day_merchant_anomaly", peak, c("merchant_name"), c("total_revenue"), c("total_txns"), c("merchant_total"), day)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionAll(part)
     return out
 
 

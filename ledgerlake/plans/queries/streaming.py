@@ -11,14 +11,20 @@ from ledgerlake.streaming import jobs as R
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
-@query("stream_bronze_ingest", "SELECT event_id, ts, user_id, event_type, value, props, TRUE AS has_source FROM events",
-       frames=False)
+RUN_ID = "run-0001"
+
+
+@query("stream_bronze_ingest", f"""
+SELECT event_id, ts, user_id, event_type, value, props, TRUE AS has_source, TRUE AS has_time,
+       '{RUN_ID}' AS pipeline_run_id FROM events""", frames=False)
 def stream_bronze_ingest(t):
-    """New event files -> Bronze with the source file recorded."""
+    """The events arrive in four files, taken two at a time -> Bronze with source file, ingest
+    time and run id."""
     p = R.paths(t.spark, "stream_ingest")
-    R.land_event_files(t.events, p["src"])
-    out = R.stream_bronze_ingest(t.spark, p["src"], p["sink"], p["checkpoint"])
-    return out.select(*EVENT_COLS, F.col("source_file").endswith(".parquet").alias("has_source"))
+    R.land_event_files(t.events, p["src"], files=4)
+    out = R.stream_bronze_ingest(t.spark, p["src"], p["sink"], p["checkpoint"], RUN_ID, files_per_trigger=2)
+    return out.select(*EVENT_COLS, F.col("source_file").endswith(".parquet").alias("has_source"),
+                      F.col("ingestion_timestamp").isNotNull().alias("has_time"), "pipeline_run_id")
 
 
 @query("stream_dedup", "SELECT event_id, ts, user_id, event_type, value, props FROM events", frames=False)
@@ -48,12 +54,12 @@ def stream_failure_rate(t):
     return R.stream_failure_rate(t.spark, p["src"], p["sink"], p["checkpoint"])
 
 
-@query("stream_silver_upsert", "SELECT DISTINCT event_id FROM events", frames=False)
+@query("stream_silver_upsert", "SELECT event_id, ts, user_id, event_type, value, props FROM events", frames=False)
 def stream_silver_upsert(t):
-    """Micro-batch insert-if-absent into the Silver target; a replay of the
+    """Micro-batch insert-if-absent into the Silver target, over several batches; a replay of the
     whole feed in a later run (resumed from the checkpoint) adds nothing."""
     p = R.paths(t.spark, "stream_upsert")
+    R.land_event_files(t.events, p["src"], files=4)
+    R.stream_silver_upsert(t.spark, p["src"], p["sink"], p["checkpoint"], files_per_trigger=2)
     R.land_event_files(t.events, p["src"])
-    R.stream_silver_upsert(t.spark, p["src"], p["sink"], p["checkpoint"])
-    R.land_event_files(t.events, p["src"])
-    return R.stream_silver_upsert(t.spark, p["src"], p["sink"], p["checkpoint"]).select("event_id")
+    return R.stream_silver_upsert(t.spark, p["src"], p["sink"], p["checkpoint"]).select(*EVENT_COLS)

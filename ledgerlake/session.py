@@ -41,7 +41,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("LEDGERLAKE_DRIVER_MEM", "16g"))
+    builder = builder.config("spark.driver.memory", os.environ.get("LEDGERLAKE_DRIVER_MEM", "8g"))
     for k, v in (extra_conf or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -65,12 +65,15 @@ def apply_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (tests, a laptop) do we pick a scratch
-    folder ourselves and record it in the session, so every later job reuses it.
+    Only on a local master (tests, a laptop) do we pick a scratch folder ourselves where the
+    setting is absent, and record it in the session, so every later job reuses it. On a cluster a
+    machine-local folder would be another one on each machine, so its absence is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

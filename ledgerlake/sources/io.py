@@ -29,6 +29,16 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
+def csv_header(spark: SparkSession, path: str) -> list[str] | None:
+    """The column names that a header CSV itself has; None if there is no such source."""
+    try:
+        return spark.read.option("header", True).csv(path).columns
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def csv_bronze_scan(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Header CSV read with an explicit all-string schema (no inference pass)."""
     return spark.read.schema(all_string_schema(columns)).option("header", True).csv(path)
@@ -138,19 +148,13 @@ def quarantine_split(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     rejects are two filters of the same labelled frame (kept + rejects = input)."""
     reason = (F.when(F.col("transaction_id").isNull(), "null_id")
                .when(F.col("amount").isNull(), "bad_amount")
-               .when(F.col("amount") < 0, "negative_amount"))
+               .when(F.col("amount") < 0, "negative_amount")
+               .when(F.col("transaction_date").isNull(), "bad_date"))
     labelled = bronze.withColumn("reject_reason", reason)
     return (labelled.where(F.col("reject_reason").isNull()).drop("reject_reason"),
             labelled.where(F.col("reject_reason").isNotNull()))
 
 
-def rows_to_frame(spark: SparkSession, rows: list[dict], ddl: str) -> DataFrame:
-    """S7 (library form): load rows under a declared schema in one call
-    (bulk ``createDataFrame``, never row-wise inserts)."""
-    schema = StructType.fromDDL(ddl)
-    return spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in rows], schema)
-
-
 def load_json_table(spark: SparkSession, source: DataFrame, path: str, ddl: str) -> DataFrame:
     """Rows landed as JSON lines, loaded into a table with a declared schema."""
     source.write.mode("overwrite").json(path)

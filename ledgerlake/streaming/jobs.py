@@ -8,6 +8,7 @@ drains what has arrived and stops, which is how a scheduled job runs these.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +17,11 @@ from ledgerlake.session import scratch_path
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
-def land_event_files(events: DataFrame, path: str) -> str:
-    """Land the event table in the arrival folder (the producer side), with
-    the table's own parallelism — appended, as a producer adds files."""
+def land_event_files(events: DataFrame, path: str, files: int | None = None) -> str:
+    """Land the event table in the arrival folder (the producer side), with the table's own
+    parallelism or in ``files`` files by event time — appended, as a producer adds files."""
+    if files:
+        events = events.repartitionByRange(files, "ts")
     events.write.mode("append").parquet(path)
     return path
 
@@ -36,20 +39,25 @@ def _run(q) -> None:
         raise q.exception()
 
 
-def stream_bronze_ingest(spark: SparkSession, src: str, sink: str, checkpoint: str) -> DataFrame:
-    """New files -> Bronze with provenance (source file, ingest batch time)."""
-    s = _stream(spark, src).withColumn("source_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+def stream_bronze_ingest(spark: SparkSession, src: str, sink: str, checkpoint: str, run_id: str = "run-0001",
+                         files_per_trigger: int | None = None) -> DataFrame:
+    """New files -> Bronze with provenance: source file, time of the micro-batch, run id."""
+    s = (_stream(spark, src, files_per_trigger)
+         .withColumn("source_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+         .withColumn("ingestion_timestamp", F.current_timestamp())
+         .withColumn("pipeline_run_id", F.lit(run_id)))
     q = (s.writeStream.format("parquet").option("checkpointLocation", checkpoint)
           .trigger(availableNow=True).start(sink))
     _run(q)
     return spark.read.parquet(sink)
 
 
-def stream_dedup(spark: SparkSession, src: str, sink: str, checkpoint: str, lateness: str = "1 hour") -> DataFrame:
+def stream_dedup(spark: SparkSession, src: str, sink: str, checkpoint: str, lateness: str = "1 hour",
+                 files_per_trigger: int | None = None) -> DataFrame:
     """R2: drop repeated event ids that arrive within the lateness bound;
     dedup state per id is released once the watermark passes it, and copies
     arriving later than the bound are dropped as late data."""
-    s = (_stream(spark, src)
+    s = (_stream(spark, src, files_per_trigger)
          .withColumn("event_time", F.col("ts").cast("timestamp"))
          .withWatermark("event_time", lateness)
          .dropDuplicatesWithinWatermark(["event_id"]))
@@ -76,7 +84,8 @@ def stream_failure_rate(spark: SparkSession, src: str, sink: str, checkpoint: st
     return spark.read.parquet(sink)
 
 
-def stream_silver_upsert(spark: SparkSession, src: str, target: str, checkpoint: str) -> DataFrame:
+def stream_silver_upsert(spark: SparkSession, src: str, target: str, checkpoint: str,
+                         files_per_trigger: int | None = None) -> DataFrame:
     """Each micro-batch is de-duplicated and inserted only for ids not yet
     in the target (``foreachBatch`` + insert-if-absent), so a replayed batch
     after a failure inserts nothing twice."""
@@ -87,18 +96,22 @@ def stream_silver_upsert(spark: SparkSession, src: str, target: str, checkpoint:
         insert_if_absent(batch, target, "event_id", [F.col("ts"), F.col("event_type"), F.col("value")],
                          first_load=first)
 
-    q = (_stream(spark, src).writeStream.foreachBatch(upsert)
+    q = (_stream(spark, src, files_per_trigger).writeStream.foreachBatch(upsert)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _run(q)
     return spark.read.parquet(target)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table stands there. Only a missing path means no; any other error (storage, rights,
+    a broken file) is raised, or a batch would be taken for the first and inserted twice."""
     try:
-        spark.read.parquet(path).limit(0).collect()
+        spark.read.parquet(path)
         return True
-    except Exception:  # noqa: BLE001
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def paths(spark: SparkSession, name: str) -> dict[str, str]:

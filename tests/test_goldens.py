@@ -103,7 +103,7 @@ def test_schema_drift_golden(spark):
     got = {(r.batch_id, r.change) for r in diff.collect()}
     assert got == {("drifted", "new")}
     assert diff.where("batch_id = 'drifted'").count() == 3
-    sev = {r.batch_id: r.drift_severity for r in SD.drift_severity(log, diff).collect()}
+    sev = {r.batch_id: r.drift_severity for r in SD.drift_severity(SD.schema_changes(log, X.SCHEMA_BRONZE)).collect()}
     assert sev == {"expected": "NONE", "drifted": "LOW"}
     acts = {r.column_name: r.action for r in SD.drift_decisions(diff).collect()}
     assert acts == {"payment_gateway": "ADD_TO_SCHEMA", "discount_amount": "FLAG_ANOMALY",
