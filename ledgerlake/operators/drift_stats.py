@@ -47,25 +47,19 @@ def psi_tv(bins: DataFrame) -> DataFrame:
                                         (F.sum(F.abs(F.col("p_cur") - F.col("p_ref"))) / 2).alias("tv"))
 
 
-def ks_exact(df: DataFrame, ref: str, col: str, buckets: int = 256) -> DataFrame:
+def ks_exact(df: DataFrame, ref: str, col: str) -> DataFrame:
     """Exact two-sample KS statistic of ``col`` between ref and current rows.
 
-    Distinct values (with per-side counts) are cut into quantile buckets —
-    approximate boundaries only decide grouping, the statistic stays exact —
-    so the running sums are spread over up to ``buckets`` tasks even when the
-    values are heavily skewed.
+    Distinct values (with per-side counts) are dealt by range; a value's partition is its bucket, so the
+    running sums are spread over as many tasks as the shuffle has, whatever the values are. The buckets are
+    fixed by writing them once; where their borders lie does not change the statistic.
     """
     from ledgerlake.session import materialize
     v = df.groupBy(F.col(col).cast("decimal(18,2)").alias("x")).agg(
         F.count_if(F.col(ref)).alias("a"), F.count_if(~F.col(ref)).alias("b"))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = v.agg(F.percentile_approx("x", probs, 10000).alias("q")).select("q").scalar()
-    v = (v.withColumn("_q", bounds)
-          .withColumn("bk", F.coalesce(F.size(F.filter(F.col("_q"), lambda q: q < F.col("x"))), F.lit(0)))
-          .drop("_q"))
-    v = materialize(v, "ks_values")            # bucket ids fixed once for both uses below
+    v = materialize(v.repartitionByRange("x").withColumn("bk", F.spark_partition_id()), "ks_values")
     bt = v.groupBy("bk").agg(F.sum("a").alias("ba"), F.sum("b").alias("bb"))
-    ordered = W.orderBy("bk").rowsBetween(W.unboundedPreceding, -1)   # over <= buckets rows
+    ordered = W.orderBy("bk").rowsBetween(W.unboundedPreceding, -1)   # a row per shuffle partition
     allw = W.partitionBy()
     offs = F.broadcast(bt.select("bk", F.coalesce(F.sum("ba").over(ordered), F.lit(0)).alias("off_a"),
                                  F.coalesce(F.sum("bb").over(ordered), F.lit(0)).alias("off_b"),
@@ -79,11 +73,11 @@ def ks_exact(df: DataFrame, ref: str, col: str, buckets: int = 256) -> DataFrame
 
 
 def distribution_drift(df: DataFrame, ref: str, categorical: list[str], numeric: dict[str, float]) -> DataFrame:
-    s = psi_tv(binned_counts(df, ref, categorical, numeric))
-    ks = None
+    none = F.lit(None).cast("double")
+    out = psi_tv(binned_counts(df, ref, categorical, numeric)).withColumn("ks", none)
     for c in numeric:
-        k = ks_exact(df, ref, c)
-        ks = k if ks is None else ks.unionByName(k)
-    out = s.join(ks, "column_name", "left") if ks is not None else s.withColumn("ks", F.lit(None).cast("double"))
+        out = out.unionByName(ks_exact(df, ref, c).select("column_name", none.alias("psi"), none.alias("tv"), "ks"))
+    # A row per column and statistic; they meet by grouping, the columns being few.
+    out = out.groupBy("column_name").agg(*[F.max(m).alias(m) for m in ("psi", "tv", "ks")])
     return out.select("column_name", round2("psi", 6).alias("psi"), round2("tv", 6).alias("total_variation"),
                       round2("ks", 6).alias("ks"), (F.col("psi") > PSI_DRIFT).alias("drifted"))

@@ -51,34 +51,22 @@ def surge_vs_other_days(daily: DataFrame, date_col: str = "report_date", value:
                         round2(F.try_divide((F.col(value) - others) * 100, others)).alias("surge_pct"))
 
 
-def rank_by(df: DataFrame, value: str, out: str = "revenue_rank", buckets: int = 256) -> DataFrame:
+def rank_by(df: DataFrame, value: str, out: str = "revenue_rank") -> DataFrame:
     """Exact ``rank() OVER (ORDER BY value DESC)`` without a key-less window.
 
-    rank = 1 + number of rows with a greater value. Distinct values (with
-    their multiplicity) are cut into at most ``buckets`` quantile buckets
-    (approximate boundaries only decide grouping — the rank stays exact);
-    per-bucket totals give each bucket's offset (a window over <= buckets
-    rows), and the rows above a value inside its bucket come from a window
-    *partitioned by bucket*. Ranks join back to the rows on the value.
+    rank = 1 + number of rows with a greater value. Distinct values (with their multiplicity) are dealt by
+    range, nulls last; a value's partition is its bucket. Per-bucket totals give each bucket's offset (a window
+    over one row per shuffle partition), and the rows above a value inside its bucket come from a window
+    *partitioned by bucket*. Ranks join back to the rows on the value. The rows are computed once.
     """
     from ledgerlake.session import materialize
+    df = materialize(df, "rank_rows")
     v = df.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    if buckets > 1:
-        probs = [i / buckets for i in range(1, buckets)]
-        bounds = v.agg(F.percentile_approx("_v", probs, 10000).alias("b")).select("b").scalar()
-        # bucket 0 holds the largest values: the number of boundaries above the value
-        v = (v.withColumn("_b", bounds)
-              .withColumn("_bk", F.coalesce(F.size(F.filter(F.col("_b"), lambda b: b > F.col("_v"))), F.lit(0)))
-              .drop("_b"))
-    else:
-        v = v.withColumn("_bk", F.lit(0))
-    # nulls rank after every value (ORDER BY ... DESC NULLS LAST): their own, last bucket
-    v = v.withColumn("_bk", F.when(F.col("_v").isNull(), F.lit(buckets)).otherwise(F.col("_bk")))
-    v = materialize(v, "rank_values")
+    v = materialize(v.repartitionByRange(F.col("_v").desc_nulls_last()).withColumn("_bk", F.spark_partition_id()), "rank_values")
     per_bucket = v.groupBy("_bk").agg(F.sum("_c").alias("_bc"))
-    above = W.orderBy("_bk").rowsBetween(W.unboundedPreceding, -1)     # <= buckets rows
+    above = W.orderBy("_bk").rowsBetween(W.unboundedPreceding, -1)     # a row per shuffle partition
     offs = F.broadcast(per_bucket.select("_bk", F.coalesce(F.sum("_bc").over(above), F.lit(0)).alias("_off")))
-    inside = W.partitionBy("_bk").orderBy(F.col("_v").desc()).rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("_bk").orderBy(F.col("_v").desc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
     ranks = (v.join(offs, "_bk")
               .select("_v", (F.lit(1) + F.col("_off") + F.coalesce(F.sum("_c").over(inside), F.lit(0)))
                       .cast("int").alias(out)))

@@ -42,13 +42,14 @@ class RunContext:
     run_ts: dt.datetime
     root: str
     run_date: dt.date | None = None
+    gate_pct: float = GATE_PCT
     counts: dict = field(default_factory=dict)
 
     @classmethod
     def new(cls, spark: SparkSession, run_id: str = "run-0001", run_ts: dt.datetime | None = None,
-            run_date: dt.date | None = None) -> "RunContext":
-        return cls(spark, run_id, run_ts or dt.datetime(2001, 8, 2, 2, 0, 0), scratch_path(spark, "medallion"),
-                   run_date)
+            run_date: dt.date | None = None, gate_pct: float = GATE_PCT, root: str | None = None) -> "RunContext":
+        return cls(spark, run_id, run_ts or dt.datetime(2001, 8, 2, 2, 0, 0), root or scratch_path(spark, "medallion"),
+                   run_date, gate_pct)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -68,6 +69,21 @@ def land_feed(t, path: str) -> str:
     return io.write_csv(b.select(*[F.col(c).cast("string").alias(c) for c in LANDING_COLUMNS]), path)
 
 
+MERCHANT_TYPES = {"merchant_id": "bigint", "merchant_name": "string", "category": "string", "city": "string"}
+
+
+def land_merchants(t, path: str) -> str:
+    """The merchant feed as it lands: header CSV, all strings."""
+    return io.write_csv(FR.merch_frame(t).select(*[F.col(c).cast("string").alias(c) for c in MERCHANT_TYPES]), path)
+
+
+def ingest_merchants(ctx: RunContext, source: str, bronze_path: str) -> DataFrame:
+    """L1 for the dimension: CSV -> Bronze with provenance, replaced as a whole; typed as Silver reads it."""
+    raw = io.optional_source_scan(ctx.spark, source, io.all_string_schema(list(MERCHANT_TYPES)), header=True)
+    io.with_provenance(raw, ctx.run_id, ctx.run_ts).write.mode("overwrite").parquet(bronze_path)
+    return ctx.spark.read.parquet(bronze_path).select(*[F.col(c).try_cast(k).alias(c) for c, k in MERCHANT_TYPES.items()])
+
+
 def ingest_bronze(ctx: RunContext, source: str, bronze_path: str) -> DataFrame:
     """L1: CSV -> Bronze: all-string scan (S1), missing source skipped (S8),
     provenance (S2), Parquet partitioned by date (S3)."""
@@ -103,7 +119,7 @@ def transform_silver(ctx: RunContext, bronze_path: str, merch: DataFrame, silver
     enrich + flag (J1, P10), dynamic overwrite of the dates written (S5). Below the gate, rows that
     fail a rule or a cast go to the quarantine with their reason (S13): input = filtered + rejected."""
     b = typed(read_bronze(ctx, bronze_path))
-    gate = Q.enforce_gate(Q.failure_gate(b, GATE_PCT))          # one aggregate; raises on HALT
+    gate = Q.enforce_gate(Q.failure_gate(b, ctx.gate_pct))          # one aggregate; raises on HALT
     ctx.counts["gate_failed_pct"] = gate["failed_pct"]
     obs = Observation("silver")
     kept, rejects = io.quarantine_split(b)
@@ -148,7 +164,9 @@ def run_medallion(ctx: RunContext, t) -> DataFrame:
     try:
         src = safe_run("land", land_feed, t, ctx.path("landing"))
         safe_run("bronze", ingest_bronze, ctx, src, ctx.path("bronze"))
-        safe_run("silver", transform_silver, ctx, ctx.path("bronze"), FR.merch_frame(t), ctx.path("silver"))
+        merch = safe_run("merchants", ingest_merchants, ctx, safe_run("land", land_merchants, t, ctx.path("landing_merchants")),
+                         ctx.path("bronze_merchants"))
+        safe_run("silver", transform_silver, ctx, ctx.path("bronze"), merch, ctx.path("silver"))
         gold = safe_run("gold", run_gold, ctx, ctx.path("silver"), ctx.path("gold"))
     except StageError as e:
         status, error = "FAILED", str(e)

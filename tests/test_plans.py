@@ -91,3 +91,36 @@ def test_no_cartesian_products(spark, reg):
 def test_table_handles_are_lazy(spark):
     t = Tables(spark, SF_SMALL)
     assert t.orders.columns[0] == "o_orderkey"
+
+
+WRITES = {"parquet_partitioned_write", "partition_pruned_read", "idempotent_overwrite", "run_metadata_sink", "ingest_bronze",
+          "transform_silver", "run_gold", "run_medallion", "run_date_pipeline", "stream_bronze_ingest", "stream_dedup",
+          "stream_failure_rate", "stream_silver_upsert"}
+
+
+@pytest.mark.parametrize("key", sorted(set(load_all()) - WRITES))
+def test_no_product_and_no_single_task_exchange(spark, reg, key):
+    """No key has a product or nested-loop join, and what one task gathers is an aggregate or a few sorted rows."""
+    p = plan(run(spark, reg, key))
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    lines = p.splitlines()
+    for above, below in zip(lines, lines[1:]):
+        if "Exchange SinglePartition" in above:
+            assert re.search(r"HashAggregate|ObjectHashAggregate|SortAggregate|LocalLimit|TakeOrdered|Window|Union", below), below
+
+
+def test_planning_starts_no_job(spark, reg):
+    """Nothing is probed or counted to choose a plan."""
+    context = spark.sparkContext
+    for key in ("total_count", "merchant_performance_total", "inner_equi_join", "promo_attribution_join", "dq_not_null", "semi_join_keys"):
+        context.setJobGroup(f"plan-{key}", key)
+        plan(run(spark, reg, key))
+        assert not context.statusTracker().getJobIdsForGroup(f"plan-{key}"), key
+    context.setJobGroup("tests", "tests")
+
+
+def test_silver_deduplicates_before_the_order_join(spark, reg):
+    p = plan(run(spark, reg, "dedup_latest"))
+    join = next(i for i, line in enumerate(p.splitlines()) if re.search(r"(SortMerge|BroadcastHash|ShuffledHash)Join", line))
+    group = next(i for i, line in enumerate(p.splitlines()) if "Window [" in line)
+    assert group > join  # below it
