@@ -154,10 +154,10 @@ def silver_frame(t: Tables) -> DataFrame:
 
     All repeats of a transaction share its order, and the dedup order is made of item columns, so the
     rows are those of ``dedup_latest(silver_rules(bronze_frame(t)))``; but the join meets only the
-    rows that stay, without the tie-breaks. Dealt by order key, one shuffle of the items serves both.
+    rows that stay. The window is dealt by order and line, not by order alone as the join is: that would save
+    a shuffle, but one hot order would then sit in a single task through both, and AQE could not split the join.
     """
-    items = silver_rules(item_frame(t)).repartition("item_order")
-    one = dedup_latest(items, ["item_order", "item_line"])
+    one = dedup_latest(silver_rules(item_frame(t)), ["item_order", "item_line"])
     return with_order(one, t).withColumn("rn", F.lit(1))
 
 
