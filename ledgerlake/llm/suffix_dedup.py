@@ -10,8 +10,9 @@ suffix array would sort them: grouping is combined before each shuffle and no ta
 The names are refined from coarse to fine, and what a coarse name settles goes no further:
 1. a trigger's window: unless another trigger has it, none of its strings repeats; its whole context
    (all bytes of all strings that it may name): if that repeats, all do;
-2. for one trigger of each context where windows agree but contexts differ: the same with blocks of neighbouring strings;
-3. single strings, where blocks neither agree nor differ throughout.
+2. for one trigger of each context where windows agree but contexts differ: the same with blocks of neighbouring strings,
+   which are known by the bytes that all of them share;
+3. single strings of the blocks that stay open.
 """
 
 from __future__ import annotations
@@ -26,12 +27,11 @@ from pyspark.sql import functions as F
 
 from .common import join_key, key_columns, load, map_arrow, materialize
 
-LENGTH, WINDOW = 200, 24
+LENGTH, WINDOW = 200, 64
 REACH = LENGTH - WINDOW  # a string starts at most this far before its trigger
 WIDTH = REACH + LENGTH
-#: Neighbouring strings in a block, and blocks of a trigger.
-BLOCK = 20
-BLOCKS = REACH // BLOCK + 1
+#: Neighbouring strings in a block, from coarse to fine; each divides the one before.
+BLOCKS = (16, 1)
 #: String starts looked at in one array operation.
 PIECE = 1 << 18
 
@@ -90,10 +90,10 @@ def triggers(data: np.ndarray) -> tuple[np.ndarray, ...]:
         left = max(0, begin - REACH)
         piece = data[left:min(n, end + WIDTH + LENGTH)]
         sums = _sums(piece, 0)
-        starts = np.arange(begin - left, end - left + REACH)
-        names = _between(sums, starts, starts + WINDOW, 0)
+        i, j = begin - left, end - left + REACH  # the windows' starts
+        names = _mixed((sums[i + WINDOW:j + WINDOW] - sums[i:j]) * _INVERSE[0][i:j])
         # The window's name decides, then its place: the last of equal ones.
-        keys = (names & _HIGH32) | (_LOW32 - starts.astype(np.uint64))
+        keys = (names & _HIGH32) | (_LOW32 - np.arange(i, j, dtype=np.uint64))
         chosen = (_LOW32 - (_least(keys, REACH + 1) & _LOW32)).astype(np.int64)
         cuts = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
         if end < n - LENGTH + 1 and len(cuts) > 1:  # the last trigger may go on in the next piece
@@ -160,22 +160,16 @@ class Contexts:
     def name(self, k: int, start: np.ndarray, end: np.ndarray, rows: np.ndarray) -> np.ndarray:
         return _mixed((self.sums[k][rows, end] - self.sums[k][rows, start]) * _INVERSE[k][start])
 
-    def blocks(self, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(rows with a string in this block, name of what all the block's strings share, name of all their bytes)."""
-        near, far = block * BLOCK, min(block * BLOCK + BLOCK - 1, REACH)
-        rows = self.rows[(self.least <= far) & (self.most >= near)]
+    def blocks(self, near: int, size: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(those of the rows that have a string from ``near`` to ``near + size - 1`` bytes before the trigger, name of the bytes
+        that all these strings share, name of all their bytes). One string has two names of the same bytes."""
+        far = min(near + size - 1, REACH)
+        rows = rows[(self.least[rows] <= far) & (self.most[rows] >= near)]
         start, end = np.maximum(REACH - far, REACH - self.left[rows]), np.minimum(REACH - near + LENGTH, REACH + self.right[rows])
         reach = (start << 16 | end).astype(np.uint64)
         shared = self.name(0, np.full(len(rows), REACH - near), np.full(len(rows), REACH - far + LENGTH), rows)
-        return rows, _mixed(shared ^ np.uint64(block)), _mixed(self.name(1, start, end, rows) ^ (reach * _G1))
-
-    def strings(self, block: int, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """(how far before the trigger, rows, two names) of the block's strings in these rows."""
-        for far in range(block * BLOCK, min(block * BLOCK + BLOCK, REACH + 1)):
-            own = rows[(self.least[rows] <= far) & (self.most[rows] >= far)]
-            if len(own):
-                start = np.full(len(own), REACH - far)
-                yield far, own, self.name(0, start, start + LENGTH, own), self.name(1, start, start + LENGTH, own)
+        # Only one place before the trigger can give equal strings, so it is part of the name.
+        return rows, _mixed(shared ^ np.uint64(near << 8 | size)), _mixed(self.name(1, start, end, rows) ^ (reach * _G1))
 
 
 def _settled(rows: DataFrame, coarse: str, fine: str) -> DataFrame:
@@ -184,42 +178,43 @@ def _settled(rows: DataFrame, coarse: str, fine: str) -> DataFrame:
             .filter("_n > 1").select(coarse, (F.col("_a") != F.col("_b")).alias("mixed")))
 
 
-def _block_rows(contexts: DataFrame) -> DataFrame:
+def _block_rows(contexts: DataFrame, size: int, within: int) -> DataFrame:
+    """(context, near, shared, whole): the blocks of ``size`` strings of each context, inside its open blocks of ``within``
+    strings (``open`` lists where they begin) or, where ``within`` is 0, all."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 2048):
                 part = batch.slice(i, 2048)
-                c = Contexts(part)
-                for block in range(BLOCKS):
-                    rows, shared, whole = c.blocks(block)
+                c, bits = Contexts(part), None
+                if within:
+                    bits = part.column("open").to_numpy(zero_copy_only=False)
+                for near in range(0, REACH + 1, size):
+                    rows, shared, whole = c.blocks(near, size, c.rows[bits >> near // within & 1 == 1] if within else c.rows)
                     if len(rows):
-                        take = pa.array(rows)
                         yield pa.RecordBatch.from_arrays(
-                            [part.column(k).take(take) for k in range(3)] + [pa.array(np.full(len(rows), block, np.int32)),
-                             pa.array(shared.view(np.int64)), pa.array(whole.view(np.int64))],
-                            names=["doc_id", "rid", "place", "block", "shared", "whole"])
-
-    return map_arrow(contexts.select("doc_id", "rid", "place", "left", "bytes"), run,
-                     f"{_kinds(contexts)}, place long, block int, shared long, whole long")
+                            [part.column(0).take(pa.array(rows)), pa.array(np.full(len(rows), near, np.int32)),
+                             pa.array(shared.view(np.int64)), pa.array(whole.view(np.int64))], names=["context", "near", "shared", "whole"])
 
+    columns = ["context", "place", "left", "bytes", *["open"] * bool(within)]
+    return map_arrow(contexts.select(*columns), run, "context long, near int, shared long, whole long")
 
-def _string_rows(contexts: DataFrame) -> DataFrame:
-    """(doc_id, rid, start, s1, s2): the strings of the blocks that the bits of ``open`` name."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, 2048):
-                part = batch.slice(i, 2048)
-                c = Contexts(part)
-                place, bits = (part.column(k).to_numpy(zero_copy_only=False) for k in ("place", "open"))
-                for block in range(BLOCKS):
-                    for far, rows, s1, s2 in c.strings(block, c.rows[bits >> block & 1 == 1]):
-                        take = pa.array(rows)
-                        yield pa.RecordBatch.from_arrays(
-                            [part.column(0).take(take), part.column(1).take(take), pa.array((place[rows] >> 16) - far),
-                             pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64))], names=["doc_id", "rid", "start", "s1", "s2"])
 
-    return map_arrow(contexts.select("doc_id", "rid", "place", "left", "bytes", "open"), run,
-                     f"{_kinds(contexts)}, start long, s1 long, s2 long")
+def _repeated(contexts: DataFrame) -> DataFrame:
+    """(context, near, size): blocks of strings that repeat, all of each."""
+    out, live, within = None, contexts, 0
+    for size in BLOCKS:
+        rows = _block_rows(live, size, within)
+        if size == 1:  # both names are the string's own
+            twice = rows.groupBy("shared", "whole").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("shared", "whole")
+            done = rows.join(twice, ["shared", "whole"])
+        else:
+            told = materialize(rows.join(_settled(rows, "shared", "whole"), "shared").select("context", "near", "mixed"), "op1-told")
+            done = told.filter("NOT mixed")
+            opened = told.filter("mixed").groupBy("context").agg(F.bit_or(F.expr(f"shiftleft(1L, near div {size})")).alias("open"))
+            live, within = contexts.join(opened, "context"), size
+        done = done.select("context", "near", F.lit(size).alias("size"))
+        out = done if out is None else out.unionAll(done)
+    return out
 
 
 def spans(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -251,6 +246,15 @@ def _starts(places: list[int] | None) -> list[tuple[int, int]]:
     return [((p >> 16) - (p >> 8 & 0xFF), (p >> 16) - (p & 0xFF)) for p in places or ()]
 
 
+def _block_starts(found: list[dict] | None) -> list[tuple[int, int]]:
+    """The starts of the strings of each context's blocks, as ranges."""
+    out = []
+    for x in found or ():
+        at, most, least = x["place"] >> 16, x["place"] >> 8 & 0xFF, x["place"] & 0xFF
+        out += [(at - min(most, b["near"] + b["size"] - 1), at - max(least, b["near"])) for b in x["blocks"]]
+    return out
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, spans array<struct<start, end>>, kept_sha256) per row of ``docs``: the maximal runs of bytes covered by
     LENGTH-byte strings that start anywhere else too, and a digest of the other bytes.
@@ -296,28 +300,17 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     split = materialize(map_arrow(
         join_key(keyed, per_doc).select("doc_id", "rid", "text", "whole", "look"), cut,
-        f"role string, {_kinds(keyed)}, text binary, whole array<long>, place long, left int, bytes binary, {_RESULT}"), "op1-split")
-    contexts = split.filter("role = 'context'").select("doc_id", "rid", "place", "left", "bytes").distinct()
-    blocks = materialize(_block_rows(contexts), "op1-blocks")
-    told = materialize(blocks.join(_settled(blocks, "shared", "whole"), "shared").select("doc_id", "rid", "place", "block", "mixed"), "op1-told")
-    # A settled block's strings, as a range of starts; an open one's are looked at one by one.
-    at, far, near = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(F.lit(255)), F.col("place").bitwiseAND(F.lit(255))
-    settled = told.filter("NOT mixed").select(
-        "doc_id", "rid", (at - F.least(far, F.col("block") * BLOCK + BLOCK - 1)).alias("first"),
-        (at - F.greatest(near, F.col("block") * BLOCK)).alias("last"))
-    opened = (told.filter("mixed").groupBy("doc_id", "rid", "place")
-              .agg(F.bit_or(F.expr("shiftleft(1L, block)")).alias("open")))
-    opened = opened.withColumnsRenamed({"doc_id": "_doc", "rid": "_rid", "place": "_place"})
-    looked = contexts.join(opened, contexts["doc_id"].eqNullSafe(F.col("_doc")) & (contexts["rid"] == F.col("_rid"))
-                           & (contexts["place"] == F.col("_place")))
-    strings = materialize(_string_rows(looked), "op1-strings")
-    twice = strings.groupBy("s1", "s2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("s1", "s2")
-    single = strings.join(twice, ["s1", "s2"]).select("doc_id", "rid", F.col("start").alias("first"), F.col("start").alias("last"))
-    more = settled.unionAll(single).groupBy("doc_id", "rid").agg(F.collect_list(F.struct("first", "last")).alias("more"))
+        f"role string, {_kinds(keyed)}, text binary, whole array<long>, place long, left int, bytes binary, {_RESULT}")
+        .withColumn("context", F.monotonically_increasing_id()), "op1-split")
+    # A repeated row gives its contexts again; they repeat, so their strings do.
+    contexts = split.filter("role = 'context'").select("context", "doc_id", "rid", "place", "left", "bytes")
+    blocks = _repeated(contexts).groupBy("context").agg(F.collect_list(F.struct("near", "size")).alias("blocks"))
+    more = (contexts.select("context", "doc_id", "rid", "place").join(blocks, "context")
+            .groupBy("doc_id", "rid").agg(F.collect_list(F.struct("place", "blocks")).alias("more")))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [_row(t, _starts(w) + [(x["first"], x["last"]) for x in m or ()])[:3]
+            rows = [_row(t, _starts(w) + _block_starts(m))[:3]
                     for t, w, m in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)))]
             n, cuts, digest = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(cuts, _SPANS), pa.array(digest, pa.string())],
