@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 
