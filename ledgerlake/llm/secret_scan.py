@@ -48,19 +48,18 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     empty texts give empty arrays; repeated rows each give their own row; ids may be null; only
     doc_id and text are read.
     """
-    spark = docs.sparkSession
     keyed = key_columns(docs)
     assign, access, hexes = base_spans(F.col("text"))
     base = keyed.select("doc_id", "rid", "text", *[marked(x, k).alias(KINDS[k]) for k, x in enumerate((assign, access, hexes))])
     # Every part of every text: strong ones as partners, weak ones as candidates.
-    weak_id = F.filter(found(F.col("text"), WEAK_ID, F.col("text").rlike("[A-Z0-9]{16}")), lambda x: F.lit(True))
+    weak_id = found(F.col("text"), WEAK_ID, F.col("text").rlike("[A-Z0-9]{16}"))
     weak_secret = F.filter(found(F.col("text"), WEAK_SECRET, F.col("text").rlike("[A-Za-z0-9+/_-]{24}")),
                            lambda x: x["hit"].rlike("[0-9]") & x["hit"].rlike("[a-z]") & x["hit"].rlike("[A-Z]"))
     taken = F.concat("assign", "access", "hex")
     weak = [_apart(marked(weak_id, 3), taken), _apart(marked(weak_secret, 4), taken),
             _apart(marked(found(F.col("text"), ENDPOINT, F.col("text").contains("://")), 5), taken)]
     base = materialize(base.select("doc_id", "rid", "assign", "access", "hex", F.concat(*weak).alias("weak")), "op7")
-    parts = (base.filter((F.size("weak") > 0))
+    parts = (base.filter(F.size("weak") > 0)
              .select("doc_id", "rid", F.explode(F.concat("assign", "access", "hex", "weak")).alias("p"))
              .select("doc_id", "rid", "p.*").distinct()
              .withColumn("part", F.when(F.col("k").isin(1, 3), "id").when(F.col("k") == 5, "endpoint").otherwise("secret")))

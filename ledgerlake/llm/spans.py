@@ -55,11 +55,12 @@ def digits(hit: Column) -> Column:
 
 
 def luhn(number: Column) -> Column:
-    """Whether the digits pass the Luhn check."""
-    def add(total, x):
-        return total + x
-
-    weighed = F.transform(F.split(F.reverse(number), ""), lambda d, i: F.when(
-        i % 2 == 0, F.coalesce(F.expr("0") + d.try_cast("int"), F.lit(0))).otherwise(
-        F.element_at(F.array(*[F.lit(v) for v in (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)]), F.coalesce(d.try_cast("int"), F.lit(0)) + 1)))
-    return F.aggregate(weighed, F.lit(0), add) % 10 == 0
+    """Whether the digits pass the Luhn check: from the right, every second digit counts as its double's digit sum."""
+    doubled = F.array(*[F.lit(v) for v in (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)])
+
+    def weight(d: Column, i: Column) -> Column:
+        value = F.coalesce(d.try_cast("int"), F.lit(0))  # the split's last part is empty
+        return F.when(i % 2 == 0, value).otherwise(F.element_at(doubled, value + 1))
+
+    digits_back = F.split(F.reverse(number), "")
+    return F.aggregate(F.transform(digits_back, weight), F.lit(0), lambda total, x: total + x) % 10 == 0

@@ -14,7 +14,7 @@ from ledgerlake.llm import decontaminate, html_extract, ngram_join, suffix_dedup
 from ledgerlake.llm.common import materialize
 from ledgerlake.llm.components import components
 
-from .cases import PLAIN, ROWS, frame, syllables
+from .cases import ROWS, frame, syllables
 
 
 def _passages():
