@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.scalars import pct
 from ledgerlake.operators import aggregates as A
 from ledgerlake.operators import quality as Q
 from ledgerlake.plans import frames as FR
