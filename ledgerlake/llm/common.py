@@ -63,9 +63,15 @@ def to_blocks(total_bytes: int, bound: int) -> int:
 _SHIPPED: set[str] = set()
 
 
+#: Rows handed to a Python worker at once; a batch of long texts is held by the JVM and the worker both.
+ROWS_IN = 2048
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package's code to the executors, once per application."""
+    """Send this package's code to the executors, once per application, and keep the workers' batches small."""
     context = spark.sparkContext
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ROWS_IN:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_IN))
     if context.applicationId in _SHIPPED:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -53,7 +53,7 @@ class Shingles:
         words = text.lower().split()
         if not words:
             return np.zeros(0, np.uint64)
-        if len(self.known) > 1_000_000:
+        if len(self.known) > 300_000:
             self.known.clear()
         known = self.known
         for w in {*words}.difference(known):
