@@ -21,8 +21,8 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 
 # Weak parts. Bounded by look-arounds so that a run is read once; "=" ends a run as padding, and one may start right after it.
-WEAK_ID = r"(?<![A-Za-z0-9+/_-])(?=[A-Z]*[0-9])(?=[0-9]*[A-Z])[A-Z0-9]{16,32}(?![A-Za-z0-9+/_=-])"
-WEAK_SECRET = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,88}={0,2}(?![A-Za-z0-9+/_=-])"
+WEAK_ID = r"(?<![A-Za-z0-9+/_-])(?=[A-Z]*[0-9])(?=[0-9]*[A-Z])[A-Z0-9]{16,}+(?![A-Za-z0-9+/_=-])"
+WEAK_SECRET = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}+={0,2}(?![A-Za-z0-9+/_=-])"
 ENDPOINT = r"(?<![A-Za-z])(?:https?|s3|jdbc:[a-z]{2,12}|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9][A-Za-z0-9.:/_-]{2,}"
 
 KINDS = ["assign", "access", "hex", "linked_id", "linked_secret", "linked_endpoint"]

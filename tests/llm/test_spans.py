@@ -71,6 +71,13 @@ def test_weak_parts_after_an_equals_sign(spark):
                    3: [(3, "AB12CD34EF56GH78"), (4, secret)], 4: []}
 
 
+def test_weak_parts_of_any_length(spark):
+    key, name = "sk-proj-" + "aB3dE5fG" * 19, "AB12CD34EF56GH78" * 3
+    hits = secret_scan.scan(frame(spark, [(1, f'id {name} key "{key}" at https://api.example.com/v1'), (2, f"{key * 400} alone")]))
+    got = {r["doc_id"]: sorted((x["k"], x["e"] - x["s"]) for x in r["linked"]) for r in hits.collect()}
+    assert got == {1: [(3, 48), (4, 160), (5, 26)], 2: []}
+
+
 def test_contexts_find_unseen_identifiers(spark):
     seeds = [(i, f"please reach client mail user{i}@mail.example.com today") for i in range(12)]
     rows = [*seeds, (50, "please reach client mail X1234567 today"), (51, "somewhere else X1234567 stands"), (52, "other code Y7654321 stands")]
