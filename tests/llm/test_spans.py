@@ -87,6 +87,17 @@ def test_contexts_find_unseen_identifiers(spark):
     assert hits[52] == [] and hits[0] == []
 
 
+def test_identifiers_before_punctuation_and_with_prefixes(spark):
+    seeds = [(i, f"please reach client mail user{i}@mail.example.com today") for i in range(20)]
+    ids = ["P1234567", "EMP-00123", "STAFFNO5551234", "de-emp-no-00124"]
+    rows = [*seeds, *[(50 + i, f"please reach client mail {x} today") for i, x in enumerate(ids)], *[(60 + i, f"It is {x}.") for i, x in enumerate(ids)],
+            *[(70 + i, f"so {x}... or {x}, ({x}) {x}-") for i, x in enumerate(ids)], (80, "not P1234567.org nor P1234567.5 nor x.P1234567")]
+    hits = {r["doc_id"]: sorted((x["s"], x["e"]) for x in r["context"]) for r in pii.scan(frame(spark, rows)).collect()}
+    for i, x in enumerate(ids):
+        assert hits[50 + i] == [(25, 25 + len(x))] and hits[60 + i] == [(6, 6 + len(x))] and len(hits[70 + i]) == 4
+    assert hits[80] == []
+
+
 def test_masking(spark):
     df = spark.createDataFrame([("mail a@b.co or 10.0.0.1", [(5, 0, 11), (15, 1, 23), (17, 3, 20)]), ("none", [])],
                                "text string, spans array<struct<s:int,k:int,e:int>>")
