@@ -22,8 +22,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import load, map_arrow, pick, ship, to_blocks
 
 Q, ERRORS = 10, 0.08
-#: Code points of a probe and the step between the probes of a long item.
-PROBE, STEP = 160, 80
+#: Code points of a probe, about 14 words, and the step between the probes of a long item: any PROBE + STEP - 1 code
+#: points of it hold a whole probe.
+PROBE, STEP = 80, 16
 #: Bytes of benchmark text that are broadcast at once; a larger benchmark is matched block by block.
 BLOCK_BYTES = 16 << 20
 #: Shared q-grams and code points looked at in one array operation.
@@ -36,7 +37,9 @@ def _codes(text: str) -> np.ndarray:
     """Code points, letters in lower case and white space as blanks where that is one code point each, so that
     places stay."""
     low = text.lower()
-    codes = np.frombuffer((low if len(low) == len(text) else text).encode("utf-32-le", "replace"), np.uint32)
+    if len(low) != len(text):
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    codes = np.frombuffer(low.encode("utf-32-le", "replace"), np.uint32)
     return np.where((codes == 10) | (codes == 9) | (codes == 13) | (codes == 160), np.uint32(32), codes)
 
 
@@ -146,9 +149,9 @@ class Index:
         return sorted(hits, key=lambda h: (h[0] is None, 0 if h[0] is None else h[0], h[1:]))
 
 
-def _ends(probe: np.ndarray, text: np.ndarray, diagonal: int, width: int, free: bool) -> np.ndarray:
+def _ends(probe: np.ndarray, text: np.ndarray, diagonal: int, width: int, free: bool, edits: int) -> np.ndarray:
     """Edits of the best alignment of the whole probe that ends on each diagonal of the band. It starts anywhere on the
-    band if ``free``, else at the text's start. Row i of the table has the text places i + diagonal ... i + diagonal + width."""
+    band if ``free``, else at the text's start. The table ends early where all alignments take more than ``edits``. Row i of the table has the text places i + diagonal ... i + diagonal + width."""
     m, n, far = len(probe), len(text), 1 << 20
     steps = np.arange(width + 1)
     padded = np.full(m + width + 1, 0xFFFFFFFF, np.uint32)
@@ -164,6 +167,8 @@ def _ends(probe: np.ndarray, text: np.ndarray, diagonal: int, width: int, free:
         row = np.minimum(row + (padded[i:i + width + 1] != probe[i]), np.append(row[1:], far) + 1)
         row[outside(i + 1)] = far
         row = np.minimum.accumulate(row - steps) + steps
+        if not i & 3 and row.min() > edits:
+            break
     return row
 
 
@@ -179,13 +184,13 @@ def align(probe: np.ndarray, text: np.ndarray, diagonal: int, width: int, edits:
         at = region.find(whole, at + 1)
     if at >= 0:
         return begin + at // 4, begin + at // 4 + len(probe), 0
-    row = _ends(probe, text, low, wide, True)
+    row = _ends(probe, text, low, wide, True, edits)
     k = int(row.argmin())
     if row[k] > edits:
         return None
     end = len(probe) + low + k
     # Backwards from the end: where the same alignment starts.
-    back = _ends(probe[::-1], text[max(0, end - len(probe) - edits):end][::-1], -edits, 2 * edits, False)
+    back = _ends(probe[::-1], text[max(0, end - len(probe) - edits):end][::-1], -edits, 2 * edits, False, edits)
     size = len(probe) - edits + int(back.argmin())
     return max(0, end - size), end, int(row[k])
 

@@ -145,6 +145,15 @@ def test_benchmark_regions_against_full_alignment():
         assert not hits or hits[0][3] == best
 
 
+def test_copied_parts_and_case():
+    item = syllables(8, 60)[:240]
+    index = decontaminate.Index([(1, item)])
+    for at in range(0, 145, 7):
+        assert index.find(f"{syllables(70, 20)} {item[at:at + 95]} {syllables(71, 20)}")
+    assert not index.find(f"{syllables(70, 20)} {item[50:90]} {syllables(71, 20)}")
+    assert index.find("\u0130 " + item.upper())
+
+
 def test_contaminated(spark):
     items = [(1, syllables(1, 40)), (2, syllables(2, 12)), (3, syllables(2, 12)), (4, "tiny"), (5, None), (None, syllables(6, 30)), (7, "")]
     bench = frame(spark, items)
