@@ -34,7 +34,7 @@ TOKEN = (r"(?<![A-Za-z0-9._%+@-])(?:[A-Za-z][A-Za-z-]*+)?+[0-9][A-Za-z0-9-]{3,39
          r"(?![A-Za-z0-9_%+@]|[.-]++[A-Za-z0-9_%+@])")
 REACH = 48
 
-ROUNDS, MIN_SEEDS, MIN_CONF, ACCEPT = 2, 3, 0.5, 0.8
+MIN_SEEDS, MIN_CONF, ACCEPT = 3, 0.5, 0.8
 
 
 def base_spans(text: Column) -> list[Column]:
@@ -57,7 +57,7 @@ def _left(text: Column, at: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(words, "[0-9]+", "0"), r"\s+", " ")
 
 
-def scan(docs: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_conf: float = MIN_CONF,
+def scan(docs: DataFrame, rounds: int | None = None, min_seeds: int = MIN_SEEDS, min_conf: float = MIN_CONF,
          accept: float = ACCEPT) -> DataFrame:
     """(doc_id, rid, email, ip, card, phone, context): arrays of struct(s, k, e) per row.
 
@@ -85,13 +85,15 @@ def scan(docs: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_
             .select("doc_id", "rid", *KINDS[:BASE], F.coalesce("context", none).alias("context")))
 
 
-def _bootstrap(graph: DataFrame, rounds: int, min_seeds: int, min_conf: float, accept: float) -> DataFrame:
-    """Instances accepted after ``rounds``. A pattern needs ``min_seeds`` distinct accepted
+def _bootstrap(graph: DataFrame, rounds: int | None, min_seeds: int, min_conf: float, accept: float) -> DataFrame:
+    """Instances accepted when a round accepts no new one, or after ``rounds`` if given: the accepted ones only
+    grow, so there is such a round. A pattern needs ``min_seeds`` distinct accepted
     instances and a share of ``min_conf`` of all it introduces; an instance is accepted if the chance
     that all its trusted patterns are wrong is at most 1 - ``accept``. Sums per pattern and per
     instance are combined before the shuffle, so a frequent pattern costs one row per task."""
-    known = graph.filter("seed").select("instance").distinct()
-    for n in range(rounds):
+    known = materialize(graph.filter("seed").select("instance").distinct(), "op10-known")
+    size, before, n = known.count(), 0, 0
+    while size > before and n != rounds:
         edges = graph.join(known.withColumn("ok", F.lit(1)), "instance", "left")
         trusted = (edges.groupBy("pattern").agg(F.count("ok").alias("pos"), F.count(F.lit(1)).alias("all"))
                    .filter((F.col("pos") >= min_seeds) & (F.col("pos") >= min_conf * F.col("all")))
@@ -100,6 +102,7 @@ def _bootstrap(graph: DataFrame, rounds: int, min_seeds: int, min_conf: float, a
                  .agg((1 - F.exp(F.sum(F.log1p(-F.col("conf"))))).alias("score")).filter(F.col("score") >= accept)
                  .select("instance"))
         known = materialize(known.union(drawn).distinct(), f"op10-known{n}")
+        before, size, n = size, known.count(), n + 1
     return known
 
 

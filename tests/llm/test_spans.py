@@ -98,6 +98,17 @@ def test_identifiers_before_punctuation_and_with_prefixes(spark):
     assert hits[80] == []
 
 
+def test_chains_of_patterns_are_followed_to_the_end(spark):
+    said = [("reach client mail", [f"u{i}@mail.example.com" for i in range(200)] + [f"A{i:06}" for i in range(45)]),
+            ("their staff number", [f"A{i:06}" for i in range(45)] + [f"B{i:06}" for i in range(10)]),
+            ("holder of badge", [f"B{i:06}" for i in range(10)] + ["C000001"])]
+    texts = [f"please {words} {x} now" for words, group in said for x in group]
+    rows = list(enumerate([*texts, "only C000001 stands"]))
+    found = {(d, x["s"]) for d, x in ((r["doc_id"], x) for r in pii.scan(frame(spark, rows)).collect() for x in r["context"])}
+    assert len(found) == 45 + 55 + 11 + 1 and (len(texts), 5) in found
+    assert not any(r["context"] for r in pii.scan(frame(spark, rows), rounds=0).collect())
+
+
 def test_masking(spark):
     df = spark.createDataFrame([("mail a@b.co or 10.0.0.1", [(5, 0, 11), (15, 1, 23), (17, 3, 20)]), ("none", [])],
                                "text string, spans array<struct<s:int,k:int,e:int>>")
