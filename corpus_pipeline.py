@@ -44,8 +44,8 @@ def _same_row(s: _Slots):
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and texts that no learned language explains."""
     s = _Slots(docs)
-    model = language_id.build(language_id.sample(pick(docs, "doc_id", "text", "lang")))
-    said = language_id.judged(spark, model)
+    models = language_id.blocks(language_id.sample(pick(docs, "doc_id", "text", "lang")))
+    said = language_id.judged(spark, models)
     return s.back(s.df.withColumn("_said", said(s["text"])).filter((F.col("_said.lang_pred") != language_id.UNKNOWN)
                                                                     & (F.col("_said.rate") <= MOST_PHRASES)))
 

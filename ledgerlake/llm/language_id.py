@@ -9,20 +9,23 @@ each text segment and language is a lane of the same array operations.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold_out, load, map_arrow, pick, ship
 
 #: Bounds of the sample the automata are built from: code points per language, taken from
-#: texts in order of a hash of their id, at most SAMPLE_CHUNK from one text; languages.
-SAMPLE_CHARS, SAMPLE_CHUNK, LANGUAGES = 40_000, 400, 64
+#: texts in order of a hash of their id, at most SAMPLE_CHUNK from one text.
+SAMPLE_CHARS, SAMPLE_CHUNK = 40_000, 400
+#: Languages sampled at once, and bytes of a transition table; more languages are learned and parsed block by block.
+LANGUAGES, TABLE_BYTES = 64, 256 << 20
 #: Texts are parsed in segments of this many code points, so that lanes end together.
 SEGMENT = 2048
 LANES = 1 << 15
@@ -97,6 +100,21 @@ def build(samples: dict[str, str]) -> Model:
     return Model(names, np.array(roots, np.int32), np.concatenate(tables) if tables else np.full((1, 1), -1, np.int32), symbols)
 
 
+def blocks(samples: dict[str, str]) -> Iterator[Model]:
+    """Models of all samples in the order of their names, each of as many languages as TABLE_BYTES allows, at least one.
+    An automaton has at most two states per code point."""
+    part: dict[str, str] = {}
+    size, letters = 0, set()
+    for name in sorted(samples):
+        low = samples[name].lower()
+        if part and 2 * (size + len(low)) * (len(letters | {*low}) + 1) * 4 > TABLE_BYTES:
+            yield build(part)
+            part, size, letters = {}, 0, set()
+        part[name] = samples[name]
+        size, letters = size + len(low), letters | {*low}
+    yield build(part)
+
+
 def phrases(model: Model, texts: list[str]) -> np.ndarray:
     """Phrases per text and language. A phrase ends where the sample has no longer match, and
     at the end of a segment; a character that the sample lacks is a phrase of its own."""
@@ -144,76 +162,81 @@ def _walk(model: Model, segments: list[np.ndarray]) -> np.ndarray:
 
 
 def sample(docs: DataFrame, chars: int = SAMPLE_CHARS) -> dict[str, str]:
-    """At most ``chars`` code points of text per language, from the rows that may be learned from: the
+    """At most ``chars`` code points of text of every language, from the rows that may be learned from: the
     texts with the smallest hash of their id, some from each. Spark keeps the smallest per task
-    and language, so nothing else moves; the result is bounded by LANGUAGES * chars."""
+    and language, so nothing else moves; a pass brings the samples of LANGUAGES languages."""
     keep = -(-chars // SAMPLE_CHUNK) * 2
     rows = (docs.filter(~fold_out()).filter("lang IS NOT NULL AND text IS NOT NULL")
             .select("lang", F.xxhash64("doc_id").alias("order"), F.length("text").alias("n"),
                     F.when(F.length("text") > 2 * SAMPLE_CHUNK, F.substring("text", SAMPLE_CHUNK, SAMPLE_CHUNK))
                     .otherwise(F.substring("text", 1, SAMPLE_CHUNK)).alias("piece")))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
-    if not counts:
-        return {}
-    share = F.coalesce(*[F.when(F.col("lang") == name, F.lit(min(1.0, 3 * keep / n))) for name, n in counts.items()], F.lit(0.0))
-    few = rows.filter((F.pmod("order", F.lit(1 << 30)) / (1 << 30)) < share)
+    counts = [(r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").collect()]
     found: dict[str, str] = {}
-    for r in few.orderBy("order", "piece").limit(len(counts) * keep * 6).collect():
-        if len(found.get(r["lang"], "")) < chars:
-            found[r["lang"]] = f"{found.get(r['lang'], '')}{r['piece']}\n"[:chars]
+    for i in range(0, len(counts), LANGUAGES):
+        part = counts[i:i + LANGUAGES]
+        share = F.coalesce(*[F.when(F.col("lang") == name, F.lit(min(1.0, 3 * keep / n))) for name, n in part], F.lit(0.0))
+        few = rows.filter((F.pmod("order", F.lit(1 << 30)) / (1 << 30)) < share)
+        for r in few.orderBy("order", "piece").limit(len(part) * keep * 6).collect():
+            if len(found.get(r["lang"], "")) < chars:
+                found[r["lang"]] = f"{found.get(r['lang'], '')}{r['piece']}\n"[:chars]
     return found
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
+def predict(docs: DataFrame, models: Iterable[Model]) -> DataFrame:
     """(doc_id, lang_pred, score, rate) per row of ``docs``: the language with the fewest phrases (the
     first by name of equals), the relative lead over the next one, and its phrases per code point.
 
-    ``und`` with score 0 if the text is null, empty or has no letter, or if there is no model.
+    ``und`` with score 0 if the text is null, empty or has no letter, or if no language was learned.
     Ids may be null; repeated rows each give their own row; only doc_id and text are read.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = [docs.sparkSession.sparkContext.broadcast(model) for model in models]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 1024):
                 part = batch.slice(i, 1024)
-                yield pa.RecordBatch.from_arrays([part.column(0), *_answers(shared.value, part.column(1).to_pylist())],
+                yield pa.RecordBatch.from_arrays([part.column(0), *_answers(shared, part.column(1).to_pylist())],
                                                  names=["doc_id", "lang_pred", "score", "rate"])
 
     slim = pick(docs, "doc_id", "text")
     return map_arrow(slim, run, f"doc_id {dict(slim.dtypes)['doc_id']}, lang_pred string, score double, rate double")
 
 
-def _answers(model: Model, texts: list[str | None]) -> list[pa.Array]:
+def _answers(shared: list[Broadcast], texts: list[str | None]) -> list[pa.Array]:
     known = [t if t and any(map(str.isalpha, t)) else "" for t in texts]
     names, scores, rates = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts))
-    if model.names:
-        counts = phrases(model, known)
+    languages, parsed = [], []
+    for block in shared:
+        languages += block.value.names
+        parsed.append(phrases(block.value, known))
+        if len(shared) > 1:
+            block.__dict__.pop("_value", None)  # a worker holds one table at a time
+    if languages:
+        counts = np.concatenate(parsed, axis=1)
         order = np.sort(counts, axis=1)
         best = counts.argmin(axis=1)
         for k, t in enumerate(known):
             if t:
-                names[k] = model.names[best[k]]
+                names[k] = languages[best[k]]
                 rates[k] = order[k, 0] / len(t)
-                scores[k] = 1 - order[k, 0] / order[k, 1] if len(model.names) > 1 and order[k, 1] else 1.0
+                scores[k] = 1 - order[k, 0] / order[k, 1] if len(languages) > 1 and order[k, 1] else 1.0
     return [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())]
 
 
 def identify(docs: DataFrame, chars: int = SAMPLE_CHARS) -> DataFrame:
-    """predict() with a model of the rows of ``docs`` that have a language and are not held out."""
-    return predict(docs, build(sample(pick(docs, "doc_id", "text", "lang"), chars)))
+    """predict() with models of the rows of ``docs`` that have a language and are not held out."""
+    return predict(docs, blocks(sample(pick(docs, "doc_id", "text", "lang"), chars)))
 
 
-def judged(spark: SparkSession, model: Model) -> Callable:
+def judged(spark: SparkSession, models: Iterable[Model]) -> Callable:
     """predict() as a function of a text column, a struct of lang_pred, score and rate: for stages
     that keep the other columns, without a join."""
     ship(spark)
-    shared = spark.sparkContext.broadcast(model)
+    shared = [spark.sparkContext.broadcast(model) for model in models]
 
     @F.pandas_udf("lang_pred string, score double, rate double")
     def run(texts: pd.Series) -> pd.DataFrame:
-        parts = [_answers(shared.value, texts.iloc[i:i + 1024].tolist()) for i in range(0, len(texts), 1024)]
+        parts = [_answers(shared, texts.iloc[i:i + 1024].tolist()) for i in range(0, len(texts), 1024)]
         return pd.DataFrame({name: [x for p in parts for x in p[k].to_pylist()] for k, name in enumerate(("lang_pred", "score", "rate"))})
 
     return run

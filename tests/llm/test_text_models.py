@@ -75,6 +75,17 @@ def test_languages(spark):
         "c2", F.lit(None).cast("string")).toDF(*docs.columns)).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("bound", [language_id.TABLE_BYTES, 1 << 18])
+def test_every_language_is_learned(spark, monkeypatch, bound):
+    monkeypatch.setattr(language_id, "TABLE_BYTES", bound)
+    rows = [(10 * i + k, "".join(random.Random(10 * i + k).choices([chr(0x4E00 + 4 * i + c) for c in range(4)], k=30)), f"l{i:03}")
+            for i in range(70) for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert (len([*language_id.blocks(language_id.sample(docs))]) > 1) == (bound == 1 << 18)
+    got = {r["doc_id"]: r for r in language_id.identify(docs).collect()}
+    assert all(got[d]["lang_pred"] == lang and got[d]["rate"] < 0.75 for d, _, lang in rows)
+
+
 def test_quality(spark):
     good = [(i, syllables(i, 80)) for i in range(400)]
     bad = [(1000 + i, " | ".join(syllables(i, 40).split()).upper() + " !!") for i in range(400)]
