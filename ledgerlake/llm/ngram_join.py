@@ -33,6 +33,8 @@ VALUES = BANDS * ROWS
 STEP, TOLERANCE = 25, 1e-6
 #: Bounds of a block: nodes, and shingles of all its nodes together.
 BLOCK_NODES, BLOCK_SHINGLES = 1024, 1 << 22
+#: Side of the rows of a unit of one block; in a unit of two blocks the sides are 0 and 1.
+DIAGONAL = 2
 _MULTIPLIERS = np.random.default_rng(9).integers(1 << 62, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _G1, _G2, _G3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -114,10 +116,11 @@ def surviving(sigs: np.ndarray, a: np.ndarray, b: np.ndarray, band: int) -> tupl
 
 
 def _pairs(sides: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of a unit, some rows at a time: each against the later ones, or side 0 against side 1."""
+    """Index pairs of a unit, some rows at a time: each against the later ones, or side 0 against side 1. A unit of
+    two blocks of which one is empty has none."""
     n = len(sides)
-    cross = sides.any()
-    first = np.flatnonzero(sides == 0)
+    cross = not (sides == DIAGONAL).any()
+    first = np.flatnonzero(sides != 1)
     other = np.flatnonzero(sides == 1)
     step = max(1, (1 << 17) // max(1, n))
     for i in range(0, len(first), step):
@@ -267,9 +270,9 @@ def _members(nodes: DataFrame) -> DataFrame:
                .select("bucket", F.ceil(F.greatest(F.col("m") / BLOCK_NODES, F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
     cut = keys.join(crowded, "bucket").withColumn("block", F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int"))
     units = cut.select("node", "band", "bucket", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    # A unit (i, j) has block i as side 0 and block j as side 1; a unit (i, i) has one side.
+    # A unit (i, j) has block i as side 0 and block j as side 1, either of which may be empty; a unit (i, i) is diagonal.
     units = units.select(F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")).alias("unit"), "band",
-                         (F.col("block") > F.col("other")).cast("int").alias("side"), "node")
+                         F.when(F.col("block") == F.col("other"), DIAGONAL).otherwise((F.col("block") > F.col("other")).cast("int")).alias("side"), "node")
     return units.join(nodes.select("node", "sig"), "node").select("unit", "band", "side", "node", "sig")
 
 

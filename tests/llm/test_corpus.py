@@ -95,6 +95,14 @@ def test_join(spark, monkeypatch, block):
     assert ngram_join.near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_join_of_few_long_texts(spark, monkeypatch):
+    base = syllables(3, 400)
+    rows = [(i, f"{base} end{i}") for i in range(12)]
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 200)  # more blocks than texts, so some are empty
+    got = ngram_join.near_duplicates(frame(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in got) == [(i, 0, 11) for i in range(12)]
+
+
 def test_counts_of_shared_shingles():
     r = np.random.default_rng(5)
     sets = [np.unique(r.integers(0, 60, 40).astype(np.uint64)) for _ in range(30)]
