@@ -1,4 +1,4 @@
-"""The queries of the ten operators: name -> callable(spark, sf_dir). None has an oracle in
+"""The queries of the training-data operators: name -> callable(spark, sf_dir). None has an oracle in
 SQL: each is tested against a brute-force version in tests/llm."""
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from .quality_classifier import op4_quality_classifier
 from .secret_scan import op7_secret_scan
 from .sentencepiece_codec import op3_sentencepiece_codec
 from .suffix_dedup import op1_suffix_dedup
+from .token_files import op11_token_files
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_decontaminate, op3_sentencepiece_codec, op4_quality_classifier, op5_order_minhash, op6_html_extract, op7_secret_scan, op8_language_id, op9_ngram_join, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_decontaminate, op3_sentencepiece_codec, op4_quality_classifier, op5_order_minhash, op6_html_extract, op7_secret_scan, op8_language_id, op9_ngram_join, op10_pii, op11_token_files)}
 ORACLES: dict[str, str] = {}
