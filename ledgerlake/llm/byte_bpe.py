@@ -1,22 +1,27 @@
 """Byte-level BPE ids of a text as the tokenizers library gives them, a word at a time.
 
-The library cuts a text into words before merging, and no word has a space behind a character that is not white
-space. Cut there, a text's ids are those of its pieces one after the other, so each piece is given to the library once
-per worker and looked up afterwards.
+The library cuts a text into words before merging. A text of plain characters is cut into the same words here, each
+is looked up, and only a word that the worker has not had goes to the library's BPE model. Any other text is cut before
+the spaces that follow a character other than white space, where every word ends; its pieces are
+treated in the same way if they are plain, and go through the whole library if not.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 
-#: Pieces that one Python worker remembers (a full table is emptied), and their most characters.
+#: Pieces that one Python worker remembers at least and twice as many at most, and their most characters.
 PIECES, PIECE_CHARS = 300_000, 64
 #: A space behind a letter, digit or printable ASCII character. Every other space stays inside a piece, which is always right.
 CUT = re.compile(r"(?<=[\w!-~]) ")
+#: Plain characters, and the words of byte-level BPE among them (fixed pattern of the vocabulary).
+PLAIN = re.compile(r"[ -~\n\tÀ-ÖØ-öø-ſ]*")
+WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ſ]+| ?[0-9]+| ?[!-/:-@\[-`{-~]+|\s+(?!\S)|\s+")
 
 
 def byte_bpe_path() -> str:
@@ -25,17 +30,27 @@ def byte_bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def byte_level() -> dict[int, str]:
+    """Byte -> character of byte-level vocabularies: printable Latin-1 stands for itself, the rest follow from U+0100 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(own)]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Remembered(dict):
-    """A dict that makes missing values and empties itself when full; values of long keys are not kept."""
+    """A dict that makes missing values. When full it keeps what is asked for again; values of long keys are not kept."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.before = make, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= PIECE_CHARS:
             if len(self) >= PIECES:
+                self.before = dict(self)
                 self.clear()
             self[key] = value
         return value
@@ -50,21 +65,31 @@ class ByteBpe:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = not special
-        self.size = self.library.get_vocab_size(with_added_tokens=True)
-        self.first = Remembered(lambda piece: self.ids(piece).tobytes())
-        self.later = Remembered(lambda piece: self.ids(" " + piece).tobytes())
+        self.model, self.characters = self.library.model, byte_level()
+        self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()] if special else []
+        self.words = Remembered(self._word)
+        self.others = Remembered(lambda piece: array("I", self.library.encode(piece, add_special_tokens=False).ids).tobytes())
 
-    def ids(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+    def _word(self, word: str) -> bytes:
+        if word.isascii() and word.isprintable():
+            said = word.replace(" ", "Ġ")  # the only one of these characters that stands for another
+        else:
+            said = word.encode().decode("latin-1").translate(self.characters)
+        return array("I", [t.id for t in self.model.tokenize(said)]).tobytes()
+
+    def _plain(self, text: str) -> bool:
+        return PLAIN.fullmatch(text) is not None and not any(s in text for s in self.specials)
 
     def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        pieces = CUT.split(text)
-        pieces[0] = self.first[pieces[0]]
-        pieces[1:] = map(self.later.__getitem__, pieces[1:])
-        return b"".join(pieces)
+        """The ids as unsigned 32-bit integers in the machine's order (see ids)."""
+        if self._plain(text):
+            return b"".join(map(self.words.__getitem__, WORD.findall(text)))
+        first, *rest = CUT.split(text)
+        pieces = [first, *(" " + p for p in rest)]
+        return b"".join([b"".join(map(self.words.__getitem__, WORD.findall(p))) if self._plain(p) else self.others[p] for p in pieces])
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.encode(text), np.uint32)
 
 
 @lru_cache(4)

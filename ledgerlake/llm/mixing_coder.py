@@ -20,11 +20,11 @@ from __future__ import annotations
 import numpy as np
 
 #: Most ids of a block; a call's memory is bounded by the blocks it is given.
-BLOCK = 2048
+BLOCK = 1024
 #: Bits of the probabilities of the first step and of the magnitudes.
 BITS, MAGNITUDE_BITS = 15, 12
 #: Contexts of order 2 per block (hashed), and steps between new probabilities (more often at the start).
-CONTEXTS, REFRESH = 4096, 128
+CONTEXTS, REFRESH = 2048, 256
 #: Confidences 0..7: one up when right; halved when wrong, and replaced at 0.
 STATES, MAGNITUDES = 8, 16
 #: The range has 62 bits at most and over 46 before each id; an id takes 15 + 12 + 16 bits of it at most.

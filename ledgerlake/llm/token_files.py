@@ -34,7 +34,7 @@ MAGIC = b"LLTOKMX1"
 #: part, segment, ids of the part before, documents, ids, blocks, ids of a block, bits of an id, bytes and crc32 of the table.
 HEAD = struct.Struct("<8sIIQQQIIIII")
 #: Blocks coded side by side. A segment is closed at so many blocks.
-LANES = 2048
+LANES = 4096
 END = 0
 
 
@@ -90,7 +90,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None)
     tokenizer = tokenizer or byte_bpe_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, part, segment, before, total, end = byte_bpe(tokenizer, True), TaskContext.get().partitionId(), 0, 0, 0, np.array([END], "<u4").tobytes()
+        bpe, part, segment, before, total, end = byte_bpe(tokenizer, True), TaskContext.get().partitionId(), 0, 0, 0, np.array([END], np.uint32).tobytes()
         keys: list[str | None] = []
         ids: list[np.ndarray] = []
 
@@ -100,7 +100,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None)
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 keys.append(key)
-                ids.append(np.frombuffer(bpe.encode(text.as_py() or "") + end, "<u4"))
+                ids.append(np.frombuffer(bpe.encode(text.as_py() or "") + end, np.uint32))
                 total += len(ids[-1])
                 if total >= LANES * BLOCK:
                     yield record()
