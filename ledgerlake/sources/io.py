@@ -10,8 +10,9 @@ from __future__ import annotations
 import datetime as dt
 import logging
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -39,7 +40,7 @@ def csv_header(spark: SparkSession, path: str) -> list[str] | None:
         raise
 
 
-def csv_bronze_scan(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def csv_bronze_scan(spark: SparkSession, path: str | list[str], columns: list[str]) -> DataFrame:
     """Header CSV read with an explicit all-string schema (no inference pass)."""
     return spark.read.schema(all_string_schema(columns)).option("header", True).csv(path)
 
@@ -71,6 +72,22 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str =
     return path
 
 
+def observed(observation: Observation, name: str) -> int:
+    """A count that was observed on a write; 0 where Spark dropped the observed part of a plan as it has no rows."""
+    try:
+        return int(observation.get[name])
+    except Py4JJavaError as e:
+        if "AssertionError" not in e.java_exception.getClass().getName():
+            raise
+        return 0
+
+
+def replace_partition(df: DataFrame, path: str, partition_col: str, value) -> str:
+    """S5 for one partition: its folder is replaced as a whole, also by no rows, which a dynamic overwrite would leave alone."""
+    df.drop(partition_col).write.mode("overwrite").parquet(f"{path}/{partition_col}={value}")
+    return path
+
+
 def read_partition(spark: SparkSession, path: str, partition_col: str, value) -> DataFrame:
     """Read one partition; the predicate becomes a ``PartitionFilters`` entry."""
     return spark.read.parquet(path).where(F.col(partition_col) == F.lit(value))
@@ -116,31 +133,29 @@ def partner_feed(enr: DataFrame, path: str, partners: int = 3) -> DataFrame:
     return enr.sparkSession.read.parquet(path)
 
 
-def insert_if_absent(batch: DataFrame, target_path: str, key: str, order, first_load: bool = False) -> DataFrame:
-    """INSERT OR IGNORE — the batch is de-duplicated (first row per key
-    by ``order``), keys already in the target are dropped with ``left_anti``,
-    the rest appended. State lives in the target table, not in the process."""
-    from ledgerlake.operators.windows import first_per_key
-    dedup = first_per_key(batch.where(F.col(key).isNotNull()), key, order)
-    if first_load:
-        new = dedup
-    else:
-        existing = batch.sparkSession.read.parquet(target_path).select(F.col(key).alias("_tk"))
-        new = dedup.join(existing, dedup[key] == existing._tk, "left_anti")
-    new.write.mode("append").parquet(target_path)
-    return new
+def insert_if_absent(batch: DataFrame, target_path: str, key: str, order) -> DataFrame:
+    """INSERT OR IGNORE — the batch is de-duplicated (first row per key by ``order``) and the rows whose key the
+    target does not hold are added to it (:class:`ledgerlake.sources.keyed.KeyedTable`: only files that may hold a key of the
+    batch are read). Returns the rows inserted, read back."""
+    from ledgerlake.sources.keyed import KeyedTable
+    table = KeyedTable(batch.sparkSession, target_path, key)
+    table.insert_absent(batch, order)
+    return table.last()
 
 
 def key_conflicts(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Keys that would violate the primary key — duplicated within the
-    batch, or already in the target (``left_semi``)."""
-    b = batch.where(F.col(key).isNotNull())
-    dup = b.groupBy(key).agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1") \
-           .select(key, F.lit("duplicate_in_batch").alias("reason"), "occurrences")
-    t = target.select(F.col(key).alias("_tk"))
-    exists = (b.join(t, b[key] == t._tk, "left_semi").groupBy(key).agg(F.count(F.lit(1)).alias("occurrences"))
-               .select(key, F.lit("exists_in_target").alias("reason"), "occurrences"))
-    return dup.unionByName(exists)
+    """Keys that would violate the primary key — duplicated within the batch, or already in the target. Both come
+    from one grouping of the two sides' keys, counted before the shuffle, so each side is read once."""
+    b = batch.where(F.col(key).isNotNull()).select(key, F.lit(1).alias("_batch"), F.lit(0).alias("_target"))
+    t = target.where(F.col(key).isNotNull()).select(key, F.lit(0).alias("_batch"), F.lit(1).alias("_target"))
+    n = F.col("n")
+
+    def conflict(cond, reason):
+        return F.when(cond, F.struct(F.lit(reason).alias("reason"), n.alias("occurrences")))
+
+    per = b.unionByName(t).groupBy(key).agg(F.sum("_batch").alias("n"), F.max("_target").alias("held")).where("n > 0")
+    found = F.array_compact(F.array(conflict(n > 1, "duplicate_in_batch"), conflict(F.col("held") == 1, "exists_in_target")))
+    return per.select(key, F.inline(found))
 
 
 def quarantine_split(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -8,11 +8,11 @@ drains what has arrived and stops, which is how a scheduled job runs these.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.session import scratch_path
+from ledgerlake.sources.keyed import KeyedTable
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -86,32 +86,18 @@ def stream_failure_rate(spark: SparkSession, src: str, sink: str, checkpoint: st
 
 def stream_silver_upsert(spark: SparkSession, src: str, target: str, checkpoint: str,
                          files_per_trigger: int | None = None) -> DataFrame:
-    """Each micro-batch is de-duplicated and inserted only for ids not yet
-    in the target (``foreachBatch`` + insert-if-absent), so a replayed batch
-    after a failure inserts nothing twice."""
-    from ledgerlake.sources.io import insert_if_absent
+    """Each micro-batch is de-duplicated and inserted only for ids not yet in the target (``foreachBatch`` into a
+    :class:`ledgerlake.sources.keyed.KeyedTable`). The target's ledger knows the batches of this checkpoint: one that
+    failed before its commit is done again over what it left, one that failed after it changes nothing."""
+    table = KeyedTable(spark, target, "event_id")
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        first = not _exists(spark, target)
-        insert_if_absent(batch, target, "event_id", [F.col("ts"), F.col("event_type"), F.col("value")],
-                         first_load=first)
+        table.insert_absent(batch, [F.col("ts"), F.col("event_type"), F.col("value")], writer=checkpoint, epoch=epoch_id)
 
     q = (_stream(spark, src, files_per_trigger).writeStream.foreachBatch(upsert)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _run(q)
-    return spark.read.parquet(target)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table stands there. Only a missing path means no; any other error (storage, rights,
-    a broken file) is raised, or a batch would be taken for the first and inserted twice."""
-    try:
-        spark.read.parquet(path)
-        return True
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    return table.read()
 
 
 def paths(spark: SparkSession, name: str) -> dict[str, str]:

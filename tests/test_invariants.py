@@ -11,6 +11,7 @@ from ledgerlake.plans import frames as FR
 from ledgerlake.plans import medallion as M
 from ledgerlake.session import scratch_path
 from ledgerlake.sources import io
+from ledgerlake.sources.keyed import KeyedTable
 from ledgerlake.sources.tables import Tables
 
 from .conftest import SF_SMALL
@@ -82,10 +83,11 @@ def test_pipeline_stage_error_names_the_stage(spark, t):
 def test_insert_if_absent_is_idempotent(spark, t):
     path = scratch_path(spark, "ins")
     b = FR.silver_rules(FR.bronze_frame(t))
-    io.insert_if_absent(b, path, "transaction_id", FR.dedup_order(), first_load=True)
-    n1 = spark.read.parquet(path).count()
-    io.insert_if_absent(b, path, "transaction_id", FR.dedup_order())     # replay: nothing new
-    assert spark.read.parquet(path).count() == n1
+    new = io.insert_if_absent(b, path, "transaction_id", FR.dedup_order())
+    n1 = KeyedTable(spark, path, "transaction_id").read().count()
+    assert new.count() == n1
+    assert io.insert_if_absent(b, path, "transaction_id", FR.dedup_order()).count() == 0     # replay: nothing new
+    assert new.count() == KeyedTable(spark, path, "transaction_id").read().count() == n1
 
 
 def test_sql_guard_classes(spark, t):
