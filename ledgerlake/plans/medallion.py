@@ -6,22 +6,34 @@ re-runs the current stage). Row counts per stage come from ``observe()``
 on the write itself — no extra ``count()`` job per step — and every write
 of a date-partitioned table is a dynamic partition overwrite, so a re-run
 replaces only the dates it carries.
+
+Runs by date account for every landed row. Rows are dated by a cast, so a date in another spelling belongs to its
+day; rows without a date have a table of their own, by the file they came in. The *manifest* has the rows of each
+landed file by date: it is filled once per file, tells a run which files hold its date, and gives
+landed = rows of every date + undated. Rejects are kept by date: input = kept + rejected, whatever ran before or after.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+import logging
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlake.operators import aggregates as A
+from ledgerlake.operators import incremental as INC
 from ledgerlake.operators import quality as Q
 from ledgerlake.plans import frames as FR
 from ledgerlake.sources import io
+from ledgerlake.sources.keyed import KeyedTable
 from ledgerlake.session import scratch_path
 
+log = logging.getLogger("ledgerlake.medallion")
+
 # The landing (CSV) layout of the transaction feed, all strings.
 LANDING_COLUMNS = ["transaction_id", "amount", "status", "merchant_id", "customer_id", "transaction_date",
                    "payment_method", "ingestion_ts", "tie1", "tie2", "tie3", "tie4", "return_flag"]
@@ -84,28 +96,91 @@ def ingest_merchants(ctx: RunContext, source: str, bronze_path: str) -> DataFram
     return ctx.spark.read.parquet(bronze_path).select(*[F.col(c).try_cast(k).alias(c) for c, k in MERCHANT_TYPES.items()])
 
 
+UNDATED = "undated"
+BRONZE_COLUMNS = [*LANDING_COLUMNS, "ingestion_timestamp", "source_file", "pipeline_run_id"]
+DAY = "bronze_date"
+
+
+def bronze_date() -> Column:
+    """The day that a landed row belongs to, however its date is spelled; UNDATED if it has none."""
+    return F.coalesce(F.col("transaction_date").try_cast("date").cast("string"), F.lit(UNDATED))
+
+
+def landed_files(ctx: RunContext, source: str) -> dict[str, tuple[str, str]]:
+    """name -> (path, version) of a landing's files; a file that is replaced has another version. Their contents are not read."""
+    found = ctx.spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(source)
+    rows = found.select("path", "length", "modificationTime").collect()
+    return {r["path"].rsplit("/", 1)[-1]: (r["path"], f"{r['length']} {r['modificationTime']}") for r in rows}
+
+
+def manifest(ctx: RunContext) -> DataFrame:
+    """(source_file, version, bronze_date, rows) of every file that has been counted."""
+    schema = f"version string, {DAY} string, rows bigint, source_file string"
+    return io.optional_source_scan(ctx.spark, ctx.path("manifest"), StructType.fromDDL(schema), "parquet")
+
+
+def update_manifest(ctx: RunContext, files: dict[str, tuple[str, str]], scan: Callable[[list[str]], DataFrame]) -> None:
+    """Counts the files that are new or have been replaced, and takes their undated rows. Others are not read."""
+    known = {r["source_file"]: r["version"] for r in manifest(ctx).select("source_file", "version").distinct().collect()}
+    new = sorted(f for f, (_, version) in files.items() if known.get(f) != version)
+    if not new:
+        return
+    rows = scan([files[f][0] for f in new]).withColumn(DAY, bronze_date())
+    versions = ctx.spark.createDataFrame([(f, files[f][1]) for f in new], "source_file string, version string")
+    counted = rows.groupBy("source_file", DAY).agg(F.count(F.lit(1)).alias("rows")).join(versions, "source_file")
+    lost = rows.where(F.col(DAY) == UNDATED).select(*BRONZE_COLUMNS)
+    io.write_partitioned(lost, ctx.path(UNDATED), "source_file")
+    for f in sorted(known.keys() & set(new)):  # a replaced file must not keep undated rows that it has no longer
+        io.replace_partition(lost.where(F.col("source_file") == f), ctx.path(UNDATED), "source_file", f)
+    counted.write.mode("overwrite").partitionBy("source_file").parquet(ctx.path("manifest"))
+
+
+def undated(ctx: RunContext) -> DataFrame:
+    """Landed rows without a date, of all files or, by run date, of the files that hold the date."""
+    rows = io.optional_source_scan(ctx.spark, ctx.path(UNDATED), io.all_string_schema(BRONZE_COLUMNS), "parquet")
+    if ctx.run_date is None:
+        return rows
+    return rows.join(manifest(ctx).where(F.col(DAY) == str(ctx.run_date)).select("source_file"), "source_file", "left_semi")
+
+
 def ingest_bronze(ctx: RunContext, source: str, bronze_path: str) -> DataFrame:
-    """L1: CSV -> Bronze: all-string scan (S1), missing source skipped (S8),
-    provenance (S2), Parquet partitioned by date (S3)."""
-    raw = io.optional_source_scan(ctx.spark, source, io.all_string_schema(LANDING_COLUMNS), header=True)
+    """L1: CSV -> Bronze: all-string scan (S1), missing source skipped (S8), provenance (S2), Parquet partitioned by
+    day (S3). By run date only the files that the manifest has for the day are read, and the day is replaced."""
     header = io.csv_header(ctx.spark, source)
-    if header is not None:
+    files: list[str] = []
+
+    def scan(paths: list[str]) -> DataFrame:
+        return io.with_provenance(io.csv_bronze_scan(ctx.spark, paths, LANDING_COLUMNS), ctx.run_id, ctx.run_ts)
+
+    if header is None:
+        log.warning("source %s missing: skipping", source)
+    else:
         Q.require_columns(header, LANDING_COLUMNS)
-    if ctx.run_date is not None:
-        raw = raw.where(F.col("transaction_date") == F.lit(str(ctx.run_date)))
+        landed = landed_files(ctx, source)
+        update_manifest(ctx, landed, scan)
+        if ctx.run_date is not None:
+            holds = {r["source_file"] for r in manifest(ctx).where(F.col(DAY) == str(ctx.run_date)).select("source_file").collect()}
+            landed = {f: v for f, v in landed.items() if f in holds}
+        files = sorted(path for path, _ in landed.values())
+    rows = scan(files).withColumn(DAY, bronze_date()) if files else ctx.spark.createDataFrame([], io.all_string_schema([*BRONZE_COLUMNS, DAY]))
+    rows = rows.where(F.col(DAY) != UNDATED if ctx.run_date is None else F.col(DAY) == str(ctx.run_date))
     obs = Observation("bronze")
-    df = io.with_provenance(raw, ctx.run_id, ctx.run_ts).observe(obs, F.count(F.lit(1)).alias("input"))
-    io.write_partitioned(df, bronze_path, "transaction_date")
-    ctx.counts.update(obs.get)
+    rows = rows.observe(obs, F.count(F.lit(1)).alias("input"))
+    if ctx.run_date is None:
+        io.write_partitioned(rows, bronze_path, DAY)
+    else:
+        io.replace_partition(rows, bronze_path, DAY, ctx.run_date)
+    ctx.counts.update(input=io.observed(obs, "input"), undated=undated(ctx).count())
     return read_bronze(ctx, bronze_path)
 
 
 def read_bronze(ctx: RunContext, bronze_path: str) -> DataFrame:
-    schema = io.all_string_schema(LANDING_COLUMNS + ["ingestion_timestamp", "source_file", "pipeline_run_id"])
+    """Bronze's dated rows, of the run date if there is one."""
+    schema = io.all_string_schema([*BRONZE_COLUMNS, DAY])
     df = ctx.spark.read.schema(schema).parquet(bronze_path)
     if ctx.run_date is not None:
-        df = df.where(F.col("transaction_date") == F.lit(str(ctx.run_date)))   # partition pruning
-    return df
+        df = df.where(F.col(DAY) == F.lit(str(ctx.run_date)))   # partition pruning
+    return df.drop(DAY)
 
 
 def typed(bronze: DataFrame) -> DataFrame:
@@ -114,12 +189,23 @@ def typed(bronze: DataFrame) -> DataFrame:
                            for c in LANDING_COLUMNS])
 
 
+REJECT_COLUMNS = [*LANDING_COLUMNS, "reject_reason"]
+
+
+def quarantine(ctx: RunContext) -> DataFrame:
+    """Every reject: (run_date, columns, reason), those of the days as their last run left them and the undated rows."""
+    days = io.optional_source_scan(ctx.spark, ctx.path("quarantine"), io.all_string_schema([*REJECT_COLUMNS, "run_date"]), "parquet")
+    _, lost = io.quarantine_split(typed(undated(replace(ctx, run_date=None))))
+    lost = lost.select(*[F.col(c).cast("string").alias(c) for c in REJECT_COLUMNS], F.lit(UNDATED).alias("run_date"))
+    return days.unionByName(lost)
+
+
 def transform_silver(ctx: RunContext, bronze_path: str, merch: DataFrame, silver_path: str) -> DataFrame:
     """L2: Bronze -> Silver: cast (P2), gate (DQ20), filter (P3), dedup (W1),
-    enrich + flag (J1, P10), dynamic overwrite of the dates written (S5). Below the gate, rows that
-    fail a rule or a cast go to the quarantine with their reason (S13): input = filtered + rejected."""
+    enrich + flag (J1, P10), overwrite of the dates written (S5). The gate also sees the undated rows that came with the
+    run's files. Below it, rows that fail a rule or a cast go to the day's quarantine with their reason (S13): input = filtered + rejected."""
     b = typed(read_bronze(ctx, bronze_path))
-    gate = Q.enforce_gate(Q.failure_gate(b, ctx.gate_pct))          # one aggregate; raises on HALT
+    gate = Q.enforce_gate(Q.failure_gate(b.unionByName(typed(undated(ctx))), ctx.gate_pct))          # one aggregate; raises on HALT
     ctx.counts["gate_failed_pct"] = gate["failed_pct"]
     obs = Observation("silver")
     kept, rejects = io.quarantine_split(b)
@@ -127,15 +213,33 @@ def transform_silver(ctx: RunContext, bronze_path: str, merch: DataFrame, silver
     silver = FR.enrich(FR.dedup_latest(filtered).drop("rn"), merch)
     obs_out = Observation("silver_out")
     silver = silver.observe(obs_out, F.count(F.lit(1)).alias("output"))
-    io.write_partitioned(silver, silver_path, "transaction_date")
-    ctx.counts.update(obs.get)
-    ctx.counts.update(obs_out.get)
     obs_bad = Observation("quarantine")
-    rejects.observe(obs_bad, F.count(F.lit(1)).alias("rejected")).write.mode("overwrite").parquet(ctx.path("quarantine"))
-    ctx.counts.update(obs_bad.get)
+    rejects = rejects.observe(obs_bad, F.count(F.lit(1)).alias("rejected"))
+    rejects = rejects.select(*[F.col(c).cast("string").alias(c) for c in REJECT_COLUMNS]).withColumn("run_date", F.col("transaction_date"))
+    if ctx.run_date is None:
+        io.write_partitioned(silver, silver_path, "transaction_date")
+        rejects.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("run_date").parquet(ctx.path("quarantine"))
+    else:
+        io.replace_partition(silver, silver_path, "transaction_date", ctx.run_date)
+        io.replace_partition(rejects, ctx.path("quarantine"), "run_date", ctx.run_date)
+    ctx.counts.update({n: io.observed(o, n) for o, n in ((obs, "after_filter"), (obs_out, "output"), (obs_bad, "rejected"))})
     return read_silver(ctx, silver_path)
 
 
+def accounting(ctx: RunContext) -> DataFrame:
+    """(run_date, landed, ingested, kept, rejected) of every day that landed and of the undated rows; a day that has not run has nulls.
+    landed = ingested = kept + rejected for the days that have run; undated rows are all rejected."""
+    days = manifest(ctx).groupBy(F.col(DAY).alias("run_date")).agg(F.sum("rows").alias("landed"))
+    schema = io.all_string_schema([*BRONZE_COLUMNS, DAY])
+    ran = io.optional_source_scan(ctx.spark, ctx.path("bronze"), schema, "parquet").groupBy(F.col(DAY).alias("run_date")).agg(F.count(F.lit(1)).alias("ingested"))
+    lost = days.where(F.col("run_date") == UNDATED).select("run_date", F.lit(0).cast("bigint").alias("ingested"))
+    bad = quarantine(ctx).groupBy("run_date").agg(F.count(F.lit(1)).alias("rejected"))
+    joined = days.join(ran.unionByName(lost), "run_date", "left").join(bad, "run_date", "left")
+    rejected = F.when(F.col("ingested").isNotNull(), F.coalesce("rejected", F.lit(0)))
+    return joined.select("run_date", "landed", "ingested", F.when(F.col("run_date") == UNDATED, 0).otherwise(F.col("ingested") - rejected).cast("bigint").alias("kept"),
+                         rejected.alias("rejected"))
+
+
 def read_silver(ctx: RunContext, silver_path: str) -> DataFrame:
     df = ctx.spark.read.parquet(silver_path)
     if ctx.run_date is not None:
@@ -144,14 +248,20 @@ def read_silver(ctx: RunContext, silver_path: str) -> DataFrame:
 
 
 def run_gold(ctx: RunContext, silver_path: str, gold_dir: str) -> dict[str, str]:
-    """L3: Silver -> merchant_performance (by date), customer_ltv, daily_summary (by date)."""
+    """L3: Silver -> merchant_performance (by date), customer_ltv, daily_summary (by date). By run date each is brought up to
+    date from that date alone: two replace their day, customer_ltv merges the day into its state (operators/incremental.py)."""
     s = read_silver(ctx, silver_path)
     paths = {"merchant_performance": f"{gold_dir}/merchant_performance",
              "customer_ltv": f"{gold_dir}/customer_ltv",
              "daily_summary": f"{gold_dir}/daily_summary"}
-    io.write_partitioned(A.merchant_performance(s), paths["merchant_performance"], "report_date")
-    A.customer_ltv(ctx.spark.read.parquet(silver_path)).write.mode("overwrite").parquet(paths["customer_ltv"])
-    io.write_partitioned(A.daily_summary(s), paths["daily_summary"], "report_date")
+    state = INC.ltv_state(ctx.spark, f"{gold_dir}/customer_ltv_state")
+    totals = state.apply(s.where(A.is_completed()), None if ctx.run_date is None else [ctx.run_date])
+    INC.customer_ltv(totals).write.mode("overwrite").parquet(paths["customer_ltv"])
+    for name, table in (("merchant_performance", A.merchant_performance(s)), ("daily_summary", A.daily_summary(s))):
+        if ctx.run_date is None:
+            io.write_partitioned(table, paths[name], "report_date")
+        else:
+            io.replace_partition(table, paths[name], "report_date", ctx.run_date)
     return paths
 
 
@@ -172,7 +282,7 @@ def run_medallion(ctx: RunContext, t) -> DataFrame:
         status, error = "FAILED", str(e)
     meta = {"run_id": ctx.run_id, "status": status, "error_message": error,
             "run_date": str(ctx.run_date) if ctx.run_date else "all",
-            "input_rows": int(ctx.counts.get("input", 0)), "after_filter_rows": int(ctx.counts.get("after_filter", 0)),
+            "input_rows": int(ctx.counts.get("input", 0)) + int(ctx.counts.get("undated", 0)), "after_filter_rows": int(ctx.counts.get("after_filter", 0)),
             "output_rows": int(ctx.counts.get("output", 0)), "gold_tables": len(gold),
             "started_at": started.isoformat(), "completed_at": dt.datetime.now().isoformat()}
     out = io.run_metadata_sink(ctx.spark, ctx.path("run_metadata"), meta)
@@ -213,12 +323,9 @@ def stg_transactions(bronze: DataFrame, test_prefix: str = "TEST_") -> DataFrame
 
 def incremental_load(spark: SparkSession, bronze: DataFrame, target_path: str, cutoff) -> DataFrame:
     """Rows after the cutoff (P7) -> Silver rules (P3) -> insert-if-absent
-    (S11) into a target that already holds the rows up to the cutoff."""
+    (S11) into a target that already holds the rows up to the cutoff; the target's rows."""
+    table = KeyedTable(spark, target_path, "transaction_id")
     silver = FR.silver_rules(bronze)
-    before = silver.where(F.col("transaction_date") <= F.lit(cutoff))
-    io.insert_if_absent(before, target_path, "transaction_id", FR.dedup_order(), first_load=True)
-    after = bronze.where(F.col("transaction_date") > F.lit(cutoff))
-    valid = FR.silver_rules(after)
-    new = io.insert_if_absent(valid, target_path, "transaction_id", FR.dedup_order())
-    obs = new.sparkSession.read.parquet(target_path)
-    return obs
+    table.insert_absent(silver.where(F.col("transaction_date") <= F.lit(cutoff)), FR.dedup_order())
+    table.insert_absent(silver.where(F.col("transaction_date") > F.lit(cutoff)), FR.dedup_order())
+    return table.read()

@@ -18,6 +18,7 @@ from ledgerlake.plans.oracle import round_sql
 from ledgerlake.plans.queries.aggregates import FAIL_SQL, REV_SQL
 from ledgerlake.session import scratch_path
 from ledgerlake.sources import io
+from ledgerlake.sources.keyed import KeyedTable
 
 RUN_ID = "run-0001"
 RUN_TS = dt.datetime(2001, 8, 2, 2, 0, 0)
@@ -158,10 +159,39 @@ def insert_if_absent(t):
     IGNORE semantics: each batch de-duplicated, existing keys skipped."""
     b = FR.silver_rules(FR.bronze_frame(t))
     path = scratch_path(t.spark, "insert_target")
-    io.insert_if_absent(b.where(F.col("tie1") % 2 == 0).withColumn("load", F.lit(1)), path, "transaction_id",
-                        FR.dedup_order(), first_load=True)
+    io.insert_if_absent(b.where(F.col("tie1") % 2 == 0).withColumn("load", F.lit(1)), path, "transaction_id", FR.dedup_order())
     io.insert_if_absent(b.withColumn("load", F.lit(2)), path, "transaction_id", FR.dedup_order())
-    return t.spark.read.parquet(path).select("transaction_id", "load")
+    return KeyedTable(t.spark, path, "transaction_id").read().select("transaction_id", "load")
+
+
+LATE = dt.date(2001, 7, 31)
+
+
+@query("keyed_insert", f"""
+WITH s AS (SELECT transaction_id, transaction_date, tie1 FROM bronze WHERE {VALID}),
+a AS (SELECT DISTINCT transaction_id FROM s WHERE transaction_date <= DATE '{LATE}' AND tie1 % 97 <> 0),
+c AS (SELECT DISTINCT transaction_id FROM s WHERE transaction_date > DATE '{LATE}' OR tie1 % 97 = 0)
+SELECT 0 AS load, COUNT(*) AS rows, TRUE AS reads_follow_keys FROM a
+UNION ALL SELECT 1, COUNT(*), TRUE FROM c WHERE transaction_id NOT IN (SELECT transaction_id FROM a)
+UNION ALL SELECT 2, 0, TRUE UNION ALL SELECT 3, 0, TRUE
+UNION ALL SELECT 4, COUNT(*), TRUE FROM s WHERE tie1 % 101 = 0 AND transaction_id NOT IN (SELECT transaction_id FROM a UNION SELECT transaction_id FROM c)""")
+def keyed_insert(t):
+    """S11/L6 as a daily job: a table of all days but the last, the late rows into it, the same batch again, an empty batch, then, after
+    compaction, a sample of what is there. Rows inserted per load, and whether it read no more buckets of loads than its keys can stand in
+    (each key of the target in one; a false positive is at most one in fifty)."""
+    b = FR.silver_rules(FR.bronze_frame(t))
+    table = KeyedTable(t.spark, scratch_path(t.spark, "keyed_target"), "transaction_id")
+    late = (F.col("transaction_date") > F.lit(LATE)) | (F.col("tie1") % 97 == 0)
+    batches = [b.where(~late), b.where(late), b.where(late), b.limit(0), b.where(F.col("tie1") % 101 == 0)]
+    out = []
+    for n, batch in enumerate(batches):
+        if n == 4:
+            table.compact()
+        keys = batch.select("transaction_id").distinct()
+        meant = table.present(keys)[0].count() + keys.count() // 50 + 1 if table.loads() else 0
+        load = table.insert_absent(batch, FR.dedup_order())
+        out.append((n, load.rows, load.candidates <= min(load.partitions, meant)))
+    return t.spark.createDataFrame(out, "load int, rows bigint, reads_follow_keys boolean")
 
 
 @query("key_conflict_check", """
@@ -298,6 +328,81 @@ def run_date_pipeline(t):
         F.col("transaction_date").cast("date").alias("transaction_date"), "merchant_name", "quality_flag")
 
 
+DIRTY_DAY_SQL = """SELECT *, CASE WHEN tie1 % 43 = 0 OR tie1 % 47 = 0 THEN 'undated' ELSE CAST(transaction_date AS VARCHAR) END AS run_date,
+       CASE WHEN tie1 % 41 = 0 THEN NULL ELSE amount END AS amt FROM bronze"""
+REJECT_SQL = """CASE WHEN transaction_id IS NULL THEN 'null_id' WHEN amt IS NULL THEN 'bad_amount' WHEN amt < 0 THEN 'negative_amount'
+            WHEN run_date = 'undated' THEN 'bad_date' END"""
+
+
+def land_dirty_feed(t, path):
+    """The feed with what real landings have: amounts that are no numbers, dates that are none (``N/A``, null) and dates in another spelling."""
+    b = FR.bronze_frame(t)
+    short = F.date_format("transaction_date", "yyyy-M-d")
+    day = (F.when(F.col("tie1") % 43 == 0, "N/A").when(F.col("tie1") % 47 == 0, F.lit(None)).when(F.col("tie1") % 5 == 0, short)
+           .otherwise(F.col("transaction_date").cast("string")))
+    rows = b.select(*[F.col(c).cast("string").alias(c) for c in M.LANDING_COLUMNS], day.alias("_day"))
+    rows = rows.withColumns({"amount": F.when(F.col("tie1") % 41 == 0, "N/A").otherwise(F.col("amount")), "transaction_date": F.col("_day")})
+    return io.write_csv(rows.drop("_day"), path)
+
+
+def _run_days(t):
+    """Two run dates and the first of them again over a dirty landing, all in one root; a day is a few rows, so the gate is wide."""
+    root = scratch_path(t.spark, "accounted")
+    src, merch = land_dirty_feed(t, f"{root}/landing"), FR.merch_frame(t)
+    for day in [*DAYS, DAYS[0]]:
+        ctx = M.RunContext.new(t.spark, RUN_ID, RUN_TS, run_date=day, gate_pct=100.0, root=root)
+        M.ingest_bronze(ctx, src, ctx.path("bronze"))
+        M.transform_silver(ctx, ctx.path("bronze"), merch, ctx.path("silver"))
+    return ctx
+
+
+@query("run_date_accounting", f"""
+WITH d AS (SELECT *, {REJECT_SQL} AS reason FROM ({DIRTY_DAY_SQL}) x),
+n AS (SELECT run_date, COUNT(*) AS landed, COUNT(reason) AS bad FROM d GROUP BY 1)
+SELECT run_date, landed, CASE WHEN run_date IN ({', '.join(f"'{d}'" for d in DAYS)}) THEN landed WHEN run_date = 'undated' THEN 0 END AS ingested,
+       CASE WHEN run_date IN ({', '.join(f"'{d}'" for d in DAYS)}) THEN landed - bad WHEN run_date = 'undated' THEN 0 END AS kept,
+       CASE WHEN run_date IN ({', '.join(f"'{d}'" for d in DAYS)}, 'undated') THEN bad END AS rejected
+FROM n""")
+def run_date_accounting(t):
+    """L1/L2/L4 by run date, after two dates and a re-run: every landed row stands under its date or under ``undated``;
+    of the dates that ran, what landed was ingested, and kept or rejected."""
+    out = M.accounting(_run_days(t))
+    return out.select("run_date", F.col("landed").cast("bigint").alias("landed"), "ingested", "kept", "rejected")
+
+
+@query("quarantine_by_run", f"""
+SELECT run_date, reason AS reject_reason, COUNT(*) AS rows FROM (SELECT *, {REJECT_SQL} AS reason FROM ({DIRTY_DAY_SQL}) x) d
+WHERE reason IS NOT NULL AND run_date IN ({', '.join(f"'{d}'" for d in DAYS)}, 'undated') GROUP BY 1, 2""")
+def quarantine_by_run(t):
+    """The quarantine after two dates and a re-run holds both dates' rejects once, and the undated rows."""
+    return M.quarantine(_run_days(t)).groupBy("run_date", "reject_reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+LTV_DAYS = [dt.date(2001, 7, 30), dt.date(1996, 1, 2), dt.date(2001, 7, 31)]
+
+
+@query("customer_ltv_by_day", f"""
+WITH f AS (SELECT * FROM silver WHERE status = 'COMPLETED' AND NOT (transaction_date = DATE '{LTV_DAYS[1]}' AND merchant_id % 2 = 0)),
+m AS (SELECT customer_id, payment_method, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY COUNT(*) DESC, payment_method) AS rn FROM f GROUP BY 1, 2)
+SELECT f.customer_id, CAST(SUM(amount) AS DOUBLE) AS total_spent, COUNT(*) AS total_txns, {round_sql('AVG(amount)', 2)} AS avg_txn_value,
+       MIN(transaction_date) AS first_txn_date, MAX(transaction_date) AS last_txn_date, MIN(m.payment_method) AS preferred_payment_method
+FROM f JOIN m ON f.customer_id = m.customer_id AND m.rn = 1 GROUP BY f.customer_id""")
+def customer_ltv_by_day(t):
+    """L3/A13 kept up to date: the history without its last two days, then these days one by one, the first of them with wrong rows and
+    again with the right ones, and an old day whose even merchants are taken back. Equals a recompute of everything."""
+    from ledgerlake.operators import incremental as INC
+    from ledgerlake.session import materialize
+    done = materialize(FR.silver_frame(t).where(A.is_completed()).select("customer_id", "payment_method", "amount", "transaction_date", "merchant_id"), "completed")
+    late, old, last = LTV_DAYS
+    day = F.col("transaction_date")
+    state = INC.ltv_state(t.spark, scratch_path(t.spark, "ltv_state"))
+    state.apply(done.where(~day.isin(late, last)))
+    state.apply(done.where(day == F.lit(late)).withColumn("amount", F.col("amount") * 2), [late])
+    state.apply(done.where(day == F.lit(last)), [last])
+    state.apply(done.where(day == F.lit(late)), [late])
+    return INC.customer_ltv(state.apply(done.where((day == F.lit(old)) & (F.col("merchant_id") % 2 != 0)), [old]))
+
+
 @query("stg_transactions", """
 SELECT md5(concat_ws('-', COALESCE(transaction_id, '_null_'), COALESCE(CAST(merchant_id AS VARCHAR), '_null_'),
                           COALESCE(CAST(transaction_date AS VARCHAR), '_null_'))) AS transaction_sk,
@@ -407,22 +512,24 @@ SELECT (SELECT COUNT(*) FROM enr) AS rows,
 def morning_report_data(t):
     """The numbers of the daily health report: layer profile (DQ15),
     categorical drift (DQ16), merchant health (A19) and fired alerts (O5),
-    each one aggregate, combined as scalar subqueries."""
+    each one aggregate, combined as scalar subqueries. All of them read Bronze and enriched Silver as written
+    once from one pass over the line items."""
     from ledgerlake.functions.scalars import round2
     from ledgerlake.operators import quality as Q
     from ledgerlake.operators import slo as O
-    from ledgerlake.plans.queries.observability import measures
+    from ledgerlake.plans.queries.observability import layers, measures
     from ledgerlake.plans.queries.quality import DRIFT_COLS
-    e = FR.enr_frame(t)
+    from ledgerlake.session import materialize
+    bronze, e = layers(t)
     prof = e.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("status") == "COMPLETED").cast("bigint").alias("completed"),
                  F.count_if(F.col("status") == "FAILED").cast("bigint").alias("failed"),
                  round2(F.avg("amount")).alias("amount_mean"))
-    p = A.merchant_performance_total(e)
+    p = materialize(A.merchant_performance_total(e), "perf")
     health = p.agg(F.count(F.lit(1)).alias("merchants"), round2(F.sum("total_revenue")).alias("total_revenue"),
                    F.min_by("merchant_id", F.struct(-F.col("failure_rate_pct"), F.col("merchant_id"))).alias("w"),
                    F.max("failure_rate_pct").alias("m"))
-    drift = Q.categorical_drift(FR.bronze_frame(t), e, DRIFT_COLS).agg(F.max("drifted_columns"))
-    alerts = O.evaluate_alerts(measures(t)).agg(F.count(F.lit(1)))
+    drift = Q.categorical_drift(bronze, e, DRIFT_COLS).agg(F.max("drifted_columns"))
+    alerts = O.evaluate_alerts(measures(t, bronze, e)).agg(F.count(F.lit(1)))
     return prof.select("rows", "completed", "failed", "amount_mean",
                        health.select("merchants").scalar().alias("merchants"),
                        health.select("total_revenue").scalar().alias("total_revenue"),

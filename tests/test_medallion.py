@@ -1,5 +1,7 @@
 """The pipeline's stages on dirty landings, and what must not be taken for an empty target."""
 
+import datetime as dt
+import pathlib
 import types
 
 import pytest
@@ -9,8 +11,8 @@ from ledgerlake.plans import frames as FR
 from ledgerlake.plans import medallion as M
 from ledgerlake.session import checkpoint_dir
 from ledgerlake.sources import io
+from ledgerlake.sources.keyed import KeyedTable
 from ledgerlake.sources.tables import Tables
-from ledgerlake.streaming import jobs
 
 from .conftest import SF_SMALL
 
@@ -38,7 +40,7 @@ def test_cast_failures_below_the_gate_are_quarantined(spark):
     src, merch = _landing(spark, ctx, 50)
     M.ingest_bronze(ctx, src, ctx.path("bronze"))
     M.transform_silver(ctx, ctx.path("bronze"), merch, ctx.path("silver"))
-    rejects = spark.read.parquet(ctx.path("quarantine"))
+    rejects = M.quarantine(ctx)
     assert {r[0] for r in rejects.select("reject_reason").distinct().collect()} == {"bad_amount"}
     assert ctx.counts["rejected"] == rejects.count() > 0
     assert ctx.counts["input"] == ctx.counts["after_filter"] + ctx.counts["rejected"]
@@ -51,10 +53,10 @@ def test_a_source_without_a_required_column_is_refused(spark):
         M.ingest_bronze(ctx, path, ctx.path("bronze"))
 
 
-def test_only_a_missing_path_means_no_target(spark, tmp_path):
-    assert not jobs._exists(spark, str(tmp_path / "none"))
+def test_only_a_missing_path_means_an_empty_ledger(spark, tmp_path):
+    assert KeyedTable(spark, str(tmp_path / "none"), "id").loads() == []
     with pytest.raises(Exception):
-        jobs._exists(spark, "nosuchfs://host/table")
+        KeyedTable(spark, "nosuchfs://host/table", "id")
 
 
 def test_a_cluster_needs_a_shared_folder():
@@ -62,3 +64,75 @@ def test_a_cluster_needs_a_shared_folder():
     context = types.SimpleNamespace(master="spark://host:7077", getConf=lambda: conf)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(types.SimpleNamespace(conf=conf, sparkContext=context))
+
+
+def _run(spark, root, src, day, gate=100.0):
+    ctx = M.RunContext.new(spark, run_date=day, root=root, gate_pct=gate)
+    M.ingest_bronze(ctx, src, ctx.path("bronze"))
+    M.transform_silver(ctx, ctx.path("bronze"), FR.merch_frame(Tables(spark, SF_SMALL)), ctx.path("silver"))
+    M.run_gold(ctx, ctx.path("silver"), ctx.path("gold"))
+    return ctx
+
+
+def _feed(spark, rows, path, mode="overwrite"):
+    names = M.LANDING_COLUMNS
+    data = [tuple(dict({n: "1" for n in names}, status="COMPLETED", payment_method="card", ingestion_ts="2001-07-15 00:00:00",
+                       transaction_id=i, transaction_date=d, amount=a)[n] for n in names) for i, d, a in rows]
+    spark.createDataFrame(data, io.all_string_schema(names)).coalesce(1).write.mode(mode).option("header", True).csv(path)
+
+
+D15, D16, D17 = (dt.date(2001, 7, n) for n in (15, 16, 17))
+
+
+def test_every_landed_row_is_accounted_for(spark):
+    root = M.scratch_path(spark, "accounted")
+    rows = [("a1", "2001-07-15", "5"), ("a2", "2001-7-15", "6"), ("a3", "2001-07-15", "x"), (None, "2001-07-15", "1"),
+            ("b1", "2001-07-16", "7"), ("b2", "2001-07-16", "-1"), ("n1", "N/A", "8"), ("n2", None, "9"), ("n3", "soon", "x"), ("c1", "2001-07-18", "1")]
+    _feed(spark, rows, f"{root}/landing")
+    for day in (D15, D16, D15, D17):  # the last has no rows
+        ctx = _run(spark, root, f"{root}/landing", day)
+    got = {r["run_date"]: tuple(r)[1:] for r in M.accounting(ctx).collect()}
+    assert got == {"2001-07-15": (4, 4, 2, 2), "2001-07-16": (2, 2, 1, 1), "undated": (3, 0, 0, 3), "2001-07-18": (1, None, None, None)}
+    rejects = sorted((r["run_date"], r["transaction_id"] or "", r["reject_reason"]) for r in M.quarantine(ctx).collect())
+    assert rejects == [("2001-07-15", "", "null_id"), ("2001-07-15", "a3", "bad_amount"), ("2001-07-16", "b2", "negative_amount"),
+                       ("undated", "n1", "bad_date"), ("undated", "n2", "bad_date"), ("undated", "n3", "bad_amount")]
+    assert sorted(r[0] for r in spark.read.parquet(f"{root}/silver").select("transaction_id").collect()) == ["a1", "a2", "b1"]
+    ltv = spark.read.parquet(f"{root}/gold/customer_ltv").collect()
+    assert [(r["total_txns"], r["total_spent"], r["first_txn_date"], r["last_txn_date"]) for r in ltv] == [(3, 18.0, D15, D16)]
+
+
+def test_the_gate_sees_the_undated_rows_of_a_run(spark):
+    root = M.scratch_path(spark, "gated")
+    _feed(spark, [(f"a{i}", "2001-07-15", "5") for i in range(9)] + [("n", "N/A", "5")], f"{root}/landing")
+    with pytest.raises(RuntimeError, match="quality gate"):
+        _run(spark, root, f"{root}/landing", D15, gate=5.0)
+    assert _run(spark, root, f"{root}/landing", D15, gate=15.0).counts["undated"] == 1
+
+
+def test_files_are_counted_once_and_again_when_replaced(spark, monkeypatch):
+    root = M.scratch_path(spark, "files")
+    src = f"{root}/landing"
+    _feed(spark, [("a1", "2001-07-15", "5"), ("n1", "N/A", "5")], src)
+    _run(spark, root, src, D15)
+    _feed(spark, [("b1", "2001-07-16", "5"), ("b2", "2001-07-16", "5"), ("n2", None, "5")], src, "append")
+    read, scan = [], io.csv_bronze_scan
+    monkeypatch.setattr(io, "csv_bronze_scan", lambda s, paths, c: read.append(len(paths)) or scan(s, paths, c))
+    ctx = _run(spark, root, src, D16)
+    assert read == [1, 1]  # the new file is counted, and only the file that holds the day is read
+    read.clear()
+    ctx = _run(spark, root, src, D16)
+    assert read == [1]
+    assert {r["run_date"]: r["landed"] for r in M.accounting(ctx).collect()} == {"2001-07-15": 1, "2001-07-16": 2, "undated": 2}
+    # A replaced file: its day shrinks to nothing, its undated row has a date now.
+    old = next(p for p in M.landed_files(ctx, src).items() if p[0] in {r["source_file"] for r in M.manifest(ctx).where("bronze_date = '2001-07-15'").collect()})
+    path = old[1][0].removeprefix("file:")
+    with open(path) as f:
+        text = f.read().replace("N/A", "2001-07-16").replace("a1", "a11").replace("2001-07-15,", "2001-07-16,")
+    with open(path, "w") as f:
+        f.write(text)
+    for crc in pathlib.Path(path).parent.glob(f".{old[0]}.crc"):
+        crc.unlink()
+    _run(spark, root, src, D15)
+    ctx = _run(spark, root, src, D16)
+    assert {r["run_date"]: tuple(r)[1:] for r in M.accounting(ctx).collect()} == {"2001-07-16": (4, 4, 4, 0), "undated": (1, 0, 0, 1)}
+    assert spark.read.parquet(f"{root}/silver").where("transaction_date = '2001-07-15'").count() == 0
