@@ -218,31 +218,67 @@ def handle_drift(feed: DataFrame, expected: dict) -> tuple[DataFrame, DataFrame]
     return report, apply_evolution(feed.join(halted, "batch_id", "left_anti"), column_actions(dec))
 
 
+def migration(columns: list[str], add=(), rename=None, drop=()) -> dict[str, str | None]:
+    """SD8 on names only: the columns after an ALTER TABLE -> the field each comes from, None for an added one."""
+    rename = rename or {}
+    out = {rename.get(c, c): c for c in columns} | {rename.get(c, c): None for c in add}
+    return {c: source for c, source in out.items() if c not in drop}
+
+
+def migrate_variants(rows: DataFrame, sources: dict[str, dict[str, str | None]], types: dict[str, str]) -> DataFrame:
+    """SD8 over ``sets.with_versions()``: every version's rows in the final shape, in one pass. ``sources``: version -> migration()."""
+    from ledgerlake.operators.sets import variant_field
+    out = []
+    for c, kind in types.items():
+        value = F.lit(None).cast(kind)
+        for version, fields in sources.items():
+            if fields.get(c):
+                value = F.when(F.col("schema_version") == version, variant_field(fields[c], kind)).otherwise(value)
+        out.append(value.alias(c))
+    return rows.select(*out, F.col("schema_version").alias("source_version"))
+
+
+#: Entries of a set sketch as a power of two, and how far its estimate of a Jaccard similarity may be off (8 standard errors).
+SKETCH, SKETCH_SLACK = 12, 0.1
+
+
 def version_diff(versions: dict[str, DataFrame], rename_jaccard: float) -> DataFrame:
-    """SD6: added / removed columns between consecutive versions, and renames
-    proposed where a removed and an added column share most distinct values
-    (Jaccard over distinct values, computed with one grouped pass)."""
+    """SD6: added / removed columns between consecutive versions, and renames proposed where a removed and an
+    added column of one type share most distinct values (Jaccard).
+
+    One pass per version makes a theta sketch of each of its changed columns; the sketches of all (removed, added) pairs are
+    compared without the data. Pairs that may reach the threshold are counted exactly, all of them in one more pass.
+    """
     names = list(versions)
     spark = next(iter(versions.values())).sparkSession
-    rows = []
-    proposals = []
-    for i in range(1, len(names)):
-        prev, cur = versions[names[i - 1]], versions[names[i]]
-        added = [c for c in cur.columns if c not in prev.columns]
-        removed = [c for c in prev.columns if c not in cur.columns]
-        rows += [(names[i], c, "added") for c in added] + [(names[i], c, "removed") for c in removed]
-        for r in removed:
-            for a in added:
-                if dict(prev.dtypes)[r] == dict(cur.dtypes)[a]:
-                    proposals.append((names[i], r, a, prev, cur))
+    rows, pairs = [], []
+    for before, after in zip(names, names[1:]):
+        prev, cur = dict(versions[before].dtypes), dict(versions[after].dtypes)
+        added, removed = [c for c in cur if c not in prev], [c for c in prev if c not in cur]
+        rows += [(after, c, "added") for c in added] + [(after, c, "removed") for c in removed]
+        pairs += [(before, r, after, a) for r in removed for a in added if prev[r] == cur[a]]
     changes = spark.createDataFrame(rows, "version string, column_name string, change string")
-    out = changes.withColumn("proposed_rename", F.lit(None).cast("string"))
-    for ver, r, a, prev, cur in proposals:
-        va = prev.select(F.col(r).cast("string").alias("v"), F.lit(1).alias("s"))
-        vb = cur.select(F.col(a).cast("string").alias("v"), F.lit(2).alias("s"))
-        per = va.unionByName(vb).where("v IS NOT NULL").groupBy("v").agg(F.bit_or("s").alias("sides"))
-        jac = per.agg((F.count_if(F.col("sides") == 3) / F.count(F.lit(1))).alias("j")).scalar()
-        hit = (F.col("version") == ver) & F.col("column_name").isin(r, a) & (jac >= rename_jaccard)
-        out = out.withColumn("proposed_rename",
-                             F.when(hit, F.lit(f"{r} -> {a}")).otherwise(F.col("proposed_rename")))
-    return out
+    none = changes.withColumn("proposed_rename", F.lit(None).cast("string"))
+    if not pairs:
+        return none
+    wanted = {v: sorted({r for b, r, _, _ in pairs if b == v} | {a for _, _, x, a in pairs if x == v}) for v in names}
+    sketches = {v: versions[v].agg(*[F.theta_sketch_agg(F.col(c).cast("string"), SKETCH).alias(c) for c in cols]).first()
+                for v, cols in wanted.items() if cols}
+    compared = spark.createDataFrame([(n, sketches[b][r], sketches[v][a]) for n, (b, r, v, a) in enumerate(pairs)], "pair int, one binary, other binary")
+    estimate = F.try_divide(F.theta_sketch_estimate(F.theta_intersection("one", "other")), F.theta_sketch_estimate(F.theta_union("one", "other")))
+    close = {x["pair"] for x in compared.where(estimate >= rename_jaccard - SKETCH_SLACK).select("pair").collect()}
+    if not close:
+        return none
+    values = None
+    for v in names:
+        mine = [F.struct(F.lit(n).alias("pair"), F.lit(side).alias("side"), F.col(c).cast("string").alias("v"))
+                for n in sorted(close) for side, (name, c) in ((1, pairs[n][:2]), (2, pairs[n][2:])) if name == v]
+        if mine:
+            part = versions[v].select(F.inline(F.array(*mine))).where("v IS NOT NULL")
+            values = part if values is None else values.unionByName(part)
+    exact = (values.groupBy("pair", "v").agg(F.bit_or("side").alias("sides")).groupBy("pair")
+             .agg((F.count_if(F.col("sides") == 3) / F.count(F.lit(1))).alias("jaccard")).where(F.col("jaccard") >= rename_jaccard))
+    named = spark.createDataFrame([(n, v, c, f"{r} -> {a}") for n, (_, r, v, a) in enumerate(pairs) for c in (r, a)],
+                                  "pair int, version string, column_name string, proposed_rename string")
+    best = exact.join(named, "pair").groupBy("version", "column_name").agg(F.max_by("proposed_rename", "jaccard").alias("proposed_rename"))
+    return changes.join(best, ["version", "column_name"], "left")

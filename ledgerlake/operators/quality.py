@@ -1,9 +1,9 @@
 """Data-quality operators (DQ1-DQ40).
 
 A suite is a list of check dicts (the Soda / Great Expectations / dbt test
-vocabulary). ``run_suite`` compiles all row-level checks into **one**
-``agg`` over the frame and adds one grouped pass per duplicate-count or
-relationship check; the result is one row per check:
+vocabulary). ``run_suite`` compiles all row-level and uniqueness checks into **one**
+pass over the frame (grouping sets: one per key, and one of all rows) and adds one
+grouped pass per relationship check; the result is one row per check:
 ``(check, column, observed DOUBLE, expected STRING, status STRING)``.
 """
 
@@ -31,6 +31,7 @@ class Compiled:
     observed: Column                      # aggregate expression (row-level checks)
     expected: str
     passes: Callable[[Column], Column]    # predicate over the observed value
+    counts: bool = True                   # a count, which is 0 over no rows
 
 
 def _q(c: str) -> Column:
@@ -38,7 +39,7 @@ def _q(c: str) -> Column:
 
 
 def compile_check(chk: dict) -> Compiled | None:
-    """Row-level checks -> one aggregate expression each; grouped checks -> None."""
+    """Row-level checks -> one aggregate expression each; checks of keys -> None."""
     kind = chk["type"]
     col = chk.get("column")
     zero = lambda o: o == 0
@@ -59,17 +60,9 @@ def compile_check(chk: dict) -> Compiled | None:
         return Compiled(chk.get("name", kind), "", F.count(F.lit(1)), f"> {v}", lambda o: o > v)
     if kind == "not_null":
         return Compiled(chk.get("name", kind), col, F.count_if(_q(col).isNull()), "= 0", zero)
-    if kind == "unique":
-        cols = col if isinstance(col, (list, tuple)) else [col]
-        # rows whose key is fully non-null minus distinct keys = duplicate rows
-        allnn = _q(cols[0]).isNotNull()
-        for c in cols[1:]:
-            allnn = allnn & _q(c).isNotNull()
-        obs = F.count_if(allnn) - F.count_distinct(*[_q(c) for c in cols])
-        return Compiled(chk.get("name", kind), ",".join(cols), obs, "= 0", zero)
     if kind == "min_ge":
         b = chk["bound"]
-        return Compiled(chk.get("name", kind), col, F.min(_q(col)), f">= {b}", lambda o: o >= b)
+        return Compiled(chk.get("name", kind), col, F.min(_q(col)), f">= {b}", lambda o: o >= b, counts=False)
     if kind == "rows_below":
         b = chk["bound"]
         return Compiled(chk.get("name", kind), col, F.count_if(_q(col) < b), "= 0", zero)
@@ -93,7 +86,7 @@ def compile_check(chk: dict) -> Compiled | None:
     if kind == "mean_between":
         lo, hi = chk["min"], chk["max"]
         return Compiled(chk.get("name", kind), col, F.avg(_q(col)), f"between {lo} and {hi}",
-                        lambda o: (o >= lo) & (o <= hi))
+                        lambda o: (o >= lo) & (o <= hi), counts=False)
     if kind == "length_between":
         lo, hi = chk["min"], chk["max"]
         ln = F.length(_q(col))
@@ -103,7 +96,7 @@ def compile_check(chk: dict) -> Compiled | None:
         e = chk["expr"]
         return Compiled(chk.get("name", kind), "", F.count_if(~F.coalesce(F.expr(e), F.lit(False))),
                         f"all rows: {e}", zero)
-    if kind in ("duplicate_count", "relationship"):
+    if kind in ("unique", "duplicate_count", "relationship"):
         return None
     raise ValueError(f"unknown check type {kind}")
 
@@ -115,43 +108,53 @@ def _row(name, column, observed: Column, expected, passes: Column) -> Column:
                     F.when(passes, "PASS").otherwise("FAIL").alias("status"))
 
 
+def _key(chk: dict) -> tuple[str, ...]:
+    col = chk["column"]
+    return tuple(col) if isinstance(col, (list, tuple)) else (col,)
+
+
 def run_suite(df: DataFrame, checks: list[dict]) -> DataFrame:
-    """DQ11: run a declarative suite; one aggregate for all row-level checks,
-    turned into rows with ``inline`` (no second job)."""
-    compiled = [(i, compile_check(c)) for i, c in enumerate(checks)]
-    parts: list[DataFrame] = []
-    row_level = [(i, c) for i, c in compiled if c is not None]
-    if row_level:
-        agg = df.agg(*[c.observed.alias(f"_o{i}") for i, c in row_level])
-        rows = [_row(c.name, c.column, F.col(f"_o{i}"), c.expected, c.passes(F.col(f"_o{i}")))
-                for i, c in row_level]
-        parts.append(agg.select(F.inline(F.array(*rows))))
-    for chk in checks:
-        if chk["type"] == "duplicate_count":
-            parts.append(duplicate_count_check(df, chk))
-        elif chk["type"] == "relationship":
-            parts.append(relationship_check(df, chk))
+    """DQ11: run a declarative suite in one pass over the rows, turned into rows with ``inline`` (no second job).
+
+    Uniqueness (DQ3: rows beyond the first of their key) and duplicate_count (values occurring more than once) of all keys
+    come from one grouping by grouping sets, a set per key. The row-level checks are the aggregates of one more set,
+    that of all rows. Rows with a null in the key are no duplicates; partial counts are made before the shuffle.
+    """
+    row_level = [(i, c) for i, c in ((i, compile_check(c)) for i, c in enumerate(checks)) if c is not None]
+    keyed = [(i, _key(c), c) for i, c in enumerate(checks) if c["type"] in ("unique", "duplicate_count")]
+    keys = list(dict.fromkeys(k for _, k, _ in keyed))
+    observed = [c.observed.alias(f"_o{i}") for i, c in row_level]
+    if keys:
+        columns = list(dict.fromkeys(c for k in keys for c in k))
+
+        def grouping(key) -> int:
+            return sum(1 << (len(columns) - 1 - n) for n, c in enumerate(columns) if c not in key)
+
+        sets = df.groupingSets([[_q(c) for c in k] for k in keys] + [[]], *[_q(c) for c in columns])
+        groups = sets.agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n"), *observed)
+        final = [F.max(F.when(F.col("_set") == grouping(()), F.col(f"_o{i}"))).alias(f"_o{i}") for i, _ in row_level]
+        for i, key, chk in keyed:
+            mine = F.col("_set") == grouping(key)
+            for c in key:
+                mine = mine & _q(c).isNotNull()
+            one = F.col("_n") - 1 if chk["type"] == "unique" else (F.col("_n") > 1).cast("bigint")
+            final.append(F.coalesce(F.sum(F.when(mine, one)), F.lit(0)).alias(f"_o{i}"))
+        agg = groups.agg(*final)
+    elif row_level:
+        agg = df.agg(*observed)
+    rows = []
+    for i, c in row_level:
+        value = F.coalesce(F.col(f"_o{i}"), F.lit(0)) if c.counts else F.col(f"_o{i}")
+        rows.append(_row(c.name, c.column, value, c.expected, c.passes(value)))
+    rows += [_row(chk.get("name", chk["type"]), ",".join(key), F.col(f"_o{i}"), "= 0", F.col(f"_o{i}") == 0) for i, key, chk in keyed]
+    parts = [agg.select(F.inline(F.array(*rows)))] if rows else []
+    parts += [relationship_check(df, chk) for chk in checks if chk["type"] == "relationship"]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def duplicate_count_check(df: DataFrame, chk: dict) -> DataFrame:
-    """Soda ``duplicate_count``: number of distinct values occurring more than
-    once — a grouped pass (partial counts per value, then a global count)."""
-    col = chk["column"]
-    cols = col if isinstance(col, (list, tuple)) else [col]
-    allnn = _q(cols[0]).isNotNull()
-    for c in cols[1:]:
-        allnn = allnn & _q(c).isNotNull()
-    g = df.where(allnn)
-    dups = g.groupBy(*[_q(c) for c in cols]).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    agg = dups.agg(F.count(F.lit(1)).alias("_obs"))
-    return agg.select(F.inline(F.array(_row(chk.get("name", "duplicate_count"), ",".join(cols), F.col("_obs"),
-                                            "= 0", F.col("_obs") == 0))))
-
-
 def relationship_check(df: DataFrame, chk: dict) -> DataFrame:
     """dbt ``relationships`` (DQ6): fact rows whose key is missing in the
     dimension, counted with a ``left_anti`` join."""
@@ -243,15 +246,15 @@ def scorecard(df: DataFrame, columns: list[str], key: str, run_date) -> DataFram
 
 
 def dirty_labels(bronze: DataFrame, merch: DataFrame, anchor) -> DataFrame:
-    """DQ19: per-row array of labels. Duplicate ids come from a grouped count
-    joined back (AQE splits a hot id); rows with a null id can match none and stay out of that join."""
+    """DQ19: per-row array of labels. Duplicate ids come from a grouped count joined back (AQE splits a hot id). Rows with
+    a null id can match none: each gets a join key of its own, so they are spread over the tasks instead of meeting in one."""
     # derived side: AQE broadcasts it from its real (runtime) size — no extra pass to probe it
     dup = (bronze.where(F.col("transaction_id").isNotNull()).groupBy(F.col("transaction_id").alias("_dk"))
                  .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_dk"))
     m = merch.select(F.col("merchant_id").alias("_mk"))
-    named = bronze.where(F.col("transaction_id").isNotNull())
-    unnamed = bronze.where(F.col("transaction_id").isNull()).withColumn("_dk", F.lit(None).cast("string"))
-    j = named.join(dup, named.transaction_id == dup._dk, "left").unionByName(unnamed).join(m, F.col("merchant_id") == m._mk, "left")
+    nobody = F.concat(F.lit("\0"), F.xxhash64("tie1", "merchant_id", "ingestion_ts", "amount").cast("string"))
+    own = bronze.withColumn("_jk", F.coalesce("transaction_id", nobody))
+    j = own.join(dup, F.col("_jk") == F.col("_dk"), "left").join(m, F.col("merchant_id") == m._mk, "left")
     labels = F.array_compact(F.array(
         F.when(F.col("transaction_id").isNull(), F.lit("null_id")),
         F.when(F.col("amount") < 0, F.lit("negative_amount")),
@@ -259,7 +262,7 @@ def dirty_labels(bronze: DataFrame, merch: DataFrame, anchor) -> DataFrame:
         F.when(F.col("_mk").isNull(), F.lit("unmatched_merchant")),
         F.when((F.col("status") == "COMPLETED") & (F.col("amount") == 0), F.lit("zero_completed")),
         F.when(F.col("transaction_date") > F.lit(anchor), F.lit("future_date"))))
-    return j.withColumn("labels", labels).drop("_dk", "_mk")
+    return j.withColumn("labels", labels).drop("_dk", "_jk", "_mk")
 
 
 def failure_gate(bronze: DataFrame, threshold_pct: float) -> DataFrame:
@@ -300,26 +303,35 @@ def cap_outliers(df: DataFrame, k: float, col: str = "amount") -> DataFrame:
     return df.withColumn(col, F.least(F.col(col), F.lit(k) * mean))
 
 
+def _treated(anchor, cap: Column) -> dict[str, Column]:
+    """The approved fixes of each column: DQ22 (negatives), DQ23 (nulls), future dates to the anchor, DQ24 (``cap``)."""
+    return {"transaction_id": F.coalesce("transaction_id", F.lit("UNKNOWN")),
+            "payment_method": F.coalesce("payment_method", F.lit("UNKNOWN")),
+            "transaction_date": F.least(F.coalesce("transaction_date", F.lit(anchor)), F.lit(anchor)),
+            "amount": F.least(F.greatest(F.col("amount"), F.lit(0).cast("decimal(18,2)")), cap)}
+
+
 def treat(bronze: DataFrame, anchor, k: float) -> DataFrame:
-    """The approved fixes, one after the other: DQ22, DQ23, future dates to the anchor, DQ24 with the untreated mean."""
-    cap = F.lit(k) * bronze.agg(F.avg("amount")).scalar()
-    fixed = fix_nulls(fix_negative_to_zero(bronze), anchor)
-    return (fixed.withColumn("transaction_date", F.least("transaction_date", F.lit(anchor)))
-                 .withColumn("amount", F.least(F.col("amount"), cap)))
+    """DQ21: all approved fixes; outliers are capped at k x the untreated mean."""
+    return bronze.withColumns(_treated(anchor, F.lit(k) * bronze.agg(F.avg("amount")).scalar()))
 
 
 def treatment_before_after(bronze: DataFrame, anchor, k: float) -> DataFrame:
-    """DQ21: rows per issue in the untreated and in the treated rows, by the same tests."""
+    """DQ21: rows per issue in the untreated and in the treated rows, by the same tests, from one pass over the rows
+    beside the one that finds the mean."""
     cap = F.lit(k) * bronze.agg(F.avg("amount")).scalar()
-    issues = {"negative_amount": F.col("amount") < 0,
-              "null_id": F.col("transaction_id").isNull(),
-              "future_date": F.col("transaction_date") > F.lit(anchor),
-              "outlier": F.col("amount") > cap}
+    one = bronze.select("transaction_id", "payment_method", "transaction_date", "amount", cap.alias("_cap"))
+    both = one.select("*", *[v.alias(f"_new_{c}") for c, v in _treated(anchor, F.col("_cap")).items()])
 
-    def counts(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(*[F.count_if(test).cast("bigint").alias(i) for i, test in issues.items()]).unpivot([], list(issues), "issue", name)
+    def issues(new: str) -> dict[str, Column]:
+        return {"negative_amount": F.col(f"{new}amount") < 0, "null_id": F.col(f"{new}transaction_id").isNull(),
+                "future_date": F.col(f"{new}transaction_date") > F.lit(anchor), "outlier": F.col(f"{new}amount") > F.col("_cap")}
 
-    return counts(bronze, "before_count").join(counts(treat(bronze, anchor, k), "after_count"), "issue")
+    before, after = issues(""), issues("_new_")
+    counts = both.agg(*[F.count_if(t).cast("bigint").alias(f"b_{i}") for i, t in before.items()],
+                      *[F.count_if(t).cast("bigint").alias(f"a_{i}") for i, t in after.items()])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(i).alias("issue"), F.col(f"b_{i}").alias("before_count"), F.col(f"a_{i}").alias("after_count"))
+                                            for i in before])))
 
 
 def domain_violations(bronze: DataFrame, merch: DataFrame, anchor, method_limit) -> DataFrame:
@@ -342,17 +354,17 @@ def domain_violations(bronze: DataFrame, merch: DataFrame, anchor, method_limit)
 def realism(orders: DataFrame, split_date) -> DataFrame:
     """DQ28: compare two halves of a table: mean, cardinality, null rate, and the distance of the value
     distributions of a category (half the sum of the differences of its shares)."""
+    real = F.col("is_real")
+    # One pass: by customer and category, then both are summed up. A customer of several categories is counted once.
     h = orders.withColumn("is_real", F.col("o_orderdate").cast("date") < F.lit(split_date))
-    m = h.groupBy("is_real").agg(F.avg("o_totalprice").alias("mean_price"),
-                                 F.count_distinct("o_custkey").alias("card_customers"),
-                                 F.count(F.lit(1)).alias("rows"),
-                                 (F.count_if(F.col("o_orderpriority").isNull()) / F.count(F.lit(1))).alias("null_rate"))
-    w = m.agg(*[F.max(F.when(F.col("is_real") == flag, F.col(c))).alias(f"{p}_{c}")
-                for flag, p in ((True, "r"), (False, "s")) for c in ("mean_price", "card_customers", "rows", "null_rate")])
-    by_value = h.groupBy("o_orderpriority").agg(F.count_if(F.col("is_real")).alias("_r"), F.count_if(~F.col("is_real")).alias("_s"))
-    total = by_value.agg(F.sum("_r").alias("r"), F.sum("_s").alias("s"))
-    distance = by_value.agg(F.sum(F.abs(F.col("_r") / total.select("r").scalar() - F.col("_s") / total.select("s").scalar())) / 2)
-    w = w.withColumn("dist", distance.scalar())
+    g = h.groupingSets([["is_real", "o_custkey"], ["is_real", "o_orderpriority"]], "is_real", "o_custkey", "o_orderpriority").agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total"), F.count("o_totalprice").alias("priced"))
+    by_customer, by_value = F.col("_set") == 1, F.col("_set") == 2
+    sides = {"r": real, "s": ~real}
+    flat = g.where(real.isNotNull()).groupBy(F.when(by_value, F.struct("o_orderpriority")).alias("_v")).agg(
+        *[F.sum(F.when(side, F.col(c))).alias(f"{p}_{c}") for p, side in sides.items() for c in ("n", "total", "priced")],
+        *[F.count_if(side & by_customer & F.col("o_custkey").isNotNull()).alias(f"{p}_customers") for p, side in sides.items()])
+    w = _shares(flat)
     dm = F.least(F.lit(1.0), F.abs(F.col("s_mean_price") - F.col("r_mean_price")) / F.col("r_mean_price"))
     dc = F.least(F.lit(1.0), F.abs(F.col("s_card_customers") - F.col("r_card_customers")) / F.col("r_card_customers"))
     return w.select(round2("r_mean_price").alias("real_mean"), round2("s_mean_price").alias("synthetic_mean"),
@@ -363,6 +375,23 @@ def realism(orders: DataFrame, split_date) -> DataFrame:
                     round2((F.lit(1) - dm) * 40 + (F.lit(1) - dc) * 30 + (F.lit(1) - F.col("dist")) * 30, 2).alias("realism_score"))
 
 
+def _shares(flat: DataFrame) -> DataFrame:
+    """From a row per category and one of the customers (``_v`` null): mean, customers, null rate of both sides and the distance
+    of the categories' shares. The categories' rows are few; those of the customers are one."""
+    value = F.col("_v").isNotNull()
+
+    def total(c: str) -> Column:
+        return F.coalesce(F.sum(F.when(value, F.col(c))), F.lit(0))
+
+    pairs = F.collect_list(F.when(value, F.struct(F.coalesce("r_n", F.lit(0)).alias("r"), F.coalesce("s_n", F.lit(0)).alias("s"))))
+    w = flat.agg(pairs.alias("pairs"), *[x for p in "rs" for x in (
+        F.try_divide(total(f"{p}_total"), total(f"{p}_priced")).alias(f"{p}_mean_price"), F.max(F.when(~value, F.col(f"{p}_customers"))).alias(f"{p}_card_customers"),
+        total(f"{p}_n").alias(f"{p}_rows"), F.try_divide(F.coalesce(F.sum(F.when(value & F.col("_v.o_orderpriority").isNull(), F.col(f"{p}_n"))), F.lit(0)),
+                                                        total(f"{p}_n")).alias(f"{p}_null_rate"))])
+    distance = F.aggregate("pairs", F.lit(0.0), lambda s, x: s + F.abs(x["r"] / F.col("r_rows") - x["s"] / F.col("s_rows"))) / 2
+    return w.withColumn("dist", distance)
+
+
 def _merchant_means(enr: DataFrame) -> DataFrame:
     """Per-merchant mean; a derived side, so AQE sizes the join at runtime."""
     return enr.groupBy(F.col("merchant_id").alias("_mm")).agg(F.avg("amount").alias("m_avg"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -55,6 +55,31 @@ def align_versions(frames: dict[str, DataFrame], renames: dict[str, str] | None
     return out
 
 
+def with_versions(df: DataFrame, versions: dict[str, tuple[Column, dict[str, str]]]) -> DataFrame:
+    """Rows of several schema versions in one frame: (schema_version, fields), ``fields`` a variant with the version's own
+    fields. ``versions``: name -> (which rows, field -> column). One pass, however many versions; a row of none is left out."""
+    version = payload = None
+    for name, (mine, fields) in versions.items():
+        own = F.to_variant_object(F.struct(*[F.col(c).alias(f) for f, c in fields.items()]))
+        version = F.when(mine, name) if version is None else version.when(mine, name)
+        payload = F.when(mine, own) if payload is None else payload.when(mine, own)
+    return df.select(version.alias("schema_version"), payload.alias("fields")).where(F.col("schema_version").isNotNull())
+
+
+def variant_field(name: str, kind: str) -> Column:
+    """A field of ``fields``, null in rows whose version does not have it."""
+    return F.try_variant_get("fields", f"$.{name}", kind)
+
+
+def align_variants(rows: DataFrame, columns: dict[str, str], renames: dict[str, str] | None = None) -> DataFrame:
+    """U3 over with_versions(): the columns by name and type, renamed fields (old -> new) mapped back, missing ones null."""
+    old = {}
+    for before, after in (renames or {}).items():
+        old.setdefault(after, []).append(before)
+    cols = [F.coalesce(*[variant_field(n, kind) for n in (c, *old.get(c, ()))]).alias(c) for c, kind in columns.items()]
+    return rows.select(*cols, "schema_version")
+
+
 def layer_row_delta(bronze: DataFrame, key: str = "transaction_id", amount: str = "amount") -> DataFrame:
     """U4: Bronze -> Silver row accounting as (reason, rows)."""
     k, a = F.col(key), F.col(amount)

@@ -42,7 +42,9 @@ def partition_total(df: DataFrame, key: str, value: str, cond=None, out: str = "
 def surge_vs_other_days(daily: DataFrame, date_col: str = "report_date", value: str = "total_revenue") -> DataFrame:
     """Each day's value against the mean of all *other* days:
     ``(sum − self) / (n − 1)``, with the surge in % and the number of days.
-    The total and the day count are global aggregates (scalar subqueries)."""
+    The daily table, a row per day, is written once; total and day count are aggregates of it (scalar subqueries)."""
+    from ledgerlake.session import materialize
+    daily = materialize(daily.select(date_col, value), "daily")
     tot = daily.agg(F.sum(value).alias("s"), F.count(F.lit(1)).alias("n"))
     s_all, n = tot.select("s").scalar(), tot.select("n").scalar()
     others = F.try_divide(s_all - F.col(value), n - 1)

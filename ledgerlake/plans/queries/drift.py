@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import drift as SD
 from ledgerlake.operators import sets as U
+from ledgerlake.plans import frames as FR
 from ledgerlake.plans.catalog import query
-from ledgerlake.plans.queries.windows import schema_versions
+from ledgerlake.plans.queries.windows import VERSION_FIELDS, VERSION_TYPES, schema_versions, versioned_rows
+from ledgerlake.session import materialize
 
 D = "CAST(o_orderdate AS DATE)"
 NEW = f"{D} >= DATE '2000-01-01'"
@@ -183,7 +185,7 @@ def schema_version_diff(t):
     """SD6: consecutive versions diffed (added / removed columns); a removed
     and an added column of the same step whose distinct value sets overlap
     (Jaccard >= 0.5) are proposed as a rename."""
-    return SD.version_diff(schema_versions(t), 0.5)
+    return SD.version_diff(schema_versions(t, materialize(FR.silver_frame(t), "silver")), 0.5)
 
 
 @query("silent_break_probe", VERSION_SQL_LOG + """
@@ -193,7 +195,7 @@ UNION ALL SELECT 'v3', COUNT(*), 0 FROM v3""")
 def silent_break_probe(t):
     """SD7: a downstream filter (payment_method = '1-URGENT') per version on the
     unioned versions: v1/v3 return 0 rows although they have data — the silent break."""
-    u = U.align_versions(schema_versions(t), {"user_id": "customer_id"})
+    u = U.align_variants(versioned_rows(t), VERSION_TYPES, {"user_id": "customer_id"})
     return u.groupBy("schema_version").agg(F.count(F.lit(1)).alias("rows"),
                                             F.count_if(F.col("payment_method") == "1-URGENT").cast("bigint")
                                              .alias("matching_rows"))
@@ -206,10 +208,9 @@ UNION ALL SELECT transaction_id, amount, status, merchant_id, transaction_date,
 def migrate_version(t):
     """SD8: v1 -> v2 (add customer_id, payment_method) -> v3 (rename
     customer_id to user_id, drop payment_method); all slices end in v3 shape."""
-    v = schema_versions(t)
-    v1_2 = SD.migrate_version(v["v1"], add=[("customer_id", "bigint"), ("payment_method", "string")])
+    v1, v2 = VERSION_FIELDS, [*VERSION_FIELDS, "customer_id", "payment_method"]
     to_v3 = dict(rename={"customer_id": "user_id"}, drop=("payment_method",))
-    parts = [SD.migrate_version(v1_2, **to_v3).withColumn("source_version", F.lit("v1")),
-             SD.migrate_version(v["v2"], **to_v3).withColumn("source_version", F.lit("v2")),
-             v["v3"].withColumn("source_version", F.lit("v3"))]
-    return U.union_batches(*parts)
+    v3 = [*VERSION_FIELDS, "user_id"]
+    sources = {"v1": SD.migration(v1, add=("customer_id", "payment_method"), **to_v3), "v2": SD.migration(v2, **to_v3), "v3": SD.migration(v3)}
+    types = {c: VERSION_TYPES.get(c, "bigint") for c in v3}
+    return SD.migrate_variants(versioned_rows(t), sources, types)

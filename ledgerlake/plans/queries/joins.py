@@ -221,3 +221,21 @@ def semi_join_keys(t):
     m = FR.merch_frame(t).where(F.col("merchant_id") % 3 == PARTNER).select(F.col("merchant_id").alias("k"))
     e = FR.enr_frame(t)
     return e.join(m, e.merchant_id == m.k, "left_semi").select("transaction_id", "merchant_id")
+
+
+BUCKETS = 16
+
+
+@query("bucketed_order_join", """
+SELECT o_orderstatus, o_orderpriority, COUNT(*) AS items, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+       COUNT(DISTINCT o_orderkey) AS orders FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2""", frames=False)
+def bucketed_order_join(t):
+    """J3 co-located: line items and orders written once by buckets of the order key and joined without a shuffle."""
+    from ledgerlake.session import scratch_path
+    from ledgerlake.sources.bucketed import join_bucketed, write_bucketed
+    items = write_bucketed(t.lineitem.select("l_orderkey", "l_extendedprice"), scratch_path(t.spark, "items_by_order"), "l_orderkey", BUCKETS)
+    orders = write_bucketed(t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority"), scratch_path(t.spark, "orders_by_key"), "o_orderkey", BUCKETS)
+    joined = join_bucketed(items, orders, t.spark)
+    return joined.groupBy("o_orderstatus", "o_orderpriority").agg(
+        F.count(F.lit(1)).alias("items"), F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("revenue"),
+        F.count_distinct("l_orderkey").alias("orders"))

@@ -111,15 +111,22 @@ def near_bounds(t):
     return O.near_bounds(O.daily_rows(FR.silver_frame(t)), LO, HI, NEAR)
 
 
-def measures(t):
+def layers(t):
+    """Bronze and the enriched Silver made from it, each written once: one pass over the line items for all that reads them."""
+    from ledgerlake.session import materialize
+    bronze = materialize(FR.bronze_frame(t), "bronze")
+    return bronze, materialize(FR.enrich(FR.dedup_latest(FR.silver_rules(bronze)), FR.merch_frame(t)), "enr")
+
+
+def measures(t, bronze=None, enr=None):
     """One row of measures for the alert rules; every value is a scalar
-    subquery over the data (no join of one-row frames). Enriched Silver feeds
-    three measures, so it is materialised once; both daily-count measures
+    subquery over the data (no join of one-row frames). Bronze feeds one measure and enriched Silver
+    three, so both are materialised once, unless given; both daily-count measures
     come from one aggregate over the per-day counts."""
-    from ledgerlake.session import materialize
-    enr = materialize(FR.enr_frame(t), "enr")
+    if enr is None:
+        bronze, enr = layers(t)
     fresh = O.freshness(t.events, "ts", EVENTS_NOW, S["freshness_hours"])
-    q = O.quality_pct(FR.bronze_frame(t), FR.merch_frame(t), S["quality_pct"]).select("quality_pct")
+    q = O.quality_pct(bronze, FR.merch_frame(t), S["quality_pct"]).select("quality_pct")
     daily = O.daily_rows(enr)
     r = F.col("rows")
     near = (r >= LO) & (r <= HI) & ((r <= LO * (1 + NEAR / 100)) | (r >= HI * (1 - NEAR / 100)))

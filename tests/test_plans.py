@@ -74,6 +74,18 @@ def test_suite_is_one_scan(spark, reg):
     assert len(scans.findall(p)) <= 5     # Bronze (2) + merchant dimension (3): one pass for all checks
 
 
+@pytest.mark.parametrize("key, table, most", [
+    ("dq_unique", "l_partkey", 1), ("dq_suite_soda", "l_partkey", 1), ("dq_suite", "l_partkey", 1), ("dirty_classification", "l_partkey", 2),
+    ("treatment_before_after", "l_partkey", 2), ("realism_comparison", "o_orderdate", 1), ("key_conflict_check", "l_partkey", 2),
+    ("schema_version_union", "l_partkey", 1), ("silent_break_probe", "l_partkey", 1), ("migrate_version", "l_partkey", 1),
+    ("schema_version_diff", "l_partkey", 0), ("surge_vs_other_days", "l_partkey", 0), ("distribution_drift", "o_totalprice", 1),
+    ("morning_report_data", "l_partkey", 0), ("alert_rules", "l_partkey", 0)])
+def test_passes_over_the_facts(spark, reg, key, table, most):
+    """How often the plan reads the fact; 0: from a table that one pass has written."""
+    reads = [line for line in plan(run(spark, reg, key)).splitlines() if "FileScan" in line and table in line]
+    assert len(reads) <= most, reads
+
+
 def test_no_python_udf_anywhere(spark, reg):
     for key in ("merchant_performance_total", "sql_text_guard", "pii_columns", "distribution_drift",
                 "dirty_classification", "schema_diff"):
@@ -94,7 +106,7 @@ def test_table_handles_are_lazy(spark):
 
 
 WRITES = {"parquet_partitioned_write", "partition_pruned_read", "idempotent_overwrite", "run_metadata_sink", "ingest_bronze",
-          "transform_silver", "run_gold", "run_medallion", "run_date_pipeline", "stream_bronze_ingest", "stream_dedup",
+          "transform_silver", "run_gold", "run_medallion", "run_date_pipeline", "run_date_accounting", "quarantine_by_run", "stream_bronze_ingest", "stream_dedup",
           "stream_failure_rate", "stream_silver_upsert"}
 
 
