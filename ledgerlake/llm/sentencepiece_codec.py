@@ -15,12 +15,15 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import sha256
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import load, map_arrow, pick
@@ -83,7 +86,7 @@ class Codec:
         self.breaks = "" if "\n" in self.id else "\n"
         self.chunks = re.compile(f"{SPACE}+[^{SPACE}{self.breaks}]*|{self.breaks or '(?!)'}|[^{SPACE}{self.breaks}]+")
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, tuple[list[int], str]] = {}
+        self.words: dict[str, tuple[bytes, str, str]] = {}
         self.space_run = lru_cache(1024)(lambda n: [self.id[p] for p in self.merged(SPACE * n)])
 
     def merged(self, text: str, parts: dict | None = None) -> list[str]:
@@ -165,8 +168,8 @@ class Codec:
                 start = i + 1
         return ids, self._plain(ids)
 
-    def _chunk(self, text: str) -> tuple[list[int], str]:
-        """(ids, decoded text) of a run of spaces, if any, and what follows up to the next space."""
+    def _chunk(self, text: str) -> tuple[bytes, str, str]:
+        """(ids as 32-bit integers, ids joined by commas, decoded text) of a run of spaces, if any, and what follows up to the next space."""
         rest = text.lstrip(SPACE)
         n = len(text) - len(rest)
         ids, plain = self._word(SPACE * (n > 0) + rest) if rest else ([], "")
@@ -174,7 +177,8 @@ class Codec:
             ids, plain = ids[1:], plain[1:]
         elif rest and n:
             n -= 1
-        done = self.space_run(n) + ids if n else ids, " " * n + plain
+        ids = self.space_run(n) + ids if n else ids
+        done = array("i", ids).tobytes(), ",".join(map(str, ids)), " " * n + plain
         if len(text) <= 64:
             if len(self.words) >= WORDS:
                 self.words.clear()
@@ -197,18 +201,18 @@ class Codec:
         out.append(run.decode("utf-8", "replace"))
         return "".join(out).replace(SPACE, " ")
 
-    def both(self, text: str) -> tuple[list[int], str]:
-        """(ids, decoded text): the model puts a space before the text and decoding takes it away."""
+    def coded(self, text: str) -> tuple[bytes, str, str]:
+        """(ids as 32-bit integers, ids joined by commas, decoded text): the model puts a space before the text and decoding takes it away."""
         if not text:
-            return [], ""
-        ids: list[int] = []
-        plain = []
+            return b"", "", ""
         known = self.words.get
-        for chunk in self.chunks.findall(SPACE + text.replace(" ", SPACE)):
-            word, said = known(chunk) or self._chunk(chunk)
-            ids += word
-            plain.append(said)
-        return ids, "".join(plain)[1:]
+        ids, said, plain = zip(*[known(chunk) or self._chunk(chunk) for chunk in self.chunks.findall(SPACE + text.replace(" ", SPACE))])
+        return b"".join(ids), ",".join(said), "".join(plain)[1:]
+
+    def both(self, text: str) -> tuple[list[int], str]:
+        """(ids, decoded text)."""
+        ids, _, plain = self.coded(text)
+        return array("i", ids).tolist(), plain
 
     def encode(self, text: str) -> list[int]:
         return self.both(text)[0]
@@ -223,35 +227,41 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encode_decode(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, ids array<int>, decoded string) per row of ``docs``.
+#: What encode_decode() can return of a text beside doc_id.
+COLUMNS = {"n_tokens": "bigint", "ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
+
+
+def _column(name: str, parts: list[tuple[bytes, str, str]]) -> pa.Array:
+    if name == "ids":
+        ends = np.cumsum([0, *(len(p[0]) // 4 for p in parts)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join([p[0] for p in parts]), np.int32)))
+    if name == "n_tokens":
+        return pa.array([len(p[0]) // 4 for p in parts], pa.int64())
+    said = [p[2 if name.startswith("decoded") else 1] for p in parts]
+    return pa.array([sha256(x.encode()).hexdigest() for x in said] if name.endswith("sha256") else said, pa.string())
+
+
+def encode_decode(docs: DataFrame, path: str | None = None, columns: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
+    """doc_id and these columns of COLUMNS per row of ``docs``. Digests are of the ids joined by commas and of the decoded text,
+    as lowercase hexadecimal.
 
     Null and empty texts have no ids and decode to an empty text; a text's cost is linear in its
-    length; repeated rows each give their own row; ids may be null; only doc_id and text are read.
+    length; repeated rows each give their own row; ids may be null; only doc_id and text are read; an empty table gives no rows.
     """
     path = path or model_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = codec(path).both
+        coded = codec(path).coded
         for batch in batches:
             for i in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(i, ROWS_OUT)
-                done = [both(t or "") for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([d[0] for d in done], pa.list_(pa.int32())), pa.array([d[1] for d in done], pa.string())],
-                    names=["doc_id", "ids", "decoded"])
+                done = [coded(t or "") for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), *(_column(c, done) for c in columns)], names=["doc_id", *columns])
 
     slim = pick(docs, "doc_id", "text").select("doc_id", F.col("text").cast("string"))
     kind = dict(slim.dtypes)["doc_id"]
-    return map_arrow(slim, run, f"doc_id {kind}, ids array<int>, decoded string")
-
-
-def digests() -> list[Column]:
-    """Digests of the columns of encode_decode()."""
-    return [F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-            F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")]
+    return map_arrow(slim, run, ", ".join([f"doc_id {kind}", *(f"{c} {COLUMNS[c]}" for c in columns)]))
 
 
 def op3_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = encode_decode(load(spark, sf_dir, "documents"))
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), *digests())
+    return encode_decode(load(spark, sf_dir, "documents"), columns=("n_tokens", "ids_sha256", "decoded_sha256"))
