@@ -90,8 +90,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256): the encoded texts and a digest of what they decode to."""
-    coded = sentencepiece_codec.encode_decode(docs)
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", *sentencepiece_codec.digests())
+    return sentencepiece_codec.encode_decode(docs, columns=("n_tokens", "ids", "ids_sha256", "decoded_sha256"))
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontaminated", decontaminated), ("private", private), ("tokens", tokens)]
