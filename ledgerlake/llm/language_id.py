@@ -28,6 +28,7 @@ SAMPLE_CHARS, SAMPLE_CHUNK = 40_000, 400
 LANGUAGES, TABLE_BYTES = 64, 256 << 20
 #: Texts are parsed in segments of this many code points, so that lanes end together.
 SEGMENT = 2048
+_NO_CODE = 0xFFFFFFFF
 LANES = 1 << 15
 UNKNOWN = "und"
 
@@ -67,28 +68,37 @@ class SuffixAutomaton:
 @dataclass
 class Model:
     """``table[state, symbol]`` is the next state or -1; ``roots`` the start state per language;
-    ``symbols`` maps code points below 65,536 to symbols, 0 for any that no sample has."""
+    ``symbols`` maps the sorted ``codes``, code points of any plane, to symbols; any other is 0."""
 
     names: list[str]
     roots: np.ndarray
     table: np.ndarray
+    codes: np.ndarray
     symbols: np.ndarray
 
+    def read(self, codes: np.ndarray) -> np.ndarray:
+        """The symbols of code points; ``codes`` ends with one that is none, so that every search stays inside."""
+        at = np.searchsorted(self.codes, codes)
+        return np.where(self.codes[at] == codes, self.symbols[at], 0)
+
 
 def build(samples: dict[str, str]) -> Model:
     """Model of the samples, a text per language. Upper and lower case are one."""
     names = sorted(samples)
     low = {n: samples[n].lower() for n in names}
-    alphabet = sorted({c for n in names for c in low[n] if ord(c) < 65536})
-    symbols = np.zeros(65536, np.uint16)
-    for k, c in enumerate(alphabet):
-        symbols[ord(c)] = k + 1
-    for code in range(65536):  # an upper-case letter reads as its lower-case one
-        if len(c := chr(code).lower()) == 1 and ord(c) < 65536 and c != chr(code):
-            symbols[code] = symbols[ord(c)]
+    alphabet = {c: k + 1 for k, c in enumerate(sorted({c for n in names for c in low[n]}))}
+    symbol = {ord(c): k for c, k in alphabet.items()}
+    for code in range(0x110000):  # an upper-case letter reads as its lower-case one
+        c = chr(code)
+        if (small := c.lower()) != c:
+            symbol.pop(code, None)
+            if small in alphabet:
+                symbol[code] = alphabet[small]
+    codes = np.array([*sorted(symbol), _NO_CODE], np.uint32)
+    symbols = np.array([*(symbol[c] for c in sorted(symbol)), 0], np.uint16 if len(alphabet) < 1 << 16 else np.uint32)
     roots, tables, first = [], [], 0
     for n in names:
-        automaton = SuffixAutomaton([int(symbols[ord(c)]) if ord(c) < 65536 else 0 for c in low[n]])
+        automaton = SuffixAutomaton([alphabet[c] for c in low[n]])
         table = np.full((len(automaton.next), len(alphabet) + 1), -1, np.int32)
         for state, to in enumerate(automaton.next):
             for c, target in to.items():
@@ -97,7 +107,7 @@ def build(samples: dict[str, str]) -> Model:
         roots.append(first)
         tables.append(table)
         first += len(table)
-    return Model(names, np.array(roots, np.int32), np.concatenate(tables) if tables else np.full((1, 1), -1, np.int32), symbols)
+    return Model(names, np.array(roots, np.int32), np.concatenate(tables) if tables else np.full((1, 1), -1, np.int32), codes, symbols)
 
 
 def blocks(samples: dict[str, str]) -> Iterator[Model]:
@@ -137,9 +147,9 @@ def phrases(model: Model, texts: list[str]) -> np.ndarray:
 def _walk(model: Model, segments: list[np.ndarray]) -> np.ndarray:
     """Phrases per segment and language; segments come longest first."""
     sizes = np.array([len(s) for s in segments])
-    grid = np.zeros((sizes[0], len(segments)), np.uint16)
+    grid = np.zeros((sizes[0], len(segments)), model.symbols.dtype)
     for k, s in enumerate(segments):
-        grid[:len(s), k] = np.where(s < 65536, model.symbols[np.minimum(s, 65535)], 0)
+        grid[:len(s), k] = model.read(s)
     live = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")  # segments longer than each place
     table, width = model.table.ravel(), model.table.shape[1]
     start = (model.roots[:, None] * width).astype(np.int64)
