@@ -28,9 +28,9 @@ IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = rf"[0-9][0-9{JOINT}]{{11,}}"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
-#: An identifier-like token, after letters and hyphens of any number and up to punctuation that no label character
+#: An identifier-like token of any length, after letters and hyphens of any number and up to punctuation that no label character
 #: follows, and how far to its left a pattern reaches.
-TOKEN = (r"(?<![A-Za-z0-9._%+@-])(?:[A-Za-z][A-Za-z-]*+)?+[0-9][A-Za-z0-9-]{3,39}[A-Za-z0-9]"
+TOKEN = (r"(?<![A-Za-z0-9._%+@-])(?:[A-Za-z][A-Za-z-]*+)?+[0-9][A-Za-z0-9-]{3,}[A-Za-z0-9]"
          r"(?![A-Za-z0-9_%+@]|[.-]++[A-Za-z0-9_%+@])")
 REACH = 48
 

@@ -118,3 +118,12 @@ def test_masking(spark):
 @pytest.mark.parametrize("module", [secret_scan, pii])
 def test_no_rows(spark, module):
     assert module.scan(frame(spark, [])).count() == 0
+
+
+def test_identifiers_of_any_length():
+    import regex
+
+    for token in ("P1234567", "EMP-00123", "9" * 41, "a1" + "b2" * 500, "1" + "x" * 5000 + "9"):
+        for text in (f"badge {token}", f"badge {token}.", f"badge {token}, and"):
+            assert [m.group() for m in regex.finditer(pii.TOKEN, text)] == [token]
+        assert not regex.search(pii.TOKEN, f"badge {token}_x") and not regex.search(pii.TOKEN, f"badge {token}@x.org")
