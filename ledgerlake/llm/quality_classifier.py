@@ -15,14 +15,15 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold_out, load, map_arrow, pick
 
 #: Bounds of what is learned from: labelled rows per class (those with the smallest hash of their id),
-#: half for the dictionaries, half for the calibration; code points of each that are looked at.
-FIT_ROWS, FIT_CHARS = 3000, 8192
+#: half for the dictionaries, half for the calibration; of a text longer than FIT_PARTS times FIT_PART code points, as many parts
+#: spread evenly from its first to its last code point.
+FIT_ROWS, FIT_PARTS, FIT_PART = 3000, 16, 512
 BLOCK, LEVEL, DICTIONARY = 512, 3, 112_640
 THRESHOLD = 0.7
 
@@ -63,7 +64,7 @@ def features(good: bytes, bad: bytes, text: str) -> tuple[float, float]:
 
 def _dictionary(texts: list[str]) -> bytes:
     """A trained dictionary, or for too few texts their plain content."""
-    samples = [b for t in texts for b in _blocks(t)[:8]]
+    samples = [b for t in texts for b in _blocks(t)]
     try:
         return zstandard.train_dictionary(DICTIONARY, samples).as_bytes()
     except zstandard.ZstdError:
@@ -97,6 +98,13 @@ def score(model: Model, text: str | None) -> float:
     return float(1 / (1 + np.exp(-np.clip(model.weights[0] + x @ model.weights[1:], -30, 30))))
 
 
+def _spread(text: Column) -> Column:
+    """The text, or of a long one its parts for fitting."""
+    step = (F.length(text) - FIT_PART) / (FIT_PARTS - 1)
+    parts = F.transform(F.sequence(F.lit(0), F.lit(FIT_PARTS - 1)), lambda i: F.substring(text, F.floor(i * step).cast("int") + 1, F.lit(FIT_PART)))
+    return F.when(F.length(text) <= FIT_PARTS * FIT_PART, text).otherwise(F.array_join(parts, ""))
+
+
 def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Model from at most ``rows`` labelled texts of each class that are not held out. The labels are
     chosen first, from the label table alone; the texts then meet a list of bounded size."""
@@ -105,7 +113,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     prior = total.get(1, 0) / max(1, sum(total.values())) if total else 0.5
     chosen = [marks.filter(F.col("quality") == q).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for q in (0, 1)]
     texts = (pick(docs, "doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
-             .select("quality", "doc_id", F.substring("text", 1, FIT_CHARS).alias("text")).distinct()
+             .select("quality", "doc_id", _spread(F.col("text")).alias("text")).distinct()
              .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(4 * rows).collect())
     return fit([r["text"] for r in texts if r["quality"] == 1][:rows], [r["text"] for r in texts if r["quality"] == 0][:rows], prior)
 

@@ -37,6 +37,11 @@ def test_codec_rows(spark, library):
     rows = sentencepiece_codec.encode_decode(frame(spark)).collect()
     assert sorted((r["doc_id"] or 0, r["ids"]) for r in rows) == sorted((d or 0, library.encode(t or "")) for d, t in ROWS)
     assert sentencepiece_codec.encode_decode(frame(spark, [])).count() == 0
+    names = ("n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256")
+    for r in sentencepiece_codec.encode_decode(frame(spark), columns=names).collect():
+        assert r["n_tokens"] == len(r["ids"]) and r["decoded"] == library.decode(r["ids"])
+        assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, r["ids"])).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(r["decoded"].encode()).hexdigest()
 
 
 def test_phrases_against_brute_force():
@@ -86,6 +91,25 @@ def test_every_language_is_learned(spark, monkeypatch, bound):
     assert all(got[d]["lang_pred"] == lang and got[d]["rate"] < 0.75 for d, _, lang in rows)
 
 
+def test_languages_of_every_plane(spark):
+    rows = [(i, "".join(random.Random(i).choices(alphabet, k=80)), lang) for i, (lang, alphabet) in enumerate(
+        [("aa", "abcdefgh "), ("ff", [chr(0x1E922 + c) for c in range(20)] + [" "]), ("zz", [chr(0x10428 + c) for c in range(20)])] * 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in language_id.identify(docs).collect()}
+    assert all(got[d]["lang_pred"] == lang and got[d]["rate"] < 0.75 for d, _, lang in rows)
+    model = language_id.build({"ff": "".join(chr(0x1E922 + c) for c in range(20))})
+    upper, lower, other = (np.array([c], np.uint32) for c in (0x1E900, 0x1E922, 0x1F600))
+    assert model.read(upper) == model.read(lower) > 0 and model.read(other) == 0 == model.read(np.array([0x10FFFF], np.uint32))
+
+
+def test_parts_of_a_long_text(spark):
+    text = "".join(chr(0x4E00 + i % 20_000) for i in range(50_000))
+    got = spark.createDataFrame([(text,), ("short",)], "text string").select(quality_classifier._spread(F.col("text"))).collect()
+    part, n = quality_classifier.FIT_PART, quality_classifier.FIT_PARTS
+    assert got[0][0] == "".join(text[int(i * (len(text) - part) / (n - 1)):][:part] for i in range(n)) and got[0][0].endswith(text[-part:])
+    assert got[1][0] == "short"
+
+
 def test_quality(spark):
     good = [(i, syllables(i, 80)) for i in range(400)]
     bad = [(1000 + i, " | ".join(syllables(i, 40).split()).upper() + " !!") for i in range(400)]
