@@ -41,6 +41,20 @@ def stream_dedup(t):
     return R.stream_dedup(t.spark, p["src"], p["sink"], p["checkpoint"]).select(*EVENT_COLS)
 
 
+@query("stream_late_arrivals", """
+SELECT event_id, ts, user_id, event_type, value, props,
+       event_id % 40 = 0 AND ts < (SELECT MAX(ts) FROM events WHERE event_id % 40 <> 0) - INTERVAL 1 HOUR AS late FROM events""", frames=False)
+def stream_late_arrivals(t):
+    """R2 for late first arrivals: one event in forty comes only in a second run, after all others and together with all of them again.
+    Every event is kept once; those that came more than an hour behind the newest are marked."""
+    p = R.paths(t.spark, "stream_late")
+    held_back = F.col("event_id") % 40 == 0
+    R.land_event_files(t.events.where(~held_back), p["src"], files=1)
+    R.stream_dedup_all(t.spark, p["src"], p["sink"], p["checkpoint"])
+    R.land_event_files(t.events, p["src"])
+    return R.stream_dedup_all(t.spark, p["src"], p["sink"], p["checkpoint"]).select(*EVENT_COLS, "late")
+
+
 @query("stream_failure_rate", """
 WITH w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, COUNT(*) AS events,
                   COUNT(*) FILTER (WHERE event_type = 'error') AS errors FROM events GROUP BY 1)

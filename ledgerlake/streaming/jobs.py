@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.session import scratch_path
-from ledgerlake.sources.keyed import KeyedTable
+from ledgerlake.sources.keyed import KeyedTable, Ledger
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -67,6 +67,28 @@ def stream_dedup(spark: SparkSession, src: str, sink: str, checkpoint: str, late
     return spark.read.parquet(sink)
 
 
+def stream_dedup_all(spark: SparkSession, src: str, target: str, checkpoint: str, lateness: str = "1 hour",
+                     files_per_trigger: int | None = None) -> DataFrame:
+    """R2 without a bound on lateness: a first arrival is kept however late it comes, with ``late`` true if it is older than the newest
+    event of the batches before by more than ``lateness``, and a repeat is dropped however late. What has been seen is the target itself, a
+    keyed table whose filters say which of its files to look into, so no state grows in memory."""
+    table = KeyedTable(spark, target, "event_id")
+    newest = Ledger(spark, f"{target}/newest", "epoch bigint, ts timestamp_ntz")
+
+    def keep(batch: DataFrame, epoch_id: int) -> None:
+        seen = [r["ts"] for r in newest.rows() if r["epoch"] < epoch_id and r["ts"] is not None]
+        bound = F.lit(max(seen)) - F.expr(f"INTERVAL {lateness}") if seen else F.lit(None)
+        marked = batch.withColumn("late", F.coalesce(F.col("ts") < bound.cast("timestamp_ntz"), F.lit(False)))
+        table.insert_absent(marked, [F.col("ts"), F.col("event_type"), F.col("value")], writer=checkpoint, epoch=epoch_id)
+        if epoch_id not in {r["epoch"] for r in newest.rows()}:
+            newest.commit(epoch=epoch_id, ts=batch.agg(F.max("ts")).first()[0])
+
+    q = (_stream(spark, src, files_per_trigger).writeStream.foreachBatch(keep)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    _run(q)
+    return table.read()
+
+
 def stream_failure_rate(spark: SparkSession, src: str, sink: str, checkpoint: str,
                         window: str = "1 hour", lateness: str = "1 hour") -> DataFrame:
     """Tumbling-window error rate, append mode: a window is emitted once

@@ -107,7 +107,7 @@ def test_table_handles_are_lazy(spark):
 
 WRITES = {"parquet_partitioned_write", "partition_pruned_read", "idempotent_overwrite", "run_metadata_sink", "ingest_bronze",
           "transform_silver", "run_gold", "run_medallion", "run_date_pipeline", "run_date_accounting", "quarantine_by_run", "stream_bronze_ingest", "stream_dedup",
-          "stream_failure_rate", "stream_silver_upsert"}
+          "stream_failure_rate", "stream_silver_upsert", "stream_late_arrivals"}
 
 
 @pytest.mark.parametrize("key", sorted(set(load_all()) - WRITES))
