@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from .common import load, map_arrow, pick
 
 SPACE = "▁"
-#: Words and neighbours remembered by one Python worker; a full table is emptied.
-WORDS, PAIRS = 300_000, 1_000_000
+#: Words remembered by one Python worker at least (twice as many at most: a full table is kept until the next is full, and what is asked
+#: for again moves on), and neighbours remembered; a full table of these is emptied.
+WORDS, PAIRS = 200_000, 1_000_000
 ROWS_OUT = 512
 
 
@@ -87,6 +88,7 @@ class Codec:
         self.chunks = re.compile(f"{SPACE}+[^{SPACE}{self.breaks}]*|{self.breaks or '(?!)'}|[^{SPACE}{self.breaks}]+")
         self.pairs: dict[tuple[str, str], bool] = {}
         self.words: dict[str, tuple[bytes, str, str]] = {}
+        self.before = self.words
         self.space_run = lru_cache(1024)(lambda n: [self.id[p] for p in self.merged(SPACE * n)])
 
     def merged(self, text: str, parts: dict | None = None) -> list[str]:
@@ -170,6 +172,9 @@ class Codec:
 
     def _chunk(self, text: str) -> tuple[bytes, str, str]:
         """(ids as 32-bit integers, ids joined by commas, decoded text) of a run of spaces, if any, and what follows up to the next space."""
+        if done := self.before.get(text):
+            self._keep(text, done)
+            return done
         rest = text.lstrip(SPACE)
         n = len(text) - len(rest)
         ids, plain = self._word(SPACE * (n > 0) + rest) if rest else ([], "")
@@ -180,11 +185,14 @@ class Codec:
         ids = self.space_run(n) + ids if n else ids
         done = array("i", ids).tobytes(), ",".join(map(str, ids)), " " * n + plain
         if len(text) <= 64:
-            if len(self.words) >= WORDS:
-                self.words.clear()
-            self.words[text] = done
+            self._keep(text, done)
         return done
 
+    def _keep(self, text: str, done: tuple[bytes, str, str]) -> None:
+        if len(self.words) >= WORDS:
+            self.before, self.words = self.words, {}
+        self.words[text] = done
+
     def _plain(self, ids: list[int]) -> str:
         """The ids' pieces, spaces as spaces; runs of byte pieces are read as UTF-8."""
         if self.byte.keys().isdisjoint(ids):
