@@ -40,26 +40,29 @@ def byte_level() -> dict[int, str]:
 class Remembered(dict):
     """A dict that makes missing values. When full it keeps what is asked for again; values of long keys are not kept."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int = PIECES):
         super().__init__()
-        self.make, self.before = make, {}
+        self.make, self.most, self.before = make, most, {}
 
     def __missing__(self, key):
         value = self.before.get(key)
         if value is None:
             value = self.make(key)
+        self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
         if len(key) <= PIECE_CHARS:
-            if len(self) >= PIECES:
+            if len(self) >= self.most:
                 self.before = dict(self)
                 self.clear()
             self[key] = value
-        return value
 
 
 class ByteBpe:
-    """``special``: whether strings of special tokens in a text are those tokens."""
+    """``special``: whether strings of special tokens in a text are those tokens; ``most``: words remembered (see Remembered)."""
 
-    def __init__(self, path: str, special: bool):
+    def __init__(self, path: str, special: bool, most: int = PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -67,8 +70,8 @@ class ByteBpe:
         self.library.encode_special_tokens = not special
         self.model, self.characters = self.library.model, byte_level()
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()] if special else []
-        self.words = Remembered(self._word)
-        self.others = Remembered(lambda piece: array("I", self.library.encode(piece, add_special_tokens=False).ids).tobytes())
+        self.words = Remembered(self._word, most)
+        self.others = Remembered(lambda piece: array("I", self.library.encode(piece, add_special_tokens=False).ids).tobytes(), most)
 
     def _word(self, word: str) -> bytes:
         if word.isascii() and word.isprintable():

@@ -12,6 +12,7 @@ each, is summed over the corpus, and only its counts come back to the chunk.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -27,7 +28,10 @@ from .common import load, map_arrow, materialize, pick, ship
 from .sentencepiece_codec import SPACE, model_path
 
 #: A chunk is closed at so many links; a longer document is a chunk of its own.
-CHUNK_LINKS = 1 << 21
+CHUNK_LINKS = 1 << 20
+FIELD = 40
+#: Pieces and words remembered by a worker at least (twice as many at most).
+REMEMBERED = 100_000
 
 
 def slices(a_sizes: list[int], b_sizes: list[int]) -> list[tuple[int, int, int]]:
@@ -52,7 +56,7 @@ class Aligner:
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
 
-        self.a, self.b = ByteBpe(a_path, special=False), sentencepiece.SentencePieceProcessor(model_file=b_path)
+        self.a, self.b = ByteBpe(a_path, special=False, most=REMEMBERED), sentencepiece.SentencePieceProcessor(model_file=b_path)
         byte, self.a_bytes = {c: b for b, c in byte_level().items()}, {}
         for token, i in self.a.library.get_vocab(with_added_tokens=True).items():
             self.a_bytes[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
@@ -60,35 +64,55 @@ class Aligner:
         if any(SPACE in p.lstrip(SPACE) for p in pieces):
             raise ValueError("a piece of this model crosses the start of a word")
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
+        self.a_size, self.b_size = {i: len(x) for i, x in self.a_bytes.items()}, [*map(len, self.b_bytes)]
+        self.a_said, self.b_said = {i: str(i) for i in self.a_bytes}, [*map(str, range(len(pieces)))]
+        self.lossless = all(c in self.a.library.get_vocab() for c in byte)  # A gives back the bytes of any text
+        self.some_empty = min(self.a_size.values()) == 0 or min(self.b_size) == 0
         self.b_space = self.b.encode("x ")[len(self.b.encode("x")):]
-        self.pieces = Remembered(self.piece)
-
-    def ids(self, piece: str) -> tuple[list[int], list[int]]:
-        """A's ids of space + piece and B's of piece (the piece after a text's last space may be empty)."""
-        return self.a.ids(" " + piece).tolist(), self.b.encode(piece) if piece else self.b_space
-
-    def piece(self, piece: str) -> tuple[bool, int, int, int, str, bytes]:
-        """(whether the joined bytes are those of the piece, A's ids, B's ids, groups, the groups' text, pairs linked)."""
-        (a, b), whole = self.ids(piece), (" " + piece).encode()
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_parts) != whole or b"".join(b_parts) != whole:
-            return False, 0, 0, 0, "", b""
-        a_sizes, b_sizes = [*map(len, a_parts)], [*map(len, b_parts)]
+        self.pieces = Remembered(None, REMEMBERED)
+
+    def piece(self, piece: str, b: list[int]) -> tuple[int, str | None, bytes]:
+        """(counts, the groups' text, pairs linked) of space + piece; the text is None if the joined bytes are not those of the
+        piece. ``b``: B's ids of the piece. counts: A's ids, B's ids and groups, FIELD bits each."""
+        a, whole = self.a.ids(" " + piece).tolist(), (" " + piece).encode()
+        if not self.lossless and b"".join([self.a_bytes[i] for i in a]) != whole or b"".join([self.b_bytes[i] for i in b]) != whole:
+            return 0, None, b""
+        a_sizes, b_sizes = [self.a_size[i] for i in a], [self.b_size[i] for i in b]
+        a_said, b_said, n = [self.a_said[i] for i in a], [self.b_said[i] for i in b], len(self.b_bytes)
         groups, links, i, j = [], [], 0, 0
         for _, k, m in slices(a_sizes, b_sizes):
-            groups.append(",".join(map(str, a[i:k])) + "|" + ",".join(map(str, b[j:m])))
-            links += [a[x] * len(self.b_bytes) + b[y] for x in ending(a_sizes, i, k) for y in ending(b_sizes, j, m)]
+            if k - i == m - j == 1:
+                groups.append(f"{a_said[i]}|{b_said[j]}")
+            else:
+                groups.append(",".join(a_said[i:k]) + "|" + ",".join(b_said[j:m]))
+            if self.some_empty:
+                links += [a[x] * n + b[y] for x in ending(a_sizes, i, k) for y in ending(b_sizes, j, m)]
+            else:
+                links.append(a[k - 1] * n + b[m - 1])
             i, j = k, m
-        return True, len(a), len(b), len(groups), ";".join(groups), np.array(links, "<i8").tobytes()
+        return len(a) | len(b) << FIELD | len(groups) << 2 * FIELD, ";".join(groups), array("q", links).tobytes()
 
     def text(self, text: str | None) -> tuple[int, int, int, str, bytes]:
         """(A's ids, B's ids, groups, the groups' text, pairs linked) of a text; zeros if it has no tokens."""
         if not text:
             return 0, 0, 0, "", b""
-        right, a, b, groups, said, links = zip(*map(self.pieces.__getitem__, CUT.split(text)))
-        if not all(right):
+        pieces = CUT.split(text)
+        rows = [*map(self.pieces.get, pieces)]
+        if None in rows:
+            known = self.pieces
+            missing = {p: known.before.get(p) for p, row in zip(pieces, rows) if row is None}
+            new = [p for p, row in missing.items() if row is None and p]
+            missing |= zip(new, map(self.piece, new, self.b.encode(new, num_threads=1) if new else ()))  # B's library takes many at once
+            if missing.get("", True) is None:  # behind a text's last space
+                missing[""] = self.piece("", self.b_space)
+            rows = [missing[p] if row is None else row for p, row in zip(pieces, rows)]
+            for p, row in missing.items():
+                known.keep(p, row)
+        counts, said, links = zip(*rows)
+        if None in said:
             return 0, 0, 0, "", b""
-        return sum(a), sum(b), sum(groups), ";".join(said), b"".join(links)
+        total, mask = sum(counts), (1 << FIELD) - 1
+        return total & mask, total >> FIELD & mask, total >> 2 * FIELD, ";".join(said), b"".join(links)
 
 
 @lru_cache(2)
