@@ -31,7 +31,7 @@ from .sentencepiece_codec import SPACE, model_path
 CHUNK_LINKS = 1 << 20
 FIELD = 40
 #: Pieces and words remembered by a worker at least (twice as many at most).
-REMEMBERED = 100_000
+REMEMBERED = 200_000
 
 
 def slices(a_sizes: list[int], b_sizes: list[int]) -> list[tuple[int, int, int]]:
