@@ -30,7 +30,7 @@ from ledgerlake.operators import quality as Q
 from ledgerlake.plans import frames as FR
 from ledgerlake.sources import io
 from ledgerlake.sources.keyed import KeyedTable
-from ledgerlake.session import scratch_path
+from ledgerlake.session import materialize, scratch_path
 
 log = logging.getLogger("ledgerlake.medallion")
 
@@ -120,21 +120,45 @@ def manifest(ctx: RunContext) -> DataFrame:
 
 
 def update_manifest(ctx: RunContext, files: dict[str, tuple[str, str]], scan: Callable[[list[str]], DataFrame]) -> None:
-    """Counts the files that are new or have been replaced, and takes their undated rows. Others are not read."""
-    known = {r["source_file"]: r["version"] for r in manifest(ctx).select("source_file", "version").distinct().collect()}
+    """Counts the files that are new or have been replaced, and takes their undated rows, in one pass over them. Others are not read."""
+    known = counted_files(ctx)
     new = sorted(f for f, (_, version) in files.items() if known.get(f) != version)
     if not new:
         return
     rows = scan([files[f][0] for f in new]).withColumn(DAY, bronze_date())
-    versions = ctx.spark.createDataFrame([(f, files[f][1]) for f in new], "source_file string, version string")
-    counted = rows.groupBy("source_file", DAY).agg(F.count(F.lit(1)).alias("rows")).join(versions, "source_file")
-    lost = rows.where(F.col(DAY) == UNDATED).select(*BRONZE_COLUMNS)
+    undated_row = F.when(F.col(DAY) == UNDATED, F.struct(*BRONZE_COLUMNS))
+    seen = materialize(rows.groupBy("source_file", DAY, undated_row.alias("row")).agg(F.count(F.lit(1)).alias("rows")), "landed_rows")
+    lost = seen.where(F.col(DAY) == UNDATED).select(F.explode(F.sequence(F.lit(1).cast("bigint"), "rows")), "row.*").drop("col")  # as often as landed
     io.write_partitioned(lost, ctx.path(UNDATED), "source_file")
     for f in sorted(known.keys() & set(new)):  # a replaced file must not keep undated rows that it has no longer
         io.replace_partition(lost.where(F.col("source_file") == f), ctx.path(UNDATED), "source_file", f)
+    write_manifest(ctx, files, new, seen)
+
+
+def counted_files(ctx: RunContext) -> dict[str, str]:
+    """name -> version of the files that the manifest has."""
+    return {r["source_file"]: r["version"] for r in manifest(ctx).select("source_file", "version").distinct().collect()}
+
+
+def write_manifest(ctx: RunContext, files: dict[str, tuple[str, str]], new: list[str], counts: DataFrame) -> None:
+    """The manifest of ``new`` files from (source_file, bronze_date, rows), of which a file and date may have several."""
+    versions = ctx.spark.createDataFrame([(f, files[f][1]) for f in new], "source_file string, version string")
+    counted = counts.groupBy("source_file", DAY).agg(F.sum("rows").alias("rows")).join(F.broadcast(versions), "source_file")
     counted.write.mode("overwrite").partitionBy("source_file").parquet(ctx.path("manifest"))
 
 
+def manifest_of_bronze(ctx: RunContext, files: dict[str, tuple[str, str]], scan: Callable[[list[str]], DataFrame], bronze_path: str, lost: int) -> None:
+    """The manifest of a first full load, from the Bronze that it has just written; the files are read again only if some of
+    their rows, ``lost``, have no date."""
+    if lost:
+        rows = scan(sorted(path for path, _ in files.values())).where(bronze_date() == UNDATED)
+        io.write_partitioned(rows.select(*BRONZE_COLUMNS), ctx.path(UNDATED), "source_file")
+    dated = io.optional_source_scan(ctx.spark, bronze_path, io.all_string_schema([*BRONZE_COLUMNS, DAY]), "parquet").select("source_file", DAY)
+    none = io.optional_source_scan(ctx.spark, ctx.path(UNDATED), io.all_string_schema(BRONZE_COLUMNS), "parquet") if lost else dated.limit(0)
+    both = dated.unionByName(none.select("source_file", F.lit(UNDATED).alias(DAY)))
+    write_manifest(ctx, files, sorted(files), both.groupBy("source_file", DAY).agg(F.count(F.lit(1)).alias("rows")))
+
+
 def undated(ctx: RunContext) -> DataFrame:
     """Landed rows without a date, of all files or, by run date, of the files that hold the date."""
     rows = io.optional_source_scan(ctx.spark, ctx.path(UNDATED), io.all_string_schema(BRONZE_COLUMNS), "parquet")
@@ -145,9 +169,11 @@ def undated(ctx: RunContext) -> DataFrame:
 
 def ingest_bronze(ctx: RunContext, source: str, bronze_path: str) -> DataFrame:
     """L1: CSV -> Bronze: all-string scan (S1), missing source skipped (S8), provenance (S2), Parquet partitioned by
-    day (S3). By run date only the files that the manifest has for the day are read, and the day is replaced."""
+    day (S3). A first full load parses the feed once. By run date only the files that the manifest has for the day are read, and the day is replaced."""
     header = io.csv_header(ctx.spark, source)
     files: list[str] = []
+    landed: dict[str, tuple[str, str]] = {}
+    first = False  # a full load into a new Bronze: its counts come from what it writes
 
     def scan(paths: list[str]) -> DataFrame:
         return io.with_provenance(io.csv_bronze_scan(ctx.spark, paths, LANDING_COLUMNS), ctx.run_id, ctx.run_ts)
@@ -157,19 +183,23 @@ def ingest_bronze(ctx: RunContext, source: str, bronze_path: str) -> DataFrame:
     else:
         Q.require_columns(header, LANDING_COLUMNS)
         landed = landed_files(ctx, source)
-        update_manifest(ctx, landed, scan)
+        first = ctx.run_date is None and not counted_files(ctx) and io.is_missing(ctx.spark, bronze_path)
+        if not first:
+            update_manifest(ctx, landed, scan)
         if ctx.run_date is not None:
             holds = {r["source_file"] for r in manifest(ctx).where(F.col(DAY) == str(ctx.run_date)).select("source_file").collect()}
             landed = {f: v for f, v in landed.items() if f in holds}
         files = sorted(path for path, _ in landed.values())
     rows = scan(files).withColumn(DAY, bronze_date()) if files else ctx.spark.createDataFrame([], io.all_string_schema([*BRONZE_COLUMNS, DAY]))
-    rows = rows.where(F.col(DAY) != UNDATED if ctx.run_date is None else F.col(DAY) == str(ctx.run_date))
+    wanted = F.col(DAY) != UNDATED if ctx.run_date is None else F.col(DAY) == str(ctx.run_date)
     obs = Observation("bronze")
-    rows = rows.observe(obs, F.count(F.lit(1)).alias("input"))
+    rows = rows.observe(obs, F.count_if(wanted).alias("input"), F.count_if(F.col(DAY) == UNDATED).alias("undated")).where(wanted)
     if ctx.run_date is None:
         io.write_partitioned(rows, bronze_path, DAY)
     else:
         io.replace_partition(rows, bronze_path, DAY, ctx.run_date)
+    if first and landed:
+        manifest_of_bronze(ctx, landed, scan, bronze_path, io.observed(obs, "undated"))
     ctx.counts.update(input=io.observed(obs, "input"), undated=undated(ctx).count())
     return read_bronze(ctx, bronze_path)
 

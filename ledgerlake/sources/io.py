@@ -48,7 +48,7 @@ def csv_bronze_scan(spark: SparkSession, path: str | list[str], columns: list[st
 def with_provenance(df: DataFrame, run_id: str, run_ts: dt.datetime) -> DataFrame:
     """Ingestion timestamp (the run's), source file name, run id."""
     return (df.withColumn("ingestion_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
-              .withColumn("source_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+              .withColumn("source_file", F.col("_metadata.file_name"))
               .withColumn("pipeline_run_id", F.lit(run_id)))
 
 
@@ -109,6 +109,17 @@ def optional_source_scan(spark: SparkSession, path: str, schema: StructType, fmt
         return spark.createDataFrame([], schema)
 
 
+def is_missing(spark: SparkSession, path: str) -> bool:
+    """Whether there is no folder at ``path``; one that an unfinished run left is there."""
+    try:
+        spark.read.schema("none string").parquet(path)
+        return False
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return True
+
+
 RUN_META_DDL = ("run_id STRING, status STRING, error_message STRING, run_date STRING, input_rows BIGINT, "
                 "after_filter_rows BIGINT, output_rows BIGINT, gold_tables INT, started_at STRING, "
                 "completed_at STRING")

@@ -1,5 +1,6 @@
 """The pipeline's stages on dirty landings, and what must not be taken for an empty target."""
 
+import dataclasses
 import datetime as dt
 import pathlib
 import types
@@ -136,3 +137,25 @@ def test_files_are_counted_once_and_again_when_replaced(spark, monkeypatch):
     ctx = _run(spark, root, src, D16)
     assert {r["run_date"]: tuple(r)[1:] for r in M.accounting(ctx).collect()} == {"2001-07-16": (4, 4, 4, 0), "undated": (1, 0, 0, 1)}
     assert spark.read.parquet(f"{root}/silver").where("transaction_date = '2001-07-15'").count() == 0
+
+
+def test_a_first_full_load_parses_the_feed_once_and_accounts_for_repeats(spark, monkeypatch):
+    root = M.scratch_path(spark, "first")
+    rows = [("a1", "2001-07-15", "5"), ("a2", "2001-7-16", "6"), ("b1", "2001-07-16", "7")]
+    _feed(spark, rows, f"{root}/clean")
+    _feed(spark, [*rows, ("n1", "N/A", "8"), ("n1", "N/A", "8"), (None, None, "9")], f"{root}/dirty")
+    read, scan = [], io.csv_bronze_scan
+    monkeypatch.setattr(io, "csv_bronze_scan", lambda s, paths, c: read.append(len(paths)) or scan(s, paths, c))
+    for feed, days, lost, passes in (("clean", {"2001-07-15": 1, "2001-07-16": 2}, 0, 1), ("dirty", {"2001-07-15": 1, "2001-07-16": 2, "undated": 3}, 3, 2)):
+        read.clear()
+        ctx = M.RunContext.new(spark, root=f"{root}/{feed}_run")
+        bronze = M.ingest_bronze(ctx, f"{root}/{feed}", ctx.path("bronze"))
+        assert len(read) == passes
+        assert (bronze.count(), ctx.counts["input"], ctx.counts["undated"]) == (3, 3, lost)
+        assert {r["run_date"]: r["landed"] for r in M.accounting(ctx).collect()} == days
+        M.ingest_bronze(ctx, f"{root}/{feed}", ctx.path("bronze"))  # again: the manifest is not counted twice
+        assert {r["run_date"]: r["landed"] for r in M.accounting(ctx).collect()} == days
+    ctx = M.RunContext.new(spark, root=f"{root}/day", run_date=D15)
+    read.clear()
+    M.ingest_bronze(ctx, f"{root}/dirty", ctx.path("bronze"))
+    assert len(read) == 2 and M.undated(dataclasses.replace(ctx, run_date=None)).count() == 3  # counted once, repeats included
