@@ -74,11 +74,11 @@ def ord_frame(t: Tables, statuses=None, after=None, until=None) -> DataFrame:
     )
 
 
-def item_frame(t: Tables) -> DataFrame:
+def item_columns() -> list[Column]:
     """The columns of BRONZE that line items alone decide, dirt included, with the order key and line."""
     pk = F.col("l_partkey")
     price = F.col("l_extendedprice").cast(MONEY)
-    return t.lineitem.select(
+    return [
         F.col("l_orderkey").alias("item_order"), F.col("l_linenumber").alias("item_line"),
         F.when(pk % 50 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
@@ -95,7 +95,12 @@ def item_frame(t: Tables) -> DataFrame:
         F.col("l_discount").alias("tie3"),
         F.col("l_tax").alias("tie4"),
         F.col("l_returnflag").alias("return_flag"),
-    )
+    ]
+
+
+def item_frame(t: Tables) -> DataFrame:
+    """Line items as :func:`item_columns`."""
+    return t.lineitem.select(*item_columns())
 
 
 BRONZE_COLUMNS = ["transaction_id", "amount", "status", "merchant_id", "customer_id", "transaction_date", "payment_method",
@@ -109,15 +114,23 @@ def with_order(items: DataFrame, t: Tables) -> DataFrame:
     scale both tables should be bucketed or partitioned on the order key so
     the join is co-located.
     """
-    o = ord_frame(t).select(
-        F.col("transaction_id").alias("o_key"), "status", "customer_id", "payment_method")
+    return _decoded(items.join(_order_columns(t), F.col("item_order") == F.col("o_key"), "inner"))
+
+
+def _order_columns(t: Tables) -> DataFrame:
+    return ord_frame(t).select(F.col("transaction_id").alias("o_key"), "status", "customer_id", "payment_method")
+
+
+def _decoded(joined: DataFrame) -> DataFrame:
     status = F.when(F.col("tie1") % 67 == 4, F.lit("APPROVED")).otherwise(F.col("status"))
-    return items.join(o, F.col("item_order") == F.col("o_key"), "inner").withColumn("status", status).select(*BRONZE_COLUMNS)
+    return joined.withColumn("status", status).select(*BRONZE_COLUMNS)
 
 
 def bronze_frame(t: Tables) -> DataFrame:
-    """BRONZE: every line item as a raw transaction, dirt included."""
-    return with_order(item_frame(t), t)
+    """BRONZE: every line item as a raw transaction, dirt included. The join moves the table's own columns, and what
+    is made of them (ids as text, decimals) is made behind it."""
+    joined = t.lineitem.join(_order_columns(t), F.col("l_orderkey") == F.col("o_key"), "inner")
+    return _decoded(joined.select(*item_columns(), "status", "customer_id", "payment_method"))
 
 
 def merch_frame(t: Tables) -> DataFrame:

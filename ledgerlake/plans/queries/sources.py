@@ -16,7 +16,7 @@ from ledgerlake.plans import medallion as M
 from ledgerlake.plans.catalog import query
 from ledgerlake.plans.oracle import round_sql
 from ledgerlake.plans.queries.aggregates import FAIL_SQL, REV_SQL
-from ledgerlake.session import scratch_path
+from ledgerlake.session import materialize, scratch_path
 from ledgerlake.sources import io
 from ledgerlake.sources.keyed import KeyedTable
 
@@ -157,7 +157,7 @@ UNION ALL SELECT DISTINCT transaction_id, 2 FROM bronze WHERE {VALID}
 def insert_if_absent(t):
     """Two batches (even part keys, then everything) loaded with INSERT OR
     IGNORE semantics: each batch de-duplicated, existing keys skipped."""
-    b = FR.silver_rules(FR.bronze_frame(t))
+    b = materialize(FR.silver_rules(FR.bronze_frame(t)), "insert_feed")
     path = scratch_path(t.spark, "insert_target")
     io.insert_if_absent(b.where(F.col("tie1") % 2 == 0).withColumn("load", F.lit(1)), path, "transaction_id", FR.dedup_order())
     io.insert_if_absent(b.withColumn("load", F.lit(2)), path, "transaction_id", FR.dedup_order())
@@ -179,7 +179,7 @@ def keyed_insert(t):
     """S11/L6 as a daily job: a table of all days but the last, the late rows into it, the same batch again, an empty batch, then, after
     compaction, a sample of what is there. Rows inserted per load, and whether it read no more buckets of loads than its keys can stand in
     (each key of the target in one; a false positive is at most one in fifty)."""
-    b = FR.silver_rules(FR.bronze_frame(t))
+    b = materialize(FR.silver_rules(FR.bronze_frame(t)), "insert_feed")  # read by every batch
     table = KeyedTable(t.spark, scratch_path(t.spark, "keyed_target"), "transaction_id")
     late = (F.col("transaction_date") > F.lit(LATE)) | (F.col("tie1") % 97 == 0)
     batches = [b.where(~late), b.where(late), b.where(late), b.limit(0), b.where(F.col("tie1") % 101 == 0)]
@@ -187,7 +187,7 @@ def keyed_insert(t):
     for n, batch in enumerate(batches):
         if n == 4:
             table.compact()
-        keys = batch.select("transaction_id").distinct()
+        keys = materialize(batch.select("transaction_id").distinct(), "insert_keys")
         meant = table.present(keys)[0].count() + keys.count() // 50 + 1 if table.loads() else 0
         load = table.insert_absent(batch, FR.dedup_order())
         out.append((n, load.rows, load.candidates <= min(load.partitions, meant)))
@@ -391,7 +391,6 @@ def customer_ltv_by_day(t):
     """L3/A13 kept up to date: the history without its last two days, then these days one by one, the first of them with wrong rows and
     again with the right ones, and an old day whose even merchants are taken back. Equals a recompute of everything."""
     from ledgerlake.operators import incremental as INC
-    from ledgerlake.session import materialize
     done = materialize(FR.silver_frame(t).where(A.is_completed()).select("customer_id", "payment_method", "amount", "transaction_date", "merchant_id"), "completed")
     late, old, last = LTV_DAYS
     day = F.col("transaction_date")

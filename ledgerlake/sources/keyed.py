@@ -137,13 +137,20 @@ class KeyedTable:
             if epoch is not None and (r["writer"], r["epoch"]) == (writer, epoch):
                 return Load(r["load"], r["rows"], r["candidates"], r["partitions"], repeated=True)
         number = max((r["load"] for r in rows), default=-1) + 1
-        staged = materialize(first_per_key(batch.where(F.col(self.key).isNotNull()), self.key, order), "keyed_batch")
-        there, read = self.present(staged.select(self.key))
-        new = staged.join(there, self.key, "left_anti").withColumn("_bucket", _bucket(F.col(self.key), self.buckets))
-        partitions = self.partitions()
+        keyed = batch.where(F.col(self.key).isNotNull())
+        partitions, read = self.partitions(), 0
+        if partitions:
+            keyed = materialize(keyed, "keyed_batch")
+            there, read = self.present(keyed.select(self.key).distinct())
+            # A key that is there comes first among its rows, so one window drops repeats and known keys.
+            both = keyed.withColumn("_there", F.lit(False)).unionByName(there.withColumn("_there", F.lit(True)), allowMissingColumns=True)
+            new = first_per_key(both, self.key, [F.col("_there").desc(), *order]).where(~F.col("_there")).drop("_there")
+        else:
+            new = first_per_key(keyed, self.key, order)
+        new = new.withColumn("_bucket", _bucket(F.col(self.key), self.buckets))
         inserted = self._write(number, new)
         self.ledger.commit(load=number, writer=writer, epoch=epoch, key=self.key, buckets=self.buckets, rows=inserted, candidates=read,
-                           partitions=partitions, replaced=[], columns=staged.schema.json())
+                           partitions=partitions, replaced=[], columns=keyed.schema.json())
         return Load(number, inserted, read, partitions)
 
     def _write(self, number: int, rows: DataFrame) -> int:

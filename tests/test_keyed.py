@@ -118,3 +118,16 @@ def test_a_stream_that_dies_before_its_commit_resumes(spark, monkeypatch):
         jobs.stream_silver_upsert(spark, p["src"], p["sink"], p["checkpoint"], files_per_trigger=2)
     out = jobs.stream_silver_upsert(spark, p["src"], p["sink"], p["checkpoint"], files_per_trigger=2)
     assert died and out.count() == out.select("event_id").distinct().count() == events.select("event_id").distinct().count()
+
+
+def test_an_insert_deals_its_rows_by_key_once(spark, monkeypatch):
+    table = KeyedTable(spark, scratch_path(spark, "keyed"), "id", buckets=4)
+    kept, materialize = [], keyed.materialize
+    monkeypatch.setattr(keyed, "materialize", lambda df, name="": kept.append(name) or materialize(df, name))
+    table.insert_absent(_rows(spark, _ids(range(50))), [F.col("tag")])
+    assert kept == []  # nothing is there yet: the rows go straight into the load
+    plans, write = [], KeyedTable._write
+    monkeypatch.setattr(KeyedTable, "_write", lambda self, n, rows: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or write(self, n, rows))
+    assert table.insert_absent(_rows(spark, [*_ids(range(40, 60), range(55, 60))], "b"), [F.col("tag")]).rows == 10
+    assert plans[0].count("Window [") == 1 and "LeftAnti" not in plans[0]
+    assert _held(table) == sorted([(k, "a") for k in _ids(range(50))] + [(k, "b") for k in _ids(range(50, 60))])
