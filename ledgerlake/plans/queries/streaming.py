@@ -49,7 +49,7 @@ def stream_late_arrivals(t):
     Every event is kept once; those that came more than an hour behind the newest are marked."""
     p = R.paths(t.spark, "stream_late")
     held_back = F.col("event_id") % 40 == 0
-    R.land_event_files(t.events.where(~held_back), p["src"], files=1)
+    R.land_event_files(t.events.where(~held_back), p["src"])
     R.stream_dedup_all(t.spark, p["src"], p["sink"], p["checkpoint"])
     R.land_event_files(t.events, p["src"])
     return R.stream_dedup_all(t.spark, p["src"], p["sink"], p["checkpoint"]).select(*EVENT_COLS, "late")
