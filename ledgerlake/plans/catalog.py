@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.plans.oracle import with_frames
+from ledgerlake.session import fine_partitions
 from ledgerlake.sources.tables import Tables
 
 
@@ -24,6 +25,7 @@ class Query:
     doc: str
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        fine_partitions(spark)
         return self.build(Tables(spark, sf_dir))
 
 

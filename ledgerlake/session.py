@@ -62,6 +62,17 @@ def apply_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(min(par, 10000)))
 
 
+#: Partitions that a shuffle starts with; AQE joins them again up to its advisory size (64 MB). Beyond 200 a map task would hold its rows to sort them by partition.
+FINE_PARTITIONS = 200
+
+
+def fine_partitions(spark: SparkSession) -> None:
+    """Deal shuffles out finely and let AQE choose the tasks, so that a task's share of the rows, and with it the memory of its
+    sorts and hash tables, is bounded by the advisory size and does not grow with the input over a fixed number of partitions."""
+    n = max(FINE_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -138,3 +138,12 @@ def test_silver_deduplicates_before_the_order_join(spark, reg):
     join = next(i for i, line in enumerate(p.splitlines()) if re.search(r"(SortMerge|BroadcastHash|ShuffledHash)Join", line))
     group = next(i for i, line in enumerate(p.splitlines()) if "Window [" in line)
     assert group > join  # below it
+
+
+def test_shuffles_start_fine_and_the_held_back_feed_is_not_one_file(spark, monkeypatch):
+    from ledgerlake.streaming import jobs
+    landed, land = [], jobs.land_event_files
+    monkeypatch.setattr(jobs, "land_event_files", lambda e, path, files=None: landed.append(files) or land(e, path, files))
+    load_all()["stream_late_arrivals"].run(spark, SF_SMALL)
+    assert landed == [None, None]
+    assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 200
