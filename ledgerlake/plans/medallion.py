@@ -76,9 +76,10 @@ def safe_run(stage: str, fn, *args, **kwargs):
 
 
 def land_feed(t, path: str) -> str:
-    """The raw feed as it lands: BRONZE rows written as header CSV, all strings."""
+    """The raw feed as it lands: BRONZE rows written as header CSV, all strings. A file is gzipped: it holds what a task of the
+    join had, so it is small enough to be read by one task."""
     b = FR.bronze_frame(t)
-    return io.write_csv(b.select(*[F.col(c).cast("string").alias(c) for c in LANDING_COLUMNS]), path)
+    return io.write_csv(b.select(*[F.col(c).cast("string").alias(c) for c in LANDING_COLUMNS]), path, "gzip")
 
 
 MERCHANT_TYPES = {"merchant_id": "bigint", "merchant_name": "string", "category": "string", "city": "string"}
@@ -108,7 +109,7 @@ def bronze_date() -> Column:
 
 def landed_files(ctx: RunContext, source: str) -> dict[str, tuple[str, str]]:
     """name -> (path, version) of a landing's files; a file that is replaced has another version. Their contents are not read."""
-    found = ctx.spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(source)
+    found = ctx.spark.read.format("binaryFile").option("pathGlobFilter", "*.csv{,.gz}").load(source)
     rows = found.select("path", "length", "modificationTime").collect()
     return {r["path"].rsplit("/", 1)[-1]: (r["path"], f"{r['length']} {r['modificationTime']}") for r in rows}
 
@@ -248,7 +249,7 @@ def transform_silver(ctx: RunContext, bronze_path: str, merch: DataFrame, silver
     rejects = rejects.select(*[F.col(c).cast("string").alias(c) for c in REJECT_COLUMNS]).withColumn("run_date", F.col("transaction_date"))
     if ctx.run_date is None:
         io.write_partitioned(silver, silver_path, "transaction_date")
-        rejects.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("run_date").parquet(ctx.path("quarantine"))
+        rejects.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", io.STORED).partitionBy("run_date").parquet(ctx.path("quarantine"))
     else:
         io.replace_partition(silver, silver_path, "transaction_date", ctx.run_date)
         io.replace_partition(rejects, ctx.path("quarantine"), "run_date", ctx.run_date)

@@ -18,15 +18,18 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 log = logging.getLogger("ledgerlake.io")
 
+#: Compression of partitioned tables, which are written once and kept.
+STORED = "zstd"
+
 
 def all_string_schema(columns: list[str]) -> StructType:
     """The Bronze contract — every column a string, nothing inferred."""
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
-def write_csv(df: DataFrame, path: str) -> str:
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> str:
     """Write a frame as header CSV (the raw landing format)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("compression", compression).csv(path)
     return path
 
 
@@ -67,7 +70,7 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str =
     # and stays on.)
     with sql_conf(df.sparkSession, spark__sql__adaptive__coalescePartitions__enabled="false"):
         (df.hint("rebalance", partition_col)
-           .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+           .write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", STORED)
            .partitionBy(partition_col).parquet(path))
     return path
 
@@ -84,7 +87,7 @@ def observed(observation: Observation, name: str) -> int:
 
 def replace_partition(df: DataFrame, path: str, partition_col: str, value) -> str:
     """S5 for one partition: its folder is replaced as a whole, also by no rows, which a dynamic overwrite would leave alone."""
-    df.drop(partition_col).write.mode("overwrite").parquet(f"{path}/{partition_col}={value}")
+    df.drop(partition_col).write.mode("overwrite").option("compression", STORED).parquet(f"{path}/{partition_col}={value}")
     return path
 
 

@@ -159,3 +159,18 @@ def test_a_first_full_load_parses_the_feed_once_and_accounts_for_repeats(spark,
     read.clear()
     M.ingest_bronze(ctx, f"{root}/dirty", ctx.path("bronze"))
     assert len(read) == 2 and M.undated(dataclasses.replace(ctx, run_date=None)).count() == 3  # counted once, repeats included
+
+
+def test_landing_and_tables_are_stored_compressed(spark):
+    ctx = M.RunContext.new(spark)
+    src, t = M.land_feed(Tables(spark, SF_SMALL), ctx.path("landing")), Tables(spark, SF_SMALL)
+    assert all(f.endswith(".csv.gz") for f in M.landed_files(ctx, src)) and M.landed_files(ctx, src)
+    M.ingest_bronze(ctx, src, ctx.path("bronze"))
+    assert ctx.counts["input"] == FR.bronze_frame(t).count()
+    plain = FR.bronze_frame(t).limit(7).select(*[F.col(c).cast("string").alias(c) for c in M.LANDING_COLUMNS])
+    plain.write.mode("append").option("header", True).csv(src)  # a plain file beside the others is landed as well
+    assert {f.endswith(".gz") for f in M.landed_files(ctx, src)} == {True, False}
+    M.transform_silver(ctx, ctx.path("bronze"), FR.merch_frame(t), ctx.path("silver"))
+    for table in ("bronze", "silver", "quarantine"):
+        files = [p.name for p in pathlib.Path(ctx.path(table)).rglob("*.parquet")]
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
