@@ -26,12 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .byte_bpe import Remembered
 from .common import load, map_arrow, pick
 
 SPACE = "▁"
 #: Words remembered by one Python worker at least (twice as many at most: a full table is kept until the next is full, and what is asked
 #: for again moves on), and neighbours remembered; a full table of these is emptied.
-WORDS, PAIRS = 200_000, 1_000_000
+WORDS, PAIRS = 500_000, 1_000_000
 ROWS_OUT = 512
 
 
@@ -87,8 +88,7 @@ class Codec:
         self.breaks = "" if "\n" in self.id else "\n"
         self.chunks = re.compile(f"{SPACE}+[^{SPACE}{self.breaks}]*|{self.breaks or '(?!)'}|[^{SPACE}{self.breaks}]+")
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, tuple[bytes, str, str]] = {}
-        self.before = self.words
+        self.words = Remembered(self._chunk, WORDS)
         self.space_run = lru_cache(1024)(lambda n: [self.id[p] for p in self.merged(SPACE * n)])
 
     def merged(self, text: str, parts: dict | None = None) -> list[str]:
@@ -172,9 +172,6 @@ class Codec:
 
     def _chunk(self, text: str) -> tuple[bytes, str, str]:
         """(ids as 32-bit integers, ids joined by commas, decoded text) of a run of spaces, if any, and what follows up to the next space."""
-        if done := self.before.get(text):
-            self._keep(text, done)
-            return done
         rest = text.lstrip(SPACE)
         n = len(text) - len(rest)
         ids, plain = self._word(SPACE * (n > 0) + rest) if rest else ([], "")
@@ -183,15 +180,7 @@ class Codec:
         elif rest and n:
             n -= 1
         ids = self.space_run(n) + ids if n else ids
-        done = array("i", ids).tobytes(), ",".join(map(str, ids)), " " * n + plain
-        if len(text) <= 64:
-            self._keep(text, done)
-        return done
-
-    def _keep(self, text: str, done: tuple[bytes, str, str]) -> None:
-        if len(self.words) >= WORDS:
-            self.before, self.words = self.words, {}
-        self.words[text] = done
+        return array("i", ids).tobytes(), ",".join(map(str, ids)), " " * n + plain
 
     def _plain(self, ids: list[int]) -> str:
         """The ids' pieces, spaces as spaces; runs of byte pieces are read as UTF-8."""
@@ -213,8 +202,7 @@ class Codec:
         """(ids as 32-bit integers, ids joined by commas, decoded text): the model puts a space before the text and decoding takes it away."""
         if not text:
             return b"", "", ""
-        known = self.words.get
-        ids, said, plain = zip(*[known(chunk) or self._chunk(chunk) for chunk in self.chunks.findall(SPACE + text.replace(" ", SPACE))])
+        ids, said, plain = zip(*map(self.words.__getitem__, self.chunks.findall(SPACE + text.replace(" ", SPACE))))
         return b"".join(ids), ",".join(said), "".join(plain)[1:]
 
     def both(self, text: str) -> tuple[list[int], str]:

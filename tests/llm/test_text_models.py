@@ -44,6 +44,19 @@ def test_codec_rows(spark, library):
         assert r["decoded_sha256"] == hashlib.sha256(r["decoded"].encode()).hexdigest()
 
 
+def test_codec_remembers_its_words(library):
+    codec = sentencepiece_codec.Codec(sentencepiece_codec.model_path())
+    made, make = [], codec.words.make
+    codec.words.make = lambda text: made.append(text) or make(text)
+    words = [f"w{i:x}" for i in range(300_000)]
+    for i in [*range(0, len(words), 1000)] * 2:
+        codec.coded(" ".join(words[i:i + 1000]))
+    assert len(made) == len(words)  # all fit, so each is encoded once
+    codec.words.most = 3  # a table that is full all the time
+    texts = ["a b c d e f g a", "h i j  a b", " ".join(words[:50])]
+    assert [codec.encode(t) for t in texts] == [library.encode(t) for t in texts]
+
+
 def test_phrases_against_brute_force():
     samples = {"a": "abracadabra abc", "b": "bbbaac cab"}
     model = language_id.build(samples)
