@@ -38,7 +38,7 @@ def slices(a_sizes: list[int], b_sizes: list[int]) -> list[tuple[int, int, int]]
     """(offset, A's index after, B's index after) of each offset at which tokens of both end; sizes are in bytes."""
     a_at = {end: i for i, end in enumerate(accumulate(a_sizes), 1)}
     b_at = {end: i for i, end in enumerate(accumulate(b_sizes), 1)}
-    return [(end, a_at[end], b_at[end]) for end in sorted(a_at.keys() & b_at.keys())]
+    return [(end, i, b_at[end]) for end, i in a_at.items() if end in b_at]  # a dictionary keeps the order of its first insertions, which is ascending
 
 
 def ending(sizes: list[int], lo: int, hi: int) -> range:
@@ -77,6 +77,8 @@ class Aligner:
         a, whole = self.a.ids(" " + piece).tolist(), (" " + piece).encode()
         if not self.lossless and b"".join([self.a_bytes[i] for i in a]) != whole or b"".join([self.b_bytes[i] for i in b]) != whole:
             return 0, None, b""
+        if len(a) == len(b) == 1:
+            return 1 | 1 << FIELD | 1 << 2 * FIELD, f"{a[0]}|{b[0]}", (a[0] * len(self.b_bytes) + b[0]).to_bytes(8, "little")
         a_sizes, b_sizes = [self.a_size[i] for i in a], [self.b_size[i] for i in b]
         a_said, b_said, n = [self.a_said[i] for i in a], [self.b_said[i] for i in b], len(self.b_bytes)
         groups, links, i, j = [], [], 0, 0
