@@ -32,7 +32,7 @@ from .common import load, map_arrow, pick
 SPACE = "▁"
 #: Words remembered by one Python worker at least (twice as many at most: a full table is kept until the next is full, and what is asked
 #: for again moves on), and neighbours remembered; a full table of these is emptied.
-WORDS, PAIRS = 500_000, 1_000_000
+WORDS, PAIRS = 300_000, 1_000_000
 ROWS_OUT = 512
 
 
@@ -86,7 +86,7 @@ class Codec:
         if any(self.rank.get(x, -1) > self.rank[p] for p, both in self.parts.items() for x in both):
             raise ValueError("a piece of this model is merged before its parts")
         self.breaks = "" if "\n" in self.id else "\n"
-        self.chunks = re.compile(f"{SPACE}+[^{SPACE}{self.breaks}]*|{self.breaks or '(?!)'}|[^{SPACE}{self.breaks}]+")
+        self.chunks = re.compile(f" +[^ {self.breaks}]*|{self.breaks or '(?!)'}|[^ {self.breaks}]+")
         self.pairs: dict[tuple[str, str], bool] = {}
         self.words = Remembered(self._chunk, WORDS)
         self.space_run = lru_cache(1024)(lambda n: [self.id[p] for p in self.merged(SPACE * n)])
@@ -172,7 +172,7 @@ class Codec:
 
     def _chunk(self, text: str) -> tuple[bytes, str, str]:
         """(ids as 32-bit integers, ids joined by commas, decoded text) of a run of spaces, if any, and what follows up to the next space."""
-        rest = text.lstrip(SPACE)
+        rest = text.lstrip(" ")
         n = len(text) - len(rest)
         ids, plain = self._word(SPACE * (n > 0) + rest) if rest else ([], "")
         if rest and n and self.piece[ids[0]] == SPACE:  # the space stays with the run
@@ -180,7 +180,8 @@ class Codec:
         elif rest and n:
             n -= 1
         ids = self.space_run(n) + ids if n else ids
-        return array("i", ids).tobytes(), ",".join(map(str, ids)), " " * n + plain
+        plain = " " * n + plain
+        return array("i", ids).tobytes(), ",".join(map(str, ids)), text if plain == text else plain  # a remembered text is held once
 
     def _plain(self, ids: list[int]) -> str:
         """The ids' pieces, spaces as spaces; runs of byte pieces are read as UTF-8."""
@@ -202,7 +203,7 @@ class Codec:
         """(ids as 32-bit integers, ids joined by commas, decoded text): the model puts a space before the text and decoding takes it away."""
         if not text:
             return b"", "", ""
-        ids, said, plain = zip(*map(self.words.__getitem__, self.chunks.findall(SPACE + text.replace(" ", SPACE))))
+        ids, said, plain = zip(*map(self.words.__getitem__, self.chunks.findall(" " + text.replace(SPACE, " "))))
         return b"".join(ids), ",".join(said), "".join(plain)[1:]
 
     def both(self, text: str) -> tuple[list[int], str]:
