@@ -14,6 +14,7 @@ from array import array
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 #: Pieces that one Python worker remembers at least and twice as many at most, and their most characters.
 PIECES, PIECE_CHARS = 300_000, 64
@@ -37,6 +38,54 @@ def byte_level() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+#: Classes of the bytes of plain texts: letters (in UTF-8), digits, other printable ones, the space, other white space; what no plain text has.
+LETTER, DIGIT, PRINTED, BLANK, BREAK, OTHER = range(6)
+KINDS = bytes([BLANK if b == 32 else BREAK if b in b"\n\t" else OTHER if b < 32 or b == 127 or 0xC0 <= b < 0xC3 or b > 0xC5 else DIGIT if 48 <= b < 58
+               else LETTER if b > 127 or chr(b).isalpha() else PRINTED for b in range(256)])
+
+
+def _bytes_of(texts: pa.Array) -> tuple[bytes, np.ndarray]:
+    """The UTF-8 of the texts, joined, and where each one ends."""
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int64 if pa.types.is_large_string(texts.type) else np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    return data[at[0]:at[-1]].to_pybytes() if data is not None and len(texts) else b"", at[1:] - at[:1]
+
+
+def _word_starts(data: bytes, kinds: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where the words of plain texts (see WORD) start in their joined bytes."""
+    n = len(kinds)
+    if not n:
+        return np.zeros(0, np.int64)
+    full = starts < ends
+    starts, ends = starts[full], ends[full]
+    printed = kinds < BLANK
+    begins = np.empty(n, bool)
+    # Behind a space nothing starts but with white space; anything else starts where the class changes.
+    np.not_equal(kinds[1:], kinds[:-1], out=begins[1:])
+    begins[1:] &= kinds[:-1] != BLANK
+    begins[1:] &= printed[1:]
+    # White space starts a word behind anything else and, its last character, before anything else; so does a space for the word behind it.
+    edge = np.ones(n, bool)
+    edge[1:] = printed[:-1]
+    edge[:-1] |= printed[1:]
+    last = ends - 1
+    edge[last] = printed[np.maximum(last - 1, 0)]
+    begins |= edge & ~printed
+    begins[starts] = True
+    # 's, 't, 're, 've, 'm, 'll, 'd where a word would start with the sign; what is left of the letters behind is a word.
+    for i in np.flatnonzero((np.frombuffer(data, np.uint8) == 39) & begins).tolist():
+        said = data[i + 1:i + 3]
+        size = 3 if said in (b"re", b"ve", b"ll") else 2 if said[:1] in (b"s", b"t", b"m", b"d") else 0
+        if size:
+            end = ends[np.searchsorted(ends, i, "right")]
+            if size == 3 and i + 3 > end or i + 2 > end:
+                continue
+            begins[i + 1] = False
+            if i + size < end:
+                begins[i + size] = True
+    return np.flatnonzero(begins)
+
+
 class Remembered(dict):
     """A dict that makes missing values. When full it keeps what is asked for again; values of long keys are not kept."""
 
@@ -91,6 +140,45 @@ class ByteBpe:
         pieces = [first, *(" " + p for p in rest)]
         return b"".join([b"".join(map(self.words.__getitem__, WORD.findall(p))) if self._plain(p) else self.others[p] for p in pieces])
 
+    def spelled(self, units: list[bytes], words: int) -> list[bytes]:
+        """The ids of each of the words and pieces of units(), of which the first so many are known to be words."""
+        said = [u.decode() for u in units]
+        return [*map(self.words.__getitem__, said[:words]), *(self.words[u] if self._plain(u) else self.others[u] for u in said[words:])]
+
+    def units(self, texts: pa.Array) -> tuple[list[bytes], int, np.ndarray, np.ndarray]:
+        """(different words and pieces of the texts in UTF-8, how many of the first are words of plain texts, the place of each one's in that
+        list, how many each text has): the same ones, in order, whose ids encode() joins. Plain texts are cut together, by the classes of
+        their bytes; there are no null texts."""
+        data, ends = _bytes_of(texts)
+        kinds = np.frombuffer(data.translate(KINDS), np.uint8)
+        starts, others = np.r_[0, ends][:-1], np.zeros(len(ends), bool)
+        odd = np.flatnonzero(kinds == OTHER)
+        if b"\xc3" in data:
+            after = np.flatnonzero(np.frombuffer(data, np.uint8) == 0xC3) + 1
+            odd = np.r_[odd, after[np.isin(np.frombuffer(data, np.uint8)[after], (0x97, 0xB7))]]  # × and ÷ are no letters
+        others[np.searchsorted(ends, odd, "right")] = True
+        for special in self.specials:
+            if special.encode() in data:
+                others |= np.array([special in t for t in texts.to_pylist()])
+        if not others.any():
+            places = _word_starts(data, kinds, starts, ends)
+            cut = pa.Array.from_buffers(pa.binary(), len(places), [None, pa.py_buffer(np.r_[places, len(data)].astype(np.int32)), pa.py_buffer(data)])
+            cut = cut.dictionary_encode()
+            said, at = _bytes_of(cut.dictionary)
+            at = at.tolist()
+            found = [said[a:b] for a, b in zip([0, *at], at)]
+            return found, len(found), cut.indices.to_numpy(), np.diff(np.searchsorted(places, np.r_[starts, len(data)]))
+        found, words, at, n = self.units(texts.filter(pa.array(~others)))
+        known, rest = dict(zip(found, range(len(found)))), []
+        for text in texts.filter(pa.array(others)).to_pylist():
+            first, *more = CUT.split(text)
+            cut = [w for p in [first, *(" " + p for p in more)] for w in (WORD.findall(p) if self._plain(p) else [p])]
+            rest.append(np.array([known.setdefault(w.encode(), len(known)) for w in cut], np.int32))
+        counts = np.zeros(len(ends), np.int64)
+        counts[~others], counts[others] = n, [len(x) for x in rest]
+        whole, parts = iter(np.split(at, np.cumsum(n))), iter(rest)
+        return list(known), words, np.concatenate([next(parts if odd else whole) for odd in others.tolist()]), counts
+
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encode(text), np.uint32)
 

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -55,6 +56,45 @@ def test_coder_round_trip(ids, width):
         assert (mixing_coder.decode([payload], ids.shape[1], width) == row).all()
 
 
+def test_coder_of_wide_numbers():
+    """Numbers of words have over 16 bits; one block may repeat what another has, and a number may be the highest."""
+    r = np.random.default_rng(9)
+    ids = np.concatenate([r.integers(0, 1 << mixing_coder.WIDEST, (3, 1024)), r.zipf(1.2, (3, 1024)) % (1 << 20), np.full((1, 1024), (1 << mixing_coder.WIDEST) - 1)])
+    assert mixing_coder.WIDEST >= 22
+    assert (mixing_coder.decode(mixing_coder.encode(ids, mixing_coder.WIDEST), 1024, mixing_coder.WIDEST) == ids).all()
+
+
+def test_units_are_what_encode_joins():
+    own = ByteBpe(byte_bpe_path(), True)
+    texts = st.lists(st.sampled_from([" ", "  ", "\n", "\t", "\x1c", "a", "The", "12", "'ll", "'s", "'", "'re", "'r", "d", "é", "×", "ß", "🙂", ".", "_", "<|endoftext|>", "語"])).map("".join)
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.lists(texts, max_size=5))
+    def check(texts):
+        found, words, places, counts = own.units(pa.array(["left out", *texts], pa.string()).slice(1))
+        ids = own.spelled(found, words)
+        assert len({*found}) == len(found) and len(counts) == len(texts)
+        for text, x in zip(texts, np.split(places, np.cumsum(counts))):
+            assert b"".join(ids[i] for i in x) == own.encode(text) and b"".join(found[i] for i in x) == text.encode()
+
+    check()
+    check.hypothesis.inner_test(TEXTS)
+
+
+def test_a_word_is_coded_once():
+    """A segment holds the ids of each of its words once, and a number for each place, not the ids of each place."""
+    now = token_files._Segment(ByteBpe(byte_bpe_path(), True))
+    texts = [" unforeseeable circumstances" * 50, "", " circumstances", "“odd” circumstances", None]
+    now.add([str(i) for i in range(5)], pa.array(texts, pa.string()).fill_null(""))
+    data, total = now.packed(1, 2, 3)
+    library = _library(True)
+    want = [[*library(t or ""), token_files.END] for t in texts]
+    part, segment, before, keys, ids = token_files.unpack(data)
+    assert (part, segment, before, keys) == (1, 2, 3, ["0", "1", "2", "3", "4"]) and [x.tolist() for x in ids] == want and total == sum(map(len, want))
+    coded = token_files.HEAD.unpack_from(data)[6]
+    assert coded < total and coded == sum(len(x) // 4 for x in now.words) + sum(map(len, now.numbers))
+
+
 def test_coder_adapts():
     r = np.random.default_rng(4)
     repeated = np.tile(r.integers(0, 50_000, 64), 16)[None, :]
