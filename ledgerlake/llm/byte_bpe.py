@@ -15,11 +15,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces that one Python worker remembers at least and twice as many at most, and their most characters.
 PIECES, PIECE_CHARS = 300_000, 64
 #: A space behind a letter, digit or printable ASCII character. Every other space stays inside a piece, which is always right.
 CUT = re.compile(r"(?<=[\w!-~]) ")
+#: What a text has that CUT does not cut at every space, or a space after a sign that only CUT knows.
+UNCUT = r"(?:^|[^\pL\pN_!-~]) "
 #: Plain characters, and the words of byte-level BPE among them (fixed pattern of the vocabulary).
 PLAIN = re.compile(r"[ -~\n\tÀ-ÖØ-öø-ſ]*")
 WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ſ]+| ?[0-9]+| ?[!-/:-@\[-`{-~]+|\s+(?!\S)|\s+")
@@ -51,6 +54,35 @@ def _bytes_of(texts: pa.Array) -> tuple[bytes, np.ndarray]:
     return data[at[0]:at[-1]].to_pybytes() if data is not None and len(texts) else b"", at[1:] - at[:1]
 
 
+def binaries(parts: list[bytes]) -> pa.Array:
+    return split_at(b"".join(parts), np.cumsum([0, *map(len, parts)], dtype=np.int64))
+
+
+def split_at(data, bounds: np.ndarray) -> pa.Array:
+    """The parts of the data between these bounds, of which the first is 0."""
+    return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+
+
+def joined(parts: pa.Array, places: np.ndarray, counts: np.ndarray) -> tuple[memoryview, np.ndarray]:
+    """The binaries at these places, joined, and where each run of so many places starts and the last one ends."""
+    taken = parts.take(pa.array(places))
+    data = memoryview(taken.buffers()[2] or b"")
+    return data, np.frombuffer(taken.buffers()[1], np.int64)[:len(places) + 1][np.cumsum(np.r_[0, counts])]
+
+
+def cut(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(different pieces that CUT makes of the texts, the place of each one in that list, how many each text has); there are no null texts."""
+    uncut = pc.match_substring_regex(texts, UNCUT)
+    lists = pc.split_pattern(texts, " ")
+    if pc.any(uncut).as_py():
+        rest = pa.array([CUT.split(t) for t in texts.filter(uncut).to_pylist()], lists.type)
+        uncut = uncut.to_numpy(zero_copy_only=False)
+        at = np.where(uncut, len(texts) + np.cumsum(uncut) - 1, np.arange(len(texts)))
+        lists = pa.concat_arrays([lists, rest]).take(pa.array(at))
+    pieces = lists.flatten().dictionary_encode()
+    return pieces.dictionary.to_pylist(), pieces.indices.to_numpy(), pc.list_value_length(lists).to_numpy().astype(np.int64)
+
+
 def _word_starts(data: bytes, kinds: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Where the words of plain texts (see WORD) start in their joined bytes."""
     n = len(kinds)
