@@ -6,6 +6,8 @@ import collections
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -129,6 +131,18 @@ def test_slices_with_empty_tokens():
         assert sorted(got) == want
 
 
+def test_a_chunk_is_aligned_at_once():
+    """The different pieces of a chunk are encoded and aligned together; texts that are not given back have no tokens and count no links."""
+    texts = ["the same words the same", "", "a ▁ sign with other words", "the same words", " ends  twice ", *TEXTS, *MORE]
+    want, counts = _brute(texts)
+    *numbers, groups, places, pairs, n = aligner(byte_bpe_path(), model_path()).chunk(pa.array(["left out", *texts], pa.string()).slice(1))
+    digests = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
+    assert [*zip(*(x.tolist() for x in numbers), digests)] == [(*w[:4], w[6]) for w in want]
+    b_size = aligner(byte_bpe_path(), model_path()).n_b
+    assert {(p // b_size, p % b_size): c for p, c in zip(pairs.tolist(), n.tolist())} == counts
+    assert [int(n[np.frombuffer(x, "<u4")].sum()) for x in places] == [w[5] for w in want]
+
+
 def test_chunks_are_closed(spark, monkeypatch):
     monkeypatch.setattr(token_alignment, "CHUNK_LINKS", 50)
     found = list(token_alignment.slices([1, 2, 3], [3, 3]))
