@@ -30,7 +30,7 @@ from ledgerlake.operators import quality as Q
 from ledgerlake.plans import frames as FR
 from ledgerlake.sources import io
 from ledgerlake.sources.keyed import KeyedTable
-from ledgerlake.session import materialize, scratch_path
+from ledgerlake.session import materialize, releases_shuffles, scratch_path
 
 log = logging.getLogger("ledgerlake.medallion")
 
@@ -75,6 +75,7 @@ def safe_run(stage: str, fn, *args, **kwargs):
         raise StageError(f"stage {stage} failed: {e}") from e
 
 
+@releases_shuffles
 def land_feed(t, path: str) -> str:
     """The raw feed as it lands: BRONZE rows written as header CSV, all strings. A file is gzipped: it holds what a task of the
     join had, so it is small enough to be read by one task."""
@@ -168,6 +169,7 @@ def undated(ctx: RunContext) -> DataFrame:
     return rows.join(manifest(ctx).where(F.col(DAY) == str(ctx.run_date)).select("source_file"), "source_file", "left_semi")
 
 
+@releases_shuffles
 def ingest_bronze(ctx: RunContext, source: str, bronze_path: str) -> DataFrame:
     """L1: CSV -> Bronze: all-string scan (S1), missing source skipped (S8), provenance (S2), Parquet partitioned by
     day (S3). A first full load parses the feed once. By run date only the files that the manifest has for the day are read, and the day is replaced."""
@@ -231,6 +233,7 @@ def quarantine(ctx: RunContext) -> DataFrame:
     return days.unionByName(lost)
 
 
+@releases_shuffles
 def transform_silver(ctx: RunContext, bronze_path: str, merch: DataFrame, silver_path: str) -> DataFrame:
     """L2: Bronze -> Silver: cast (P2), gate (DQ20), filter (P3), dedup (W1),
     enrich + flag (J1, P10), overwrite of the dates written (S5). The gate also sees the undated rows that came with the
@@ -278,6 +281,7 @@ def read_silver(ctx: RunContext, silver_path: str) -> DataFrame:
     return df
 
 
+@releases_shuffles
 def run_gold(ctx: RunContext, silver_path: str, gold_dir: str) -> dict[str, str]:
     """L3: Silver -> merchant_performance (by date), customer_ltv, daily_summary (by date). By run date each is brought up to
     date from that date alone: two replace their day, customer_ltv merges the day into its state (operators/incremental.py)."""

@@ -9,6 +9,7 @@ partition overwrite so a re-run replaces only the partitions it writes.
 from __future__ import annotations
 
 import contextlib
+import functools
 import os
 import tempfile
 import uuid
@@ -117,6 +118,17 @@ def sql_conf(spark: SparkSession, **conf):
                 spark.conf.set(k, v)
 
 
+def releases_shuffles(stage):
+    """A stage (its first argument has the ``spark`` session) whose jobs each delete their shuffle files when they end. By default
+    they stay until the driver collects garbage, which a long run may never need, so the disks would hold those of all its jobs."""
+    @functools.wraps(stage)
+    def run(owner, *args, **kwargs):
+        with sql_conf(owner.spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+            return stage(owner, *args, **kwargs)
+
+    return run
+
+
 def materialize(df, name: str = "materialized"):
     """Compute a frame once and cut its lineage: written as Parquet to a fresh
     folder under the shared ``spark.checkpoint.dir`` and read back (survives

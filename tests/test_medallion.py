@@ -3,6 +3,7 @@
 import dataclasses
 import datetime as dt
 import pathlib
+import time
 import types
 
 import pytest
@@ -174,3 +175,69 @@ def test_landing_and_tables_are_stored_compressed(spark):
     for table in ("bronze", "silver", "quarantine"):
         files = [p.name for p in pathlib.Path(ctx.path(table)).rglob("*.parquet")]
         assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def _shuffle_files(spark):
+    """Sizes of the shuffle data files that stand on this machine's disk now."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    found = [pathlib.Path(f) for f in files.splitlines() if pathlib.Path(f).name.startswith("shuffle_") and f.endswith(".data")]
+    return {str(f): f.stat().st_size for f in found if f.exists()}
+
+
+def test_a_stage_leaves_no_shuffle_files(spark):
+    ctx, t = M.RunContext.new(spark), Tables(spark, SF_SMALL)
+    before = _shuffle_files(spark)
+    src = M.land_feed(t, ctx.path("landing"))
+    M.ingest_bronze(ctx, src, ctx.path("bronze"))
+    M.transform_silver(ctx, ctx.path("bronze"), FR.merch_frame(t), ctx.path("silver"))
+    M.run_gold(ctx, ctx.path("silver"), ctx.path("gold"))
+    until = time.time() + 20  # they are deleted in the background
+    while (left := _shuffle_files(spark).keys() - before.keys()) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+
+
+def _odd_rows(spark, n=4000):
+    day = F.when(F.col("id") % 11 != 0, F.date_add(F.lit(D15), (F.col("id") % 9).cast("int")))
+    text = F.when(F.col("id") % 5 == 0, "").when(F.col("id") % 5 == 1, 'a,"é\n').when(F.col("id") % 5 != 2, F.col("id").cast("string"))
+    value = F.when(F.col("id") % 4 == 0, float("nan")).when(F.col("id") % 4 == 1, -0.0).when(F.col("id") % 4 == 2, F.col("id") / 7)
+    rows = spark.range(0, n, 1, 4).select(text.alias("x,y"), day.alias("day"), F.col("id").cast("decimal(28,2)").alias("Sum"), value.alias("v"), F.lit(None).cast("string").alias("none"),
+                                          F.timestamp_micros(F.col("id") * 777).alias("at"), F.timestamp_micros(F.col("id") * 777).cast("timestamp_ntz").alias("ntz"), F.array("id").alias("ids"))
+    return rows.unionAll(rows.where("`Sum` < 50"))
+
+
+def test_packed_rows_arrive_as_they_were(spark):
+    rows = _odd_rows(spark)
+    for sent in (rows, rows.limit(0), rows.where("day is null")):
+        packed = io.rebalance_packed(sent, "day")
+        assert packed.schema.simpleString() == sent.schema.simpleString()
+        assert packed.exceptAll(sent).isEmpty() and sent.exceptAll(packed).isEmpty() and packed.count() == sent.count()
+    dealt = io.rebalance_packed(rows, "day").withColumn("task", F.spark_partition_id()).groupBy("day").agg(F.count_distinct("task").alias("tasks"))
+    assert {r["tasks"] for r in dealt.collect()} == {1}
+
+
+def test_rows_by_day_travel_packed(spark):
+    """The shuffle of a write by day takes at most half the bytes of a plain one."""
+    wide = FR.bronze_frame(Tables(spark, SF_SMALL)).crossJoin(spark.range(20)).drop("id")
+    wide = wide.select(*[F.col(c).cast("string").alias(c) for c in M.LANDING_COLUMNS]).where("transaction_date is not null").coalesce(2)
+
+    def shuffled(write):
+        before = _shuffle_files(spark)
+        write()
+        return sum(size for f, size in _shuffle_files(spark).items() if f not in before)
+
+    few = wide.withColumn("transaction_date", F.substring("transaction_date", 1, 4))  # a year for a day: a few files
+    plain = shuffled(lambda: few.hint("rebalance", "transaction_date").write.format("noop").mode("overwrite").save())
+    path = M.scratch_path(spark, "packed")
+    assert 0 < shuffled(lambda: io.write_partitioned(few, path, "transaction_date")) < plain / 2
+    assert spark.read.parquet(path).count() == few.count()
+
+
+def test_a_hot_day_is_written_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(io, "PACK_BYTES", 1 << 16)
+    monkeypatch.setattr(io, "PACKED_TASK", 1 << 16)
+    rows = spark.range(0, 80000, 1, 8).select(F.sha2(F.col("id").cast("string"), 256).alias("x"), F.when(F.col("id") % 100 == 0, D16).otherwise(D15).alias("day"))
+    path = M.scratch_path(spark, "hot")
+    io.write_partitioned(rows, path, "day")
+    files = {d: len(list(pathlib.Path(path, f"day={d}").glob("*.parquet"))) for d in (D15, D16)}
+    assert files[D15] > 1 and spark.read.parquet(path).count() == 80000
